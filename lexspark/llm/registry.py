@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from lexspark.llm.chat_template import OP4_SQL, op4_chat_format
+from lexspark.llm.decontaminate import op9_decontamination
+from lexspark.llm.langid import op8_language_id
+from lexspark.llm.secrets import op7_secrets
+from lexspark.llm.simhash import op3_simhash
 from lexspark.llm.token_counts import op1_token_counts
+from lexspark.llm.url_filter import OP5_SQL, op5_url_filter
 from lexspark.llm.wavelet import op2_token_ids
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_token_ids)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_token_ids, op3_simhash, op4_chat_format, op5_url_filter, op7_secrets, op8_language_id, op9_decontamination)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_url_filter": OP5_SQL}
