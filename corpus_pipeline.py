@@ -1,13 +1,54 @@
-"""A corpus pipeline of five stages over documents; each stage works on all that the one before it kept."""
+"""A corpus pipeline of five stages over documents; each stage works on all that the one before it kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Every
+stage calls one operator of lexspark.llm, whose docstring states what nulls, repeats and empty tables give.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+import lexspark
+from lexspark.llm import decontaminate, langid, packing, secrets, simhash
+from lexspark.llm.common import materialize
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents in no language (null, or without a letter). `lang` stays as it came."""
+    model = langid.learn(docs, langid.fold() != 1)
+    return langid.identify(docs, model, docs.columns).where("lang_pred <> 'und'").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id in each group of near copies."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of which a twentieth or more lies in windows of benchmark items."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps every document, with its secrets replaced by [SECRET] and n_chars brought up to date."""
+    return secrets.redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("secret_scan", secret_scan), ("packing", pack)]
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lexspark.ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if stage is not pack:
+            docs = materialize(docs, name)
     return docs
