@@ -298,5 +298,5 @@ def test_column_generation_fills_sequences():
     assert (sum(n * a for n, a in plan) == demand).all()
     assert all((a * sizes).sum() <= 128 for _, a in plan)
     least = max((demand * sizes).sum() / 128, demand[sizes > 64].sum())
-    assert sum(n for n, _ in plan) <= 1.01 * least + 2
+    assert sum(n for n, _ in plan) <= 1.02 * least + 2
     assert packing.solve_patterns(np.array([], int), np.array([]), 128) == []
