@@ -1,0 +1,52 @@
+"""The reference graph: resolution, reach in hops, and renames with their guards."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def has_head(provision: Column, head: Column) -> Column:
+    """The id is the head itself or goes on after it with # or :."""
+    return F.startswith(provision, head) & F.substr(provision, F.length(head) + 1, F.lit(1)).isin("", "#", ":")
+
+
+def swap_head(provision: Column, old: Column, new: Column) -> Column:
+    return F.when(has_head(provision, old), F.concat(new, F.substr(provision, F.length(old) + 1))).otherwise(provision)
+
+
+def resolve(edges: DataFrame, provisions: DataFrame, reference: str = "reference_id", provision: str = "provision_id") -> DataFrame:
+    """edges with `resolved`: some provision has the referenced id."""
+    there = provisions.select(F.col(provision).alias(reference), F.lit(True).alias("resolved")).distinct()
+    return edges.join(there, reference, "left").withColumn("resolved", F.coalesce("resolved", F.lit(False)))
+
+
+def reach(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
+    """(source, target, hops): targets within so many hops, each at its fewest."""
+    step = edges.select(F.col("source").alias("m"), F.col("target").alias("t")).distinct()
+    found = start.select(F.col("source"), F.col("source").alias("target"), F.lit(0).alias("hops"))
+    front = found
+    for k in range(1, hops + 1):
+        front = front.join(step, front["target"] == step["m"]).select("source", F.col("t").alias("target")).distinct().join(found.select("source", "target"), ["source", "target"], "left_anti").withColumn("hops", F.lit(k))
+        found = found.unionByName(front)
+    return found.where("hops > 0")
+
+
+def apply_renames(rows: DataFrame, renames: DataFrame) -> DataFrame:
+    """rows without those of renamed heads, and with references moved to the new heads; a head that is still alive in the rows moves nothing.
+
+    rows: provision_id, reference_ids; renames: old_head, new_head (each head once, few enough to be looked up by head).
+    """
+    head = lambda c: F.regexp_extract(c, r"^([^#]*)", 1)
+    moves = renames.select(F.col("old_head").alias("h"), "new_head")
+    kept = rows.join(moves.select("h"), head(F.col("provision_id")) == F.col("h"), "left_anti")
+    flat = kept.select("provision_id", F.posexplode_outer("reference_ids").alias("pos", "ref"))
+    moved = flat.join(moves, head(F.col("ref")) == F.col("h"), "left").withColumn("ref", F.when(F.col("h").isNotNull(), swap_head(F.col("ref"), F.col("h"), F.col("new_head"))).otherwise(F.col("ref")))
+    lists = moved.groupBy("provision_id").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("ref").isNotNull(), F.struct("pos", "ref")))), lambda x: x["ref"]).alias("reference_ids"))
+    return kept.drop("reference_ids").join(lists, "provision_id")
+
+
+def unambiguous(renames: DataFrame, rows: DataFrame) -> DataFrame:
+    """Renames whose old head no row bears any more."""
+    heads = rows.select(F.regexp_extract("provision_id", r"^([^#]*)", 1).alias("old_head")).distinct()
+    return renames.join(heads, "old_head", "left_anti")

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from lexspark.plans import deliveries, tables, texts
+
+QUERIES = texts.QUERIES | tables.QUERIES | deliveries.QUERIES
+ORACLE_SQL = texts.ORACLE_SQL | tables.ORACLE_SQL | deliveries.ORACLE_SQL
