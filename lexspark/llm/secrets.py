@@ -67,7 +67,7 @@ def trigram_query(pattern: str, most: int = 64) -> frozenset:
                 part = {chr(arg).lower()}
             elif name == "IN":
                 chars = [chr(a).lower() for o, a in arg if str(o) == "LITERAL"]
-                part = set(chars) if len(chars) == len(arg) and len(chars) <= 4 else None
+                part = set(chars) if len(chars) == len(arg) and len(chars) <= 8 else None
             elif name == "SUBPATTERN":
                 part, inner = walk(arg[3])
                 query = _both(query, inner)
