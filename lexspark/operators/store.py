@@ -99,18 +99,21 @@ def commit(df: DataFrame, root: str) -> str:
     name = f"v-{uuid.uuid4().hex}"
     df.write.parquet(f"{root}/{name}")
     fs, path = _fs(spark, root)
-    out = fs.create(path(f"{root}/_next-{name}"))
+    out = fs.create(path(f"{root}/next-{name}.txt"))
     out.write(bytearray(name.encode()))
     out.close()
-    fs.delete(path(f"{root}/_current"), False)
-    fs.rename(path(f"{root}/_next-{name}"), path(f"{root}/_current"))
+    jvm = spark.sparkContext._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(path(f"{root}/next-{name}.txt"), path(f"{root}/current.txt"), over)
     return name
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
     """The table that the pointer names; None before the first commit."""
     fs, path = _fs(spark, root)
-    if not fs.exists(path(f"{root}/_current")):
+    if not fs.exists(path(f"{root}/current.txt")):
         return None
-    name = spark.read.text(f"{root}/_current").first()[0]
+    name = spark.read.text(f"{root}/current.txt").first()[0]
     return spark.read.parquet(f"{root}/{name}")
