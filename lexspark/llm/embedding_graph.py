@@ -1,15 +1,15 @@
 """Operator 6, embedding near-dedup: a robust-pruned flat graph over overlapping cluster shards.
 
 Equal vectors meet in one representative. Cluster centres come from a bounded sample; every representative joins the
-shards of all centres within `margin` of its best cosine and is a query of its home shard alone. Large shards are dealt
-into blocks, so no task holds more than about 2*BLOCK vectors. Each block builds a graph: near and random candidates,
-pruned so that no neighbour hides behind a closer one, with edges both ways. A vector's neighbour lists are united over
-all its shards. A query walks greedily from the block's medoid (and from its own node) and, once in range, expands all
-that is in range. Links are verified by cosine in double precision and counted; each block passes on a star for each
-group of linked vectors, never its pairs.
+shards of its `overlap` nearest centres and is a query of its home shard alone. Large shards are dealt into blocks, so
+no task holds more than about 2*BLOCK vectors. Each block builds a graph: near and random candidates, pruned so that no
+neighbour hides behind a closer one, with edges both ways. A vector's neighbour lists are united over all its shards.
+Queries walk greedily from the block's medoid (and from their own nodes), many at a time, and expand all that is in
+range. Links are verified by cosine in double precision and counted; each block passes on a star for each group of
+linked vectors, never its pairs.
 
 After that a bounded number of queries is compared with all vectors by brute force; if the share of links found is
-below `least_recall` the search is repeated with a wider margin and beam. The share is returned.
+below `least_recall` the search is repeated with more overlap and a wider beam. The share is returned.
 
 Vectors that are null, zero, empty or hold null or non-finite components link with nothing; vectors of different
 lengths don't link. Null vec_ids count as vectors; a component's id is the smallest id in it. Rows that repeat link
@@ -19,15 +19,16 @@ with each other. An empty table gives an empty result; extra columns are ignored
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.common import connected_components, materialize, union_all
 
-SAMPLE, TARGET, MAX_CENTRES, BLOCK = 20_000, 2_000, 1_024, 4_096
-DEGREE, NEAR, FAR, ALPHA, BEAM = 24, 48, 16, 1.2, 32
+SAMPLE, TARGET, MAX_CENTRES, BLOCK, OVERLAP = 20_000, 2_000, 1_024, 4_096, 3
+DEGREE, NEAR, FAR, ALPHA, BEAM, STEP = 16, 32, 8, 1.2, 24, 4
+_QUERIES = 512
 AUDIT = 256
 
 
@@ -41,11 +42,11 @@ def _vectors(column) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
-def _centres(sample: pd.DataFrame, total: dict[int, int]) -> dict[int, np.ndarray]:
+def _centres(sample: pa.Table, total: dict[int, int]) -> dict[int, np.ndarray]:
     """Spherical k-means of each vector length's sample."""
     out = {}
-    for dim, rows in sample.groupby("dim"):
-        x = _unit(np.array(rows["embedding"].tolist(), np.float64))
+    for dim in pa.compute.unique(sample.column("dim")).to_pylist():
+        x = _unit(_vectors(sample.filter(pa.compute.equal(sample.column("dim"), dim)).column("embedding")))
         k = min(MAX_CENTRES, len(x), max(1, -(-total[dim] // TARGET)))
         c = x[np.random.default_rng(7).choice(len(x), k, replace=False)]
         for _ in range(6 if k > 1 else 0):
@@ -58,7 +59,7 @@ def _centres(sample: pd.DataFrame, total: dict[int, int]) -> dict[int, np.ndarra
     return out
 
 
-def _shards(centres, margin: float):
+def _shards(centres, overlap: int):
     def run(batches):
         for b in batches:
             dims, ids = b.column("dim").to_numpy(), b.column("id").to_numpy()
@@ -70,8 +71,9 @@ def _shards(centres, margin: float):
                     who, which, home = np.arange(len(at)), np.zeros(len(at), np.int64), np.ones(len(at), bool)
                 else:
                     s = _unit(_vectors(part.column("embedding"))) @ c.T
-                    best = s.max(1)
-                    who, which = np.nonzero(s >= best[:, None] - margin)
+                    n = min(overlap, s.shape[1])
+                    near = np.argpartition(-s, n - 1, axis=1)[:, :n]
+                    who, which = np.repeat(np.arange(len(s)), n), near.ravel()
                     home = which == s.argmax(1)[who]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(who), dim), pa.int32()), pa.array(which, pa.int32()), pa.array(home), pa.array(ids[at][who], pa.int64()), part.column("n").take(pa.array(who)), part.column("embedding").take(pa.array(who))],
@@ -80,89 +82,98 @@ def _shards(centres, margin: float):
     return run
 
 
-def build_graph(x: np.ndarray, seed: int = 1) -> np.ndarray:
-    """Robust-pruned neighbours of unit vectors, padded with -1."""
+def build_graph(x: np.ndarray, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Robust-pruned graph of unit vectors: edges both ways, as (first end, second end) in order of the first."""
     n = len(x)
     if n < 2:
-        return np.full((n, 1), -1)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     rng = np.random.default_rng(seed)
     x = x.astype(np.float32)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -2)
     near = min(NEAR, n - 1)
-    cand = np.empty((n, near + FAR), np.int64)
-    for i in range(0, n, 512):
-        s = x[i : i + 512] @ x.T
-        s[np.arange(len(s)), np.arange(i, i + len(s))] = -2
-        cand[i : i + 512, :near] = np.argpartition(-s, near - 1, axis=1)[:, :near]
-    cand[:, near:] = rng.integers(0, n, (n, FAR))
-    dist = 1 - np.einsum("nd,ncd->nc", x, x[cand])
     me = np.arange(n)
+    cand = np.concatenate([*[np.argpartition(-sims[i : i + 256], near - 1, axis=1)[:, :near] for i in range(0, n, 256)]])
+    cand = np.concatenate([cand, rng.integers(0, n, (n, FAR))], axis=1)
+    dist = 1 - sims[me[:, None], cand]
     alive = cand != me[:, None]
-    edges = []
+    keys = []
     for _ in range(DEGREE):
         k = np.where(alive, dist, np.inf).argmin(1)
-        on = alive[me, k]
         star = cand[me, k]
-        edges.append(np.stack([me[on], star[on]], 1))
-        hidden = ALPHA * (1 - np.einsum("nd,ncd->nc", x[star], x[cand])) <= dist
+        keys.append((me * n + star)[alive[me, k]])
+        hidden = ALPHA * (1 - sims[star[:, None], cand]) <= dist
         alive &= ~hidden & (cand != star[:, None])
-    e = np.concatenate(edges)
-    e = np.unique(np.concatenate([e, e[:, ::-1]]), axis=0)
-    d = 1 - np.einsum("nd,nd->n", x[e[:, 0]], x[e[:, 1]])
-    e = e[np.lexsort((d, e[:, 0]))]
-    return _padded(e, n, 2 * DEGREE)
-
-
-def _padded(edges: np.ndarray, n: int, most: int | None = None) -> np.ndarray:
-    """Neighbour table from edges in order of their first end."""
-    degree = np.bincount(edges[:, 0], minlength=n)
-    place = np.arange(len(edges)) - np.repeat(np.cumsum(degree) - degree, degree)
-    width = int(degree.max(initial=1)) if most is None else min(most, int(degree.max(initial=1)))
-    out = np.full((n, max(1, width)), -1)
-    ok = place < width
-    out[edges[ok, 0], place[ok]] = edges[ok, 1]
-    return out
-
-
-def range_search(x: np.ndarray, graph: np.ndarray, query: np.ndarray, entries: list[int], threshold: float, beam: int) -> np.ndarray:
-    """Nodes with a dot product of at least threshold that the walk finds."""
-    seen = np.zeros(len(x), bool)
-    new = np.unique(np.array(entries))
-    seen[new] = True
-    ids, sims, done = new, x[new] @ query, np.zeros(len(new), bool)
-    inside = [new[sims >= threshold]]
-    while True:
-        todo = np.flatnonzero(~done)
-        if not len(todo):
-            break
-        todo = todo[np.argsort(-sims[todo])[:8]]
-        done[todo] = True
-        new = graph[ids[todo]].ravel()
-        new = np.unique(new[new >= 0])
-        new = new[~seen[new]]
-        seen[new] = True
-        s = x[new] @ query
-        inside.append(new[s >= threshold])
-        ids, sims, done = np.concatenate([ids, new]), np.concatenate([sims, s]), np.concatenate([done, np.zeros(len(new), bool)])
-        if len(ids) > beam:
-            top = np.argpartition(-sims, beam - 1)[:beam]
-            ids, sims, done = ids[top], sims[top], done[top]
-    front = np.concatenate(inside)
-    while len(front):  # every node in range is expanded
-        new = graph[front].ravel()
-        new = np.unique(new[new >= 0])
-        new = new[~seen[new]]
-        seen[new] = True
-        front = new[x[new] @ query >= threshold]
-        inside.append(front)
-    return np.concatenate(inside)
+    key = np.concatenate(keys)
+    key = np.unique(np.concatenate([key, key % n * n + key // n]))
+    return key // n, key % n
+
+
+class _Block:
+    """Vectors of a block and the graph among them."""
+
+    def __init__(self, x: np.ndarray, a: np.ndarray, b: np.ndarray):
+        self.x, self.to = x.astype(np.float32), b
+        self.start = np.searchsorted(a, np.arange(len(x) + 1))
+        self.medoid = int((x @ x.mean(0)).argmax())
+
+    def _expand(self, rows: np.ndarray, nodes: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Unseen neighbours of (row, node) pairs, each pair once and in order; they count as seen from here on."""
+        degree = self.start[nodes + 1] - self.start[nodes]
+        ends = np.cumsum(degree)
+        at = np.repeat(self.start[nodes] - ends + degree, degree) + np.arange(ends[-1] if len(ends) else 0)
+        key = np.repeat(rows, degree) * seen.shape[1] + self.to[at]
+        key = np.unique(key[~seen.ravel()[key]])
+        seen.ravel()[key] = True
+        return key // seen.shape[1], key % seen.shape[1]
+
+    def search(self, q: np.ndarray, own: np.ndarray, threshold: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, node) pairs in range that the walks find; own: the queries' nodes, or -1."""
+        q = q.astype(np.float32)
+        n, m = len(self.x), len(q)
+        every = np.arange(m)
+        seen = np.zeros((m, n), bool)
+        ids, sims, done = np.zeros((m, beam), np.int64), np.full((m, beam), -np.inf, np.float32), np.ones((m, beam), bool)
+        rows, nodes = np.concatenate([every, every[own >= 0]]), np.concatenate([np.full(m, self.medoid), own[own >= 0]])
+        key = np.unique(rows * n + nodes)
+        rows, nodes = key // n, key % n
+        seen.ravel()[key] = True
+        hits = []
+        while True:
+            s = np.einsum("nd,nd->n", self.x[nodes], q[rows])
+            inside = s >= threshold
+            hits.append((rows[inside], nodes[inside]))
+            count = np.bincount(rows, minlength=m)
+            width = int(count.max(initial=0))
+            if width:
+                place = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
+                more_ids, more_sims, more_done = np.zeros((m, width), np.int64), np.full((m, width), -np.inf, np.float32), np.ones((m, width), bool)
+                more_ids[rows, place], more_sims[rows, place], more_done[rows, place] = nodes, s, False
+                ids, sims, done = (np.concatenate(p, axis=1) for p in ((ids, more_ids), (sims, more_sims), (done, more_done)))
+                top = np.argpartition(-sims, beam - 1, axis=1)[:, :beam]
+                ids, sims, done = (np.take_along_axis(p, top, 1) for p in (ids, sims, done))
+            open_ = np.where(done, -np.inf, sims)
+            step = np.argpartition(-open_, STEP - 1, axis=1)[:, :STEP]
+            ok = np.take_along_axis(open_, step, 1) > -np.inf
+            if not ok.any():
+                break
+            np.put_along_axis(done, step, True, 1)
+            rows, nodes = self._expand(np.repeat(every, STEP)[ok.ravel()], np.take_along_axis(ids, step, 1)[ok], seen)
+        rows, nodes = (np.concatenate(p) for p in zip(*hits))
+        out = [(rows, nodes)]
+        while len(rows):  # every node in range is expanded
+            rows, nodes = self._expand(rows, nodes, seen)
+            inside = np.einsum("nd,nd->n", self.x[nodes], q[rows]) >= threshold
+            rows, nodes = rows[inside], nodes[inside]
+            out.append((rows, nodes))
+        rows, nodes = (np.concatenate(p) for p in zip(*out))
+        return rows, nodes
 
 
 def _build(table: pa.Table) -> pa.Table:
     ids = table.column("id").to_numpy()
-    graph = build_graph(_unit(_vectors(table.column("embedding"))))
-    ok = graph >= 0
-    offsets = np.concatenate([[0], np.cumsum(ok.sum(1))])
-    return pa.table({"id": pa.array(ids), "near": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids[graph[ok]]))})
+    a, b = build_graph(_unit(_vectors(table.column("embedding"))))
+    return pa.table({"id": pa.array(ids), "near": pa.ListArray.from_arrays(pa.array(np.searchsorted(a, np.arange(len(ids) + 1)), pa.int32()), pa.array(ids[b]))})
 
 
 def _search(threshold: float, beam: int):
@@ -174,50 +185,42 @@ def _search(threshold: float, beam: int):
             return empty
         member = member.take(pa.array(np.argsort(member.column("id").to_numpy())))
         ids, weight, raw = member.column("id").to_numpy(), member.column("n").to_numpy(), _vectors(member.column("embedding"))
-        norm = np.sqrt((raw * raw).sum(1))
-        x = raw / norm[:, None]
+        n, norm = len(ids), np.sqrt((raw * raw).sum(1))
         near = member.column("near").combine_chunks()
-        a = np.repeat(np.arange(len(ids)), np.diff(near.offsets.to_numpy()))
+        a = np.repeat(np.arange(n), np.diff(near.offsets.to_numpy()))
         to = near.flatten().to_numpy(zero_copy_only=False)
-        b = np.searchsorted(ids, to)
-        ok = ids[np.minimum(b, len(ids) - 1)] == to
-        graph = _padded(np.stack([a[ok], b[ok]], 1), len(ids))
-        medoid = int((x @ x.mean(0)).argmax())
-        root = np.arange(len(ids))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
+        b = np.minimum(np.searchsorted(ids, to), n - 1)
+        here = ids[b] == to  # neighbours in other shards' or blocks' keeping aren't here
+        block = _Block(raw / norm[:, None], a[here], b[here])
         qids, qraw = query.column("id").to_numpy(), _vectors(query.column("embedding"))
-        outside: list[tuple[int, int]] = []
-        links = np.zeros(len(qids), np.int64)
-        for k, (q, v) in enumerate(zip(qids.tolist(), qraw)):
-            own = int(np.searchsorted(ids, q))
-            here = own < len(ids) and ids[own] == q
-            length = np.sqrt((v * v).sum())
-            hit = range_search(x, graph, v / length, [medoid, own] if here else [medoid], threshold - 1e-9, beam)
-            hit = hit[(raw[hit] @ v) / (norm[hit] * length) >= threshold]
-            hit = hit[hit != own] if here else hit
-            if len(hit):
-                links[k] = weight[hit].sum()
-                first = find(int(hit[0]))
-                for j in ([*hit[1:].tolist(), own] if here else hit[1:].tolist()):
-                    root[find(j)] = first
-                if not here:
-                    outside.append((q, int(hit[0])))
-        top = np.array([find(i) for i in range(len(ids))])
-        moved = np.flatnonzero(top != np.arange(len(ids)))
+        qnorm = np.sqrt((qraw * qraw).sum(1))
+        own = np.minimum(np.searchsorted(ids, qids), n - 1)
+        own = np.where(ids[own] == qids, own, -1)
+        links, label = np.zeros(len(qids), np.int64), np.arange(n + len(qids))
+        for i in range(0, len(qids), _QUERIES):
+            part = slice(i, i + _QUERIES)
+            rows, nodes = block.search(qraw[part] / qnorm[part, None], own[part], threshold - 1e-4, beam)
+            rows = rows + i
+            ok = (nodes != own[rows]) & (np.einsum("nd,nd->n", raw[nodes], qraw[rows]) / (norm[nodes] * qnorm[rows]) >= threshold)
+            rows, nodes = rows[ok], nodes[ok]
+            links += np.bincount(rows, weight[nodes], len(qids)).astype(np.int64)
+            a, b = np.where(own[rows] >= 0, own[rows], n + rows), nodes
+            while len(a):  # smallest label of each group
+                low = np.minimum(label[a], label[b])
+                before = label.copy()
+                np.minimum.at(label, a, low)
+                np.minimum.at(label, b, low)
+                np.minimum.at(label, before[a], low)
+                np.minimum.at(label, before[b], low)
+                label = label[label]
+                if (label == before).all():
+                    break
+        names = np.concatenate([ids, qids])
+        moved = np.flatnonzero(label != np.arange(len(label)))
         some = np.flatnonzero(links)
-        n = len(some) + len(moved) + len(outside)
-        if not n:
-            return empty
-        who = np.concatenate([qids[some], ids[moved], np.array([q for q, _ in outside], np.int64)]).astype(np.int64)
-        count = np.concatenate([links[some], np.zeros(n - len(some), np.int64)])
-        to = np.concatenate([qids[some], ids[top[moved]], ids[np.array([h for _, h in outside], np.int64)]]).astype(np.int64)
-        return pa.table({"id": pa.array(who), "links": pa.array(count), "root": pa.array(to)})
+        who = np.concatenate([qids[some], names[moved]]).astype(np.int64)
+        to = np.concatenate([qids[some], names[label[moved]]]).astype(np.int64)
+        return pa.table({"id": pa.array(who), "links": pa.array(np.concatenate([links[some], np.zeros(len(moved), np.int64)])), "root": pa.array(to)})
 
     return run
 
@@ -242,9 +245,9 @@ def _true_links(held, threshold: float):
     return run
 
 
-def _search_shards(reps: DataFrame, centres, threshold: float, margin: float, beam: int) -> DataFrame:
+def _search_shards(reps: DataFrame, centres, threshold: float, overlap: int, beam: int) -> DataFrame:
     """id, links and root rows: a query's links in one block (root is itself), or a tie of a vector to its group's root."""
-    members = materialize(reps.mapInArrow(_shards(centres, margin), "dim int, shard int, home boolean, id long, n long, embedding array<float>"), "members")
+    members = materialize(reps.mapInArrow(_shards(centres, overlap), "dim int, shard int, home boolean, id long, n long, embedding array<float>"), "members")
     sizes = members.groupBy("dim", "shard").agg(F.count("*").alias("m"), F.count_if("home").alias("q"))
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     sizes = sizes.select("dim", "shard", blocks("m").alias("mb"), F.greatest(blocks("q"), F.lit(1)).alias("qb"))
@@ -258,7 +261,7 @@ def _search_shards(reps: DataFrame, centres, threshold: float, margin: float, be
     return materialize(union_all([a, b]).groupBy("dim", "shard", "block", "turn").applyInArrow(_search(threshold, beam), "id long, links long, root long"), "found")
 
 
-def near_duplicates(rows: DataFrame, threshold: float = 0.95, margin: float = 0.2, beam: int = BEAM, least_recall: float = 0.97, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, float]:
+def near_duplicates(rows: DataFrame, threshold: float = 0.95, overlap: int = OVERLAP, beam: int = BEAM, least_recall: float = 0.97, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, float]:
     """vec_id, n_links, component_id of every row; and the audited share of links found."""
     spark = rows.sparkSession
     v = F.col("embedding")
@@ -271,12 +274,12 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, margin: float = 0.
     share = SAMPLE / max(1, sum(total.values()))
     drawn = F.pmod(F.xxhash64("id", F.lit("centres")), F.lit(1 << 30)) < F.lit(int(min(1, share) * (1 << 30)))
     # about SAMPLE vectors, whatever the table's size
-    centres = spark.sparkContext.broadcast(_centres(reps.where(drawn).select("dim", "embedding").limit(2 * SAMPLE).toPandas(), total))
+    centres = spark.sparkContext.broadcast(_centres(reps.where(drawn).select("dim", "embedding").limit(2 * SAMPLE).toArrow(), total))
     audit = reps.orderBy(F.xxhash64("id", F.lit("audit"))).limit(AUDIT).select("id", "dim", "embedding").collect()
     held = spark.sparkContext.broadcast((np.array([r["id"] for r in audit], np.int64), np.array([r["dim"] for r in audit], np.int64), [np.array(r["embedding"], np.float64) for r in audit]))
     truth = {r["id"]: r["l"] for r in reps.mapInArrow(_true_links(held, threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("l")).collect()}
     for attempt in range(3):
-        found = _search_shards(reps, centres, threshold, margin * 1.6**attempt, beam * 2**attempt)
+        found = _search_shards(reps, centres, threshold, overlap * 2**attempt, beam * 2**attempt)
         got = {r["id"]: r["l"] for r in found.where(F.col("id").isin(list(truth) or [-1])).groupBy("id").agg(F.sum("links").alias("l")).collect()}
         recall = sum(min(got.get(k, 0), n) for k, n in truth.items()) / max(1, sum(truth.values())) if sum(truth.values()) else 1.0
         if recall >= least_recall:
@@ -294,4 +297,4 @@ def op6_embedding_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, recall = near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     if recall < 0.9:
         raise RuntimeError(f"audited recall {recall:.3f}")
-    return found.withColumns({"kept": F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)), "audited_recall": F.lit(recall)})
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
