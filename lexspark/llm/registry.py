@@ -6,6 +6,7 @@ from lexspark.llm.chat_template import OP4_SQL, op4_chat_format
 from lexspark.llm.decontaminate import op9_decontamination
 from lexspark.llm.embedding_graph import op6_embedding_graph
 from lexspark.llm.langid import op8_language_id
+from lexspark.llm.oracles import OP6_SQL, OP7_SQL, OP9_SQL
 from lexspark.llm.packing import op10_packing
 from lexspark.llm.secrets import op7_secrets
 from lexspark.llm.simhash import op3_simhash
@@ -15,4 +16,4 @@ from lexspark.llm.wavelet import op2_token_ids
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_token_ids, op3_simhash, op4_chat_format, op5_url_filter, op6_embedding_graph, op7_secrets, op8_language_id, op9_decontamination, op10_packing)}
 
-ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_url_filter": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_chat_format": OP4_SQL, "op5_url_filter": OP5_SQL, "op6_embedding_graph": OP6_SQL, "op7_secrets": OP7_SQL, "op9_decontamination": OP9_SQL}
