@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.functions import ids, text
-from lexspark.operators import chunking, search, store, units
+from lexspark.operators import chunking, embedding, raw, search, store, units
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -234,3 +234,20 @@ def q72_keyword_scores(spark, sf_dir):
     idf = F.map_from_arrays(F.array(*map(F.lit, words)), F.array(*[F.log(1 + (F.lit(stats["docs"]) - stats[f"df{k}"] + 0.5) / (stats[f"df{k}"] + 0.5)) for k in range(len(words))]))
     score = F.aggregate("c", F.lit(0.0), lambda s, x: s + idf[x["term"]] * x["tf"] * 2.2 / (x["tf"] + 1.2 * (0.25 + 0.75 * F.col("len") / F.lit(stats["mean"]))))
     return rows.where(F.exists("c", lambda x: x["tf"] > 0)).select("doc_id", F.round(score, 6).alias("score"))
+
+
+@query("""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, turn, role, trim(text, ' ' || chr(10)) AS content FROM conversations)
+SELECT conv_id, pos::INTEGER AS pos, '제' || (turn + 1)::VARCHAR || '조' AS article_no, sha256(content) AS content_hash FROM t WHERE role <> 'system'""")
+def q74_raw_bodies(spark, sf_dir):
+    """Conversations as raw bodies (system turns as headings) and their articles."""
+    unit = F.struct(F.when(F.col("role") == "system", "전문").otherwise("조문").alias("조문여부"), (F.col("turn") + 1).alias("조문번호"), F.col("text").alias("조문내용"))
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", unit.alias("u")))), lambda x: x["u"]).alias("units"))
+    bodies = c.select("conv_id", F.parse_json(F.to_json(F.struct(F.col("units").alias("조문단위")))).alias("body"))
+    return raw.articles(bodies, key="conv_id").select("conv_id", "pos", "article_no", F.sha2("content", 256).alias("content_hash"))
+
+
+@query("SELECT doc_id, 64 AS dim, 1.0::DOUBLE AS norm FROM documents")
+def q75_embedding_connector(spark, sf_dir):
+    """Every text through the embedding connector: dimension and length of its vector."""
+    v = embedding.embed(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("search_text")), embedding.HashModel, 64)
+    return v.select("doc_id", F.size("vector").alias("dim"), F.round(F.sqrt(search.dot(F.col("vector"), F.col("vector"))), 4).alias("norm"))
