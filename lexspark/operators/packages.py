@@ -58,9 +58,19 @@ def retry_or_quarantine(attempts: Column, permanent: Column, most: int = 5) -> C
     return F.when(permanent | (attempts >= most), "quarantine").otherwise("retry")
 
 
+# fixed values: marks of errors in a package that trying again can't mend
+PERMANENT_MARKS = ("파싱 실패", "source 미결정", "source 를 결정", "law_id 없는", "계약 위반", "record_count")
+
+
 def is_permanent(error: Column) -> Column:
-    """Errors that trying again can't mend: bad records, or 4xx answers but for 408 and 429."""
-    return F.rlike(F.coalesce(error, F.lit("")), F.lit(r"record_count|JSONDecodeError|Unicode|schema|HTTP 4(?!08|29)\d\d"))
+    """Package errors that trying again can't mend."""
+    return F.rlike(F.coalesce(error, F.lit("")), F.lit("|".join(PERMANENT_MARKS)))
+
+
+def is_permanent_parser_error(code: Column, message: Column) -> Column:
+    """Limits of the source file: an application error, an empty result, or a 4xx answer but for 429."""
+    refused = F.rlike(F.coalesce(message, F.lit("")), F.lit(r"^HTTP 4(?!29)\d\d"))
+    return F.coalesce(code.isin("APPLICATION_ERROR", "EMPTY_RESULT") | ((code == "HTTP_ERROR") & refused), F.lit(False))
 
 
 def group_faults(rows: DataFrame, group: list[str]) -> DataFrame:

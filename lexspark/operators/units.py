@@ -57,6 +57,21 @@ def amendment_text(amendment: Column, reason: Column) -> Column:
     return F.nullif(F.concat_ws("\n\n", F.concat(F.lit("[개정문]\n"), text.text_or_null(amendment)), F.concat(F.lit("[개정이유]\n"), text.text_or_null(reason))), F.lit(""))
 
 
+def has_text(doc: Column) -> Column:
+    """Some article has more than a notice that its text is elsewhere."""
+    return F.coalesce(F.exists(doc["body"]["articles"], lambda a: a.isNotNull() & ~text.is_placeholder(a["content"])), F.lit(False))
+
+
+def is_file_only(doc: Column) -> Column:
+    """No text of its own, but attachments."""
+    return ~has_text(doc) & F.coalesce(F.size(doc["attachments"]) > 0, F.lit(False))
+
+
+def pending_appendices(docs: DataFrame) -> DataFrame:
+    """Appendices that exist as files alone, one row each."""
+    return docs.select("path", F.posexplode("doc.appendices").alias("pos", "appendix")).where("appendix.is_file_only")
+
+
 def units(docs: DataFrame, source: str = "law") -> DataFrame:
     """One row for each unit of the documents that carry their ids, in document order (unit_ord)."""
     base = with_common(docs, source).where("law_id is not null and version_uid is not null and doc.body is not null")

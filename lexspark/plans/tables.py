@@ -156,7 +156,7 @@ def q34_report_merge_attempts(spark, sf_dir):
 SELECT user_id, attempts, CASE WHEN permanent OR attempts >= 5 THEN 'quarantine' ELSE 'retry' END AS next FROM a WHERE attempts > 0""")
 def q35_retry_quarantine(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    error = F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 50 == 0, "HTTP 400 bad").otherwise("HTTP 503 busy"))
+    error = F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 50 == 0, "record_count differs").otherwise("HTTP 503 busy"))
     a = e.groupBy("user_id").agg(F.count(error).alias("attempts"), F.coalesce(F.bool_or(pk.is_permanent(error)), F.lit(False)).alias("permanent"))
     return a.where("attempts > 0").select("user_id", "attempts", pk.retry_or_quarantine(F.col("attempts"), F.col("permanent")).alias("next"))
 

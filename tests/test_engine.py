@@ -186,5 +186,12 @@ def test_scope_needs_entries(spark):
 
 
 def test_permanent_errors(spark):
-    df = spark.createDataFrame([("HTTP 404 x",), ("HTTP 429",), ("HTTP 503",), ("record_count differs",), (None,)], "e string")
-    assert [r[0] for r in df.select(pk.is_permanent(F.col("e"))).collect()] == [True, False, False, True, False]
+    df = spark.createDataFrame([("HTTP_ERROR", "HTTP 404 x"), ("HTTP_ERROR", "HTTP 429"), ("HTTP_ERROR", "HTTP 503"), ("TIMEOUT", "record_count differs"), ("EMPTY_RESULT", None), (None, None)], "c string, e string")
+    assert [tuple(r) for r in df.select(pk.is_permanent(F.col("e")), pk.is_permanent_parser_error(F.col("c"), F.col("e"))).collect()] == [(False, True), (False, False), (False, False), (True, False), (False, True), (False, False)]
+
+
+def test_file_only_documents(spark):
+    given = [law(body={"articles": [{"content": "[첨부파일 참조]"}, None]}, attachments=[{"name": "a"}]), law(body={"articles": []}), law(attachments=[{"name": "a"}]), law(body={"articles": [{"content": "[그림]"}]}, attachments=[{"name": "a"}])]
+    docs = documents.parse_documents(spark.createDataFrame([(str(k), json.dumps(g, ensure_ascii=False)) for k, g in enumerate(given)], "path string, value string"))
+    assert [tuple(r) for r in docs.orderBy("path").select(units.has_text(F.col("doc")), units.is_file_only(F.col("doc"))).collect()] == [(False, True), (False, False), (True, False), (True, False)]
+    assert units.pending_appendices(docs.where("path = '2'")).count() == 1

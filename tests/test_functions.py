@@ -45,10 +45,17 @@ def test_names_keep_their_two_normal_forms(spark):
 
 
 def test_filler_and_padding(spark):
-    assert each(spark, text.is_filler, ["| --- |\n+==+", "", None, "| 제1조 |", "…"]) == [True, True, True, False, False]
+    assert each(spark, text.is_filler, ["| --- |\n+==+", "", None, "| 제1조 |", "…", "※ □ ●\xa0~"]) == [True, True, True, False, False, True]
     assert each(spark, text.collapse_padding, ["a   b", "a  b", "a \t \xa0b\n   c"]) == ["a b", "a  b", "a b\n c"]
 
 
+def test_notices(spark):
+    given = ["[별지 제1호서식] <삭제>", "삭제 <2026. 4. 15.>", "삭제한다", "[별표 2] 삭제", None, "삭제됨"]
+    assert each(spark, text.is_deleted_notice, given) == [True, True, False, True, False, False]
+    given = ["(원문은 첨부파일 참조)", "그림  참조", "[그림]", " ", None, "별지 참조 바람"]
+    assert each(spark, text.is_placeholder, given) == [True, True, False, True, True, False]
+
+
 def test_images(spark):
     html = "x<img alt='q' src='/a.gif'>y<IMG src=http://h/b.png >z<img alt='none'>"
     r = one(spark, text.mark_images(F.lit(html)), text.image_urls(F.lit(html), "http://base"), text.fill_image_marks(text.mark_images(F.lit(html)), F.array(F.lit("one"), F.lit("  "))))
