@@ -9,9 +9,17 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Make this package importable by the session's Python workers (once for each application)."""
+    """Make this package importable by the session's Python workers (once for each application).
+
+    Where the session sets no size of Arrow batches, one of 2,000 rows is set: whole texts may be long.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, "2000")
     if getattr(sc, "_lexspark_shipped", None) != sc.applicationId:
         top = os.path.dirname(os.path.abspath(__file__))
         path = os.path.join(tempfile.mkdtemp(prefix="spark-"), "lexspark.zip")
