@@ -23,7 +23,7 @@ _CLASS[:_TOP] = [_SPACE if c in _WHITE else {"L": _LETTER, "N": _NUMBER}.get(uni
 _LOWER = np.arange(_EDGE + 1, dtype=np.uint16)
 _LOWER[:_TOP] = [ord(x) if len(x := chr(c).lower()) == 1 and ord(x) < _TOP else _EDGE for c in range(_TOP)]
 _ODD = {chr(c) for c in range(_TOP) if _LOWER[c] == _EDGE}  # lower case leaves the range
-_CHARS = 1 << 20
+_CHARS = 1 << 19
 _R = 0x9E3779B97F4A7C15
 _POWERS = np.ones(0, np.uint64)
 _BACK = np.ones(0, np.uint64)
@@ -32,7 +32,7 @@ _BACK = np.ones(0, np.uint64)
 def _powers(n: int) -> None:
     global _POWERS, _BACK
     if len(_POWERS) < n:
-        n = max(n, 2 * _CHARS)
+        n = max(n, _CHARS + (1 << 16))
         with np.errstate(over="ignore"):
             _POWERS = np.cumprod(np.full(n, _R, np.uint64))
             _BACK = np.cumprod(np.full(n, pow(_R, -1, 1 << 64), np.uint64))
@@ -93,7 +93,7 @@ class _Table:
 class PretokenEncoder:
     """kind 'byte': byte-level BPE without a normaliser; 'word': lower-cased BPE with word ends."""
 
-    def __init__(self, path: str, kind: str, table_bits: int = 22):
+    def __init__(self, path: str, kind: str, table_bits: int = 21):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -106,7 +106,7 @@ class PretokenEncoder:
     def _empty(self) -> None:
         self.table = _Table(self.table_bits)
         self.flat, self.used = np.empty(1 << 16, self.dtype), 0
-        self.start, self.length = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.start, self.length = np.empty(1 << 14, np.int32), np.empty(1 << 14, np.int32)
 
     def _own(self, text: str) -> bool:
         """True where the array path splits this text as the library does."""

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import span_hashes
-from lexspark.llm.common import materialize
+from lexspark.llm.common import materialize, tidy
 
 WINDOW, SHINGLE = 13, 5
 FILTER_BITS = 24  # a table of 2 MB, whatever the benchmark's size
@@ -156,7 +156,7 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle
     sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # at most `shingle` numbers
     shingles = windows.select(F.explode("shingles").alias("h")).distinct()
     table = spark.sparkContext.broadcast(_filter_of(shingles))
-    counts = rows.select("text").mapInArrow(_count_shingles(table, sizes), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counts = rows.select("text").mapInArrow(tidy(_count_shingles(table, sizes)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     # rarest shingle of each window, the leftmost of equals
     order = F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "at", "h"))
     flat = windows.select("item_id", "words", "n", F.posexplode("shingles").alias("at", "h"))
@@ -164,7 +164,7 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle
     prefix = materialize(prefix.select("item_id", "words", "n", "p.at", "p.h"), "prefixes")
     table = spark.sparkContext.broadcast(_filter_of(prefix.select("h").distinct()))
     schema = "doc_id long, row long, n_words long, places array<struct<h: long, at: int, around: array<string>, left: int>>"
-    scanned = materialize(rows.mapInArrow(_find_places(table, sizes, window), schema), "places")
+    scanned = materialize(rows.mapInArrow(tidy(_find_places(table, sizes, window)), schema), "places")
     places = scanned.select("doc_id", "row", "n_words", F.explode("places").alias("p")).select("doc_id", "row", "n_words", "p.*")
     w = prefix.select("item_id", "words", "n", F.col("at").alias("before"), "h")
     found = places.join(w, "h").where(

@@ -19,12 +19,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import _Table
+from lexspark.llm.common import tidy
 
 ORDER = 4
 SAMPLE_BYTES = 2_000_000
@@ -49,12 +49,12 @@ def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        by: dict[str, list[str]] = {}
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-            by.setdefault(lang, []).append(text)
-        for lang, texts in by.items():
+        by: dict[int, list[str]] = {}
+        for code, text in zip(b.column("code").to_pylist(), b.column("text").to_pylist()):
+            by.setdefault(code, []).append(text)
+        for code, texts in by.items():
             kinds, n = np.unique(_grams(texts)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(kinds), pa.string()), pa.array(kinds.astype(np.int64)), pa.array(n, pa.int64())], ["lang", "g", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), code), pa.int32()), pa.array(kinds.astype(np.int64)), pa.array(n, pa.int64())], ["code", "g", "n"])
 
 
 def _hash(g: np.ndarray) -> np.ndarray:
@@ -66,11 +66,10 @@ def _hash(g: np.ndarray) -> np.ndarray:
 class Model:
     """Frozen costs: for grams of each length 1..ORDER+1 and contexts of each length 1..ORDER, one row of bits a language."""
 
-    def __init__(self, langs: list[str], counts: pd.DataFrame):
+    def __init__(self, langs: list[str], which: np.ndarray, full: np.ndarray, n: np.ndarray):
+        """Language, gram and count of each pair that was seen."""
         self.langs = langs
         size = len(langs)
-        which = counts["lang"].map({x: k for k, x in enumerate(langs)}).to_numpy(np.int64)
-        full, n = counts["g"].to_numpy(np.int64).astype(np.uint64), counts["n"].to_numpy(np.float64)
         shorter = np.full((256, size), 8.0)  # no context: any byte costs eight bits
         shorter_keys = np.arange(256, dtype=np.uint64)
         self.grams, self.escapes = [], []
@@ -169,14 +168,14 @@ def learn(docs: DataFrame, where: Column, sample_bytes: int = SAMPLE_BYTES, id_c
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     share = {r["lang"]: min(1.0, sample_bytes / max(1, r["bytes"])) for r in sizes}
     if not share:
-        return Model([], pd.DataFrame({"lang": [], "g": np.empty(0, np.int64), "n": []}))
-    spark = docs.sparkSession
-    shares = F.broadcast(spark.createDataFrame(list(share.items()), "lang string, share double"))  # at most MAX_LANGUAGES rows
+        return Model([], np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0))
+    spark, langs = docs.sparkSession, sorted(share)
+    shares = F.broadcast(spark.createDataFrame([(x, k, share[x]) for k, x in enumerate(langs)], "lang string, code int, share double"))  # at most MAX_LANGUAGES rows
     draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1_000_000)) / 1e6
-    sample = rows.join(shares, "lang").where(draw < F.col("share")).select("lang", "text")
+    sample = rows.join(shares, "lang").where(draw < F.col("share")).select("code", "text")
     # grams of a sample of bounded bytes: bounded as well
-    counts = sample.mapInArrow(_count_grams, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()
-    return Model(sorted(share), counts)
+    counts = sample.mapInArrow(tidy(_count_grams), "code int, g long, n long").groupBy("code", "g").agg(F.sum("n").alias("n")).toArrow()
+    return Model(langs, counts.column("code").to_numpy().astype(np.int64), counts.column("g").to_numpy().astype(np.uint64), counts.column("n").to_numpy().astype(np.float64))
 
 
 def _predict(model):
@@ -196,7 +195,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     held = spark.sparkContext.broadcast(model)
     rows = docs.select(*keep, F.col(text_col).alias("__text"))
     schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
-    return rows.mapInArrow(_predict(held), schema)
+    return rows.mapInArrow(tidy(_predict(held)), schema)
 
 
 def fold(id_col: str = "doc_id") -> Column:

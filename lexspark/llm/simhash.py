@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import connected_components, materialize
+from lexspark.llm.common import connected_components, materialize, tidy
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -59,7 +59,7 @@ def _fingerprints(width: int):
 def fingerprints(docs: DataFrame, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, row (a hash that tells texts apart) and fp (signed 64 bits) of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints(width), "doc_id long, row long, fp long")
+    return rows.mapInArrow(tidy(_fingerprints(width)), "doc_id long, row long, fp long")
 
 
 def _segments(tau: int) -> list[tuple[int, int]]:

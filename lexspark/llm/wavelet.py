@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import encoder, vocabulary
-from lexspark.llm.common import scratch_path
+from lexspark.llm.common import scratch_path, tidy
 
 MAGIC = b"LXW1"
 BLOCK = 512
@@ -206,7 +206,7 @@ def write_shards(docs: DataFrame, out_path: str, vocab: str | None = None, kind:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
-    ordered.mapInArrow(_build_shards(vocab, kind, end_id, bits, shard_tokens), SHARD_SCHEMA).write.option("compression", "uncompressed").mode("overwrite").parquet(out_path)
+    ordered.mapInArrow(tidy(_build_shards(vocab, kind, end_id, bits, shard_tokens)), SHARD_SCHEMA).write.option("compression", "uncompressed").mode("overwrite").parquet(out_path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -233,7 +233,7 @@ def _read_documents(with_ids: bool):
 def shard_documents(shards: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of each document, read back from its shard."""
     schema = "part int, ord int, doc_id long, local_start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
-    rows = shards.select("part", "ord", "payload").mapInArrow(_read_documents(with_ids), schema)
+    rows = shards.select("part", "ord", "payload").mapInArrow(tidy(_read_documents(with_ids)), schema)
     # one small row for each shard
     before = Window.orderBy("part", "ord").rowsBetween(Window.unboundedPreceding, -1)
     offsets = shards.select("part", "ord", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
