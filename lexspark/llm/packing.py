@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import encoder, vocabulary
-from lexspark.llm.common import materialize
+from lexspark.llm.common import materialize, tidy
 
 SEQUENCE, STEP, END_ID = 2048, 16, 1
 _PIECES = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long, ids binary, part int, cls int, local long"
@@ -58,31 +58,38 @@ def _cut(path: str, kind: str, end_id: int, size: int, step: int):
     return run
 
 
-def _best_pattern(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """Unbounded knapsack: the multiset of sizes within capacity that is worth most."""
+def _best_patterns(sizes: np.ndarray, worth: np.ndarray, capacity: int, most: int = 12) -> list[np.ndarray]:
+    """Unbounded knapsack: multisets of sizes within capacity that are worth more than 1, the best of each first size, best first."""
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    fit = np.searchsorted(sizes, np.arange(capacity + 1), "right").tolist()
     for c in range(1, capacity + 1):
-        n = int(np.searchsorted(sizes, c, "right"))
         best[c] = best[c - 1]
-        if n:
+        if n := fit[c]:
             v = best[c - sizes[:n]] + worth[:n]
-            k = int(v.argmax())
+            k = v.argmax()
             if v[k] > best[c]:
                 best[c], pick[c] = v[k], k
-    a, c = np.zeros(len(sizes)), capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
-        else:
-            a[pick[c]] += 1
-            c -= sizes[pick[c]]
-    return float(best[capacity]), a
-
-
-def solve_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_rounds: int = 5000) -> list[tuple[int, np.ndarray]]:
+    value = best[capacity - sizes] + worth
+    out = []
+    for k in np.argsort(-value)[:most].tolist():
+        if value[k] <= 1 + 1e-7:
+            break
+        a, c = np.zeros(len(sizes)), int(capacity - sizes[k])
+        a[k] = 1
+        while c > 0:
+            if pick[c] < 0:
+                c -= 1
+            else:
+                a[pick[c]] += 1
+                c -= int(sizes[pick[c]])
+        out.append(a)
+    return out
+
+
+def solve_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_rounds: int = 5000, patience: int = 40) -> list[tuple[int, np.ndarray]]:
     """(copies, pieces of each class) that together use every piece: column generation, rounding down, the rest largest first.
 
-    Any basis met on the way is feasible, so a bound on rounds costs padding at worst.
+    Any basis met on the way is feasible; the search ends when `patience` rounds save less than a sequence in 20,000.
     """
     m = len(sizes)
     if not m:
@@ -90,23 +97,28 @@ def solve_patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int, most_ro
     columns = [np.eye(m)[k] * (capacity // sizes[k]) for k in range(m)]
     inverse = np.diag([1 / c[k] for k, c in enumerate(columns)])
     x = inverse @ demand
+    totals = [x.sum()]
     for _ in range(most_rounds):
-        duals = inverse.sum(0)  # every sequence costs one
-        value, a = _best_pattern(sizes, duals, capacity)
-        if value <= 1 + 1e-7:
-            break
-        d = inverse @ a
-        ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
-        out = int(ratio.argmin())
-        if not np.isfinite(ratio[out]):
+        entered = False
+        for a in _best_patterns(sizes, inverse.sum(0), capacity):  # every sequence costs one
+            if inverse.sum(0) @ a <= 1 + 1e-7:  # another column took its worth
+                continue
+            d = inverse @ a
+            ratio = np.where(d > 1e-9, x / np.where(d > 1e-9, d, 1), np.inf)
+            out = int(ratio.argmin())
+            if not np.isfinite(ratio[out]):
+                continue
+            t = ratio[out]
+            x = np.maximum(x - t * d, 0)
+            x[out] = t
+            row = inverse[out] / d[out]
+            inverse -= np.outer(d, row)
+            inverse[out] = row
+            columns[out] = a
+            entered = True
+        totals.append(x.sum())
+        if not entered or len(totals) > patience and totals[-1] > totals[-1 - patience] * (1 - 5e-5):
             break
-        t = ratio[out]
-        x = np.maximum(x - t * d, 0)
-        x[out] = t
-        row = inverse[out] / d[out]
-        inverse -= np.outer(d, row)
-        inverse[out] = row
-        columns[out] = a
     left = demand.astype(np.int64).copy()
     plan = []
     for n, a in sorted(zip(x, columns), key=lambda p: -p[0]):
@@ -169,7 +181,7 @@ def pack(docs: DataFrame, vocab: str | None = None, kind: str = "byte", end_id:
     vocab = vocab or vocabulary("byte_bpe_50k.json")
     capacity = size // step
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = materialize(rows.mapInArrow(_cut(vocab, kind, end_id, size, step), _PIECES), "pieces")
+    pieces = materialize(rows.mapInArrow(tidy(_cut(vocab, kind, end_id, size, step)), _PIECES), "pieces")
     counts = materialize(pieces.groupBy("part", "cls").agg(F.count("*").alias("n")), "counts")
     histogram = {r["cls"]: r["n"] for r in counts.groupBy("cls").agg(F.sum("n").alias("n")).collect()}  # at most size/step rows
     plan = spark.sparkContext.broadcast(_slots(histogram, capacity))  # bounded by the square of size/step
