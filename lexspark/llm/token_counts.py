@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import encoder, vocabulary
-from lexspark.llm.common import scratch_path
+from lexspark.llm.common import materialize, scratch_path, tidy
 
 CACHE_SCHEMA = "version string, digest string, n_tokens long"
 
@@ -67,10 +67,11 @@ def token_counts(docs: DataFrame, cache_path: str, vocab: str | None = None, kin
     misses = (docs.select(digest.alias("digest"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
               .groupBy("digest").agg(F.first("text").alias("text"))
               .join(cached.select("digest"), "digest", "left_anti"))
-    fresh = misses.mapInArrow(_count_misses(vocab, kind), "digest string, n_tokens long")
+    fresh = misses.mapInArrow(tidy(_count_misses(vocab, kind)), "digest string, n_tokens long")
     fresh.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
     # two runs at once may append the same digest; either row has the same count
     counts = read_cache(spark, cache_path).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = materialize(counts, "counts")  # read afresh, both sides are shuffled for the join alone: Spark may split a digest of many copies
     rows = docs.select(F.col(id_col), *keep, digest.alias("__digest"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"))
     return rows.join(counts.withColumnRenamed("digest", "__digest"), "__digest").select(id_col, *keep, "n_bytes", "n_tokens")
 
