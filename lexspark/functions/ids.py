@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 from lexspark.functions.text import compact_name, strip, text_or_null
 
-# fixed values: the name space of URL-based UUIDs, and the prefix of objects' names
+# fixed value: the name space of URL-based UUIDs
 URL_SPACE = "6ba7b8119dad11d180b400c04fd430c8"
-OBJECT_PREFIX = "law-indexer:"
 SCHOOL_TARGETS = ("school", "pi", "public", "schlpub", "SchlPubRul")
 
 
@@ -25,8 +24,9 @@ def uuid5(name: Column, space: str = URL_SPACE) -> Column:
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
 
 
-def object_uuid(chunk_id: Column) -> Column:
-    return uuid5(F.concat(F.lit(OBJECT_PREFIX), chunk_id))
+def object_uuid(chunk_id: Column, prefix: str = "chunk:") -> Column:
+    """Id of a chunk's object. Give the prefix of an existing store to keep its ids."""
+    return uuid5(F.concat(F.lit(prefix), chunk_id))
 
 
 def json_chunk_id(version: Column, identity: Column, unit_type: Column, unit_no: Column, index: Column) -> Column:

@@ -98,7 +98,7 @@ def units(docs: DataFrame, source: str = "law") -> DataFrame:
     return reduce(lambda p, q: p.unionByName(q), [articles, addenda, appendices, amendments])
 
 
-def chunks(units_df: DataFrame) -> DataFrame:
+def chunks(units_df: DataFrame, uuid_prefix: str = "chunk:") -> DataFrame:
     """Units split into chunk rows with ids, search texts and hashes; references stay on a unit's first chunk."""
     content = text.collapse_padding(F.coalesce("content", F.lit("")))
     context = F.when(F.col("unit_type") == "ARTICLE", text.chapter_context(F.col("chapter_path"), F.col("chapter")))
@@ -108,7 +108,7 @@ def chunks(units_df: DataFrame) -> DataFrame:
     chunk_id = ids.json_chunk_id(F.col("version_uid"), F.coalesce("identity", "provision_id"), F.col("unit_type"), F.col("unit_no"), F.col("chunk_index"))
     rows = rows.withColumns({"chunk_id": chunk_id, "source_type": F.lit("JSON"), "search_text": text.search_text(F.col("prefix"), F.col("content")), "content_hash": F.sha2("content", 256),
                              "enforcement_date": text.iso_date(F.col("enforcement_date")), "reference_ids": F.when(F.col("chunk_index") == 0, F.col("reference_ids")).otherwise(F.array().cast("array<string>"))})
-    return rows.withColumn("uuid", ids.object_uuid(F.col("chunk_id"))).drop("identity", "chapter_path", "prefix")
+    return rows.withColumn("uuid", ids.object_uuid(F.col("chunk_id"), uuid_prefix)).drop("identity", "chapter_path", "prefix")
 
 
 def with_header(rows: DataFrame) -> DataFrame:

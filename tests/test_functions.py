@@ -23,7 +23,7 @@ def test_stable_id_strips_and_keeps_nulls(spark):
 
 
 def test_uuid5_equals_library(spark):
-    names = ["law-indexer:x", "", "가나다", "a" * 500]
+    names = ["chunk:x", "", "가나다", "a" * 500]
     assert each(spark, ids.uuid5, names) == [str(uuid.uuid5(uuid.NAMESPACE_URL, n)) for n in names]
 
 
