@@ -1,7 +1,8 @@
 """Operator 6, embedding near-dedup: a robust-pruned flat graph over overlapping cluster shards.
 
-Equal vectors meet in one representative. Cluster centres come from a bounded sample; every representative joins the
-shards of its `overlap` nearest centres and is a query of its home shard alone. Large shards are dealt into blocks, so
+Equal vectors meet in one representative. Cluster centres come from a bounded sample; of centres within the threshold's
+angle of each other one is kept, so a group of near copies has one shard however many centres fell into it. Every
+representative joins the shards of its `overlap` nearest centres and is a query of its home shard alone. Large shards are dealt into blocks, so
 no task holds more than about 2*BLOCK vectors. Each block builds a graph: near and random candidates, pruned so that no
 neighbour hides behind a closer one, with edges both ways. A vector's neighbour lists are united over all its shards.
 Queries walk greedily from the block's medoid (and from their own nodes), many at a time, and expand all that is in
@@ -9,7 +10,7 @@ range. Links are verified by cosine in double precision and counted; each block
 linked vectors, never its pairs.
 
 After that a bounded number of queries is compared with all vectors by brute force; if the share of links found is
-below `least_recall` the search is repeated with more overlap and a wider beam. The share is returned.
+below `least_recall` the search is repeated with more overlap, a wider beam and centres further apart. The share is returned.
 
 Vectors that are null, zero, empty or hold null or non-finite components link with nothing; vectors of different
 lengths don't link. Null vec_ids count as vectors; a component's id is the smallest id in it. Rows that repeat link
@@ -29,6 +30,7 @@ from lexspark.llm.common import connected_components, materialize, union_all
 SAMPLE, TARGET, MAX_CENTRES, BLOCK, OVERLAP = 20_000, 2_000, 1_024, 4_096, 3
 DEGREE, NEAR, FAR, ALPHA, BEAM, STEP = 16, 32, 8, 1.2, 24, 4
 _QUERIES = 512
+_PAIRS = 1 << 17
 AUDIT = 256
 
 
@@ -42,8 +44,27 @@ def _vectors(column) -> np.ndarray:
     return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
 
 
-def _centres(sample: pa.Table, total: dict[int, int]) -> dict[int, np.ndarray]:
-    """Spherical k-means of each vector length's sample."""
+def _dots(x: np.ndarray, i: np.ndarray, y: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """x[i] . y[j] for each pair of rows, some pairs at a time."""
+    out = np.empty(len(i), x.dtype)
+    for k in range(0, len(i), _PAIRS):
+        part = slice(k, k + _PAIRS)
+        out[part] = np.einsum("nd,nd->n", x[i[part]], y[j[part]])
+    return out
+
+
+def _apart(c: np.ndarray, size: np.ndarray, angle: float) -> np.ndarray:
+    """The centres, largest first, without those within the angle of one before."""
+    c = c[np.argsort(-size, kind="stable")]
+    near = c @ c.T >= np.cos(angle)
+    kept = np.zeros(len(c), bool)
+    for k in range(len(c)):
+        kept[k] = not (near[k] & kept).any()
+    return c[kept]
+
+
+def _centres(sample: pa.Table, total: dict[int, int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Spherical k-means of each vector length's sample: centres and their sizes in the sample."""
     out = {}
     for dim in pa.compute.unique(sample.column("dim")).to_pylist():
         x = _unit(_vectors(sample.filter(pa.compute.equal(sample.column("dim"), dim)).column("embedding")))
@@ -55,7 +76,7 @@ def _centres(sample: pa.Table, total: dict[int, int]) -> dict[int, np.ndarray]:
             np.add.at(sums, home, x)
             length = np.linalg.norm(sums, axis=1, keepdims=True)
             c = np.where(length > 1e-9, sums / np.maximum(length, 1e-9), c)
-        out[int(dim)] = c
+        out[int(dim)] = c, np.bincount((x @ c.T).argmax(1), minlength=k)
     return out
 
 
@@ -140,7 +161,7 @@ class _Block:
         seen.ravel()[key] = True
         hits = []
         while True:
-            s = np.einsum("nd,nd->n", self.x[nodes], q[rows])
+            s = _dots(self.x, nodes, q, rows)
             inside = s >= threshold
             hits.append((rows[inside], nodes[inside]))
             count = np.bincount(rows, minlength=m)
@@ -160,12 +181,16 @@ class _Block:
             np.put_along_axis(done, step, True, 1)
             rows, nodes = self._expand(np.repeat(every, STEP)[ok.ravel()], np.take_along_axis(ids, step, 1)[ok], seen)
         rows, nodes = (np.concatenate(p) for p in zip(*hits))
-        out = [(rows, nodes)]
-        while len(rows):  # every node in range is expanded
-            rows, nodes = self._expand(rows, nodes, seen)
-            inside = np.einsum("nd,nd->n", self.x[nodes], q[rows]) >= threshold
-            rows, nodes = rows[inside], nodes[inside]
-            out.append((rows, nodes))
+        out, open_ = [(rows, nodes)], [(rows, nodes)]
+        while open_:  # every node in range is expanded
+            rows, nodes = open_.pop()
+            if len(rows) > _PAIRS:
+                open_.append((rows[_PAIRS:], nodes[_PAIRS:]))
+            rows, nodes = self._expand(rows[:_PAIRS], nodes[:_PAIRS], seen)
+            inside = _dots(self.x, nodes, q, rows) >= threshold
+            if inside.any():
+                out.append((rows[inside], nodes[inside]))
+                open_.append(out[-1])
         rows, nodes = (np.concatenate(p) for p in zip(*out))
         return rows, nodes
 
@@ -201,7 +226,7 @@ def _search(threshold: float, beam: int):
             part = slice(i, i + _QUERIES)
             rows, nodes = block.search(qraw[part] / qnorm[part, None], own[part], threshold - 1e-4, beam)
             rows = rows + i
-            ok = (nodes != own[rows]) & (np.einsum("nd,nd->n", raw[nodes], qraw[rows]) / (norm[nodes] * qnorm[rows]) >= threshold)
+            ok = (nodes != own[rows]) & (_dots(raw, nodes, qraw, rows) / (norm[nodes] * qnorm[rows]) >= threshold)
             rows, nodes = rows[ok], nodes[ok]
             links += np.bincount(rows, weight[nodes], len(qids)).astype(np.int64)
             a, b = np.where(own[rows] >= 0, own[rows], n + rows), nodes
@@ -274,11 +299,13 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, overlap: int = OVE
     share = SAMPLE / max(1, sum(total.values()))
     drawn = F.pmod(F.xxhash64("id", F.lit("centres")), F.lit(1 << 30)) < F.lit(int(min(1, share) * (1 << 30)))
     # about SAMPLE vectors, whatever the table's size
-    centres = spark.sparkContext.broadcast(_centres(reps.where(drawn).select("dim", "embedding").limit(2 * SAMPLE).toArrow(), total))
+    means = _centres(reps.where(drawn).select("dim", "embedding").limit(2 * SAMPLE).toArrow(), total)
     audit = reps.orderBy(F.xxhash64("id", F.lit("audit"))).limit(AUDIT).select("id", "dim", "embedding").collect()
     held = spark.sparkContext.broadcast((np.array([r["id"] for r in audit], np.int64), np.array([r["dim"] for r in audit], np.int64), [np.array(r["embedding"], np.float64) for r in audit]))
     truth = {r["id"]: r["l"] for r in reps.mapInArrow(_true_links(held, threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("l")).collect()}
     for attempt in range(3):
+        angle = min(np.pi, np.arccos(np.clip(threshold, -1, 1)) * (1 + attempt))
+        centres = spark.sparkContext.broadcast({d: _apart(c, size, angle) for d, (c, size) in means.items()})
         found = _search_shards(reps, centres, threshold, overlap * 2**attempt, beam * 2**attempt)
         got = {r["id"]: r["l"] for r in found.where(F.col("id").isin(list(truth) or [-1])).groupBy("id").agg(F.sum("links").alias("l")).collect()}
         recall = sum(min(got.get(k, 0), n) for k, n in truth.items()) / max(1, sum(truth.values())) if sum(truth.values()) else 1.0

@@ -149,6 +149,23 @@ def test_large_shards_are_dealt_into_blocks(spark, monkeypatch):
     assert recall >= 0.97 and abs(sum(found.values()) - want.sum()) <= 0.02 * want.sum()
 
 
+def test_a_large_group_of_distinct_near_copies_keeps_its_links(spark, monkeypatch):
+    monkeypatch.setattr(eg, "TARGET", 15)  # 200 centres, about 67 of them in the group
+    monkeypatch.setattr(eg, "BLOCK", 400)
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(3000, 32))
+    x[::3] = x[0] / np.linalg.norm(x[0]) + rng.normal(scale=0.12 / 32**0.5, size=(1000, 32))
+    x = x.astype(np.float32)
+    v = x.astype(np.float64)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    want = ((v @ v.T) >= 0.95).sum(1) - 1
+    assert (want[::3] >= 998).all()
+    got, recall = eg.near_duplicates(spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>"))
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got.collect()}
+    assert recall >= 0.97 and sum(n for n, _ in got.values()) >= 0.97 * want.sum()
+    assert all(got[k][0] <= n for k, n in enumerate(want)) and all(got[k][1] == 0 for k in range(0, 3000, 3))
+
+
 # ---- 7
 
 
