@@ -93,6 +93,24 @@ def q05_padding_collapse_filler(spark, sf_dir):
     return docs.select("doc_id", text.collapse_padding(padded).alias("collapsed"), text.is_filler(bars).alias("filler"))
 
 
+@query("""SELECT doc_id, sha256(concat_ws(chr(10), nullif(trim(source), ''), nullif(trim(lang), ''), CASE WHEN quality = 1 THEN 'good' END, nullif(trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), ''))) AS search_hash
+FROM documents LEFT JOIN labels USING (doc_id)""")
+def q04_search_text_whole(spark, sf_dir):
+    """The search text over whole document texts, as a hash."""
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    return docs.select("doc_id", F.sha2(text.search_text(F.col("source"), F.col("lang"), F.when(F.col("quality") == 1, "good"), F.col("text")), 256).alias("search_hash"))
+
+
+@query(r"""SELECT doc_id, sha256(regexp_replace(replace(text, '. ', '.     '), '[ \t' || chr(160) || ']{3,}', ' ', 'g')) AS collapsed_hash, regexp_replace(bars, '[\s|+_=~·.※□■◦○●\x{a0}-]', '', 'g') = '' AS filler
+FROM (SELECT doc_id, text, CASE WHEN doc_id % 7 = 0 THEN '| --- |  +==+' || repeat(' | ---', 20) || CASE WHEN doc_id % 2 = 0 THEN right(text, 1) ELSE '' END ELSE '| ' || text END AS bars FROM documents)""")
+def q05_padding_collapse_filler_whole(spark, sf_dir):
+    """Padding and filler over whole document texts; every fourteenth has its only real character, if any, at the end."""
+    docs = table(spark, sf_dir, "documents")
+    end = F.when(F.col("doc_id") % 2 == 0, F.substring("text", -1, 1)).otherwise("")
+    bars = F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit("| --- |  +==+" + " | ---" * 20), end)).otherwise(F.concat(F.lit("| "), F.col("text")))
+    return docs.select("doc_id", F.sha2(text.collapse_padding(F.replace("text", F.lit(". "), F.lit(".     "))), 256).alias("collapsed_hash"), text.is_filler(bars).alias("filler"))
+
+
 @query("""WITH u AS (SELECT d.lang, CASE WHEN l.quality = 0 AND d.doc_id % 3 = 0 THEN '| --- |' ELSE d.text END AS content FROM documents d LEFT JOIN labels l USING (doc_id)),
 q AS (SELECT lang, count(*) AS seen, count(*) FILTER (content = '| --- |') AS dropped FROM u GROUP BY lang)
 SELECT lang, seen, dropped, CASE WHEN dropped > 0.05 * seen THEN 'fail: too much dropped' ELSE 'pass' END AS verdict FROM q""")

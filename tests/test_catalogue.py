@@ -1,6 +1,7 @@
 """Every query of the catalogue against its SQL in DuckDB, over the smallest tables."""
 
 import glob
+import hashlib
 import math
 import os
 
@@ -47,6 +48,17 @@ def test_rows_only_queries(spark):
     assert catalogue.QUERIES["q70_stream_replay_equals_batch"](spark, SF).where("not same").count() == 0
 
 
+def test_whole_texts_are_composed_and_collapsed(spark, tmp_path):
+    texts = {1: "a" * 400 + "   b" + "c" * 9000, 2: "|" * 30 + "x", 3: "|" * 400, 7: "x", 14: "x"}
+    spark.createDataFrame([(k, t, "de", "s") for k, t in texts.items()], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    got = {r["doc_id"]: r["search_hash"] for r in catalogue.QUERIES["q04_search_text_whole"](spark, str(tmp_path)).collect()}
+    assert got == {k: sha("s\nde\n" + ("good\n" if k == 1 else "") + t) for k, t in texts.items()}
+    got = {r["doc_id"]: (r["collapsed_hash"], r["filler"]) for r in catalogue.QUERIES["q05_padding_collapse_filler_whole"](spark, str(tmp_path)).collect()}
+    assert got == {k: (sha(t.replace("   ", " ")), k in (3, 7)) for k, t in texts.items()}
+
+
 def test_entry_contract(spark):
     import __spark_entry__ as e
 
