@@ -9,8 +9,9 @@ Queries walk greedily from the block's medoid (and from their own nodes), many a
 range. Links are verified by cosine in double precision and counted; each block passes on a star for each group of
 linked vectors, never its pairs.
 
-After that a bounded number of queries is compared with all vectors by brute force; if the share of links found is
-below `least_recall` the search is repeated with more overlap, a wider beam and centres further apart. The share is returned.
+Rounds of AUDIT queries are compared with all vectors by brute force until LINKED of them have links (AUDIT_ROUNDS at
+most). Recall is the lesser of the share of their links found and the mean of each query's share; if it is below `least_recall` the search is repeated with more overlap, a wider beam and centres further apart. Recall
+is returned. A link whose vectors have different homes, and which only one of the two can find, counts for both.
 
 Vectors that are null, zero, empty or hold null or non-finite components link with nothing; vectors of different
 lengths don't link. Null vec_ids count as vectors; a component's id is the smallest id in it. Rows that repeat link
@@ -31,7 +32,7 @@ SAMPLE, TARGET, MAX_CENTRES, BLOCK, OVERLAP = 20_000, 2_000, 1_024, 4_096, 3
 DEGREE, NEAR, FAR, ALPHA, BEAM, STEP = 16, 32, 8, 1.2, 24, 4
 _QUERIES = 512
 _PAIRS = 1 << 17
-AUDIT = 256
+AUDIT, AUDIT_ROUNDS, LINKED = 256, 8, 64
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -90,15 +91,18 @@ def _shards(centres, overlap: int):
                 c = centres.value.get(dim)
                 if c is None:  # a length that the sample missed: one shard, dealt into blocks like any other
                     who, which, home = np.arange(len(at)), np.zeros(len(at), np.int64), np.ones(len(at), bool)
+                    n, own, every = 1, which, which
                 else:
                     s = _unit(_vectors(part.column("embedding"))) @ c.T
                     n = min(overlap, s.shape[1])
                     near = np.argpartition(-s, n - 1, axis=1)[:, :n]
                     who, which = np.repeat(np.arange(len(s)), n), near.ravel()
-                    home = which == s.argmax(1)[who]
+                    best = s.argmax(1)
+                    home = which == best[who]
+                    own, every = best[who], near[who].ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(who), dim), pa.int32()), pa.array(which, pa.int32()), pa.array(home), pa.array(ids[at][who], pa.int64()), part.column("n").take(pa.array(who)), part.column("embedding").take(pa.array(who))],
-                    ["dim", "shard", "home", "id", "n", "embedding"])
+                    [pa.array(np.full(len(who), dim), pa.int32()), pa.array(which, pa.int32()), pa.array(home), pa.array(own, pa.int32()), pa.ListArray.from_arrays(pa.array(np.arange(len(who) + 1) * n, pa.int32()), pa.array(every, pa.int32())), pa.array(ids[at][who], pa.int64()), part.column("n").take(pa.array(who)), part.column("embedding").take(pa.array(who))],
+                    ["dim", "shard", "home", "own", "every", "id", "n", "embedding"])
 
     return run
 
@@ -219,6 +223,8 @@ def _search(threshold: float, beam: int):
         block = _Block(raw / norm[:, None], a[here], b[here])
         qids, qraw = query.column("id").to_numpy(), _vectors(query.column("embedding"))
         qnorm = np.sqrt((qraw * qraw).sum(1))
+        lone, every = member.column("own").to_numpy(), query.column("every").combine_chunks().flatten().to_numpy().reshape(len(qids), -1)
+        qn, back = query.column("n").to_numpy(), np.zeros(n, np.int64)
         own = np.minimum(np.searchsorted(ids, qids), n - 1)
         own = np.where(ids[own] == qids, own, -1)
         links, label = np.zeros(len(qids), np.int64), np.arange(n + len(qids))
@@ -229,6 +235,8 @@ def _search(threshold: float, beam: int):
             ok = (nodes != own[rows]) & (_dots(raw, nodes, qraw, rows) / (norm[nodes] * qnorm[rows]) >= threshold)
             rows, nodes = rows[ok], nodes[ok]
             links += np.bincount(rows, weight[nodes], len(qids)).astype(np.int64)
+            one = (every[rows] != lone[nodes][:, None]).all(1)  # the query isn't in the other's home: it can't be found from there
+            back += np.bincount(nodes[one], qn[rows[one]], n).astype(np.int64)
             a, b = np.where(own[rows] >= 0, own[rows], n + rows), nodes
             while len(a):  # smallest label of each group
                 low = np.minimum(label[a], label[b])
@@ -242,10 +250,10 @@ def _search(threshold: float, beam: int):
                     break
         names = np.concatenate([ids, qids])
         moved = np.flatnonzero(label != np.arange(len(label)))
-        some = np.flatnonzero(links)
-        who = np.concatenate([qids[some], names[moved]]).astype(np.int64)
-        to = np.concatenate([qids[some], names[label[moved]]]).astype(np.int64)
-        return pa.table({"id": pa.array(who), "links": pa.array(np.concatenate([links[some], np.zeros(len(moved), np.int64)])), "root": pa.array(to)})
+        some, other = np.flatnonzero(links), np.flatnonzero(back)
+        who = np.concatenate([qids[some], ids[other], names[moved]]).astype(np.int64)
+        to = np.concatenate([qids[some], ids[other], names[label[moved]]]).astype(np.int64)
+        return pa.table({"id": pa.array(who), "links": pa.array(np.concatenate([links[some], back[other], np.zeros(len(moved), np.int64)])), "root": pa.array(to)})
 
     return run
 
@@ -271,8 +279,8 @@ def _true_links(held, threshold: float):
 
 
 def _search_shards(reps: DataFrame, centres, threshold: float, overlap: int, beam: int) -> DataFrame:
-    """id, links and root rows: a query's links in one block (root is itself), or a tie of a vector to its group's root."""
-    members = materialize(reps.mapInArrow(_shards(centres, overlap), "dim int, shard int, home boolean, id long, n long, embedding array<float>"), "members")
+    """id, links and root rows: a vector's links in one block (root is itself), or a tie of a vector to its group's root."""
+    members = materialize(reps.mapInArrow(_shards(centres, overlap), "dim int, shard int, home boolean, own int, every array<int>, id long, n long, embedding array<float>"), "members")
     sizes = members.groupBy("dim", "shard").agg(F.count("*").alias("m"), F.count_if("home").alias("q"))
     blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     sizes = sizes.select("dim", "shard", blocks("m").alias("mb"), F.greatest(blocks("q"), F.lit(1)).alias("qb"))
@@ -281,11 +289,38 @@ def _search_shards(reps: DataFrame, centres, threshold: float, overlap: int, bea
     # a list for each shard that the vector is in
     lists = materialize(lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "graph")
     many = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    a = dealt.join(lists, "id").select("dim", "shard", "block", many("qb").alias("turn"), F.lit(True).alias("member"), "id", "n", "embedding", "near")
-    b = dealt.where("home").select("dim", "shard", many("mb").alias("block"), "turn", F.lit(False).alias("member"), "id", "n", "embedding", F.array().cast("array<long>").alias("near"))
+    a = dealt.join(lists, "id").select("dim", "shard", "block", many("qb").alias("turn"), F.lit(True).alias("member"), "own", F.array().cast("array<int>").alias("every"), "id", "n", "embedding", "near")
+    b = dealt.where("home").select("dim", "shard", many("mb").alias("block"), "turn", F.lit(False).alias("member"), "own", "every", "id", "n", "embedding", F.array().cast("array<long>").alias("near"))
     return materialize(union_all([a, b]).groupBy("dim", "shard", "block", "turn").applyInArrow(_search(threshold, beam), "id long, links long, root long"), "found")
 
 
+def _audit(reps: DataFrame, threshold: float) -> dict[int, int]:
+    """True links of queries drawn in rounds, until LINKED of them have any."""
+    truth: dict[int, int] = {}
+    order = F.xxhash64("id", F.lit("audit"))
+    last = None
+    for _ in range(AUDIT_ROUNDS):
+        left = reps if last is None else reps.where(order > last)
+        drawn = left.orderBy(order).limit(AUDIT).select("id", "dim", "embedding", order.alias("o")).collect()
+        if not drawn:
+            break
+        last = drawn[-1]["o"]
+        held = reps.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in drawn], np.int64), np.array([r["dim"] for r in drawn], np.int64), [np.array(r["embedding"], np.float64) for r in drawn]))
+        truth |= {r["id"]: r["l"] for r in reps.mapInArrow(_true_links(held, threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("l")).collect()}
+        if sum(n > 0 for n in truth.values()) >= LINKED:
+            break
+    return truth
+
+
+def _recall(truth: dict[int, int], got: dict[int, int]) -> float:
+    """The lesser of the share of all links found and the mean of each query's share; 1 without links."""
+    linked = {k: n for k, n in truth.items() if n}
+    if not linked:
+        return 1.0
+    found = {k: min(got.get(k, 0), n) for k, n in linked.items()}
+    return min(sum(found.values()) / sum(linked.values()), sum(found[k] / n for k, n in linked.items()) / len(linked))
+
+
 def near_duplicates(rows: DataFrame, threshold: float = 0.95, overlap: int = OVERLAP, beam: int = BEAM, least_recall: float = 0.97, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[DataFrame, float]:
     """vec_id, n_links, component_id of every row; and the audited share of links found."""
     spark = rows.sparkSession
@@ -300,15 +335,13 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.95, overlap: int = OVE
     drawn = F.pmod(F.xxhash64("id", F.lit("centres")), F.lit(1 << 30)) < F.lit(int(min(1, share) * (1 << 30)))
     # about SAMPLE vectors, whatever the table's size
     means = _centres(reps.where(drawn).select("dim", "embedding").limit(2 * SAMPLE).toArrow(), total)
-    audit = reps.orderBy(F.xxhash64("id", F.lit("audit"))).limit(AUDIT).select("id", "dim", "embedding").collect()
-    held = spark.sparkContext.broadcast((np.array([r["id"] for r in audit], np.int64), np.array([r["dim"] for r in audit], np.int64), [np.array(r["embedding"], np.float64) for r in audit]))
-    truth = {r["id"]: r["l"] for r in reps.mapInArrow(_true_links(held, threshold), "id long, links long").groupBy("id").agg(F.sum("links").alias("l")).collect()}
+    truth = _audit(reps, threshold)
     for attempt in range(3):
         angle = min(np.pi, np.arccos(np.clip(threshold, -1, 1)) * (1 + attempt))
         centres = spark.sparkContext.broadcast({d: _apart(c, size, angle) for d, (c, size) in means.items()})
         found = _search_shards(reps, centres, threshold, overlap * 2**attempt, beam * 2**attempt)
         got = {r["id"]: r["l"] for r in found.where(F.col("id").isin(list(truth) or [-1])).groupBy("id").agg(F.sum("links").alias("l")).collect()}
-        recall = sum(min(got.get(k, 0), n) for k, n in truth.items()) / max(1, sum(truth.values())) if sum(truth.values()) else 1.0
+        recall = _recall(truth, got)
         if recall >= least_recall:
             break
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

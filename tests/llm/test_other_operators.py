@@ -166,6 +166,39 @@ def test_a_large_group_of_distinct_near_copies_keeps_its_links(spark, monkeypatc
     assert all(got[k][0] <= n for k, n in enumerate(want)) and all(got[k][1] == 0 for k in range(0, 3000, 3))
 
 
+def test_the_audit_goes_on_until_queries_have_links_and_weighs_them_alike(spark, monkeypatch):
+    monkeypatch.setattr(eg, "AUDIT", 20)
+    monkeypatch.setattr(eg, "AUDIT_ROUNDS", 30)
+    monkeypatch.setattr(eg, "LINKED", 2)
+    x = np.random.default_rng(3).normal(size=(400, 16))
+    x[200:204] = x[0] + 0.001
+    df = spark.createDataFrame([(k, 1, 16, v.tolist()) for k, v in enumerate(x)], "id long, n long, dim int, embedding array<float>")
+    truth = eg._audit(df, 0.95)
+    assert sum(n > 0 for n in truth.values()) >= 2 and len(truth) % 20 == 0
+    assert eg._recall({1: 1000, 2: 1, 3: 0}, {1: 1000}) == 0.5 and eg._recall({1: 10, 2: 10}, {1: 10, 2: 5}) == 0.75 and eg._recall({1: 0}, {}) == 1
+
+
+def test_a_link_that_one_end_alone_can_find_counts_for_both(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 16))
+    c = eg._unit(rng.normal(size=(6, 16)))
+    x[0] = c[0] + 0.95 * c[1] + 0.9 * c[2]
+    x[1] = x[0] + 0.06 * (c[3] - c[0])
+    x[150:] = x[:150] + rng.normal(scale=0.2, size=(150, 16))
+    df = spark.createDataFrame([(k, 1, 16, v.tolist()) for k, v in enumerate(x)], "id long, n long, dim int, embedding array<float>")
+    held = spark.sparkContext.broadcast({16: c})
+    v = eg._unit(np.array(x, np.float32).astype(np.float64))
+    near, best = np.argsort(-(v @ c.T), axis=1)[:, :2], (v @ c.T).argmax(1)
+    pairs = [(a, b) for a in range(300) for b in range(300) if a != b and v[a] @ v[b] >= 0.95]
+    seen = {(a, b) for a, b in pairs if best[a] in near[b]}
+    assert any((b, a) not in seen for a, b in seen)
+    want = collections.Counter(a for a, b in pairs if (a, b) in seen or (b, a) in seen)
+    found = collections.Counter()
+    for r in eg._search_shards(df, held, 0.95, 2, 64).collect():
+        found[r["id"]] += r["links"]
+    assert {k: n for k, n in found.items() if n} == dict(want)
+
+
 # ---- 7
 
 
