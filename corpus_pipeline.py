@@ -18,6 +18,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language (null, or without a letter). `lang` stays as it came."""
     lexspark.ship(spark)
     model = langid.learn(docs, langid.fold() != 1)
+    if not model.langs:  # nothing was learned: every text would be und
+        return langid.lettered(docs)
     return langid.identify(docs, model, docs.columns).where("lang_pred <> 'und'").select(*docs.columns)
 
 

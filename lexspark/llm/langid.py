@@ -7,7 +7,7 @@ The statistics are frozen once learned, so a text's code length is an exact sum
 languages at once: the costs of every gram that some language saw, and of every context's escape, are tabled.
 
 The trees are learned from a sample of labelled rows: whole texts chosen by a hash of the id, about `sample_bytes`
-for each language (a documented bound; 2 MB by default). Every byte of every text is scored.
+for each language (a documented bound, held on average; 2 MB by default), the first in hash order always. Every byte of every text is scored.
 
 Null text or a text without letters: `und`, score 0. Null ids are predicted, never learned from. Ties: the first
 language in order. Without labelled rows all texts are `und`. Repeated rows each get a row; extra columns are ignored
@@ -162,17 +162,18 @@ class Model:
 
 def learn(docs: DataFrame, where: Column, sample_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from the labelled rows that `where` admits."""
-    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), where.alias("w")).where("w and lang is not null and text is not null and i is not null")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).limit(MAX_LANGUAGES + 1).collect()
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), where.alias("w")).where("w and lang is not null and text <> '' and i is not null")
+    draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1_000_000)) / 1e6
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(draw).alias("first")).limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     share = {r["lang"]: min(1.0, sample_bytes / max(1, r["bytes"])) for r in sizes}
     if not share:
         return Model([], np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0))
+    first = {r["lang"]: r["first"] for r in sizes}  # a language of few long texts has it, if nothing else
     spark, langs = docs.sparkSession, sorted(share)
-    shares = F.broadcast(spark.createDataFrame([(x, k, share[x]) for k, x in enumerate(langs)], "lang string, code int, share double"))  # at most MAX_LANGUAGES rows
-    draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1_000_000)) / 1e6
-    sample = rows.join(shares, "lang").where(draw < F.col("share")).select("code", "text")
+    shares = F.broadcast(spark.createDataFrame([(x, k, share[x], first[x]) for k, x in enumerate(langs)], "lang string, code int, share double, first double"))  # at most MAX_LANGUAGES rows
+    sample = rows.join(shares, "lang").where((draw < F.col("share")) | (draw == F.col("first"))).select("code", "text")
     # grams of a sample of bounded bytes: bounded as well
     counts = sample.mapInArrow(tidy(_count_grams), "code int, g long, n long").groupBy("code", "g").agg(F.sum("n").alias("n")).toArrow()
     return Model(langs, counts.column("code").to_numpy().astype(np.int64), counts.column("g").to_numpy().astype(np.uint64), counts.column("n").to_numpy().astype(np.float64))
@@ -198,6 +199,16 @@ def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "te
     return rows.mapInArrow(tidy(_predict(held)), schema)
 
 
+def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter; needs no model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([any(map(str.isalpha, t or "")) for t in b.column(text_col).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(tidy(run), docs.schema)
+
+
 def fold(id_col: str = "doc_id") -> Column:
     """crc32 of the id as text, mod 3; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3

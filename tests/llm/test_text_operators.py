@@ -229,6 +229,21 @@ def test_language_id(spark, docs, empty, texts):
     assert {r["lang_pred"] for r in langid.identify(docs, none, ["doc_id"]).collect()} == {"und"}
 
 
+def test_every_language_has_a_text_in_the_sample(spark):
+    data = [(k, f"{w} " * 2000, lang) for lang, w, at in (("a", "alpha", 0), ("b", "beta", 10)) for k in range(at, at + 5)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = langid.learn(df, F.lit(True), sample_bytes=1)
+    assert model.predict(["alpha alpha", "beta beta"])[0] == ["a", "b"]
+
+
+def test_without_labels_the_stage_keeps_texts_with_letters(spark):
+    import corpus_pipeline
+
+    given = [(1, "a text", None), (2, None, None), (3, "123 !", None), (4, "", None), (5, "é", None)]
+    df = spark.createDataFrame(given, "doc_id long, text string, lang string")
+    assert rows(corpus_pipeline.language_id(spark, df, ""), "doc_id", "text", "lang") == [given[0], given[4]]
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
