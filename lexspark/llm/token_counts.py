@@ -2,7 +2,8 @@
 
 A text's digest covers its normalised content (ASCII letters lower-cased, runs of ASCII white space made one space:
 the vocabulary's own normaliser does the same, so the count stays) together with the tokenizer version. Texts that
-hold an added token's string in any case are digested as they are. Counts that the cache holds are joined by digest;
+hold an added token's string in any case, and all texts of a vocabulary of another kind than 'word', are digested as
+they are. Counts that the cache holds are joined by digest;
 only distinct misses are encoded, and appended to the cache.
 
 Null text: empty, 0 tokens. Repeated rows each get a row. Null ids stay null. Extra columns stay out of the result
@@ -29,8 +30,10 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
-def content_digest(text: Column, special: list[str]) -> Column:
+def content_digest(text: Column, special: list[str], kind: str = "word") -> Column:
     text = F.coalesce(text, F.lit(""))
+    if kind != "word":  # no normaliser
+        return F.sha2(F.concat(F.lit(f"{kind}:"), text), 256)
     odd = F.lit(False)
     for s in special:
         odd = odd | F.contains(F.lower(text), F.lit(s.lower()))
@@ -61,7 +64,7 @@ def token_counts(docs: DataFrame, cache_path: str, vocab: str | None = None, kin
     spark = docs.sparkSession
     vocab = vocab or vocabulary("word_bpe_49k.json")
     version = tokenizer_version(vocab)
-    digest = content_digest(F.col(text_col), encoder(vocab, kind).special)
+    digest = content_digest(F.col(text_col), encoder(vocab, kind).special, kind)
     cached = read_cache(spark, cache_path).where(F.col("version") == version)
     # the first text of each digest is taken before the shuffle, so copies are not moved
     misses = (docs.select(digest.alias("digest"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

@@ -83,6 +83,15 @@ def test_special_strings_are_not_normalised(spark):
     assert rows(token_counts.token_counts(df, scratch_path(spark, "cache")), "doc_id", "n_tokens") == want
 
 
+def test_byte_vocabulary_counts_raw_texts(spark):
+    texts = ["the   Quick\n\nBROWN Fox", "the quick brown fox"]
+    vocab = bpe.vocabulary("byte_bpe_50k.json")
+    want = [(k, len(bpe.encoder(vocab, "byte").tokenizer.encode(t, add_special_tokens=False).ids)) for k, t in enumerate(texts)]
+    assert want[0][1] != want[1][1]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rows(token_counts.token_counts(df, scratch_path(spark, "cache"), vocab, "byte"), "doc_id", "n_tokens") == want
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 511, 512, 513, 3000])
 def test_wavelet_matrix(n):
     rng = np.random.default_rng(n)
