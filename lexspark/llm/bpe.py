@@ -2,8 +2,9 @@
 
 Both vocabularies merge inside pre-tokens only, so a text's ids are those of its pre-tokens in a row. Texts within
 U+0000..U+024F, whose letters, digits and spaces no Unicode version moves, are split here by array operations and
-looked up by a 64-bit hash; any other text, and any that holds an added token's string, goes to the library whole.
-The library encodes every pre-token that the table lacks. A full table is emptied: that costs time, no result.
+looked up by a 64-bit hash, whose hits are compared with the entry's characters; any other text, and any that holds an
+added token's string, goes to the library whole. The library encodes every pre-token that the table lacks, that is
+longer than LONGEST characters, or whose hash another one holds. A full table is emptied: that costs time, no result.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ _LOWER = np.arange(_EDGE + 1, dtype=np.uint16)
 _LOWER[:_TOP] = [ord(x) if len(x := chr(c).lower()) == 1 and ord(x) < _TOP else _EDGE for c in range(_TOP)]
 _ODD = {chr(c) for c in range(_TOP) if _LOWER[c] == _EDGE}  # lower case leaves the range
 _CHARS = 1 << 19
+LONGEST = 64  # characters of a pre-token that the table takes
+_HELD_CHARS = 1 << 24  # characters of all entries
 _R = 0x9E3779B97F4A7C15
 _POWERS = np.ones(0, np.uint64)
 _BACK = np.ones(0, np.uint64)
@@ -50,6 +53,12 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
         return h ^ (h >> np.uint64(29))
 
 
+def _spread(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each span, n of them, one span after the other."""
+    ends = np.cumsum(n, dtype=np.int64)
+    return np.repeat(starts - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class _Table:
     """Open addressing over 64-bit hashes; each entry has a row number. 0 marks an empty place."""
 
@@ -107,6 +116,8 @@ class PretokenEncoder:
         self.table = _Table(self.table_bits)
         self.flat, self.used = np.empty(1 << 16, self.dtype), 0
         self.start, self.length = np.empty(1 << 14, np.int32), np.empty(1 << 14, np.int32)
+        self.chars, self.held = np.empty(1 << 16, np.uint16), 0  # the entries' characters
+        self.first, self.size = np.empty(1 << 14, np.int32), np.empty(1 << 14, np.int32)
 
     def _own(self, text: str) -> bool:
         """True where the array path splits this text as the library does."""
@@ -147,47 +158,85 @@ class PretokenEncoder:
             drop |= space[starts]
         return starts[~drop], ends[~drop]
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens in a row, and how many each has."""
         ids = [e.ids for k in range(0, len(words), 4096) for e in self.tokenizer.encode_batch_fast(words[k : k + 4096], add_special_tokens=False)]
         n = np.fromiter(map(len, ids), np.int64, len(ids))
-        new = np.fromiter((x for y in ids for x in y), self.dtype, int(n.sum()))
-        rows, used = self.table.rows, self.used
-        while len(self.flat) < used + len(new):
+        return np.fromiter((x for y in ids for x in y), self.dtype, int(n.sum())), n
+
+    def _put(self, new: np.ndarray) -> None:
+        """Ids behind those in use; they last until the table takes further entries."""
+        while len(self.flat) < self.used + len(new):
             self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[self.used : self.used + len(new)] = new
+
+    def _learn(self, hashes: np.ndarray, words: list[str], code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        new, n = self._encode(words)
+        rows, size = self.table.rows, ends - starts
+        self._put(new)
         while len(self.start) < rows + len(n):
-            self.start, self.length = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.length))
-        self.flat[used : used + len(new)] = new
-        self.start[rows : rows + len(n)] = used + np.cumsum(n) - n
-        self.length[rows : rows + len(n)] = n
+            self.start, self.length, self.first, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.length, self.first, self.size))
+        while len(self.chars) < self.held + int(size.sum()):
+            self.chars = np.concatenate([self.chars, np.empty_like(self.chars)])
+        part = slice(rows, rows + len(n))
+        self.start[part], self.length[part] = self.used + np.cumsum(n) - n, n
+        self.first[part], self.size[part] = self.held + np.cumsum(size) - size, size
+        self.chars[self.held : self.held + int(size.sum())] = code[_spread(starts, size)]
         self.table.add(hashes)
         self.used += len(new)
-
-    def _rows(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Table rows of all pre-tokens, and of which text each is."""
+        self.held += int(size.sum())
+
+    def _same(self, row: np.ndarray, code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether each span's characters are those of its entry."""
+        size = ends - starts
+        same = self.size[row] == size
+        k = np.flatnonzero(same)
+        equal = self.chars[_spread(self.first[row[k]], size[k])] == code[_spread(starts[k], size[k])]
+        if not equal.all():
+            same[np.repeat(k, size[k])[~equal]] = False
+        return same
+
+    def _spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all pre-tokens: where their ids begin in flat, how many they are, and of which text each is."""
         joined = chr(_EDGE).join(texts)
         code = np.frombuffer(joined.encode("utf-16-le"), np.uint16)
         if self.kind == "word":
             code = _LOWER[code]
         starts, ends = self._cut(code)
-        h = span_hashes(code, starts, ends)
+        at, n = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        own = ends - starts <= LONGEST
+        mine = np.flatnonzero(own)
+        s, e = starts[mine], ends[mine]
+        h = span_hashes(code, s, e)
         h[h == 0] = 1
         row = self.table.find(h)
         lack = np.flatnonzero(row < 0)
         if len(lack):
-            new, at = np.unique(h[lack], return_index=True)
-            at = lack[at]
-            if self.table.rows + len(new) > (1 << self.table_bits) // 2:
+            new, which = np.unique(h[lack], return_index=True)
+            which = lack[which]
+            if self.table.rows + len(new) > (1 << self.table_bits) // 2 or self.held + int((e - s)[which].sum()) > _HELD_CHARS:
                 self._empty()
-                new, at = np.unique(h, return_index=True)
+                new, which = np.unique(h, return_index=True)
                 lack = np.arange(len(h))
                 while len(new) > (1 << self.table_bits) // 2:  # one batch fills the table: a larger one from here on
                     self.table_bits += 1
                     self._empty()
-            words = [joined[i:j] for i, j in zip(starts[at].tolist(), ends[at].tolist())]
-            self._learn(new, words)
+            words = [joined[i:j] for i, j in zip(s[which].tolist(), e[which].tolist())]
+            self._learn(new, words, code, s[which], e[which])
             row[lack] = self.table.find(h[lack])
+        same = self._same(row, code, s, e)
+        at[mine], n[mine] = self.start[row], self.length[row]
+        own[mine[~same]] = False
+        rest = np.flatnonzero(~own)
+        if len(rest):
+            words = [joined[i:j] for i, j in zip(starts[rest].tolist(), ends[rest].tolist())]
+            kinds = {w: k for k, w in enumerate(dict.fromkeys(words))}
+            ids, many = self._encode(list(kinds))
+            self._put(ids)
+            which = np.fromiter((kinds[w] for w in words), np.int64, len(words))
+            at[rest], n[rest] = (self.used + np.cumsum(many) - many)[which], many[which]
         bounds = np.cumsum([len(t) + 1 for t in texts])
-        return row, np.searchsorted(bounds, starts, "right")
+        return at, n, np.searchsorted(bounds, starts, "right")
 
     def _groups(self, texts: list[str | None]) -> Iterator[list[str]]:
         part, held = [], 0
@@ -205,8 +254,8 @@ class PretokenEncoder:
         out = []
         for part in self._groups(texts):
             own = [self._own(t) if t else False for t in part]
-            row, of = self._rows([t if o else "" for t, o in zip(part, own)])
-            n = np.bincount(of, self.length[row], len(part)).astype(np.int64)
+            _, many, of = self._spans([t if o else "" for t, o in zip(part, own)])
+            n = np.bincount(of, many, len(part)).astype(np.int64)
             for k, (t, o) in enumerate(zip(part, own)):
                 if t and not o:
                     n[k] = len(self.tokenizer.encode(t, add_special_tokens=False).ids)
@@ -217,10 +266,9 @@ class PretokenEncoder:
         """Ids of each whole text, in order; null counts as empty."""
         for part in self._groups(texts):
             own = [self._own(t) if t else False for t in part]
-            row, of = self._rows([t if o else "" for t, o in zip(part, own)])
-            n = self.length[row]
+            at, n, of = self._spans([t if o else "" for t, o in zip(part, own)])
             total = np.cumsum(n)
-            ids = self.flat[np.repeat(self.start[row] - total + n, n) + np.arange(total[-1] if len(total) else 0)]
+            ids = self.flat[_spread(at, n)]
             cut = np.concatenate([[0], total])[np.searchsorted(of, np.arange(len(part) + 1))]
             for k, (t, o) in enumerate(zip(part, own)):
                 yield ids[cut[k] : cut[k + 1]] if o or not t else np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.dtype)

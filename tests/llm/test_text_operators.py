@@ -59,8 +59,28 @@ def test_encoder_equals_library(name, kind, texts):
     odd = ["".join(chr(rng.choice([rng.randrange(0x250), rng.randrange(128), 32, 39, 10, 115, 108, 114, 101])) for _ in range(50)) for _ in range(800)]
     given = [t for _, t, _ in texts] + odd + ["\n\n x", "a\r\n\tb  c", "'ll've's", "!'s '", "x<|startoftext|>y"]
     want = [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in given]
+    a = "a"
+    while len(a) < 4096:  # such runs and their complements share any polynomial hash modulo 2**64
+        a += a.translate(str.maketrans("ab", "ba"))
+    for n in (16, 32, 64, 1024, 2048, 4096):
+        given += [a[:n], a[:n].translate(str.maketrans("ab", "ba"))]
+    given += ["x" * 10_000, " ".join([a[:64], a[:64], "q" * 65, "q" * 65]), "=" * 300 + "7" * 300]
+    want = [e.tokenizer.encode(t or "", add_special_tokens=False).ids for t in given]
     assert [x.tolist() for x in e.batch(given)] == want
     assert e.counts(given).tolist() == [len(w) for w in want]
+
+
+def test_equal_hashes_of_different_pretokens(monkeypatch):
+    """Every pre-token of one length has one hash: the table's hits are compared."""
+    import numpy as np
+
+    monkeypatch.setattr(bpe, "span_hashes", lambda code, s, e: (e - s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    e = bpe.PretokenEncoder(bpe.vocabulary("byte_bpe_50k.json"), "byte", table_bits=7)
+    given = ["the cat and the dog", "cat dog fox the", "bird 123 456 !! ??", ""]
+    want = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in given]
+    for _ in range(2):
+        assert [x.tolist() for x in e.batch(given)] == want
+        assert e.counts(given).tolist() == [len(w) for w in want]
     assert e.counts([]).tolist() == [] and list(e.batch([])) == []
 
 
