@@ -1,7 +1,7 @@
 """Operator 1, token counts: a digest cache.
 
-A text's digest covers its normalised content (ASCII letters lower-cased, runs of ASCII white space made one space:
-the vocabulary's own normaliser does the same, so the count stays) together with the tokenizer version. Texts that
+A text's digest covers its normalised content (ASCII letters lower-cased, runs of ASCII white space made one space and
+dropped at the ends: the vocabulary's own normaliser and splitter do the same, so the count stays) together with the tokenizer version. Texts that
 hold an added token's string in any case, and all texts of a vocabulary of another kind than 'word', are digested as
 they are. Counts that the cache holds are joined by digest;
 only distinct misses are encoded, and appended to the cache.
@@ -15,12 +15,13 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import encoder, vocabulary
-from lexspark.llm.common import materialize, scratch_path, tidy
+from lexspark.llm.common import materialize, scratch_path, tidy, unused
 
+_SEEN = 1_000_000
 CACHE_SCHEMA = "version string, digest string, n_tokens long"
 
 
@@ -30,15 +31,37 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
-def content_digest(text: Column, special: list[str], kind: str = "word") -> Column:
-    text = F.coalesce(text, F.lit(""))
+def content_digest(text: bytes, special: list[bytes], kind: str = "word") -> str:
     if kind != "word":  # no normaliser
-        return F.sha2(F.concat(F.lit(f"{kind}:"), text), 256)
-    odd = F.lit(False)
-    for s in special:
-        odd = odd | F.contains(F.lower(text), F.lit(s.lower()))
-    plain = F.regexp_replace(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[ \t\n\x0B\f\r]+", " ")
-    return F.when(odd, F.sha2(F.concat(F.lit("raw:"), text), 256)).otherwise(F.sha2(F.concat(F.lit("norm:"), plain), 256))
+        return hashlib.sha256(kind.encode() + b":" + text).hexdigest()
+    low = text.lower()  # of bytes: A-Z alone
+    if any(s in low for s in special):
+        return hashlib.sha256(b"raw:" + text).hexdigest()
+    return hashlib.sha256(b"norm:" + b" ".join(low.split())).hexdigest()
+
+
+def _digests(special: list[str], kind: str, texts: bool):
+    """The kept columns with digest and n_bytes; or digest and text, each digest's first text of the task alone."""
+    marks = [s.encode().lower() for s in special]
+
+    def run(batches):
+        seen: set[str] = set()
+        for b in batches:
+            given = [t or b"" for t in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()]
+            digests = [content_digest(t, marks, kind) for t in given]
+            if not texts:
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(digests, pa.string()), pa.array([len(t) for t in given], pa.int64())], [*b.schema.names[:-1], "digest", "n_bytes"])
+                continue
+            fresh = []
+            for k, d in enumerate(digests):
+                if d not in seen:
+                    seen.add(d)
+                    fresh.append(k)
+            if len(seen) > _SEEN:  # a copy may go out twice: it costs time, no result
+                seen.clear()
+            yield pa.RecordBatch.from_arrays([pa.array([digests[k] for k in fresh], pa.string()), b.column(b.num_columns - 1).take(pa.array(fresh, pa.int64()))], ["digest", "text"])
+
+    return run
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
@@ -51,8 +74,16 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
 
 def _count_misses(path: str, kind: str):
     def run(batches):
-        enc = encoder(path, kind)
+        enc, seen = encoder(path, kind), set()
         for b in batches:
+            fresh = []
+            for k, d in enumerate(b.column("digest").to_pylist()):
+                if d not in seen:
+                    seen.add(d)
+                    fresh.append(k)
+            if len(seen) > _SEEN:
+                seen.clear()
+            b = b.take(pa.array(fresh, pa.int64()))
             n = enc.counts(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("digest"), pa.array(n, pa.int64())], ["digest", "n_tokens"])
 
@@ -64,19 +95,20 @@ def token_counts(docs: DataFrame, cache_path: str, vocab: str | None = None, kin
     spark = docs.sparkSession
     vocab = vocab or vocabulary("word_bpe_49k.json")
     version = tokenizer_version(vocab)
-    digest = content_digest(F.col(text_col), encoder(vocab, kind).special, kind)
-    cached = read_cache(spark, cache_path).where(F.col("version") == version)
-    # the first text of each digest is taken before the shuffle, so copies are not moved
-    misses = (docs.select(digest.alias("digest"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-              .groupBy("digest").agg(F.first("text").alias("text"))
-              .join(cached.select("digest"), "digest", "left_anti"))
+    special = encoder(vocab, kind).special
+    held = lambda: read_cache(spark, cache_path).where(F.col("version") == version)
+    # a task sends one text of each digest, so copies are not moved; the shuffle brings a digest's texts to one task
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(tidy(_digests(special, kind, True)), "digest string, text string")
+    misses = texts.repartition("digest").join(held().select("digest").distinct(), "digest", "left_anti")
     fresh = misses.mapInArrow(tidy(_count_misses(vocab, kind)), "digest string, n_tokens long")
     fresh.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
     # two runs at once may append the same digest; either row has the same count
-    counts = read_cache(spark, cache_path).where(F.col("version") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
-    counts = materialize(counts, "counts")  # read afresh, both sides are shuffled for the join alone: Spark may split a digest of many copies
-    rows = docs.select(F.col(id_col), *keep, digest.alias("__digest"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"))
-    return rows.join(counts.withColumnRenamed("digest", "__digest"), "__digest").select(id_col, *keep, "n_bytes", "n_tokens")
+    counts = materialize(held().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")  # read afresh, both sides are shuffled for the join alone: Spark may split a digest of many copies
+    kept = docs.select(F.col(id_col), *keep)
+    name, text = unused(kept, "digest", "text")
+    rows = docs.select(F.col(id_col), *keep, F.col(text_col).alias(text))
+    rows = rows.mapInArrow(tidy(_digests(special, kind, False)), kept.schema.add(name, "string").add("n_bytes", "long"))
+    return rows.join(counts.withColumnRenamed("digest", name), name).select(id_col, *keep, "n_bytes", "n_tokens")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
