@@ -2,8 +2,9 @@
 
 A shard holds the ids of consecutive documents as bit planes, most significant first. Each plane keeps the stable
 order of the partition by the plane above, its ones counted at every 512th place, so that access, counts (rank) and
-places of occurrence (select) need no decoding. Planes and directories are zstd frames behind a small header. A
-shard is one row of a Parquet table, which Spark's committer writes whole or not at all on any store.
+places of occurrence (select) need no decoding. A plane is stored in zstd frames of FRAME bytes behind a small header of
+their sizes: a look-up inflates the frames that it touches and no others. A shard is one row of a Parquet table, which
+Spark's committer writes whole or not at all on any store.
 
 Null text: only the end id. Null ids sort first. Repeated ids are told apart by their text; equal rows follow each
 other. An empty table gives a table without shards. Extra columns are ignored.
@@ -24,16 +25,42 @@ from pyspark.sql import functions as F
 from lexspark.llm.bpe import encoder, vocabulary
 from lexspark.llm.common import scratch_path, tidy
 
-MAGIC = b"LXW1"
+MAGIC = b"LXW2"
 BLOCK = 512
+FRAME = 8192  # bytes of a plane that are compressed on their own
 SHARD_TOKENS = 1 << 20
 SHARD_SCHEMA = "part int, ord int, n_docs long, n_tokens long, payload binary"
 
 
+class _Plane:
+    """Bits of one level: in memory, or as frames that are inflated when they are looked at."""
+
+    def __init__(self, packed: np.ndarray | None = None, frames: list[memoryview] | None = None, z=None):
+        self.packed, self.frames, self.z, self.held = packed, frames, z, {}
+
+    def _frame(self, k: int) -> np.ndarray:
+        if k not in self.held:
+            self.held[k] = np.frombuffer(self.z.decompress(self.frames[k]), np.uint8)
+        return self.held[k]
+
+    def bytes(self, i: int, j: int) -> np.ndarray:
+        """Bytes i to j, within one frame where the plane is stored."""
+        if self.packed is not None:
+            return self.packed[i:j]
+        at = i // FRAME * FRAME
+        return self._frame(i // FRAME)[i - at : j - at]
+
+    def whole(self) -> np.ndarray:
+        if self.packed is None:
+            parts = [self._frame(k) for k in range(len(self.frames))]
+            self.packed = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        return self.packed
+
+
 class WaveletMatrix:
     """Immutable sequence of small ints with access, rank and select on its bit planes."""
 
-    def __init__(self, n: int, zeros: list[int], planes: list[np.ndarray], ranks: list[np.ndarray]):
+    def __init__(self, n: int, zeros: list[int], planes: list[_Plane], ranks: list[np.ndarray]):
         self.n, self.zeros, self.planes, self.ranks = n, zeros, planes, ranks
 
     @classmethod
@@ -45,7 +72,7 @@ class WaveletMatrix:
             packed = np.packbits(one)
             low, high = a[~one], a[one]
             zeros.append(len(low))
-            planes.append(packed)
+            planes.append(_Plane(packed))
             ranks.append(cls._directory(packed))
             a = np.concatenate([low, high])
         return cls(len(values), zeros, planes, ranks)
@@ -59,14 +86,16 @@ class WaveletMatrix:
         return np.concatenate([[0], np.cumsum(sums)]).astype(np.uint32)
 
     def _bit(self, k: int, i: int) -> int:
-        return int(self.planes[k][i >> 3] >> (7 - (i & 7))) & 1
+        return int(self.planes[k].bytes(i >> 3, (i >> 3) + 1)[0] >> (7 - (i & 7))) & 1
 
     def _ones(self, k: int, i: int) -> int:
         """Ones among the first i places of plane k."""
         b = i // BLOCK
         n, at = int(self.ranks[k][b]), b * BLOCK // 8
-        n += int(np.bitwise_count(self.planes[k][at : i >> 3]).sum())
-        return n + (int(self.planes[k][i >> 3] >> (8 - (i & 7))).bit_count() if i & 7 else 0)
+        if i % BLOCK:
+            part = self.planes[k].bytes(at, (i >> 3) + (i & 7 > 0))
+            n += int(np.bitwise_count(part[: (i >> 3) - at]).sum()) + (int(part[-1] >> (8 - (i & 7))).bit_count() if i & 7 else 0)
+        return n
 
     def access(self, i: int) -> int:
         v = 0
@@ -91,31 +120,41 @@ class WaveletMatrix:
     def count(self, value: int) -> int:
         return self.rank(value, self.n)
 
-    def _select_bit(self, k: int, bit: int, j: int) -> int:
-        """Place of the j-th (from 0) one or zero of plane k."""
+    def _select_bits(self, k: int, bit: int, j: np.ndarray) -> np.ndarray:
+        """Places of the j-th (from 0) ones or zeros of plane k: each block that holds some is opened once."""
         d = self.ranks[k].astype(np.int64)
         d = d if bit else np.arange(len(d)) * BLOCK - d
-        b = int(np.searchsorted(d, j, "right")) - 1
-        b = min(b, len(d) - 2)
-        bits = np.unpackbits(self.planes[k][b * BLOCK // 8 : (b + 1) * BLOCK // 8])
-        return b * BLOCK + int(np.flatnonzero(bits == bit)[j - int(d[b])])
-
-    def select(self, value: int, j: int) -> int:
-        """Place of the j-th (from 0) occurrence of value."""
+        b = np.minimum(np.searchsorted(d, j, "right") - 1, len(d) - 2)
+        blocks, of = np.unique(b, return_inverse=True)
+        step, plane = BLOCK // 8, self.planes[k]
+        parts = [plane.bytes(at, at + step) for at in (blocks * step).tolist()]
+        if len(parts[-1]) < step:
+            parts[-1] = np.concatenate([parts[-1], np.zeros(step - len(parts[-1]), np.uint8)])
+        inside, column = np.nonzero(np.unpackbits(np.stack(parts), axis=1) == bit)
+        first = np.searchsorted(inside, np.arange(len(blocks)))
+        return b * BLOCK + column[first[of] + j - d[b]]
+
+    def selects(self, value: int, j: np.ndarray) -> np.ndarray:
+        """Places of the j-th (from 0) occurrences of value, all at once."""
         lo, hi = self._range(value, self.n)
-        if not 0 <= j < hi - lo:
-            raise IndexError(j)
-        i = lo + j
+        if len(j) and not (0 <= j.min() and j.max() < hi - lo):
+            raise IndexError("no such occurrence")
+        i = lo + j.astype(np.int64)
         for k in range(len(self.zeros) - 1, -1, -1):
             bit = value >> (len(self.zeros) - 1 - k) & 1
-            i = self._select_bit(k, bit, i - self.zeros[k] if bit else i)
+            if len(i):
+                i = self._select_bits(k, bit, i - self.zeros[k] if bit else i)
         return i
 
+    def select(self, value: int, j: int) -> int:
+        """Place of the j-th (from 0) occurrence of value."""
+        return int(self.selects(value, np.array([j], np.int64))[0])
+
     def decode(self, dtype) -> np.ndarray:
         """All values, from the last plane up."""
         a = np.zeros(self.n, dtype)
         for k in range(len(self.zeros) - 1, -1, -1):
-            one = np.unpackbits(self.planes[k], count=self.n).view(bool)
+            one = np.unpackbits(self.planes[k].whole(), count=self.n).view(bool)
             out = np.empty_like(a)
             out[~one] = a[: self.zeros[k]]
             out[one] = a[self.zeros[k] :] | a.dtype.type(1 << (len(self.zeros) - 1 - k))
@@ -125,8 +164,9 @@ class WaveletMatrix:
     def dump(self, z) -> bytes:
         parts = [struct.pack("<QB", self.n, len(self.zeros))]
         for zero, plane, rank in zip(self.zeros, self.planes, self.ranks):
-            p, r = z.compress(plane.tobytes()), z.compress(rank.tobytes())
-            parts.append(struct.pack("<QII", zero, len(p), len(r)) + p + r)
+            packed = plane.whole()
+            frames, r = [z.compress(packed[i : i + FRAME].tobytes()) for i in range(0, len(packed), FRAME)], z.compress(rank.tobytes())
+            parts.append(struct.pack(f"<QII{len(frames)}I", zero, len(frames), len(r), *map(len, frames)) + r + b"".join(frames))
         return b"".join(parts)
 
     @classmethod
@@ -134,12 +174,17 @@ class WaveletMatrix:
         n, bits = struct.unpack_from("<QB", blob)
         at, zeros, planes, ranks = 9, [], [], []
         for _ in range(bits):
-            zero, p, r = struct.unpack_from("<QII", blob, at)
-            at += 16
+            zero, m, r = struct.unpack_from("<QII", blob, at)
+            sizes = struct.unpack_from(f"<{m}I", blob, at + 16)
+            at += 16 + 4 * m
             zeros.append(zero)
-            planes.append(np.frombuffer(z.decompress(blob[at : at + p]), np.uint8))
-            ranks.append(np.frombuffer(z.decompress(blob[at + p : at + p + r]), np.uint32))
-            at += p + r
+            ranks.append(np.frombuffer(z.decompress(blob[at : at + r]), np.uint32))
+            at += r
+            frames = []
+            for size in sizes:
+                frames.append(blob[at : at + size])
+                at += size
+            planes.append(_Plane(frames=frames, z=z))
         return cls(n, zeros, planes, ranks)
 
 
@@ -234,22 +279,25 @@ def shard_documents(shards: DataFrame, with_ids: bool = False) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 (and ids) of each document, read back from its shard."""
     schema = "part int, ord int, doc_id long, local_start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * with_ids
     rows = shards.select("part", "ord", "payload").mapInArrow(tidy(_read_documents(with_ids)), schema)
-    # one small row for each shard
-    before = Window.orderBy("part", "ord").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = shards.select("part", "ord", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("base"))
+    # the parts' sums (one row for each task that wrote) are put in order; the shards of a part, within it
+    sums = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    first = sums.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    before = Window.partitionBy("part").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = shards.select("part", "ord", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("inside")).join(first, "part").select("part", "ord", (F.col("first") + F.col("inside")).alias("base"))
     return rows.join(offsets, ["part", "ord"]).select("doc_id", (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids)
 
 
-def token_occurrences(shards: DataFrame, token: int, per_shard: int | None = None) -> DataFrame:
-    """part, ord, n and places (within the shard) of a token, by rank and select without decoding; per_shard bounds the places listed."""
+def token_occurrences(shards: DataFrame, token: int, row_places: int = 100_000) -> DataFrame:
+    """part, ord, n and places (within the shard) of a token, by rank and select without decoding; a row lists row_places at most, further ones follow in rows of their own."""
 
     def run(batches):
         for b in batches:
             for part, ordinal, blob in zip(*(b.column(c).to_pylist() for c in ("part", "ord", "payload"))):
                 m = Shard.load(blob).matrix
                 n = m.count(token)
-                places = [m.select(token, j) for j in range(n if per_shard is None else min(n, per_shard))]
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([ordinal], pa.int32()), pa.array([n]), pa.array([places], pa.list_(pa.int64()))], ["part", "ord", "n", "places"])
+                for j in range(0, max(n, 1), row_places):
+                    places = m.selects(token, np.arange(j, min(n, j + row_places)))
+                    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([ordinal], pa.int32()), pa.array([n]), pa.ListArray.from_arrays(pa.array([0, len(places)], pa.int32()), pa.array(places, pa.int64()))], ["part", "ord", "n", "places"])
 
     return shards.select("part", "ord", "payload").mapInArrow(run, "part int, ord int, n long, places array<long>")
 
