@@ -5,7 +5,9 @@ from some segment on, the first has no difference, the first two at most 2*tau/(
 segments stays within l*tau/(tau+1). A fingerprint is therefore filed under each pair of neighbouring segments and
 looked up there as it is and with one 0 bit of the second segment set; a joined candidate must keep the longer chains'
 budgets before its full Hamming distance is taken. Copies meet in one fingerprint before that. In a file, members
-near the file's smallest fingerprint link to it alone, so a dense group makes a star of links, not all its pairs.
+near the file's smallest fingerprint link to it alone, so a dense group makes a star of links, not all its pairs. A
+file of more than FILE members is filed again under each of its other segments: these have tau differences at most
+between them, so one of them has at most one.
 
 Null text counts as empty (fingerprint zero, linked like any other). Ids may repeat or be null: a class id is the
 smallest id in it, null only where no member has one. An empty table gives an empty result; extra columns are ignored.
@@ -21,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import connected_components, materialize, tidy
+from lexspark.llm.common import connected_components, materialize, tidy, unused
 
+FILE = 64
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -90,36 +93,75 @@ def _chain(a: str, b: str, segs: list[tuple[int, int]], start: Column, tau: int)
     return out
 
 
-def links(fps: DataFrame, tau: int = 4) -> DataFrame:
+def _flips(c: Column, seg: tuple[int, int], make) -> Column:
+    """make(bits of the segment with one more bit set), for each bit of it that isn't."""
+    v = _bits(c, seg)
+    return F.array_compact(F.array(*[F.when(v.bitwiseAND(F.lit(1 << j)) == 0, make(v.bitwiseOR(F.lit(1 << j)))) for j in range(seg[1])]))
+
+
+def _met(rows: DataFrame, keys: list[str], tau: int, name: str) -> DataFrame:
+    """rows (fp, guest and keys of a file) with the file's smallest member (lead), its number of members and `near`: within tau of the lead.
+
+    Guests aren't members. A file of one member is settled by its lead; of fuller ones all rows stay. The files are
+    written before they are joined, so that Spark may split one that many rows ask for.
+    """
+    files = materialize(rows.where("not guest").groupBy(*keys).agg(F.min("fp").alias("lead"), F.count("*").alias("n")), f"{name}-files")
+    near = _distance("fp", "lead") <= tau
+    return materialize(rows.join(files, keys).where((F.col("fp") != F.col("lead")) & (near | (F.col("n") > 1))).withColumn("near", near), name)
+
+
+def _pairs(met: DataFrame, keys: list[str], segs: list[tuple[int, int]], tau: int) -> DataFrame:
+    """Verified links (u, v) of rows with members of their file, unless both are near its lead."""
+    hosts = met.where("not guest").select(*keys, F.col("fp").alias("host"), F.col("near").alias("host_near"))
+    return met.join(hosts, keys).where(
+        ~(F.col("near") & F.col("host_near")) & (F.col("guest") | (F.col("fp") < F.col("host")))
+        & _chain("fp", "host", segs, F.col("s"), tau) & (_distance("fp", "host") <= tau)).select(F.col("fp").alias("u"), F.col("host").alias("v"))
+
+
+def links(fps: DataFrame, tau: int = 4, file: int = FILE) -> DataFrame:
     """Undirected links (u, v) whose components are those of all pairs of distinct fps at distance <= tau.
 
     tau is at least 1 and at most 15. A pair in a file is left out only if both link to the file's leader.
     """
     segs = _segments(tau)
     m = len(segs)
-    one = 2 * tau // m  # the first two segments' budget: 1, as 1 <= tau
-    assert one == 1, "tau from 1 to 15"
+    # the first two segments' budget is one difference, as tau is at least 1
+    if not 1 <= tau <= 15:
+        raise ValueError("tau from 1 to 15")
 
     def key(s: int, second: Column) -> Column:
         return F.struct(F.lit(s).cast("byte").alias("s"), F.shiftleft(_bits(F.col("fp"), segs[s]), segs[(s + 1) % m][1]).bitwiseOR(second).alias("k"))
 
     own = F.array(*[key(s, _bits(F.col("fp"), segs[(s + 1) % m])) for s in range(m)])
-    flips = F.array(*[F.when(_bits(F.col("fp"), segs[(s + 1) % m]).bitwiseAND(F.lit(1 << j)) == 0, key(s, _bits(F.col("fp"), segs[(s + 1) % m]).bitwiseOR(F.lit(1 << j))))
-                      for s in range(m) for j in range(segs[(s + 1) % m][1])])
-    home = fps.select("fp", F.explode(own).alias("at")).select("fp", "at.s", "at.k")
-    visit = fps.select("fp", F.explode(F.array_compact(flips)).alias("at")).select("fp", "at.s", "at.k")
-    files = home.groupBy("s", "k").agg(F.min("fp").alias("lead"), F.count("*").alias("n"))
-    both = home.withColumn("guest", F.lit(False)).unionByName(visit.withColumn("guest", F.lit(True)))
-    near = _distance("fp", "lead") <= tau
-    # a file of one fingerprint is settled here; of fuller ones the members stay
-    met = materialize(both.join(files, ["s", "k"]).where((F.col("fp") != F.col("lead")) & (near | (F.col("n") > 1))).select("s", "k", "fp", "lead", "guest", "n", near.alias("near")), "files")
+    flips = F.concat(*[_flips(F.col("fp"), segs[(s + 1) % m], lambda v, s=s: key(s, v)) for s in range(m)])
+    home = fps.select("fp", F.lit(False).alias("guest"), F.explode(own).alias("at")).select("fp", "guest", "at.s", "at.k")
+    visit = fps.select("fp", F.lit(True).alias("guest"), F.explode(flips).alias("at")).select("fp", "guest", "at.s", "at.k")
+    met = _met(home.unionByName(visit), ["s", "k"], tau, "files")
     star = met.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))
-    rest = met.where("n > 1")
-    hosts = rest.where("not guest").select("s", "k", F.col("fp").alias("host"), F.col("near").alias("host_near"))
-    pairs = rest.join(hosts, ["s", "k"]).where(
-        ~(F.col("near") & F.col("host_near")) & (F.col("guest") | (F.col("fp") < F.col("host")))
-        & _chain("fp", "host", segs, F.col("s"), tau) & (_distance("fp", "host") <= tau)).select(F.col("fp").alias("u"), F.col("host").alias("v"))
-    return star.unionByName(pairs)
+    if m < 4 or tau // (m - 2) > 1:  # no other segment is sure to have one difference at most
+        return star.unionByName(_pairs(met.where("n > 1"), ["s", "k"], segs, tau))
+    out = star.unionByName(_pairs(met.where((F.col("n") > 1) & (F.col("n") <= file)), ["s", "k"], segs, tau))
+    large = met.where(F.col("n") > file)
+
+    def under(make) -> Column:
+        """For a row filed under s: make(t, segment) of the m - 2 segments that s doesn't cover."""
+        kinds = [(s, F.concat(*[make(t, segs[t]) for t in range(m) if t not in (s, (s + 1) % m)])) for s in range(m)]
+        c = None
+        for s, a in kinds:
+            c = F.when(F.col("s") == s, a) if c is None else c.when(F.col("s") == s, a)
+        return c
+
+    again = lambda t, v: F.struct(F.lit(t).cast("byte").alias("t"), v.alias("l"))
+    base = large.select("fp", "s", "k", "guest")
+    # a row meets the members with its own bits, and those with one more set; members with one fewer meet it from their side, or a guest looks for them itself
+    own2 = under(lambda t, seg: F.array(again(t, _bits(F.col("fp"), seg))))
+    more = under(lambda t, seg: _flips(F.col("fp"), seg, lambda v: again(t, v)))
+    less = under(lambda t, seg: F.array_compact(F.array(*[F.when(_bits(F.col("fp"), seg).bitwiseAND(F.lit(1 << j)) != 0, again(t, _bits(F.col("fp"), seg).bitwiseXOR(F.lit(1 << j)))) for j in range(seg[1])])))
+    spread = lambda rows, guest, at: rows.select("fp", "s", "k", guest.alias("guest"), F.explode(at).alias("at")).select("fp", "s", "k", "guest", "at.t", "at.l")
+    rows = spread(base, F.col("guest"), own2).unionByName(spread(base, F.lit(True), more)).unionByName(spread(base.where("guest"), F.lit(True), less))
+    keys = ["s", "k", "t", "l"]
+    met2 = _met(rows, keys, tau, "refiled")
+    return out.unionByName(met2.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))).unionByName(_pairs(met2.where("n > 1"), keys, segs, tau))
 
 
 def near_duplicates(docs: DataFrame, tau: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -129,7 +171,8 @@ def near_duplicates(docs: DataFrame, tau: int = 4, width: int = 4, id_col: str =
     roots = connected_components(links(reps.select("fp"), tau))
     named = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialize(named, "classes")
-    ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    # written, so that Spark may split the fingerprints of one root
+    ids = materialize(named.groupBy("root").agg(F.min("low").alias("component_id")), "class-ids")
     return rows.join(named.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "row", "fp", "component_id")
 
 
@@ -141,14 +184,15 @@ def keep_one(docs: DataFrame, tau: int = 4, width: int = 4, id_col: str = "doc_i
     found = found.withColumn("part", F.when(F.col("component_id").isNull(), F.col("fp")))
     rows = found.groupBy("component_id", "part", "doc_id", "row").agg(F.count("*").alias("n"), F.min(first).alias("f"))
     kept = rows.groupBy("component_id", "part").agg(F.min(F.struct("f", "n")).alias("k"))
-    kept = materialize(kept.select(F.col("k.f.i").alias("__kept_id"), F.col("k.f.r").alias("__kept_row"), F.col("k.n").alias("__n")), "kept")
-    marked = docs.withColumn("__row", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    mine = F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id")) & (F.col("__row") == F.col("__kept_row"))
-    out = marked.join(kept.where("__n = 1"), mine, "left_semi").drop("__row")
-    again = kept.where("__n > 1")
+    k_id, k_row, k_n, row = unused(docs, "kept_id", "kept_row", "kept_n", "row")
+    kept = materialize(kept.select(F.col("k.f.i").alias(k_id), F.col("k.f.r").alias(k_row), F.col("k.n").alias(k_n)), "kept")
+    marked = docs.withColumn(row, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    mine = F.col(id_col).cast("long").eqNullSafe(F.col(k_id)) & (F.col(row) == F.col(k_row))
+    out = marked.join(kept.where(F.col(k_n) == 1), mine, "left_semi").drop(row)
+    again = kept.where(F.col(k_n) > 1)
     if again.isEmpty():
         return out
-    return out.unionByName(marked.join(again, mine, "left_semi").dropDuplicates([id_col, "__row"]).drop("__row"))
+    return out.unionByName(marked.join(again, mine, "left_semi").dropDuplicates([id_col, row]).drop(row))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

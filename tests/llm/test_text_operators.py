@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -126,12 +127,28 @@ def test_wavelet_matrix(n):
     assert m.count(60_000) == 0
     with pytest.raises(IndexError):
         m.select(60_000, 0)
+    for c in np.unique(v)[:5].tolist():
+        assert m.selects(c, np.arange(m.count(c))).tolist() == np.flatnonzero(v == c).tolist()
+
+
+def test_a_look_up_inflates_few_frames():
+    v = np.random.default_rng(1).integers(0, 300, 600_000).astype(np.uint16)
+    m = wavelet.Shard.load(wavelet.Shard([1], np.array([len(v)]), wavelet.WaveletMatrix.build(v, 9)).dump()).matrix
+    assert m.access(123_456) == v[123_456] and m.select(7, 100) == np.flatnonzero(v == 7)[100]
+    assert max(len(p.held) for p in m.planes) < len(m.planes[0].frames)
+    began = time.perf_counter()
+    assert m.selects(5, np.arange(m.count(5))).tolist() == np.flatnonzero(v == 5).tolist()
+    assert time.perf_counter() - began < 5
 
 
 def test_shards_read_back(spark, docs, empty, texts):
     tok = bpe.encoder(bpe.vocabulary("byte_bpe_50k.json"), "byte").tokenizer
     path = scratch_path(spark, "shards")
-    wavelet.write_shards(docs, path, shard_tokens=4000)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wavelet.write_shards(docs, path, shard_tokens=4000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     shards = wavelet.read_shards(spark, path)
     got = wavelet.shard_documents(shards, with_ids=True).orderBy("start").collect()
     want = {}
@@ -143,7 +160,9 @@ def test_shards_read_back(spark, docs, empty, texts):
         assert r["start"] == at and r["n_tokens"] == len(r["ids"]) and r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
         at += r["n_tokens"]
     assert [r["doc_id"] for r in got] == sorted((i for i, _, _ in texts), key=lambda x: (x is not None, x))
-    assert sum(r["n"] for r in wavelet.token_occurrences(shards, 2, 3).collect()) >= len(texts)
+    found = wavelet.token_occurrences(shards, 2, 3).collect()
+    assert max(len(r["places"]) for r in found) == 3 and sum(len(r["places"]) for r in found) == sum(x.count(2) for w in want.values() for x in w)
+    assert len({r["part"] for r in shards.collect()}) > 1
     wavelet.write_shards(empty, path)
     assert wavelet.shard_documents(wavelet.read_shards(spark, path)).count() == 0
 
@@ -189,7 +208,8 @@ def test_simhash(spark, docs, empty, texts):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
-def test_links_of_dense_groups_keep_components(spark):
+@pytest.mark.parametrize("tau, file", [(4, 64), (4, 2), (3, 1), (2, 2)])
+def test_links_of_dense_groups_keep_components(spark, tau, file):
     rng = random.Random(9)
     fps = {rng.getrandbits(64) for _ in range(150)}
     for c in list(fps)[:6]:  # balls of fingerprints that share segments
@@ -201,8 +221,8 @@ def test_links_of_dense_groups_keep_components(spark):
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
-    roots = {r["node"]: r["root"] for r in connected_components(simhash.links(df)).collect()}
-    want = slow_components(signed, lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 4)
+    roots = {r["node"]: r["root"] for r in connected_components(simhash.links(df, tau, file), plain=100).collect()}
+    want = slow_components(signed, lambda a, b: (fps[a] ^ fps[b]).bit_count() <= tau)
     assert [roots.get(f, f) for f in signed] == want
 
 
@@ -211,6 +231,8 @@ def test_components_of_long_paths(spark):
     edges = [(k, k + 1) for k in range(n)] + [(1000, 1001), (5, 5), (None, 3), (7, 6)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {k: 0 for k in range(n + 1)} | {1000: 1000, 1001: 1000}
+    with pytest.raises(RuntimeError, match="unfinished"):
+        connected_components(spark.createDataFrame(edges, "u long, v long"), max_rounds=1)
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
