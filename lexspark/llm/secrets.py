@@ -4,7 +4,8 @@ Each rule's expression gives a Boolean query over trigrams of lower-cased text (
 occur). The index has postings for the trigrams that some query names; a document is a candidate of a rule if one
 alternative's postings all hold it. Candidates are verified by the expression itself; a rule without mandatory
 trigrams is verified on every document. A match's place follows from the lengths of matches and of gaps between them,
-in code points.
+in code points, summed in blocks: a text of n matches takes n**1.5 steps at most. Candidates are written before they
+are joined: few are broadcast by their size as Spark finds it, so texts move only where they are many.
 
 Null text counts as empty. Null or repeated ids: rows are told apart by the text's hash, equal rows give equal
 results. Spans of one kind never overlap; those of different kinds may. An empty table gives an empty result. Extra
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import materialize
+from lexspark.llm.common import materialize, unused
 
 _ANY = frozenset([frozenset()])
 
@@ -130,6 +131,36 @@ def _row(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def _let(value: Column, f) -> Column:
+    """f(value), the value being worked out once however often f names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _sqrt_blocks(a: Column) -> Column:
+    """The array in consecutive blocks of about the square root of its length."""
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(a))).cast("int"))
+    last = F.floor((F.size(a) - 1) / size).cast("int")
+    return F.when(F.size(a) > 0, F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(a, b * size + 1, size)))
+
+
+def _with_prefix(a: Column, value, combine, then) -> Column:
+    """Blocks of (base, items): items are then(element, prefix), the prefix being combine over value of all before it; base is the prefix of the block's first. Null for an empty array.
+
+    Appending to an array copies it, so one running total over n elements would take n**2 steps; blocks take n**1.5.
+    """
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+    bases = lambda blocks: F.aggregate(blocks, start, lambda s, x: F.struct(combine(s["at"], x["t"]).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")), lambda s: s["out"])
+
+    def inside(b: Column) -> Column:
+        first = F.get(b["b"], F.lit(0))
+        start = F.struct(combine(b["base"], value(first)).alias("at"), F.array(then(first, b["base"])).alias("out"))
+        return F.aggregate(F.slice(b["b"], 2, F.size(b["b"])), start, lambda s, x: F.struct(combine(s["at"], value(x)).alias("at"), F.concat(s["out"], F.array(then(x, s["at"]))).alias("out")),
+                           lambda s: F.struct(b["base"].alias("base"), s["at"].alias("end"), s["out"].alias("items")))
+
+    blocks = F.transform(_let(a, _sqrt_blocks), lambda b: F.struct(b.alias("b"), F.aggregate(b, F.lit(0), lambda t, x: combine(t, value(x))).alias("t")))
+    return _let(blocks, lambda blocks: F.transform(F.arrays_zip(F.transform(blocks, lambda x: x["b"]).alias("b"), bases(blocks).alias("base")), inside))
+
+
 def trigram_index(docs: DataFrame, trigrams: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Postings (t, doc_id, row): t is a place in trigrams, which the text holds whatever its letters' case."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row(text_col).alias("row"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("low"))
@@ -155,51 +186,59 @@ def candidates(index: DataFrame, trigrams: list[str], rules: tuple[Rule, ...]) -
 
 
 def _spans(text: Column, r: Rule, rank: int) -> Column:
-    """Kept matches of one rule in text."""
+    """Kept matches of one rule in text, in order."""
     found = F.regexp_extract_all(text, F.lit(r.pattern), F.lit(0))
     gaps = F.transform(F.split(text, r.pattern, -1), lambda g: F.length(g))
-    parts = F.arrays_zip(found.alias("m"), F.regexp_extract_all(text, F.lit(r.pattern), F.lit(r.group)).alias("g"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
+    parts = _let(found, lambda m: F.arrays_zip(m.alias("m"), F.regexp_extract_all(text, F.lit(r.pattern), F.lit(r.group)).alias("g"), F.slice(gaps, F.lit(1), F.size(m)).alias("gap")))
     parts = F.transform(parts, lambda p: F.struct(F.length(p["m"]).alias("m"), F.length(p["g"]).alias("g"), p["gap"].alias("gap")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
-    def step(acc, p):
-        begin = acc["at"] + p["gap"]
-        end = begin + p["m"]
-        span = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(r.kind).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(p["g"] >= r.least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def span(p: Column, at: Column) -> Column:
+        begin = at + p["gap"]
+        return F.struct(begin.alias("start"), F.lit(rank).alias("rank"), F.lit(r.kind).alias("kind"), (begin + p["m"]).alias("end"), (p["g"] >= r.least).alias("kept"))
 
-    return F.aggregate(parts, start, step, lambda acc: acc["out"])
+    placed = _with_prefix(parts, lambda p: p["gap"] + p["m"], lambda t, x: t + x, span)
+    spans = F.filter(F.flatten(F.transform(placed, lambda b: b["items"])), lambda x: x["kept"])
+    spans = F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["kind"].alias("kind"), x["end"].alias("end")))
+    return F.coalesce(spans, F.array().cast(_SPAN))
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with a column `secret_spans`: array of (start, rank, kind, end) by start, then rule."""
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", out: str = "secret_spans") -> DataFrame:
+    """docs with a column `out`: array of (start, rank, kind, end) by start, then rule. A column of that name is replaced."""
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != out.lower()])
     trigrams = sorted({t for r in rules for a in r.query for t in a})
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.withColumn("__row", _row(text_col))
+    flags = {k: n for k, n in enumerate(unused(docs, *[f"c{k}" for k in range(len(rules))]))}
+    rows = docs
     if trigrams:
         hits = candidates(materialize(trigram_index(docs, trigrams, id_col, text_col), "postings"), trigrams, rules)
-        hits = hits.withColumnsRenamed({"doc_id": "__doc", "row": "__hit"} | {c: f"__{c}" for c in hits.columns if c[0] == "c"})
-        rows = rows.join(hits, F.col(id_col).cast("long").eqNullSafe(F.col("__doc")) & (F.col("__row") == F.col("__hit")), "left")
+        doc, hit = unused(docs, "hit_doc", "hit_row")
+        hits = materialize(hits.withColumnsRenamed({"doc_id": doc, "row": hit} | {f"c{k}": n for k, n in flags.items()}), "candidates")
+        rows = rows.join(hits, F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (_row(text_col) == F.col(hit)), "left")
     none = F.array().cast(_SPAN)
     found = []
     for k, r in enumerate(rules):
-        maybe = F.col(f"__c{k}") if r.query != _ANY else F.lit(True)
+        maybe = F.col(flags[k]) if r.query != _ANY else F.lit(True)
         if r.quick:
             maybe = maybe & F.rlike(text, F.lit(r.quick))
         found.append(F.when(maybe, _spans(text, r, k)).otherwise(none))
-    return rows.withColumn("secret_spans", F.array_sort(F.concat(*found))).select(*docs.columns, "secret_spans")
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.sort_array(F.concat(*found)).alias(out))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with every secret in the text replaced by [SECRET]; overlapping secrets by one."""
-    text, start = F.col(text_col), F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        fresh = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("[SECRET]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate("secret_spans", start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return scan(docs, rules, id_col, text_col).withColumn(text_col, F.when(F.size("secret_spans") > 0, done).otherwise(text)).select(*docs.columns)
+    text, (spans,) = F.col(text_col), unused(docs, "secret_spans")
+    # each span with the end of those before it; the text is cut into the blocks' stretches first, as a substring's cost grows with its place
+    blocks = _with_prefix(F.col(spans), lambda x: x["end"], F.greatest, lambda x, at: F.struct(x["start"].alias("start"), at.alias("before")))
+
+    def block(b: Column) -> Column:
+        stretch = F.substring(text, b["base"] + 1, b["end"] - b["base"])
+        piece = lambda x, s: F.when(x["start"] >= x["before"], F.concat(F.substring(s, x["before"] - b["base"] + 1, x["start"] - x["before"]), F.lit("[SECRET]"))).otherwise("")
+        return F.array_join(_let(stretch, lambda s: F.transform(b["items"], lambda x: piece(x, s))), "")
+
+    last = F.aggregate(spans, F.lit(0), lambda t, x: F.greatest(t, x["end"]))
+    done = F.concat(F.array_join(F.transform(blocks, block), ""), F.substring(text, last + 1, F.length(text)))
+    found = scan(docs, rules, id_col, text_col, spans)
+    return found.select(*[(F.when(F.size(spans) > 0, done).otherwise(text).alias(c) if c.lower() == text_col.lower() else F.col(f"`{c}`")) for c in docs.columns])
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -254,6 +255,22 @@ def test_secret_scan(spark):
         assert r["text"] == (None if t is None else "".join(parts) + t[at:])
 
 
+def test_many_secrets_in_one_text_take_seconds(spark):
+    n = 100_000
+    word = "0123456789abcdef"
+    text = "é " + " ".join([word + "01"] * n) + " token=abcdefghijkl"
+    df = spark.createDataFrame([(1, text, 5, 6), (2, None, 5, 6)], "doc_id long, text string, __row int, secret_spans int").repartition(1)
+    began = time.perf_counter()
+    r = secrets.scan(df).where("doc_id = 1").select("secret_spans").first()["secret_spans"]
+    assert len(r) == n + 1 and (r[n - 1]["start"], r[n - 1]["end"]) == (2 + 19 * (n - 1), 2 + 19 * (n - 1) + 18)
+    scanned = time.perf_counter() - began
+    clean = secrets.redact(df)
+    assert clean.columns == df.columns
+    got = {x["doc_id"]: x for x in clean.collect()}
+    assert got[1]["text"] == "é " + " ".join(["[SECRET]"] * n) + " [SECRET]" and got[1]["__row"] == 5 and got[1]["secret_spans"] == 6 and got[2]["text"] is None
+    assert scanned < 30 and time.perf_counter() - began < 90
+
+
 # ---- pipeline
 
 
