@@ -3,8 +3,8 @@
 Each window of an item (13 consecutive words, or all words of a shorter item) is a record of word shingles (five
 words, or fewer where the window is shorter). Shingles are ordered by their number of occurrences in all documents;
 as a window must be contained whole, its prefix is its rarest shingle alone. A document gives one row for each
-place where a prefix shingle may begin: a bit table of fixed size passes those shingles and a few more, and an equality
-join on the shingle settles which. Position and length bounds drop windows that would leave the document, and the words
+place where a prefix shingle may begin: a bit table passes those shingles and a few more (it grows with their number, up to
+8 MB), and an equality join on the shingle settles which. Position and length bounds drop windows that would leave the document, and the words
 themselves are then compared.
 
 Null text has no words. Items without words have no windows. Repeated documents each get a row; a repeated item id
@@ -18,14 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import span_hashes
-from lexspark.llm.common import materialize, tidy
+from lexspark.llm.common import materialize, tidy, unused
 
 WINDOW, SHINGLE = 13, 5
-FILTER_BITS = 24  # a table of 2 MB, whatever the benchmark's size
+LEAST_BITS, MOST_BITS = 20, 26  # of the bit table: 128 KB to 8 MB
+_ROWS = 4_096
 _TABLE = np.zeros(256, np.uint8)
 _TABLE[0x30:0x3A] = np.arange(0x30, 0x3A)
 _TABLE[0x41:0x5B] = np.arange(0x61, 0x7B)
@@ -93,18 +94,19 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
     return rows.mapInArrow(run, "item_id long, words string, n int, size int, shingles array<long>").distinct()
 
 
-def _filter_of(tokens: DataFrame) -> np.ndarray:
-    """Bit table of the tokens' leading bits: 16-bit words are OR-ed in Spark, so at most 2**20 of them reach the driver."""
-    lead = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    rows = tokens.groupBy(F.shiftright(lead, 4).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), lead.bitwiseAND(F.lit(15)).cast("int"))).alias("b")).toPandas()
-    words = np.zeros(1 << (FILTER_BITS - 4), "<u2")
-    words[rows["w"].to_numpy(np.int64)] = rows["b"].to_numpy(np.int64).astype(np.uint16)
-    return words.view(np.uint8)
+def _filter_of(tokens: DataFrame) -> tuple[np.ndarray, int]:
+    """Bit table of the tokens' leading bits, 16 for each token, and its size as a power of two: 16-bit words are OR-ed in Spark, so at most 2**22 of them reach the driver."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * tokens.count()).bit_length()))
+    lead = F.shiftrightunsigned("h", 64 - bits)
+    rows = tokens.groupBy(F.shiftright(lead, 4).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1), lead.bitwiseAND(F.lit(15)).cast("int"))).cast("int").alias("b")).toArrow()
+    words = np.zeros(1 << (bits - 4), "<u2")
+    words[rows.column("w").to_numpy()] = rows.column("b").to_numpy().astype(np.uint16)
+    return words.view(np.uint8), bits
 
 
-def _passes(table: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = (h.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-    return np.flatnonzero(table[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+def _passes(table: tuple[np.ndarray, int], h: np.ndarray) -> np.ndarray:
+    at = (h.view(np.uint64) >> np.uint64(64 - table[1])).astype(np.int64)
+    return np.flatnonzero(table[0][at >> 3] >> (at & 7).astype(np.uint8) & 1)
 
 
 def _count_shingles(table, sizes: list[int]):
@@ -122,28 +124,33 @@ def _count_shingles(table, sizes: list[int]):
     return run
 
 
-def _find_places(table, sizes: list[int], window: int):
-    """Each document with its places where a passing shingle begins, and the words around each."""
-    kind = pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("around", pa.list_(pa.string())), ("left", pa.int32())]))
+_FOUND = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_words", pa.int64()), ("h", pa.int64()), ("at", pa.int64()), ("around", pa.list_(pa.string())), ("left", pa.int32())])
+
+
+def _find_places(table, sizes: list[int], window: int, shingle: int):
+    """A row for each document, and one for each place where a passing shingle begins: h, the place, and the words around it that its windows may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = table.value
         for b in batches:
+            ids, hashes = b.column("doc_id").to_pylist(), b.column("row").to_pylist()
             for first, texts in _parts(b.column("text").to_pylist()):
                 code, starts, ends, cut = words_of(texts)
-                raw, words = code.tobytes(), span_hashes(code, starts, ends)
-                places = [[] for _ in texts]
+                raw, words, n = code.tobytes(), span_hashes(code, starts, ends), np.diff(cut)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, len(texts)), b.column("row").slice(first, len(texts)), pa.array(n, pa.int64()), *[pa.nulls(len(texts), f.type) for f in list(_FOUND)[3:]]], schema=_FOUND)
                 for size in sizes:
                     h = shingle_hashes(words, size)
                     hit = _passes(bits, h)
                     of = np.searchsorted(cut, hit, "right") - 1
-                    for p, k in zip(hit.tolist(), of.tolist()):
-                        i, j = int(cut[k]), int(cut[k + 1])
-                        if p + size <= j:
-                            x, y = max(i, p - window + 1), min(j, p + window)
-                            around = [raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(starts[x:y].tolist(), ends[x:y].tolist())]
-                            places[k].append({"h": int(h[p]), "at": p - i, "around": around, "left": p - x})
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(first, len(texts)), b.column("row").slice(first, len(texts)), pa.array(np.diff(cut), pa.int64()), pa.array(places, kind)], ["doc_id", "row", "n_words", "places"])
+                    whole = hit + size <= cut[of + 1]
+                    hit, of = hit[whole], of[whole]
+                    reach = window - size if size == shingle else 0  # a shorter shingle is its window
+                    for at in range(0, len(hit), _ROWS):
+                        p, k = hit[at : at + _ROWS], of[at : at + _ROWS]
+                        x, y = np.maximum(cut[k], p - reach), np.minimum(cut[k + 1], p + size + reach)
+                        around = [[raw[s:e].decode("utf-8", "surrogatepass") for s, e in zip(starts[i:j].tolist(), ends[i:j].tolist())] for i, j in zip(x.tolist(), y.tolist())]
+                        docs = (first + k).tolist()
+                        yield pa.RecordBatch.from_arrays([pa.array([ids[d] for d in docs], pa.int64()), pa.array([hashes[d] for d in docs], pa.int64()), pa.array(n[k], pa.int64()), pa.array(h[p], pa.int64()), pa.array(p - cut[k], pa.int64()), pa.array(around, pa.list_(pa.string())), pa.array(p - x, pa.int32())], schema=_FOUND)
 
     return run
 
@@ -163,22 +170,29 @@ def occurrences(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle
     prefix = flat.join(counts.select("h", F.col("n").alias("c")), "h", "left").groupBy("item_id", "words", "n").agg(order.alias("p"))
     prefix = materialize(prefix.select("item_id", "words", "n", "p.at", "p.h"), "prefixes")
     table = spark.sparkContext.broadcast(_filter_of(prefix.select("h").distinct()))
-    schema = "doc_id long, row long, n_words long, places array<struct<h: long, at: int, around: array<string>, left: int>>"
-    scanned = materialize(rows.mapInArrow(tidy(_find_places(table, sizes, window)), schema), "places")
-    places = scanned.select("doc_id", "row", "n_words", F.explode("places").alias("p")).select("doc_id", "row", "n_words", "p.*")
+    schema = "doc_id long, row long, n_words long, h long, at long, around array<string>, left int"
+    scanned = materialize(rows.mapInArrow(tidy(_find_places(table, sizes, window, shingle)), schema), "places")
+    places = scanned.where("h is not null")
     w = prefix.select("item_id", "words", "n", F.col("at").alias("before"), "h")
     found = places.join(w, "h").where(
         (F.col("at") >= F.col("before")) & (F.col("at") - F.col("before") + F.col("n") <= F.col("n_words"))
         & (F.array_join(F.slice("around", F.col("left") - F.col("before") + 1, F.col("n")), " ") == F.col("words")))
-    return scanned.select("doc_id", "row", "n_words"), found.select("doc_id", "row", (F.col("at") - F.col("before")).alias("start"), "n", "item_id")
+    return scanned.where("h is null").select("doc_id", "row", "n_words"), found.select("doc_id", "row", (F.col("at") - F.col("before")).alias("start"), "n", "item_id")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, row, n_words, n_hit, items (sorted item ids as strings) and contaminated of every document."""
     base, found = occurrences(docs, items, window, shingle, id_col, text_col)
-    spots = F.transform(F.collect_set(F.struct("start", "n")), lambda s: F.sequence(s["start"], s["start"] + s["n"] - 1))
-    hits = found.groupBy("doc_id", "row").agg(F.size(F.array_distinct(F.flatten(spots))).cast("long").alias("n_hit"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    hits = hits.withColumnsRenamed({"doc_id": "__d", "row": "__r"})
+    found = materialize(found.select("doc_id", "row", "start", "n", F.col("item_id").cast("string").alias("item")).distinct(), "occurrences")
+    # words of a window count from the end of the windows that begin before it
+    spots = found.groupBy("doc_id", "row", "start").agg(F.max("n").alias("n"))
+    end, before = F.col("start") + F.col("n"), Window.partitionBy("doc_id", "row").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    spots = spots.withColumn("fresh", F.greatest(F.lit(0), end - F.greatest(F.col("start"), F.coalesce(F.max(end).over(before), F.lit(0)))))
+    counts = spots.groupBy("doc_id", "row").agg(F.sum("fresh").cast("long").alias("n_hit"))
+    # at most as many as the benchmark has items
+    named = found.select("doc_id", "row", "item").distinct().groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    hits = counts.withColumnsRenamed({"doc_id": "__d", "row": "__r"}).join(named, F.col("__d").eqNullSafe(F.col("doc_id")) & (F.col("__r") == F.col("row"))).select("__d", "__r", "n_hit", "items")
+    hits = materialize(hits, "hits")
     out = base.join(hits, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("row") == F.col("__r")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", "row", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
@@ -186,9 +200,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without those that are contaminated."""
-    bad = contamination(docs, items, id_col=id_col, text_col=text_col).where("contaminated").select(F.col("doc_id").alias("__d"), F.col("row").alias("__r")).distinct()
-    mark: Column = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.withColumn("__row", mark).join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__d")) & (F.col("__row") == F.col("__r")), "left_anti").drop("__row")
+    d, r = unused(docs, "hit_doc", "hit_row")
+    bad = contamination(docs, items, id_col=id_col, text_col=text_col).where("contaminated").select(F.col("doc_id").alias(d), F.col("row").alias(r)).distinct()
+    bad = materialize(bad, "contaminated")  # few are broadcast by their size as Spark finds it; documents move only where they are many
+    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(r)), "left_anti")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

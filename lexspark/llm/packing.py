@@ -31,7 +31,7 @@ _PIECES = "doc_id long, start long, length long, doc_tokens long, ids_crc32 long
 _BATCH_TOKENS = 2_000_000
 
 
-def _cut(path: str, kind: str, end_id: int, size: int, step: int):
+def _cut(path: str, kind: str, end_id: int, size: int, step: int, with_ids: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary()), ("part", pa.int32()), ("cls", pa.int32()), ("local", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -46,7 +46,7 @@ def _cut(path: str, kind: str, end_id: int, size: int, step: int):
                 for at in range(0, len(ids), size):
                     piece = ids[at : at + size]
                     c = -(-len(piece) // step)
-                    out.append((doc, at, len(piece), len(ids), zlib.crc32(wide[at : at + size]), piece.tobytes(), part, c, seen[c]))
+                    out.append((doc, at, len(piece), len(ids), zlib.crc32(wide[at : at + size]), piece.tobytes() if with_ids else None, part, c, seen[c]))
                     seen[c] += 1
                 held += len(ids)
                 if held > _BATCH_TOKENS:
@@ -181,7 +181,7 @@ def pack(docs: DataFrame, vocab: str | None = None, kind: str = "byte", end_id:
     vocab = vocab or vocabulary("byte_bpe_50k.json")
     capacity = size // step
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    pieces = materialize(rows.mapInArrow(tidy(_cut(vocab, kind, end_id, size, step)), _PIECES), "pieces")
+    pieces = materialize(rows.mapInArrow(tidy(_cut(vocab, kind, end_id, size, step, with_ids)), _PIECES), "pieces")
     counts = materialize(pieces.groupBy("part", "cls").agg(F.count("*").alias("n")), "counts")
     histogram = {r["cls"]: r["n"] for r in counts.groupBy("cls").agg(F.sum("n").alias("n")).collect()}  # at most size/step rows
     plan = spark.sparkContext.broadcast(_slots(histogram, capacity))  # bounded by the square of size/step

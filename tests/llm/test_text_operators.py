@@ -318,6 +318,17 @@ def slow_contamination(texts, items):
     return sorted(out, key=str)
 
 
+def test_a_long_text_of_one_word_items(spark):
+    n = 120_000
+    df = spark.createDataFrame([(1, "spam " * n + "egg", 7), (2, None, 7), (3, "other words", 7)], "doc_id long, text string, hit_doc int")
+    items = spark.createDataFrame([(1, "spam"), (2, "spam spam"), (3, "egg"), (4, " ".join(["spam"] * 20))], "item_id long, text string")
+    began = time.perf_counter()
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in decontaminate.contamination(df, items).collect()}
+    assert got == {1: (n + 1, n + 1, ["1", "2", "3", "4"]), 2: (0, 0, []), 3: (2, 0, [])}
+    assert time.perf_counter() - began < 60
+    assert rows(decontaminate.clean(df, items), "doc_id", "hit_doc") == [(2, 7), (3, 7)]
+
+
 def test_decontamination(spark, docs, empty, texts):
     items = spark.createDataFrame([(i, t, "x") for i, t in ITEMS], "item_id long, text string, h string")
     got = decontaminate.contamination(docs, items)
