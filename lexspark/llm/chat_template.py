@@ -9,8 +9,12 @@ render lazily: a conversation's turns stream through, and each piece of text kno
 The escape filter puts a backslash after the first character of every control string inside a text, and doubles
 backslashes; unescaping takes one backslash off. Formatted conversations are written in parts of whole turns.
 
+`and` and `or` give the operand that decides, as Python's do. A fault of a template (a tag without an expression, a
+second else, operands that don't add up, a missing name or field) is a TemplateError.
+
 Null text or role: empty. Rows of a conversation go by turn (nulls first), then role and text; equal rows are turns
-of their own. Rows with a null conv_id make one conversation. An empty table gives an empty result; extra columns are
+of their own. Rows with a null conv_id make one conversation. A conversation's turns stream through one task, as its
+digests run over them in order; memory doesn't grow with it. An empty table gives an empty result; extra columns are
 ignored.
 """
 
@@ -52,27 +56,40 @@ class _Const:
 
 def _expression(tree: ast.AST, filters: dict[str, Callable]) -> Callable:
     def fold(f: Callable, *parts: Callable) -> Callable:
-        return _Const(f({})) if all(isinstance(p, _Const) for p in parts) else f
+        try:
+            return _Const(f({})) if all(isinstance(p, _Const) for p in parts) else f
+        except (TypeError, AttributeError) as e:
+            raise TemplateError(str(e)) from e
 
     def go(t: ast.AST) -> Callable:
         if isinstance(t, ast.Constant) and isinstance(t.value, str | int | bool | None):
             return _Const(t.value)
         if isinstance(t, ast.Name):
-            return lambda env, name=t.id: env[name]
+            return lambda env, name=t.id: _look(env, name)
         if isinstance(t, ast.Attribute):
             inner = go(t.value)
             if t.attr.startswith("_"):
                 raise TemplateError(f"no such field: {t.attr}")
-            return lambda env, name=t.attr: inner(env)[name]
+            return lambda env, name=t.attr: _look(inner(env), name)
         if isinstance(t, ast.BoolOp):
             parts = [go(v) for v in t.values]
-            if isinstance(t.op, ast.And):
-                if any(isinstance(p, _Const) and not p.value for p in parts):
-                    return _Const(False)
-                return fold(lambda env: all(p(env) for p in parts), *parts)
-            if any(isinstance(p, _Const) and p.value for p in parts):
-                return _Const(True)
-            return fold(lambda env: any(p(env) for p in parts), *parts)
+            stop = isinstance(t.op, ast.Or)  # a part whose truth is this one decides
+            kept = []
+            for p in parts:
+                known = isinstance(p, _Const)
+                if not known or bool(p.value) == stop or p is parts[-1]:
+                    kept.append(p)
+                if known and bool(p.value) == stop:
+                    break
+
+            def decide(env):
+                for p in kept:
+                    v = p(env)
+                    if bool(v) == stop:
+                        break
+                return v
+
+            return kept[0] if len(kept) == 1 else fold(decide, *kept)
         if isinstance(t, ast.UnaryOp) and isinstance(t.op, ast.Not):
             inner = go(t.operand)
             return fold(lambda env: not inner(env), inner)
@@ -97,6 +114,13 @@ def _expression(tree: ast.AST, filters: dict[str, Callable]) -> Callable:
     return go(tree)
 
 
+def _look(held, name: str):
+    try:
+        return held[name]
+    except (KeyError, TypeError, IndexError) as e:
+        raise TemplateError(f"no such name: {name}") from e
+
+
 class Template:
     """A compiled template. render(**names) yields (text, learn) pieces; (None, False) after each turn of an outermost loop."""
 
@@ -144,9 +168,11 @@ class Template:
                 out.append(("for", m[1], self._parse(m[2]), body))
             elif word == "if":
                 sides, tag = [], what
-                while not tag.startswith("end"):
+                while tag != "endif":
+                    if tag != "else" and len(tag.split(None, 1)) < 2:
+                        raise TemplateError(f"no condition: {tag}")
                     test = _Const(True) if tag == "else" else self._parse(tag.split(None, 1)[1])
-                    body, tag = self._block({"elif", "else", "endif"})
+                    body, tag = self._block({"endif"} if tag == "else" else {"elif", "else", "endif"})
                     sides.append((test, body))
                 sides = [s for s in sides if not (isinstance(s[0], _Const) and not s[0].value)]
                 first = next((k for k, s in enumerate(sides) if isinstance(s[0], _Const)), None)
@@ -185,12 +211,13 @@ class Template:
         name, items, body = node[1], node[2], self._compile(node[3], False)
 
         def loop(env, learn):
+            end = object()
             it = iter(items(env))
-            item = next(it, None)
+            item = next(it, end)
             k = 0
-            while item is not None:
-                after = next(it, None)
-                yield from body(env | {name: item, "loop": {"first": k == 0, "last": after is None, "index": k + 1}}, learn)
+            while item is not end:
+                after = next(it, end)
+                yield from body(env | {name: item, "loop": {"first": k == 0, "last": after is end, "index": k + 1}}, learn)
                 if outermost:
                     yield None, False
                 item, k = after, k + 1
@@ -198,7 +225,10 @@ class Template:
         return loop
 
     def render(self, **names) -> Iterator[tuple[str | None, bool]]:
-        return self._run(names, False)
+        try:
+            yield from self._run(names, False)
+        except (TypeError, AttributeError) as e:
+            raise TemplateError(str(e)) from e
 
 
 # fixed values: the format's control strings, its template, and how its turns read back
