@@ -1,15 +1,17 @@
 """Operator 5, URL filters: a blocked Bloom filter in front of an exact hash join, in DataFrame functions only.
 
 A listed rule is a host and a path; it fits that host and its subdomains where the url's path starts with the rule's.
-Every url gives its candidate keys: each suffix of its host with each prefix of its path of a length that the list
-has. A key's hash chooses one block of eight 32-bit words of the filter and one bit in each word; keys whose bits are
+Every url gives its candidate keys: suffixes of its host of as many labels as listed hosts have, with prefixes of its path
+of the lengths that go with them in the list. A key's hash chooses one block of eight 32-bit words of the filter and one bit in each word; keys whose bits are
 all set go on to an equality join with the listed keys, which removes the filter's false positives. The longest rule
 wins (then the longer host). The filter has at most MAX_BLOCKS blocks of 40 bytes, so it may be broadcast whatever the
-list's size: a longer list makes more false positives, no wrong answers.
+list's size: a longer list makes more false positives, no wrong answers. Urls with a rule are written before pages are
+joined with them: few are broadcast by their size as Spark finds it, many let Spark split a url of many pages.
 
 Null url or one without `://`: empty host and path, no rule, the default verdict. Rules with null parts are dropped,
 of equal rules the first verdict in order counts. Repeated pages each get a row. An empty table gives an empty
-result; an empty list gives every url the default verdict. Extra columns are kept by `judge`.
+result; an empty list gives every url the default verdict. Extra columns are kept by `judge`; columns named as its own
+(host, path, rule, verdict, in any case) are replaced.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexspark.llm.common import materialize, unused
+
 MAX_BLOCKS = 1 << 16
 BITS_PER_KEY = 16
 # fixed values: odd multipliers that spread a hash over the eight words
@@ -65,26 +69,29 @@ def maybe_listed(rows: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: str = "url") -> DataFrame:
     """pages with host, path, rule and verdict. rules: host, path, verdict."""
-    rules = rules.where("host is not null and path is not null and verdict is not null").select(F.concat("host", "path").alias("key"), "host", "verdict")
-    rules = rules.groupBy("key").agg(F.max(F.length("host")).alias("host_length"), F.min("verdict").alias("verdict"))
+    key = lambda host, path: F.concat(F.length(host).cast("string"), F.lit(":"), host, path)
+    rules = rules.where("host is not null and path is not null and verdict is not null")
+    labels = F.when(F.col("host") == "", 0).otherwise(F.size(F.split("host", r"\.", -1)))
+    rules = rules.groupBy(key(F.col("host"), F.col("path")).alias("key"), "host", F.concat("host", "path").alias("rule"), labels.alias("labels"), F.length("path").alias("chars")).agg(F.min("verdict").alias("verdict"))
     size = rules.agg(F.count("*").alias("n")).first()["n"]
     blocks = min(MAX_BLOCKS, max(1, -(-size * BITS_PER_KEY // 256)))
-    # how far into a key its path begins isn't known of a key alone: lengths of whole rules' paths
-    lengths = sorted(r[0] for r in rules.select(F.length("key") - F.col("host_length")).distinct().collect())
-    urls = pages.select(F.col(url_col).alias("__url")).where("__url is not null").distinct()
-    urls = urls.withColumns({"h": canonical_host(F.col("__url")), "p": canonical_path(F.col("__url"))}).where("h <> ''")
-    labels = F.split("h", r"\.", -1)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    if not lengths:
-        return pages.select("*", canonical_host(F.col(url_col)).alias("host"), canonical_path(F.col(url_col)).alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    prefixes = F.filter(F.array(*[F.when(F.length("p") >= n, F.substring("p", 1, n)) for n in lengths]), lambda x: x.isNotNull())
-    keys = urls.select("__url", F.explode(suffixes).alias("s"), prefixes.alias("ps")).select("__url", "s", F.explode("ps").alias("x"))
-    keys = keys.select("__url", F.concat("s", "x").alias("key"))
-    possible = maybe_listed(keys, blocked_bloom(rules, blocks), blocks)
+    # numbers of labels and path lengths that occur together: names have 127 labels at most, paths a few lengths
+    shapes = sorted(tuple(r) for r in rules.where("labels > 0").select("labels", "chars").distinct().collect())
+    kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
+    parts = [canonical_host(F.col(url_col)).alias("host"), canonical_path(F.col(url_col)).alias("path")]
+    if not shapes:
+        return pages.select(*kept, *parts, F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    urls = pages.select(F.col(url_col).alias("url")).where("url is not null").distinct()
+    urls = urls.select("url", canonical_host(F.col("url")).alias("h"), canonical_path(F.col("url")).alias("p")).where("h <> ''")
+    urls = urls.withColumn("m", F.size(F.split("h", r"\.", -1)))
+    keys = F.array_compact(F.array(*[F.when((F.col("m") >= n) & (F.length("p") >= c), key(F.substring_index("h", ".", -n), F.substring("p", 1, c))) for n, c in shapes]))
+    possible = maybe_listed(urls.select("url", F.explode(keys).alias("key")), blocked_bloom(rules, blocks), blocks)
     hits = possible.join(rules, "key")
-    best = hits.groupBy("__url").agg(F.max(F.struct(F.length("key").alias("n"), "host_length", "key", "verdict")).alias("b"))
-    out = pages.join(best, F.col(url_col) == F.col("__url"), "left")
-    return out.select(*pages.columns, canonical_host(F.col(url_col)).alias("host"), canonical_path(F.col(url_col)).alias("path"), F.col("b.key").alias("rule"), F.coalesce("b.verdict", F.lit(default)).alias("verdict"))
+    best = hits.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), F.length("host").alias("m"), "rule", "verdict")).alias("b"))
+    at, rule, verdict = unused(pages, "listed_url", "listed_rule", "listed_verdict")
+    best = materialize(best.select(F.col("url").alias(at), F.col("b.rule").alias(rule), F.col("b.verdict").alias(verdict)), "listed")
+    out = pages.join(best, F.col(url_col) == F.col(at), "left")
+    return out.select(*kept, *parts, F.col(rule).alias("rule"), F.coalesce(F.col(verdict), F.lit(default)).alias("verdict"))
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

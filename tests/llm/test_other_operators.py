@@ -27,9 +27,15 @@ def test_template_language():
     assert t.tree[0] == ("text", "abcd")  # folded to one text
     got = list(t.render(ms=iter([{"r": "u", "t": "hi"}, {"r": "v", "t": ""}])))
     assert "".join(x for x, _ in got if x) == "abcd<U!hi,<Vnone" and [x for x, learn in got if learn] == ["hi", "none"] and got.count((None, False)) == 2
-    for bad in ("{{ x.__class__ }}", "{{ f(1) }}", "{{ x[0] }}", "{{ x|nothing }}", "{% while x %}{% endwhile %}", "{% if x %}", "{{ 1 + }}", "{{ lambda: 1 }}", "{% endfor %}"):
+    for bad in ("{{ x.__class__ }}", "{{ f(1) }}", "{{ x[0] }}", "{{ x|nothing }}", "{% while x %}{% endwhile %}", "{% if x %}", "{{ 1 + }}", "{{ lambda: 1 }}", "{% endfor %}", "{% if %}x{% endif %}", "{{ 1 + 'a' }}", "{% if a %}{% else %}{% elif b %}{% endif %}", "{% if a %}{% else %}{% else %}{% endif %}", "{% if a %}{% elif %}{% endif %}"):
         with pytest.raises(ct.TemplateError):
             ct.Template(bad)
+    show = lambda source, **names: "".join(x for x, _ in ct.Template(source).render(**names) if x)
+    assert show("{{ a or 'x' }}{{ b or 'y' or c }}{{ a and b }}{{ 0 or 'z' }}{{ 'u' and '' or 'v' }}", a="A", b="", c="C") == "Ayzv"
+    assert show("{% for m in ms %}({{ m }}{% if loop.last %}.{% endif %}){% endfor %}", ms=["a", None, "b"]) == "(a)(None)(b.)"
+    for bad in ("{{ x }}", "{{ a.b }}", "{{ a + 1 }}", "{% for m in n %}{% endfor %}", "{{ n|upper }}"):
+        with pytest.raises(ct.TemplateError):
+            show(bad, a="A", n=3)
 
 
 def test_escaping_is_reversible():
@@ -89,6 +95,17 @@ def test_url_filter(spark):
     assert none.count() == len(URLS) + 4 and none.where("rule is not null or verdict <> 'block'").count() == 0
 
 
+def test_url_filter_with_clashing_columns_and_odd_rules(spark):
+    url = "http://a.b.org/xy/z?q"
+    df = spark.createDataFrame([(1, url, "w", 1, 2, 3, "h"), (2, None, "w", 1, 2, 3, "h")], "page_id long, url string, b string, block int, w0 int, listed_url int, HOST string")
+    rules = spark.createDataFrame([("a.b.orgx", "", "block"), ("a.b.or", "g/xy", "block"), ("b.org", "/xy/", "block"), ("org", "", "allow"), ("", "/xy/z", "allow"), ("a.b.org", "/xy/z/more", "allow")], "host string, path string, verdict string")
+    got = url_filter.judge(df, rules)
+    assert got.columns == ["page_id", "url", "b", "block", "w0", "listed_url", "host", "path", "rule", "verdict"]
+    assert rows(got, "page_id", "b", "host", "path", "rule", "verdict") == [(1, "w", "a.b.org", "/xy/z", "b.org/xy/", "block"), (2, "w", "", "", None, "allow")]
+    deep = spark.createDataFrame([(3, "http://" + "a." * 50_000 + "org/de/")], "page_id long, url string")
+    assert url_filter.judge(deep, spark.createDataFrame(url_filter.OP5_RULES, "host string, path string, verdict string")).first()["rule"] == "org/"
+
+
 def test_bloom_has_no_false_negatives(spark):
     keys = spark.range(3000).select(F.concat(F.lit("h"), "id", F.lit(".org/")).alias("key"))
     bloom = url_filter.blocked_bloom(keys, 188)
