@@ -6,8 +6,12 @@ looked for in the next shorter context, down to 1/256 for any byte. Contexts tha
 The statistics are frozen once learned, so a text's code length is an exact sum over its bytes, found here for all
 languages at once: the costs of every gram that some language saw, and of every context's escape, are tabled.
 
-The trees are learned from a sample of labelled rows: whole texts chosen by a hash of the id, about `sample_bytes`
-for each language (a documented bound, held on average; 2 MB by default), the first in hash order always. Every byte of every text is scored.
+The trees are learned from a sample of labelled rows: texts chosen by a hash of the id, about `sample_bytes` for each
+language (a documented bound, held on average; 2 MB by default, less where `total_bytes` is shared by many languages),
+the first in hash order always, of one text that many characters at most. Every byte of every text is scored.
+
+Languages are tabled in groups of GROUP: a gram has a row in the groups of the languages that saw it, so that the tables
+grow with what was seen and not with grams times languages.
 
 Null text or a text without letters: `und`, score 0. Null ids are predicted, never learned from. Ties: the first
 language in order. Without labelled rows all texts are `und`. Repeated rows each get a row; extra columns are ignored
@@ -24,11 +28,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import _Table
-from lexspark.llm.common import tidy
+from lexspark.llm.common import tidy, unused
 
 ORDER = 4
 SAMPLE_BYTES = 2_000_000
-MAX_LANGUAGES = 500
+TOTAL_BYTES = 128_000_000
+GROUP = 4
+MOST_LABELS = 100_000  # a label column of more values holds no languages
 _PAD = b" " * ORDER
 
 
@@ -63,7 +69,7 @@ def _hash(g: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
-class Model:
+class _Group:
     """Frozen costs: for grams of each length 1..ORDER+1 and contexts of each length 1..ORDER, one row of bits a language."""
 
     def __init__(self, langs: list[str], which: np.ndarray, full: np.ndarray, n: np.ndarray):
@@ -133,6 +139,23 @@ class Model:
         out[some] = np.add.reduceat(sums, cut[some], axis=0, dtype=np.float64)
         return out
 
+
+class Model:
+    """The languages' groups, in order."""
+
+    def __init__(self, langs: list[str], which: np.ndarray, full: np.ndarray, n: np.ndarray):
+        """Language, gram and count of each pair that was seen."""
+        self.langs, self.groups = langs, []
+        order = np.argsort(which, kind="stable")
+        which, full, n = which[order], full[order], n[order]
+        for first in range(0, len(langs), GROUP):
+            at = slice(*np.searchsorted(which, [first, first + GROUP]))
+            self.groups.append(_Group(langs[first : first + GROUP], which[at] - first, full[at], n[at]))
+
+    def code_lengths(self, texts: list[str | None]) -> np.ndarray:
+        """Bits that each whole text takes under each language."""
+        return np.concatenate([g.code_lengths(texts) for g in self.groups], axis=1)
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language (or und), score and bits a byte of the best language."""
         names, score, rate = [], np.zeros(len(texts)), np.zeros(len(texts))
@@ -160,43 +183,57 @@ class Model:
         return names, score, rate
 
 
-def learn(docs: DataFrame, where: Column, sample_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def learn(docs: DataFrame, where: Column, sample_bytes: int = SAMPLE_BYTES, total_bytes: int = TOTAL_BYTES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from the labelled rows that `where` admits."""
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), where.alias("w")).where("w and lang is not null and text <> '' and i is not null")
     draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1_000_000)) / 1e6
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(draw).alias("first")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    share = {r["lang"]: min(1.0, sample_bytes / max(1, r["bytes"])) for r in sizes}
-    if not share:
+    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(draw).alias("first")).limit(MOST_LABELS + 1).collect()
+    if len(sizes) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} values of {lang_col}: not a language column")
+    if not sizes:
         return Model([], np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0))
+    most = max(1, min(sample_bytes, total_bytes // len(sizes)))
+    share = {r["lang"]: min(1.0, most / max(1, r["bytes"])) for r in sizes}
     first = {r["lang"]: r["first"] for r in sizes}  # a language of few long texts has it, if nothing else
     spark, langs = docs.sparkSession, sorted(share)
-    shares = F.broadcast(spark.createDataFrame([(x, k, share[x], first[x]) for k, x in enumerate(langs)], "lang string, code int, share double, first double"))  # at most MAX_LANGUAGES rows
-    sample = rows.join(shares, "lang").where((draw < F.col("share")) | (draw == F.col("first"))).select("code", "text")
+    shares = F.broadcast(spark.createDataFrame([(x, k, share[x], first[x]) for k, x in enumerate(langs)], "lang string, code int, share double, first double"))  # at most MOST_LABELS rows
+    sample = rows.join(shares, "lang").where((draw < F.col("share")) | (draw == F.col("first"))).select("code", F.substring("text", 1, most).alias("text"))
     # grams of a sample of bounded bytes: bounded as well
     counts = sample.mapInArrow(tidy(_count_grams), "code int, g long, n long").groupBy("code", "g").agg(F.sum("n").alias("n")).toArrow()
     return Model(langs, counts.column("code").to_numpy().astype(np.int64), counts.column("g").to_numpy().astype(np.uint64), counts.column("n").to_numpy().astype(np.float64))
 
 
-def _predict(model):
+def _predict(model, text: str, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for b in batches:
-            lang, score, rate = m.predict(b.column("__text").to_pylist())
-            keep = [n for n in b.schema.names if n != "__text"]
+            lang, score, rate = m.predict(b.column(text).to_pylist())
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in keep), pa.array(lang, pa.string()), pa.array(score), pa.array(rate)], [*keep, "lang_pred", "score", "bits_per_byte"])
 
     return run
 
 
 def identify(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns of keep, lang_pred, score (0 to 1) and bits_per_byte of every row."""
+    """The columns of keep, lang_pred, score (0 to 1) and bits_per_byte of every row. Columns of keep with these names are left out."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text_col).alias("__text"))
-    schema = rows.drop("__text").schema.add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
-    return rows.mapInArrow(tidy(_predict(held)), schema)
+    keep = [c for c in keep if c.lower() not in ("lang_pred", "score", "bits_per_byte")]
+    (text,) = unused(docs, "text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias(text))
+    schema = rows.drop(text).schema.add("lang_pred", "string").add("score", "double").add("bits_per_byte", "double")
+    return rows.mapInArrow(tidy(_predict(held, text, keep)), schema)
+
+
+def known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with their own columns alone, whose text is in some language."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lang, _, _ = held.value.predict(b.column(text_col).to_pylist())
+            yield b.filter(pa.array([x != "und" for x in lang], pa.bool_()))
+
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def lettered(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -104,10 +104,9 @@ def token_counts(docs: DataFrame, cache_path: str, vocab: str | None = None, kin
     fresh.select(F.lit(version).alias("version"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
     # two runs at once may append the same digest; either row has the same count
     counts = materialize(held().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "counts")  # read afresh, both sides are shuffled for the join alone: Spark may split a digest of many copies
-    kept = docs.select(F.col(id_col), *keep)
-    name, text = unused(kept, "digest", "text")
+    name, text = unused(docs, "digest", "text")
     rows = docs.select(F.col(id_col), *keep, F.col(text_col).alias(text))
-    rows = rows.mapInArrow(tidy(_digests(special, kind, False)), kept.schema.add(name, "string").add("n_bytes", "long"))
+    rows = rows.mapInArrow(tidy(_digests(special, kind, False)), rows.drop(text).schema.add(name, "string").add("n_bytes", "long"))
     return rows.join(counts.withColumnRenamed("digest", name), name).select(id_col, *keep, "n_bytes", "n_tokens")
 
 

@@ -287,6 +287,20 @@ def test_every_language_has_a_text_in_the_sample(spark):
     assert model.predict(["alpha alpha", "beta beta"])[0] == ["a", "b"]
 
 
+def test_many_languages_and_clashing_columns(spark):
+    rng = random.Random(4)
+    alphabets = {f"l{k:02d}": [chr(0x61 + (7 * k + j) % 26) for j in range(6)] for k in range(11)}
+    text = lambda lang, n=60: " ".join("".join(rng.choice(alphabets[lang]) for _ in range(5)) for _ in range(n))
+    data = [(k, text(lang), lang, 1, 2) for k, lang in enumerate(list(alphabets) * 6)] + [(900, "99 !", None, 1, 2)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, score int, __text int")
+    model = langid.learn(df, F.lit(True), total_bytes=11 * 1500)
+    assert len(model.groups) == 3 and model.langs == sorted(alphabets)
+    got = langid.identify(df, model, df.columns)
+    assert got.columns == ["doc_id", "text", "lang", "__text", "lang_pred", "score", "bits_per_byte"]
+    assert sum(r["lang"] != r["lang_pred"] for r in got.where("lang is not null").collect()) <= 2
+    assert langid.known(df, model).columns == df.columns and langid.known(df, model).count() == len(data) - 1
+
+
 def test_without_labels_the_stage_keeps_texts_with_letters(spark):
     import corpus_pipeline
 
