@@ -20,7 +20,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.learn(docs, langid.fold() != 1)
     if not model.langs:  # nothing was learned: every text would be und
         return langid.lettered(docs)
-    return langid.identify(docs, model, docs.columns).where("lang_pred <> 'und'").select(*docs.columns)
+    return langid.known(docs, model)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +41,9 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of 2048 tokens."""
+    """Pieces of all documents, with their token ids, in sequences of 2048 tokens."""
     lexspark.ship(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, with_ids=True)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("decontamination", decontamination), ("secret_scan", secret_scan), ("packing", pack)]
