@@ -57,8 +57,8 @@ def admin_rule_version(adm_uid: Column, revision: Column, enforcement: Column) -
 
 
 def version_rank(version_uid: Column, mst: Column) -> Column:
-    """(day, sequence) for comparison; parts that can't be read are 0, the oldest."""
-    day = F.regexp_extract(F.element_at(F.split(F.coalesce(version_uid, F.lit("")), ":"), -1), r"(\d{8})", 1)
+    """(day, sequence) for comparison; dates may have dashes. Parts that can't be read are 0, the oldest."""
+    day = F.regexp_extract(F.replace(F.element_at(F.split(F.coalesce(version_uid, F.lit("")), ":"), -1), F.lit("-"), F.lit("")), r"(\d{8})", 1)
     number = F.regexp_extract(F.coalesce(mst.cast("string"), F.lit("")), r"(\d+)", 1)
     whole = lambda s: F.coalesce(F.nullif(s, F.lit("")).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
     return F.struct(whole(day).alias("day"), whole(number).alias("number"))

@@ -56,15 +56,47 @@ def check_manifest(documents: DataFrame, manifest: DataFrame, key: str) -> DataF
 
 
 def new_deliveries(incoming: DataFrame, accepted: DataFrame) -> DataFrame:
-    """Deliveries that were not accepted before: same file and same (or no) manifest."""
+    """Deliveries that were not accepted before: a known file is new only with a manifest that differs from the accepted ones, all of which had one."""
     i, a = incoming.alias("i"), accepted.alias("a")
-    same = (F.col("i.sha256") == F.col("a.sha256")) & (F.col("i.manifest_sha256").eqNullSafe(F.col("a.manifest_sha256")) | F.col("i.manifest_sha256").isNull())
+    mine, theirs = F.col("i.manifest_sha256"), F.col("a.manifest_sha256")
+    same = (F.col("i.sha256") == F.col("a.sha256")) & (mine.isNull() | (mine == "") | theirs.isNull() | (mine == theirs))
     return i.join(a, same, "left_anti")
 
 
+def receipt_gap(receipts: DataFrame, now: Column, most_seconds: int) -> DataFrame:
+    """Last accepted receipt, its age in seconds, and whether that calls for attention (also where nothing was received)."""
+    last = receipts.where("status = 'accepted'").agg(F.max("received_at").alias("last_receipt"))
+    age = F.unix_timestamp(now) - F.unix_timestamp("last_receipt")
+    return last.withColumn("age_seconds", age).withColumn("attention", F.coalesce(age > most_seconds, F.lit(True)))
+
+
+def manifests_overdue(zips: DataFrame, manifests: DataFrame, now: Column, most_seconds: int) -> DataFrame:
+    """Files (stem, arrived_at) that have waited too long for their manifest."""
+    waiting = zips.join(manifests.select("stem").distinct(), "stem", "left_anti")
+    return waiting.withColumn("age_seconds", F.unix_timestamp(now) - F.unix_timestamp("arrived_at")).where(F.col("age_seconds") > most_seconds)
+
+
+def expired(files: DataFrame, now: Column, days: int) -> DataFrame:
+    """Files (modified_at) past their retention."""
+    return files.where(F.unix_timestamp(now) - F.unix_timestamp("modified_at") > days * 86_400)
+
+
+def requeue(quarantined: DataFrame, live: DataFrame, kind: str | None = None, most: int | None = None) -> DataFrame:
+    """Quarantined packages to try again: of one kind of refusal, none that is live again, the first `most` by name."""
+    out = (quarantined if kind is None else quarantined.where(F.col("kind") == kind)).join(live.select("package").distinct(), "package", "left_anti")
+    return out if most is None else out.orderBy("package").limit(most)
+
+
+# fixed values: what archives may hold, and the system's own files
+ATTACHMENTS = ("hwp", "hwpx", "pdf", "doc", "docx", "png", "jpg", "jpeg", "gif")
+JUNK_FOLDERS = ("__MACOSX",)
+JUNK_NAMES = (".DS_Store", "Thumbs.db")
+
+
 def path_fault(path: Column) -> Column:
-    """path_unsafe, os_metadata_ignored, unsupported_extension or null."""
-    known = extension(path).isin("json", "hwp", "hwpx", "pdf", "doc", "docx", "png", "jpg", "jpeg", "gif", "zip")
-    return (F.when(path.isNull() | F.rlike(path, F.lit(r"(^|/)\.\.(/|$)|^[/\\]|^[A-Za-z]:|\x00")), "path_unsafe")
-            .when(F.rlike(path, F.lit(r"(^|/)(__MACOSX/|\.DS_Store$|Thumbs\.db$|desktop\.ini$|\._)")), "os_metadata_ignored")
-            .when(~known, "unsupported_extension"))
+    """path_unsafe, os_metadata_ignored, manifest_ignored, unsupported_extension or null."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return (F.when(path.isNull() | F.rlike(path, F.lit(r"(^|/)\.\.(/|$)|^[/\\]|^[A-Za-z]:|\x00")) | (F.trim(path) == ""), "path_unsafe")
+            .when(F.split(path, "/")[0].isin(*JUNK_FOLDERS) | name.isin(*JUNK_NAMES), "os_metadata_ignored")
+            .when(name.isin("_manifest.json", "manifest.json") | F.endswith(name, F.lit(".manifest.json")), "manifest_ignored")
+            .when(~extension(path).isin("json", *ATTACHMENTS), "unsupported_extension"))

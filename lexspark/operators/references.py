@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexspark.functions import ids
+from lexspark.functions.text import compact_name
+
 
 def has_head(provision: Column, head: Column) -> Column:
     """The id is the head itself or goes on after it with # or :."""
@@ -32,21 +35,64 @@ def reach(edges: DataFrame, start: DataFrame, hops: int) -> DataFrame:
     return found.where("hops > 0")
 
 
-def apply_renames(rows: DataFrame, renames: DataFrame) -> DataFrame:
-    """rows without those of renamed heads, and with references moved to the new heads; a head that is still alive in the rows moves nothing.
+def head_of(provision: Column) -> Column:
+    """What stands before the unit in an id."""
+    return F.regexp_extract(provision, r"^([^#]*)", 1)
+
+
+def rename_heads(records: DataFrame) -> DataFrame:
+    """domain, law_id, old_head and new_head of rename records (doc_target, old_name, new_name); names that compare equal are no rename."""
+    target = F.coalesce("doc_target", F.lit(""))
+    prefix = F.when(target.isin("", "eflaw", "law"), "law").when(target == "admrul", "admrul").otherwise("SchlPubRul")
+    head = lambda c: F.concat(prefix, F.lit(":"), compact_name(F.col(c)))
+    out = records.select(ids.domain(F.col("doc_target"), F.col("domain")).alias("domain"), "law_id", head("old_name").alias("old_head"), head("new_name").alias("new_head"))
+    return out.where("old_head <> new_head").distinct()
 
-    rows: provision_id, reference_ids; renames: old_head, new_head (each head once, few enough to be looked up by head).
+
+def apply_renames(rows: DataFrame, renames: DataFrame, key: str = "uuid") -> DataFrame:
+    """rows after renames of documents: their own rows under the old head go, and references to it move to the new one.
+
+    rows: key, domain, law_id, provision_id, reference_ids (and relation_refs, whose reference_id moves along). renames:
+    domain, law_id, old_head, new_head. Where other rows still bear the old head a reference to it may mean them: it
+    stays. Only rows with a reference that moves are rewritten; applying a rename again changes nothing.
     """
-    head = lambda c: F.regexp_extract(c, r"^([^#]*)", 1)
-    moves = renames.select(F.col("old_head").alias("h"), "new_head")
-    kept = rows.join(moves.select("h"), head(F.col("provision_id")) == F.col("h"), "left_anti")
-    flat = kept.select("provision_id", F.posexplode_outer("reference_ids").alias("pos", "ref"))
-    moved = flat.join(moves, head(F.col("ref")) == F.col("h"), "left").withColumn("ref", F.when(F.col("h").isNotNull(), swap_head(F.col("ref"), F.col("h"), F.col("new_head"))).otherwise(F.col("ref")))
-    lists = moved.groupBy("provision_id").agg(F.transform(F.array_sort(F.collect_list(F.when(F.col("ref").isNotNull(), F.struct("pos", "ref")))), lambda x: x["ref"]).alias("reference_ids"))
-    return kept.drop("reference_ids").join(lists, "provision_id")
+    own = renames.select("domain", "law_id", F.col("old_head").alias("__head")).distinct()
+    kept = rows.withColumn("__head", head_of(F.col("provision_id"))).join(own, ["domain", "law_id", "__head"], "left_anti")
+    alive = kept.select("__head").distinct()
+    moves = renames.groupBy(F.col("old_head").alias("__head")).agg(F.max("new_head").alias("__new")).join(alive, "__head", "left_anti")
+    kept = kept.drop("__head")
+    more = "relation_refs" in rows.columns
+    refs = F.coalesce("reference_ids", F.array().cast("array<string>"))
+    if more:
+        refs = F.array_union(refs, F.coalesce(F.transform("relation_refs", lambda r: r["reference_id"]), F.array().cast("array<string>")))
+    flat = kept.select(key, F.explode(F.array_distinct(refs)).alias("ref")).where("ref is not null").withColumn("__head", head_of(F.col("ref"))).join(moves, "__head")
+    moved = flat.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ref", F.concat("__new", F.expr("substring(ref, length(__head) + 1)"))))).alias("__moved"))
+    out = kept.join(moved, key, "left")
+    to = lambda r: F.coalesce(F.element_at("__moved", r), r)
+    touched = F.col("__moved").isNotNull()
+    out = out.withColumn("reference_ids", F.when(touched, F.transform("reference_ids", to)).otherwise(F.col("reference_ids")))
+    if more:
+        out = out.withColumn("relation_refs", F.when(touched, F.transform("relation_refs", lambda r: r.withField("reference_id", to(r["reference_id"])))).otherwise(F.col("relation_refs")))
+    return out.select(*rows.columns)
 
 
 def unambiguous(renames: DataFrame, rows: DataFrame) -> DataFrame:
     """Renames whose old head no row bears any more."""
-    heads = rows.select(F.regexp_extract("provision_id", r"^([^#]*)", 1).alias("old_head")).distinct()
+    heads = rows.select(head_of(F.col("provision_id")).alias("old_head")).distinct()
     return renames.join(heads, "old_head", "left_anti")
+
+
+def self_reference_faults(relations: DataFrame, articles: DataFrame) -> DataFrame:
+    """Relations of a document to an article of its own that it doesn't have, where it has numbered articles at all.
+
+    relations: doc, target_doc, target_unit; articles: doc, unit (JO0001 and so on).
+    """
+    numbered = articles.where(F.startswith("unit", F.lit("JO"))).select("doc").distinct()
+    own = relations.where(F.col("doc") == F.col("target_doc")).where(F.startswith("target_unit", F.lit("JO")))
+    return own.join(numbered, "doc", "left_semi").join(articles.select("doc", F.col("unit").alias("target_unit")).distinct(), ["doc", "target_unit"], "left_anti")
+
+
+def drop_phantoms(relations: DataFrame, articles: DataFrame) -> DataFrame:
+    """relations without those of self_reference_faults."""
+    bad = self_reference_faults(relations, articles).select("doc", "target_doc", "target_unit").distinct()
+    return relations.join(bad, ["doc", "target_doc", "target_unit"], "left_anti").select(*relations.columns)

@@ -1,9 +1,11 @@
-"""The vector table: merges by deterministic id, guards and clean-up as joins, and an atomic pointer to its current files."""
+"""The vector table: merges by deterministic id, guards and clean-up as joins, and commits of the buckets that changed."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,8 +31,8 @@ def delete_laws(stored: DataFrame, laws: DataFrame) -> DataFrame:
 
 def stale_versions(stored: DataFrame, keep: DataFrame) -> DataFrame:
     """Rows of laws that keep names, in versions that it doesn't name. Null versions in keep count for nothing; rows without a version are stale."""
-    named = keep.where("version_uid is not null").select(*LAW, "version_uid").distinct()
-    return stored.join(named.select(*LAW).distinct(), LAW, "left_semi").join(named, [*LAW, "version_uid"], "left_anti")
+    named = keep.where("version_uid is not null").groupBy(*LAW).agg(F.collect_set("version_uid").alias("__kept"))  # a law's versions are few
+    return stored.join(named, LAW).where(~F.coalesce(F.array_contains("__kept", F.col("version_uid")), F.lit(False))).drop("__kept")
 
 
 def orphan_units(stored: DataFrame, keep: DataFrame) -> DataFrame:
@@ -87,33 +89,106 @@ def compare_exports(a: DataFrame, b: DataFrame, digits: int = 6) -> DataFrame:
     return j.select(F.coalesce("a.uuid", "b.uuid").alias("uuid"), fault.alias("fault")).where("fault is not null")
 
 
+def dimension_fault(stored: DataFrame, dim: int, vector: str = "vector") -> str | None:
+    """Why vectors of this dimension don't fit the table; None if they do or the table has none. One row is looked at."""
+    held = stored.select(F.size(vector).alias("d")).where("d >= 0").limit(1).collect()
+    return f"stored vectors have {held[0]['d']} dimensions, not {dim}" if held and held[0]["d"] != dim else None
+
+
+def quality_targets(docs: DataFrame) -> DataFrame:
+    """What is left to preprocess, by predicate: documents without text of their own, appendices that are files, images in articles; with the documents' paths."""
+    hit = lambda c, name: F.struct(F.lit(name).alias("target"), c.cast("long").alias("n"))
+    flat = docs.select("path", F.explode(F.array(hit(F.col("file_only"), "document_file"), hit(F.col("pending"), "appendix"), hit(F.col("images"), "article_image"))).alias("t")).select("path", "t.*").where("n > 0")
+    return flat.groupBy("target").agg(F.sum("n").alias("n"), F.countDistinct("path").alias("documents"))
+
+
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed since this one read the table."""
+
+
+BUCKETS = 64
+
+
+def bucket(n: int = BUCKETS) -> Column:
+    """The bucket of a law's rows, whatever their domain."""
+    return F.pmod(F.xxhash64("law_id"), F.lit(n)).cast("int")
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
-def commit(df: DataFrame, root: str) -> str:
-    """Write df beside the current files of root, then move the pointer: readers see all of it or none."""
+def _generations(spark: SparkSession, root: str) -> list[int]:
+    fs, path = _fs(spark, root)
+    if not fs.exists(path(root)):
+        return []
+    return sorted(int(f.getPath().getName()[4:-5]) for f in fs.listStatus(path(root)) if f.getPath().getName().startswith("gen-"))
+
+
+def _manifest(spark: SparkSession, root: str, generation: int) -> dict[int, str]:
+    """The folder of each bucket that has rows."""
+    return {int(k): v for k, v in json.loads(spark.read.text(f"{root}/gen-{generation:08d}.json", wholetext=True).first()[0]).items()}
+
+
+def generation(spark: SparkSession, root: str) -> int:
+    """The number of the last commit; 0 before the first."""
+    return max(_generations(spark, root), default=0)
+
+
+def commit(df: DataFrame, root: str, touched: list[int] | None = None, after: int | None = None, buckets: int = BUCKETS) -> int:
+    """Write df beside the current files of root, then name the next generation: readers see all of it or none.
+
+    df holds all rows of the touched buckets (of the whole table where none are named); other buckets keep their files.
+    after: the generation that df was made from; if another writer was faster, nothing changes and ConcurrentWrite is raised.
+    """
     spark = df.sparkSession
+    after = generation(spark, root) if after is None else after
     name = f"v-{uuid.uuid4().hex}"
-    df.write.parquet(f"{root}/{name}")
+    df.withColumn("__bucket", bucket(buckets)).repartition("__bucket").write.partitionBy("__bucket").parquet(f"{root}/{name}")
     fs, path = _fs(spark, root)
-    out = fs.create(path(f"{root}/next-{name}.txt"))
-    out.write(bytearray(name.encode()))
+    held = {} if touched is None or not after else {k: v for k, v in _manifest(spark, root, after).items() if k not in set(touched)}
+    for f in fs.listStatus(path(f"{root}/{name}")):
+        if f.getPath().getName().startswith("__bucket="):
+            held[int(f.getPath().getName()[9:])] = f"{name}/{f.getPath().getName()}"
+    if not held:  # an empty table keeps its schema
+        df.limit(0).coalesce(1).write.parquet(f"{root}/{name}/empty")
+        held[-1] = f"{name}/empty"
+    out = fs.create(path(f"{root}/{name}.json"))
+    out.write(bytearray(json.dumps(held).encode()))
     out.close()
     jvm = spark.sparkContext._jvm
-    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    plain = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
     files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    files.rename(path(f"{root}/next-{name}.txt"), path(f"{root}/current.txt"), over)
-    return name
+    try:
+        files.rename(path(f"{root}/{name}.json"), path(f"{root}/gen-{after + 1:08d}.json"), plain)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in str(e.java_exception):
+            raise ConcurrentWrite(f"generation {after + 1} exists") from e
+        raise
+    return after + 1
+
+
+def current(spark: SparkSession, root: str, touched: list[int] | None = None) -> DataFrame | None:
+    """The table (or the touched buckets' rows of it) as of the last commit; None before the first."""
+    last = generation(spark, root)
+    if not last:
+        return None
+    held = _manifest(spark, root, last)
+    folders = [f"{root}/{v}" for k, v in held.items() if touched is None or k in set(touched)]
+    if not folders:
+        return spark.read.parquet(f"{root}/{next(iter(held.values()))}").limit(0)
+    return spark.read.parquet(*folders)
 
 
-def current(spark: SparkSession, root: str) -> DataFrame | None:
-    """The table that the pointer names; None before the first commit."""
+def remove_old(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete the files that none of the last generations names; the names of what went."""
+    numbers = _generations(spark, root)
+    used = {v.split("/")[0] for n in numbers[-keep:] for v in _manifest(spark, root, n).values()}
     fs, path = _fs(spark, root)
-    if not fs.exists(path(f"{root}/current.txt")):
-        return None
-    name = spark.read.text(f"{root}/current.txt").first()[0]
-    return spark.read.parquet(f"{root}/{name}")
+    gone = [f.getPath().getName() for f in fs.listStatus(path(root)) if f.getPath().getName().startswith("v-") and f.getPath().getName() not in used]
+    gone += [f"gen-{n:08d}.json" for n in numbers[:-keep]]
+    for name in gone:
+        fs.delete(path(f"{root}/{name}"), True)
+    return gone

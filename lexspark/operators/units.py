@@ -126,8 +126,13 @@ def file_chunks(parsed: DataFrame) -> DataFrame:
     return rows.withColumns({"unit_type": unit, "source_type": F.lit("FILE"), "chunk_id": ids.file_chunk_id(F.col("version_uid"), F.col("provision_id"), F.col("file_id"), F.col("chunk_index"))})
 
 
-def quality(rows: DataFrame, content: str = "content", most_dropped: float = 0.05) -> DataFrame:
-    """Seen, filler and dropped counts and the guard's verdict."""
-    filler = text.is_filler(text.collapse_padding(F.col(content)))
-    out = rows.agg(F.count("*").alias("seen"), F.count_if(filler).alias("dropped"), F.count_if(filler & F.rlike(F.coalesce(F.col(content), F.lit("")), F.lit(r"[\p{L}\p{N}]"))).alias("dropped_real"))
-    return out.withColumn("verdict", F.when(F.col("dropped_real") > 0, "fail: real text dropped").when(F.col("dropped") > most_dropped * F.col("seen"), "fail: too much dropped").otherwise("pass"))
+def quality(rows: DataFrame, content: str = "content", kept: str | None = None, by: list[str] | None = None, most_dropped: float = 0.05) -> DataFrame:
+    """Seen and dropped chunks, real characters in what was dropped, and the guard's verdict; for each of `by`.
+
+    kept: a column that says what stays; without it, fillers go.
+    """
+    padded = text.collapse_padding(F.coalesce(F.col(content), F.lit("")))
+    dropped = text.is_filler(padded) if kept is None else ~F.coalesce(F.col(kept), F.lit(False))
+    real = F.length(F.regexp_replace(padded, "(?U)" + text.FILLER, ""))
+    out = rows.groupBy(*(by or [])).agg(F.count("*").alias("seen"), F.count_if(dropped).alias("dropped"), F.coalesce(F.sum(F.when(dropped, real)), F.lit(0)).cast("long").alias("dropped_real_chars"))
+    return out.withColumn("verdict", F.when(F.col("dropped_real_chars") > 0, "fail: dropped_chunks_had_content").when(F.col("dropped") > most_dropped * F.col("seen"), "fail: chunks_dropped_ratio").otherwise("pass"))

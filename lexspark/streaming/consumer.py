@@ -2,64 +2,114 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexspark.functions import ids
 from lexspark.operators import packages as pk
+from lexspark.operators import references
 from lexspark.operators import store as st
 from lexspark.sources import packages as src
 
 RecordsToRows = Callable[[DataFrame], DataFrame]
+STATE = "package string, attempt int, state string, permanent boolean, errors array<string>, run string, batch long"
 
 
-def flush(stored: DataFrame | None, records: DataFrame, to_rows: RecordsToRows) -> DataFrame:
-    """The table after one batch of records.
+def with_domain(records: DataFrame) -> DataFrame:
+    """records with the domain of each: its own target first, then its package's source."""
+    source = src.headers(records).select("package", F.col("source").alias("__source"))
+    return records.join(source, "package", "left").withColumn("domain", ids.domain(F.col("doc_target"), F.col("__source"))).drop("__source")
 
-    to_rows makes store rows (domain, law_id, version_uid, mst, source_type, chunk_id, uuid, ...) of folded laws. Laws
-    to delete go; laws with content are written unless a newer version is stored; their stale versions and orphaned
-    chunks go after the new rows are in.
+
+def flush(stored: DataFrame | None, records: DataFrame, fresh: DataFrame, older: bool = False) -> DataFrame:
+    """The table after one batch of records (with their domain).
+
+    fresh: the store rows (domain, law_id, version_uid, mst, source_type, chunk_id, file_id, uuid, ...) of the laws with
+    content. Laws to delete go, in their domain alone; laws with content are written unless a newer version is stored
+    (or older ones are allowed); their stale versions and orphaned units and file chunks go after the new rows are in.
+    Renames come last.
     """
-    folded = pk.fold_laws(records)
-    fresh = to_rows(folded.where("action = 'upsert'"))
+    laws = ["domain", "law_id"]
     if stored is None:
-        return fresh
-    heads = fresh.select("domain", "law_id", "version_uid", "mst").distinct()
-    late = st.older_than_stored(heads, stored).select("domain", "law_id").distinct()
-    fresh = fresh.join(late, ["domain", "law_id"], "left_anti")
-    gone = folded.where("action = 'delete'").select("law_id").distinct()
-    kept = stored.join(gone, "law_id", "left_anti")
-    merged = st.upsert(kept, fresh)
-    stale = st.stale_versions(merged, fresh)
-    orphans = st.orphan_units(merged, fresh)
-    drop = stale.select("uuid").unionByName(orphans.select("uuid")).distinct()
-    return merged.join(drop, "uuid", "left_anti")
+        merged = fresh
+    else:
+        if not older:
+            heads = fresh.select(*laws, "version_uid", "mst").distinct()
+            fresh = fresh.join(st.older_than_stored(heads, stored).select(*laws).distinct(), laws, "left_anti")
+        gone = pk.fold_laws(records).where("action = 'delete'").select(*laws).distinct()
+        merged = st.upsert(st.delete_laws(stored, gone), fresh)
+        drop = st.stale_versions(merged, fresh).select("uuid").unionByName(st.orphan_units(merged, fresh).select("uuid"))
+        if "file_id" in merged.columns:
+            drop = drop.unionByName(st.orphan_files(merged, fresh.where("source_type = 'FILE'")).select("uuid"))
+        merged = merged.join(drop.distinct(), "uuid", "left_anti")
+    if "reference_ids" not in merged.columns:
+        return merged
+    return references.apply_renames(merged, references.rename_heads(records.where("record_type = 'rename'")))
+
+
+def judge(records: DataFrame, before: DataFrame, most_attempts: int) -> DataFrame:
+    """State of each package of records: done, retry, or quarantined; before: the states so far.
+
+    A package without footer is tried again until most_attempts; errors that trying again can't mend quarantine it at once.
+    """
+    content = records.where("record_type is null or record_type not in ('package_header', 'package_footer')")
+    verdicts = pk.reconcile(content, ["package"], src.footers(records), src.headers(records).select("package"))
+    errors = records.where("error is not null").groupBy("package").agg(F.collect_set("error").alias("errors"))
+    tried = before.where("state = 'retry'").groupBy("package").agg(F.count("*").cast("int").alias("tried"))
+    out = verdicts.join(errors, "package", "left").join(tried, "package", "left")
+    out = out.withColumns({"attempt": F.coalesce("tried", F.lit(0)) + 1, "errors": F.coalesce("errors", F.array().cast("array<string>")), "permanent": (F.col("verdict") == "quarantine") | F.col("errors").isNotNull()})
+    state = F.when(F.col("permanent"), "quarantined").when(F.col("verdict") == "ok", "done").otherwise(F.when(F.col("attempt") >= most_attempts, "quarantined").otherwise("retry"))
+    out = out.withColumn("errors", F.when(F.col("verdict") == "quarantine", F.concat("errors", F.array(F.lit("record_count")))).when(F.col("verdict") == "retry", F.concat("errors", F.array(F.lit("footer missing")))).otherwise(F.col("errors")))
+    return out.select("package", "attempt", state.alias("state"), "permanent", "errors")
+
+
+def _states(spark: SparkSession, root: str) -> DataFrame:
+    fs, path = st._fs(spark, root)
+    return spark.read.schema(STATE).parquet(f"{root}/state/*") if fs.exists(path(f"{root}/state")) else spark.createDataFrame([], STATE)
+
+
+def _take(files: DataFrame, root: str, to_rows: RecordsToRows, most_attempts: int, run: str, batch: int) -> None:
+    """Consume the packages of files (package, value): a batch taken twice gives the same table, as ids are deterministic."""
+    spark = files.sparkSession
+    at = f"{root}/staged/{run}-{batch}"
+    lines = files.select("package", F.posexplode(F.split("value", "\n")).alias("line_no", "body"))
+    with_domain(src.parse_records(lines)).write.mode("overwrite").parquet(f"{at}-records")
+    records = spark.read.parquet(f"{at}-records")
+    before = _states(spark, root).where(~((F.col("run") == run) & (F.col("batch") == batch)))
+    judge(records, before, most_attempts).write.mode("overwrite").parquet(f"{at}-states")
+    states = spark.read.parquet(f"{at}-states")
+    content = records.where("record_type is null or record_type not in ('package_header', 'package_footer')")
+    good = content.join(states.where("state = 'done'").select("package"), "package", "left_semi")
+    if not good.isEmpty():
+        # made once: the guards and merges below read it several times
+        to_rows(pk.fold_laws(good).where("action = 'upsert'")).write.mode("overwrite").parquet(f"{at}-rows")
+        fresh = spark.read.parquet(f"{at}-rows")
+        last = st.generation(spark, root)
+        laws = good.select("law_id").unionByName(fresh.select("law_id")).where("law_id is not null").distinct()
+        # a rename may touch any row; else only the laws' buckets (at most BUCKETS numbers) are rewritten
+        touched = None if not good.where("record_type = 'rename'").isEmpty() else [r[0] for r in laws.select(st.bucket().alias("b")).distinct().collect()]
+        st.commit(flush(st.current(spark, root, touched), good, fresh), root, touched, last)
+    bad = states.where("state = 'quarantined'").join(src.headers(records).select("package", "source"), "package", "left")
+    pk.nack(bad, records).write.mode("overwrite").parquet(f"{root}/nack/run={run}-{batch}")
+    states.select("package", "attempt", "state", "permanent", "errors", F.lit(run).alias("run"), F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{root}/state/{run}-{batch}")
 
 
 def consume(spark: SparkSession, folder: str, root: str, checkpoint: str, to_rows: RecordsToRows, most_attempts: int = 5) -> None:
-    """Consume all packages of folder that were not consumed yet, one file a batch in order of arrival.
+    """Consume the packages of folder that wait for another attempt, then those that came since, one file a batch in order of arrival.
 
-    A package without footer or with errors goes to root/quarantine; others are merged and committed. Replaying a batch
-    gives the same table, as ids are deterministic.
+    root/state logs each attempt; root/nack tells producers which laws of quarantined packages to send again.
     """
+    waiting = [r["package"] for r in latest_state(_states(spark, root), "package", "attempt").where("state = 'retry'").select("package").collect()]  # files in the folder whose footer lacks
+    again = spark.read.text(folder, wholetext=True, pathGlobFilter="*.jsonl").select(F.col("_metadata.file_name").alias("package"), "value") if waiting else None
+    run = f"again-{uuid.uuid4().hex}"
+    for n, package in enumerate(sorted(waiting)):
+        _take(again.where(F.col("package") == package), root, to_rows, most_attempts, run, n)
     lines = spark.readStream.format("text").option("wholetext", "true").option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.jsonl").load(folder)
     files = lines.select(F.col("_metadata.file_name").alias("package"), "value")
-
-    def batch(df: DataFrame, number: int) -> None:
-        rows = df.select("package", F.posexplode(F.split("value", "\n")).alias("line_no", "body"))
-        records = src.parse_records(rows).cache()
-        content = records.where("record_type is null or record_type not in ('package_header', 'package_footer')")
-        verdicts = pk.reconcile(content, ["package"], src.footers(records)).join(records.groupBy("package").agg(F.count_if(F.col("error").isNotNull()).alias("errors")), "package")
-        bad = verdicts.where("verdict <> 'ok' or errors > 0")
-        bad.select("package", "verdict", "errors", F.lit(number).alias("batch")).write.mode("overwrite").parquet(f"{root}/quarantine/batch={number}")
-        good = content.join(bad.select("package"), "package", "left_anti")
-        if not good.isEmpty():
-            stored = st.current(df.sparkSession, root)
-            st.commit(flush(stored, good, to_rows), root)
-        records.unpersist()
-
-    query = files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = files.writeStream.foreachBatch(lambda df, n: _take(df, root, to_rows, most_attempts, "stream", n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

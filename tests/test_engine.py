@@ -1,6 +1,10 @@
 """Units, packages, store, intake, references, sources and the stream over hand-made payloads."""
 
+import collections
+import hashlib
+import io
 import json
+import warnings
 import zipfile
 
 import pytest
@@ -125,10 +129,66 @@ def test_stream_guards_cleans_and_replays(spark, tmp_path):
     assert state() == {"A-A:20250101-0": "new"}  # stale version and deleted law gone
     before = state()
     run("5", doc("C", "C:20250101", "q"), count=9)
-    assert state() == before and spark.read.parquet(f"{root}/quarantine").count() == 1
+    log = lambda: {(r["package"], r["attempt"]): (r["state"], r["permanent"]) for r in spark.read.parquet(f"{root}/state/*").collect()}
+    assert state() == before and log()["5.jsonl", 1] == ("quarantined", True)
+    nacks = lambda: {r["package"]: (r["kind"], r["law_ids"], r["source"]) for r in spark.read.parquet(f"{root}/nack").collect()}
+    assert nacks() == {"5.jsonl": ("permanent", ["C"], "law")}
+    run("6", doc("D", "D:20250101", "q"), footer=False)  # no footer yet: tried again
+    assert log()["6.jsonl", 1] == ("retry", False) and state() == before
+    run("7", {"record_type": "delete", "law_id": "zz"})
+    assert log()["6.jsonl", 2] == ("retry", False)
+    write_package(inbox / "6.jsonl", doc("D", "D:20250101", "q"))
+    consumer.consume(spark, str(inbox), root, f"{tmp_path}/ck", to_rows)
+    assert log()["6.jsonl", 3] == ("done", False) and state() == before | {"D-D:20250101-0": "q"}
+    run("8", doc("E", "E:1", "q"), footer=False)
+    for _ in range(4):
+        consumer.consume(spark, str(inbox), root, f"{tmp_path}/ck", to_rows)
+    assert log()["8.jsonl", 5] == ("quarantined", False) and nacks()["8.jsonl"] == ("transient_exhausted", ["E"], "law")
+    assert ("8.jsonl", 6) not in log()
+    assert len(st.remove_old(spark, root)) > 2 and state() == before | {"D-D:20250101-0": "q"}
     assert st.current(spark, f"{tmp_path}/nothing") is None
 
 
+def test_deletes_stay_in_their_domain(spark):
+    """The same id in two collections: a law's delete leaves the rule."""
+    row = lambda domain, law, version="L:20240101", kind="JSON", file=None, n=0: (domain, law, version, "1", kind, f"{domain}{law}{version}{kind}{file}{n}", file, f"{domain}{law}{version}{kind}{file}{n}")
+    schema = "domain string, law_id string, version_uid string, mst string, source_type string, chunk_id string, file_id string, uuid string"
+    stored = spark.createDataFrame([row("law", "A"), row("admrul", "A"), row("law", "B", "L:20240101", "FILE", "f1", 0), row("law", "B", "L:20240101", "FILE", "f1", 1), row("law", "B", "L:20240101", "FILE", "f2", 0)], schema)
+    lines = lambda *rs: spark.createDataFrame([("p", k, json.dumps(r)) for k, r in enumerate(rs)], "package string, line_no int, body string")
+    given = consumer.with_domain(packages.parse_records(lines({"record_type": "package_header", "source": "law"}, {"record_type": "delete", "law_id": "A"}))).where("record_type <> 'package_header'")
+    out = consumer.flush(stored, given, stored.limit(0))
+    assert sorted((r["domain"], r["law_id"]) for r in out.collect()) == [("admrul", "A"), ("law", "B"), ("law", "B"), ("law", "B")]
+    own = consumer.with_domain(packages.parse_records(lines({"record_type": "package_header", "source": "law"}, {"record_type": "delete", "law_id": "A", "doc_target": "admrul"}))).where("record_type <> 'package_header'")
+    assert sorted((r["domain"], r["law_id"]) for r in consumer.flush(stored, own, stored.limit(0)).collect())[0] == ("law", "A")
+    # a file with one chunk fewer: the orphan goes, other files stay
+    fresh = spark.createDataFrame([row("law", "B", "L:20240101", "FILE", "f1", 0)], schema)
+    out = consumer.flush(stored, given.limit(0), fresh)
+    assert sorted(r["uuid"] for r in out.where("law_id = 'B'").collect()) == ["lawBL:20240101FILEf10", "lawBL:20240101FILEf20"]
+    # dashed dates rank as dates
+    late = spark.createDataFrame([row("law", "A", "L:2023-12-31")], schema)
+    assert consumer.flush(stored, given.limit(0), late).where("version_uid like '%2023%'").count() == 0
+    assert consumer.flush(stored, given.limit(0), late, older=True).where("version_uid like '%2023%'").count() == 1
+    newer = spark.createDataFrame([row("law", "A", "L:2025-01-01")], schema)
+    assert [r["version_uid"] for r in consumer.flush(stored, given.limit(0), newer).where("law_id = 'A' and domain = 'law'").collect()] == ["L:2025-01-01"]
+
+
+def test_commits_touch_buckets_and_see_other_writers(spark, tmp_path):
+    root = f"{tmp_path}/t"
+    df = spark.createDataFrame([("law", f"L{k}", k) for k in range(40)], "domain string, law_id string, n int")
+    assert st.commit(df, root, buckets=8) == 1
+    one = df.where("law_id = 'L7'").withColumn("b", st.bucket(8)).first()["b"]
+    part = df.where(st.bucket(8) == one)
+    assert st.commit(part.withColumn("n", F.col("n") + 100), root, [one], 1, 8) == 2
+    got = {r["law_id"]: r["n"] for r in st.current(spark, root).collect()}
+    gone = {r["law_id"] for r in part.collect()}
+    assert got == {f"L{k}": k + 100 * (f"L{k}" in gone) for k in range(40)}
+    assert {r["law_id"] for r in st.current(spark, root, [one]).collect()} == gone
+    with pytest.raises(st.ConcurrentWrite):
+        st.commit(part, root, [one], 1, 8)
+    assert st.commit(part.limit(0), root, [one], 2, 8) == 3 and st.current(spark, root).count() == 40 - len(gone)
+    assert st.commit(df.limit(0), root) == 4 and st.current(spark, root).count() == 0 and st.current(spark, root).columns == df.columns
+
+
 def test_stale_versions_and_nulls(spark):
     stored = spark.createDataFrame([("law", "A", "1"), ("law", "A", None), ("law", "A", "2"), ("adm", "A", "1"), ("law", "B", "1")], "domain string, law_id string, version_uid string")
     keep = spark.createDataFrame([("law", "A", "2"), ("law", "A", None), ("law", "B", None)], stored.schema)
@@ -140,20 +200,105 @@ def test_vector_faults(spark):
     assert [r[0] for r in df.orderBy("k").select(st.vector_fault(F.col("v"), 2)).collect()] == [None, "zero", "not finite", "dimension", "missing", "not finite", "not finite"]
 
 
+def zipped(*members):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for name, data in members:
+            z.writestr(name, data)
+    return out.getvalue()
+
+
 def test_zip_members(spark, tmp_path):
-    inner = tmp_path / "inner.bin"
-    with zipfile.ZipFile(inner, "w") as z:
-        z.writestr("deep.hwp", b"d")
-        z.writestr("skip.json", b"{}")
-    with zipfile.ZipFile(tmp_path / "one.zip", "w") as z:
-        z.writestr("law/가/doc.json", b"{}")
-        z.writestr("law/가/nested.zip", inner.read_bytes())
-        z.writestr("__MACOSX/x", b"")
-        z.writestr("../up.pdf", b"")
-        z.writestr("a.exe", b"")
+    deepest = zipped(("x.pdf", b"4"), ("four.zip", zipped(("lost.pdf", b"5"))))
+    third = zipped(("deep.hwp", b"3"), ("last.zip", deepest))
+    inner = zipped(("sub/first.hwp", b"1"), ("skip.json", b"{}"), ("__MACOSX/j", b""), ("../up.pdf", b""), ("two.zip", third), ("sub2/first.hwp", b"1b"))
+    link = zipfile.ZipInfo("link.pdf")
+    link.external_attr = 0o120777 << 16
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        one = zipped(("law/가/doc.json", b"{}"), ("law/가/set.zip", inner), ("law/가/broken.zip", b"PK no"), ("__MACOSX/x", b""), ("../up.pdf", b""), ("a\\b.pdf", b"w"), ("a.exe", b""), (link, b"t"), ("twice.pdf", b"1"), ("twice.pdf", b"2"), ("x.manifest.json", b"{}"), ("manifest.json", b"{}"))
+    (tmp_path / "one.zip").write_bytes(one)
+    damaged = bytearray(zipped(("good.pdf", b"good"), ("bad.pdf", b"payload")))
+    damaged[damaged.index(b"payload")] ^= 1
+    (tmp_path / "crc.zip").write_bytes(bytes(damaged))
     (tmp_path / "bad.zip").write_bytes(b"not a zip")
-    got = sorted((r["path"], r["error"]) for r in zips.read_zips(spark, str(tmp_path)).collect())
-    assert got == sorted([("law/가/doc.json", None), ("law/가/deep.hwp", None), ("__MACOSX/x", "os_metadata_ignored"), ("../up.pdf", "path_unsafe"), ("a.exe", "unsupported_extension"), ("", "zip_corrupt")])
+    got = sorted((r["zip"].rpartition("/")[2], r["path"], r["error"]) for r in zips.read_zips(spark, str(tmp_path)).collect())
+    assert [g for g in got if g[0] != "one.zip"] == [("bad.zip", None, "zip_corrupt"), ("crc.zip", None, "zip_corrupt")]
+    assert sorted((p, e) for z, p, e in got if z == "one.zip") == sorted([
+        ("law/가/doc.json", None), ("law/가/set__first.hwp", None), ("law/가/set__first_1.hwp", None), ("law/가/set__two__deep.hwp", None), ("law/가/set__two__last__x.pdf", None), ("law/가/broken.zip", "unsupported_extension"),
+        ("__MACOSX/x", "os_metadata_ignored"), ("../up.pdf", "path_unsafe"), ("a/b.pdf", None), ("a.exe", "unsupported_extension"), ("link.pdf", "path_unsafe"), ("twice.pdf", "path_duplicate"), ("twice.pdf", "path_duplicate"), ("x.manifest.json", "manifest_ignored"), ("manifest.json", "manifest_ignored")])
+    held = {r["path"]: r for r in zips.read_zips(spark, str(tmp_path), content=True).where("zip like '%one.zip'").collect()}
+    assert bytes(held["law/가/set__two__last__x.pdf"]["content"]) == b"4" and held["a/b.pdf"]["sha256"] == hashlib.sha256(b"w").hexdigest()
+
+
+def test_zip_member_names():
+    info = zipfile.ZipInfo("가.pdf")
+    assert zips.member_name(info)[1] is None
+    for raw, want in (("가나".encode("cp949"), ("가나.pdf", None)), ("가나".encode(), ("가나.pdf", None)), (b"\x81\xff\xff", (None, "filename_encoding"))):
+        info = zipfile.ZipInfo(raw.decode("cp437") + ".pdf")
+        info.flag_bits = 0
+        name, fault = zips.member_name(info)
+        assert fault == want[1] and (want[0] is None or name == want[0])
+    assert len(zips.fit_name("가" * 100 + ".hwp").encode()) <= zips.NAME_BYTES and zips.fit_name("가" * 100 + ".hwp").endswith(".hwp") and zips.fit_name("a.b") == "a.b"
+
+
+def test_manifests_beside_their_zips(spark, tmp_path):
+    (tmp_path / "a.manifest.json").write_text('{"n": 1}')
+    (tmp_path / "a.zip.manifest.json").write_text('{"n": 2}')
+    (tmp_path / "b.zip.manifest.json").write_text("[1]")
+    (tmp_path / "c.manifest.json").write_text("{")
+    got = {r["zip"].rpartition("/")[2]: (r["n"], r["error"]) for r in zips.manifests(spark, str(tmp_path)).select("zip", F.try_variant_get("manifest", "$.n", "int").alias("n"), "error").collect()}
+    assert got == {"a.zip": (1, None), "b.zip": (None, "manifest_invalid"), "c.zip": (None, "manifest_invalid")}
+
+
+def test_group_rules(spark):
+    rows = [("src", "1", "law", False, "v", "h", False), ("src", "2", None, False, "v", "h", False), ("mix", "1", "law", True, "v", "h", False), ("mix", "2", "law", None, "v", "h", False),
+            ("gone", "1", "law", True, "v1", "h", False), ("gone", "2", "law", True, "v2", "h2", False), ("ver", "1", "law", False, "v", "h", False), ("ver", "2", "law", False, None, "h", False),
+            ("con", "1", "law", False, "v", "h", False), ("con", "2", "law", False, "v", None, False), ("dup", "1", "law", False, "v", "h", False), ("dup", "2", "law", False, "v", "h", False), ("dup", "2", "law", False, "v", "h", False),
+            ("err", "1", "law", False, "v", "h", True), ("err", "2", "adm", True, "w", "i", False), ("one", "1", "law", False, None, None, None), (None, "1", "a", False, "v", "h", False), (None, "2", "b", False, "v", "h", True)]
+    df = spark.createDataFrame(rows, "law_id string, path string, source string, repealed boolean, version_uid string, hash string, error boolean")
+    got = collections.defaultdict(list)
+    for r in pk.group_faults(df, ["law_id"]).orderBy("path", "issue").collect():
+        got[r["law_id"]].append((r["issue"], r["rejected"]))
+    assert dict(got) == {"src": [("law_id_multi_source", True)] * 2, "mix": [("repeal_conflict", True)] * 2, "gone": [(None, False), ("duplicate", False)], "ver": [("multi_version_unsupported", True)] * 2, "con": [("version_conflict", True)] * 2,
+                         "dup": [(None, False), ("duplicate", False), ("duplicate", False)], "err": [(None, True), (None, True)], "one": [(None, False)], None: [(None, False), (None, True)]}
+
+
+def test_verdicts_and_summaries(spark):
+    df = spark.createDataFrame([(["z1"], 0, 0, 0, [("z", "r")], 1), (None, 1, 2, 3, None, 0), ([], 0, 0, 3, [], 0), (None, 0, 0, 0, None, 1), (None, 0, 0, 0, None, 0)], "f array<string>, s int, a int, p int, g array<struct<zip:string,reason:string>>, w int")
+    at = lambda halt: [tuple(r[0]) for r in df.select(pk.decide(*map(F.col, "fsapgw"), halt_on_partial=halt)).collect()]
+    assert at(True) == [("halt", ["convert_failed:z1", "quality_guard:z:r"]), ("halt", ["lock_conflict", "zip_failed:2", "zip_partial:3"]), ("halt", ["zip_partial:3"]), ("waiting", []), ("ok", [])]
+    assert at(False)[2] == ("ok", [])
+    runs = spark.createDataFrame([("r", 1, 3, 0, ["a"], 5), ("r", 2, 4, None, None, 0), ("r", 3, 1, 1, ["b", "c"], 2)], "run string, n int, total int, failed int, zips array<string>, waiting int")
+    r = pk.merge_summaries(runs, ["run"], "n", ["total", "failed"], ["zips"], ["waiting"]).first()
+    assert (r["total"], r["failed"], r["zips"], r["waiting"], r["attempts"]) == (8, 1, ["a", "b", "c"], 2, 3)
+
+
+def test_packages_without_records(spark):
+    keys = lambda *names: spark.createDataFrame([(n,) for n in names], "package string")
+    feet = spark.createDataFrame([("empty", 5), ("none", 0), ("ok", 1)], "package string, record_count long")
+    got = {r["package"]: (r["records"], r["verdict"]) for r in pk.reconcile(keys("ok", "bare"), ["package"], feet, keys("head", "ok")).collect()}
+    assert got == {"empty": (0, "quarantine"), "none": (0, "ok"), "ok": (1, "ok"), "bare": (1, "retry"), "head": (0, "retry")}
+
+
+def test_receipts_and_retention(spark):
+    now = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    t = lambda d: F.lit(f"2024-01-{d:02d} 00:00:00").cast("timestamp")
+    receipts = spark.range(1).select(t(9).alias("received_at"), F.lit("accepted").alias("status")).union(spark.range(1).select(t(10), F.lit("rejected")))
+    assert tuple(intake.receipt_gap(receipts, now, 3600).select("age_seconds", "attention").first()) == (86_400, True)
+    assert intake.receipt_gap(receipts, now, 90_000).first()["attention"] is False and intake.receipt_gap(receipts.limit(0), now, 1).first()["attention"] is True
+    z = spark.range(1).select(F.lit("a").alias("stem"), t(1).alias("arrived_at")).union(spark.range(1).select(F.lit("b"), t(1))).union(spark.range(1).select(F.lit("c"), t(10)))
+    assert [r["stem"] for r in intake.manifests_overdue(z, spark.createDataFrame([("b",)], "stem string"), now, 3600).collect()] == ["a"]
+    assert intake.expired(z.withColumnRenamed("arrived_at", "modified_at"), now, 5).count() == 2
+    q = spark.createDataFrame([("p1", "permanent"), ("p2", "transient_exhausted"), ("p3", "transient_exhausted"), ("p4", "transient_exhausted")], "package string, kind string")
+    assert [r["package"] for r in intake.requeue(q, spark.createDataFrame([("p2",)], "package string"), "transient_exhausted", 1).collect()] == ["p3"]
+
+
+def test_quality_guard(spark):
+    df = spark.createDataFrame([("a", "| -- |", True), ("a", "글", False), ("b", "| |", False), *[("b", "text", True)] * 30, ("c", "||", False), ("c", "x", True)], "k string, content string, kept boolean")
+    got = {r["k"]: tuple(r)[1:] for r in units.quality(df, kept="kept", by=["k"]).collect()}
+    assert got == {"a": (2, 1, 1, "fail: dropped_chunks_had_content"), "b": (31, 1, 0, "pass"), "c": (2, 1, 0, "fail: chunks_dropped_ratio")}
+    assert tuple(units.quality(df).first()) == (35, 3, 0, "fail: chunks_dropped_ratio")
 
 
 def test_nearest_document_and_matches(spark):
@@ -167,14 +312,27 @@ def test_nearest_document_and_matches(spark):
 
 def test_deliveries_with_and_without_manifest(spark):
     accepted = spark.createDataFrame([("s", "m"), ("t", None)], "sha256 string, manifest_sha256 string")
-    new = spark.createDataFrame([(1, "s", "m"), (2, "s", "other"), (3, "s", None), (4, "t", None), (5, "u", "m")], "k int, sha256 string, manifest_sha256 string")
+    new = spark.createDataFrame([(1, "s", "m"), (2, "s", "other"), (3, "s", None), (4, "t", None), (5, "u", "m"), (6, "t", "m")], "k int, sha256 string, manifest_sha256 string")
     assert sorted(r["k"] for r in intake.new_deliveries(new, accepted).collect()) == [2, 5]
 
 
-def test_renames_stop_at_head_boundaries(spark):
-    rows = spark.createDataFrame([("law:A#1", ["law:B#1"]), ("law:AB#1", ["law:A#2", "law:AB#3"]), ("law:C#1", None)], "provision_id string, reference_ids array<string>")
-    out = references.apply_renames(rows, spark.createDataFrame([("law:A", "law:Z")], "old_head string, new_head string"))
-    assert {r["provision_id"]: r["reference_ids"] for r in out.collect()} == {"law:AB#1": ["law:Z#2", "law:AB#3"], "law:C#1": []}
+def test_renames_stop_at_head_boundaries_and_living_names(spark):
+    schema = "uuid string, domain string, law_id string, provision_id string, reference_ids array<string>, relation_refs array<struct<reference_id: string, link_text: string>>"
+    rows = spark.createDataFrame([("1", "law", "L1", "law:가법#1", ["law:B#1"], None), ("2", "law", "L2", "law:가법B#1", ["law:가법#2", "law:가법B#3", "law:나법#1"], [("law:가법#2", "t"), ("x", "u")]), ("3", "law", "L2", "law:가법B#1", None, None),
+                                  ("4", "law", "L3", "law:나법#1", [], None), ("5", "law", "L4", "law:나법#1", ["law:나법#1"], None), ("6", "admrul", "L1", "law:다#1", ["law:가법"], None)], schema)
+    records = spark.createDataFrame([("law", "L1", "eflaw", "가 법", "새 법"), ("law", "L3", None, "나법", "하법"), ("law", "L5", None, "가 나", "가나")], "domain string, law_id string, doc_target string, old_name string, new_name string")
+    renames = references.rename_heads(records)
+    assert {(r["old_head"], r["new_head"]) for r in renames.collect()} == {("law:가법", "law:새법"), ("law:나법", "law:하법")}
+    out = references.apply_renames(rows, renames)
+    want = {"2": (["law:새법#2", "law:가법B#3", "law:나법#1"], [("law:새법#2", "t"), ("x", "u")]), "3": (None, None), "5": (["law:나법#1"], None), "6": (["law:새법"], None)}
+    show = lambda df: {r["uuid"]: (r["reference_ids"], r["relation_refs"] and [tuple(x) for x in r["relation_refs"]]) for r in df.collect()}
+    assert show(out) == want and show(references.apply_renames(out, renames)) == want
+
+
+def test_phantom_references(spark):
+    articles = spark.createDataFrame([("d1", "JO0001"), ("d1", "JO0002_02"), ("d2", "DOC")], "doc string, unit string")
+    relations = spark.createDataFrame([(1, "d1", "d1", "JO0001"), (2, "d1", "d1", "JO0009"), (3, "d1", "d2", "JO0009"), (4, "d2", "d2", "JO0001"), (5, "d1", "d1", "BYL0001")], "k int, doc string, target_doc string, target_unit string")
+    assert sorted(r["k"] for r in references.drop_phantoms(relations, articles).collect()) == [1, 3, 4, 5]
 
 
 def test_scope_needs_entries(spark):
