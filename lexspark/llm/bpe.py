@@ -56,7 +56,9 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 def _spread(starts: np.ndarray, n: np.ndarray) -> np.ndarray:
     """start, start + 1, ... of each span, n of them, one span after the other."""
     ends = np.cumsum(n, dtype=np.int64)
-    return np.repeat(starts - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+    out = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)  # a batch's ids and characters are few enough
+    out += np.repeat((starts - ends + n).astype(np.int32), n)
+    return out
 
 
 class _Table:
@@ -190,10 +192,14 @@ class PretokenEncoder:
         """Whether each span's characters are those of its entry."""
         size = ends - starts
         same = self.size[row] == size
-        k = np.flatnonzero(same)
-        equal = self.chars[_spread(self.first[row[k]], size[k])] == code[_spread(starts[k], size[k])]
-        if not equal.all():
-            same[np.repeat(k, size[k])[~equal]] = False
+        k = np.flatnonzero(same) if not same.all() else slice(None)
+        size, starts, first = size[k], starts[k], self.first[row[k]]
+        at = _spread(starts, size)
+        given = code[at]
+        at += np.repeat((first - starts).astype(np.int32), size)
+        unequal = self.chars[at] != given
+        if unequal.any():
+            same[np.repeat(np.arange(len(row))[k], size)[unequal]] = False
         return same
 
     def _spans(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
