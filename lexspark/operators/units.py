@@ -40,6 +40,34 @@ def references(relations: Column) -> Column:
     return F.coalesce(F.array_distinct(F.filter(F.transform(relations, lambda r: text.text_or_null(r["reference_id"])), lambda x: x.isNotNull())), F.array().cast("array<string>"))
 
 
+# fixed values: what a relation keeps besides its id, and what it keeps only where it has it
+RELATION_KEYS = ("target_mst", "relation_type", "source_clause", "line_text", "link_text", "target_article_title", "target_url", "resolve_method")
+RELATION_MORE = ("source_admrul_seq", "target_doc_target", "target_doc_kind", "target_git_path", "target_source_repository", "target_repo", "target_git_file_path", "target_git_path_guess", "target_candidates", "target_candidate_paths", "target_missing_unit")
+
+
+def relation_refs(relations: Column) -> Column:
+    """What is known of each reference, the first of each id; blank values are null. Null if there is none."""
+    named = F.filter(relations, lambda r: r.isNotNull() & (F.coalesce(r["reference_id"], F.lit("")) != ""))
+    seen = F.transform(named, lambda r: r["reference_id"])
+    first = F.filter(named, lambda r, i: F.array_position(seen, r["reference_id"]) == i + 1)
+    kept = F.transform(first, lambda r: F.struct(r["reference_id"].alias("reference_id"), *[F.nullif(r[k], F.lit("")).alias(k) for k in RELATION_KEYS + RELATION_MORE]))
+    return F.when(F.size(kept) > 0, kept)
+
+
+def scheduled_changes(changes: Column) -> Column:
+    """When and how an article will change. Null if nothing is announced."""
+    t = text.text_or_null
+    out = F.transform(F.filter(changes, lambda s: s.isNotNull()), lambda s: F.struct(text.iso_date(s["enforcement_date"]).alias("enforcement_date"), t(s["change"]).alias("change"), t(s["content"]).alias("content")))
+    return F.when(F.size(out) > 0, out)
+
+
+def ordinance_summary(delegations: Column, article_no: Column) -> Column:
+    """The ordinances that an article leaves matters to: link text and number of each group. Null if there are none."""
+    mine = F.filter(delegations, lambda e: e.isNotNull() & (text.text_or_null(e["source_article_no"]) == article_no))
+    out = F.transform(mine, lambda e: F.struct(text.text_or_null(e["link_text"]).alias("link_text"), F.coalesce(e["ordinance_count"], F.size(F.coalesce(e["ordinances"], F.array().cast("array<string>")))).alias("count")))
+    return F.when(F.size(out) > 0, out)
+
+
 def addenda_text(addenda: Column) -> Column:
     """All addenda under numbered headings; skipped ones keep their number. Null if none has content."""
 
@@ -77,15 +105,22 @@ def units(docs: DataFrame, source: str = "law") -> DataFrame:
     base = with_common(docs, source).where("law_id is not null and version_uid is not null and doc.body is not null")
     none = F.lit(None).cast("string")
     no_refs = F.array().cast("array<string>")
+    relations = F.lit(None).cast(docs.select(relation_refs(F.col("doc.body.articles")[0]["relations"]).alias("x")).schema["x"].dataType)
+    changes = F.lit(None).cast("array<struct<enforcement_date: string, change: string, content: string>>")
+    groups = F.lit(None).cast("array<struct<link_text: string, count: int>>")
+    d = F.col("doc")
+    once = [text.text_or_null(d["promulgation_no"]).alias("promulgation_no"), F.when(F.size(d["future_enforcement_dates"]) > 0, d["future_enforcement_dates"]).alias("future_enforcement_dates"), d["repealed"].alias("repealed"),
+            d["repeal_scheduled"].alias("repeal_scheduled"), text.iso_date(d["repealed_at"]).alias("repealed_at")]
 
     def unit(df: DataFrame, rank: int, kind: str, pos: Column, **cols: Column) -> DataFrame:
-        given = {"unit_no": none, "unit_title": none, "chapter": none, "chapter_path": none, "provision_id": none, "identity": none, "parent_provision_id": none, "enforcement_date": F.col("doc.enforcement_date"), "reference_ids": no_refs, "content": none} | cols
-        return df.select(*COMMON, F.struct(F.lit(rank).alias("kind"), pos.cast("int").alias("pos")).alias("unit_ord"), F.lit(kind).alias("unit_type"), *[c.alias(n) for n, c in given.items()])
+        given = {"unit_no": none, "unit_title": none, "chapter": none, "chapter_path": none, "provision_id": none, "identity": none, "parent_provision_id": none, "enforcement_date": F.col("doc.enforcement_date"), "reference_ids": no_refs, "relation_refs": relations, "scheduled": changes, "image_urls": none, "ordinance_delegations": groups, "content": none} | cols
+        return df.select(*COMMON, *once, F.struct(F.lit(rank).alias("kind"), pos.cast("int").alias("pos")).alias("unit_ord"), F.lit(kind).alias("unit_type"), *[c.alias(n) for n, c in given.items()])
 
     t = text.text_or_null
     a = base.select(*COMMON, "doc", "doc_base", F.posexplode("doc.body.articles").alias("pos", "a")).where("a is not null")
     articles = unit(a, 0, "ARTICLE", F.col("pos"), unit_no=t(F.col("a.article_no")), unit_title=t(F.col("a.article_title")), chapter=t(F.col("a.chapter")), chapter_path=t(F.col("a.chapter_path")),
-                    provision_id=t(F.col("a.provision_id")), parent_provision_id=t(F.col("a.parent_provision_id")), enforcement_date=F.coalesce("a.enforcement_date", "doc.enforcement_date"), reference_ids=references(F.col("a.relations")), content=F.col("a.content"))
+                    provision_id=t(F.col("a.provision_id")), parent_provision_id=t(F.col("a.parent_provision_id")), enforcement_date=F.coalesce("a.enforcement_date", "doc.enforcement_date"), reference_ids=references(F.col("a.relations")), relation_refs=relation_refs(F.col("a.relations")), scheduled=scheduled_changes(F.col("a.scheduled")),
+                    image_urls=F.when(F.size("a.images") > 0, F.to_json("a.images")), ordinance_delegations=ordinance_summary(F.col("doc.ordinance_delegations"), t(F.col("a.article_no"))), content=F.col("a.content"))
     addenda = unit(base.where(addenda_text(F.col("doc.addenda")).isNotNull()), 1, "ADDENDUM", F.lit(0), unit_title=F.lit("부칙"), content=addenda_text(F.col("doc.addenda")),
                    provision_id=F.coalesce(t(F.col("doc.addendum_provision_id")), F.concat("doc_base", F.lit("#ADDENDUM"))))
     x = base.select(*COMMON, "doc", "doc_base", F.posexplode("doc.appendices").alias("pos", "x")).where("x is not null and not coalesce(x.is_file_only, false)").where(~text.is_deleted_notice(F.col("x.content")))
@@ -108,21 +143,46 @@ def chunks(units_df: DataFrame, uuid_prefix: str = "chunk:") -> DataFrame:
     chunk_id = ids.json_chunk_id(F.col("version_uid"), F.coalesce("identity", "provision_id"), F.col("unit_type"), F.col("unit_no"), F.col("chunk_index"))
     rows = rows.withColumns({"chunk_id": chunk_id, "source_type": F.lit("JSON"), "search_text": text.search_text(F.col("prefix"), F.col("content")), "content_hash": F.sha2("content", 256),
                              "enforcement_date": text.iso_date(F.col("enforcement_date")), "reference_ids": F.when(F.col("chunk_index") == 0, F.col("reference_ids")).otherwise(F.array().cast("array<string>"))})
+    rows = rows.withColumns({c: F.when(F.col("chunk_index") == 0, F.col(c)) for c in UNIT_ONLY if c in rows.columns})
     return rows.withColumn("uuid", ids.object_uuid(F.col("chunk_id"), uuid_prefix)).drop("identity", "chapter_path", "prefix")
 
 
+# fixed values: what the first chunk of a unit, and of a document, carries alone
+UNIT_ONLY = ("relation_refs", "scheduled", "image_urls", "ordinance_delegations")
+DOCUMENT_ONLY = ("promulgation_no", "future_enforcement_dates", "repealed", "repeal_scheduled", "repealed_at")
+
+
 def with_header(rows: DataFrame) -> DataFrame:
-    """Marks the first chunk of each document, which alone carries document-level metadata."""
-    w = Window.partitionBy("domain", "law_id", "version_uid").orderBy("unit_ord", "chunk_index")
-    return rows.withColumn("is_header", F.row_number().over(w) == 1)
+    """Marks the first chunk of each document, which alone keeps document-level metadata."""
+    key = ["domain", "law_id", "version_uid"]
+    first = rows.groupBy(*key).agg(F.min(F.struct("unit_ord", "chunk_index")).alias("__first"))  # one row a document, whatever its length
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}"))
+    out = rows.alias("r").join(first.alias("f"), same).select("r.*", (F.struct("r.unit_ord", "r.chunk_index") == F.col("__first")).alias("is_header"))
+    return out.withColumns({c: F.when(F.col("is_header"), F.col(c)) for c in DOCUMENT_ONLY if c in rows.columns})
+
+
+# fixed values: the properties that rows are stored with by themselves; all others go into meta
+PROPERTIES = ("chunk_id", "provision_id", "law_id", "version_uid", "file_id", "unit_type", "is_current", "enforcement_date", "reference_ids", "parent_provision_id", "ministry", "domain", "law_name", "law_type", "source_type", "is_future", "revision_type", "git_path",
+              "search_text", "content", "law_abbr", "unit_no", "unit_title", "chapter", "source_url", "mst", "adm_uid", "file_name", "file_url", "page_no", "chunk_index", "chunk_count", "promulgation_date", "revision_date")
 
 
-def file_chunks(parsed: DataFrame) -> DataFrame:
-    """Parsed attachments (version_uid, law_id, provision_id, file_name, file_url, unit_type, chunks) to FILE rows: fillers go, places in the file stay."""
+def stored(rows: DataFrame, key: str = "uuid") -> DataFrame:
+    """Rows as they are stored: the key, the properties, and meta (JSON of all the rest without nulls)."""
+    rest = [c for c in rows.columns if c not in PROPERTIES and c not in (key, "vector", "unit_ord", "is_header")]
+    return rows.select(key, *[c for c in PROPERTIES if c in rows.columns], (F.to_json(F.struct(*rest)) if rest else F.lit("{}")).alias("meta"), *(c for c in ("vector",) if c in rows.columns))
+
+
+def file_chunks(parsed: DataFrame, drop_fillers: bool = True) -> DataFrame:
+    """Parsed attachments (version_uid, law_id, provision_id, file_name, file_url, unit_type, chunks) to FILE rows: fillers go (unless they are to stay), places in the file stay.
+
+    A file of no given kind is an appendix where it has a provision.
+    """
     rows = parsed.withColumn("file_id", F.coalesce("file_id", ids.file_id(F.col("version_uid"), F.col("provision_id"), F.col("file_name"))))
-    rows = rows.withColumn("kept", F.filter(F.transform("chunks", lambda c, i: F.struct(F.coalesce(c["chunk_index"], i).alias("chunk_index"), text.collapse_padding(c["content"]).alias("content"), c["page_no"].alias("page_no"))), lambda c: ~text.is_filler(c["content"])))
+    rows = rows.withColumn("kept", F.filter(F.transform("chunks", lambda c, i: F.struct(F.coalesce(c["chunk_index"], i).alias("chunk_index"), text.collapse_padding(c["content"]).alias("content"), c["page_no"].alias("page_no"))), lambda c: ~text.is_filler(c["content"]) if drop_fillers else F.lit(True)))
     rows = rows.select("*", F.size("kept").alias("chunk_count"), F.explode("kept").alias("c")).select("*", "c.*").drop("c", "kept", "chunks")
-    unit = F.when(F.col("unit_type").isNull() | F.col("unit_type").isin("DOCUMENT_FILE", "ATTACHMENT"), "FILE").otherwise(F.col("unit_type"))
+    unit = F.when(F.col("unit_type").isin("DOCUMENT_FILE", "ATTACHMENT"), "FILE").otherwise(F.coalesce("unit_type", F.when(F.col("provision_id").isNotNull(), "APPENDIX").otherwise("FILE")))
     return rows.withColumns({"unit_type": unit, "source_type": F.lit("FILE"), "chunk_id": ids.file_chunk_id(F.col("version_uid"), F.col("provision_id"), F.col("file_id"), F.col("chunk_index"))})
 
 
