@@ -1,12 +1,15 @@
 """Splitting of units into chunks: at structure first, then lines, and at last anywhere, without losing a character.
 
+Every split works on lengths and offsets: the places where a text may break are collected once, and a running sum of
+lengths tells by bisection how far each chunk reaches. So a text of any number of lines takes time in proportion.
 Texts within the limit stay whole in a native expression; only the longer ones visit an Arrow function.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from itertools import accumulate, groupby
 
 import pandas as pd
 from pyspark.sql import Column
@@ -21,92 +24,111 @@ LEVELS = (
     (re.compile(r"\n[ \t]*\n"), "\n\n"),
     (re.compile(r"\n"), "\n"),
 )
-# fixed values: preferred places of a hard cut; True cuts behind the match
-CUTS = ((re.compile("[.。!?！？;][\\s\"'”’)\\]】]*"), True), (re.compile(r"[①-⑳㉑-㉚]|(?<!\d)\d{1,3}\.|[가-힣]\."), False), (re.compile(r"\s+"), True))
-
-
-def hard_parts(text: str, limit: int) -> Iterator[str]:
-    """Consecutive slices of at most limit characters, each cut at the last preferred place in its second half."""
-    limit, at = max(1, limit), 0
-    least = max(1, limit // 2)
-    while len(text) - at > limit:
-        window = text[at : at + limit]
-        places = (max((p for m in pattern.finditer(window) if least <= (p := m.end() if behind else m.start()) <= limit), default=0) for pattern, behind in CUTS)
-        step = next(filter(None, places), limit)
-        yield text[at : at + step]
-        at += step
-    if at < len(text) or not text:
-        yield text[at:]
-
-
-def within(parts: Iterator[str], limit: int) -> list[str]:
-    """Parts that fit, as they are; the others cut."""
-    return [p for part in parts for p in ((part,) if len(part) <= max(1, limit) else hard_parts(part, limit))]
-
-
-def _packed(text: str, limit: int, level: int) -> Iterator[str]:
-    """Pieces at this level's breaks, gathered up to limit; one too long goes to the next level and ends the gathering."""
-    if len(text) <= limit or level == len(LEVELS):
-        yield text
-        return
+# fixed values: preferred places of a hard cut, best first: behind a sentence, before an enumeration, behind white space
+SENTENCE = re.compile("[.。!?！？;][\\s\"'”’)\\]】]*")
+ENUMERATION = re.compile(r"[①-⑳㉑-㉚]|(?<!\d)\d{1,3}\.|[가-힣]\.")
+BLANKS = re.compile(r"\s+")
+
+
+class _Breaks:
+    """Where a text may be cut: the matches of each pattern, in order."""
+
+    def __init__(self, text: str):
+        self.found = [([m.start() for m in found], [m.end() for m in found]) for found in (list(p.finditer(text)) for p in (SENTENCE, ENUMERATION, BLANKS))]
+
+    def last(self, begin: int, low: int, high: int) -> int:
+        """The best cut of a stretch from begin that lies within low and high; high where there is none."""
+        (s_start, s_end), (e_start, e_end), (b_start, b_end) = self.found
+        k = bisect_left(s_start, high) - 1
+        if k >= 0 and s_start[k] >= begin and (at := min(s_end[k], high)) >= low:
+            return at
+        k = bisect_right(e_end, high) - 1
+        if k >= 0 and e_start[k] >= low:
+            return e_start[k]
+        k = bisect_left(b_start, high) - 1
+        if k >= 0 and (at := min(b_end[k], high)) >= low:
+            return at
+        return high
+
+
+def hard_parts(text: str, limit: int) -> list[str]:
+    """Consecutive slices of at most limit characters, each cut at the best place in its second half."""
+    limit = max(1, limit)
+    if len(text) <= limit:
+        return [text]
+    breaks, cuts = _Breaks(text), [0]
+    while len(text) - cuts[-1] > limit:
+        begin = cuts[-1]
+        cuts.append(breaks.last(begin, begin + max(1, limit // 2), begin + limit))
+    return [text[i:j] for i, j in zip(cuts, [*cuts[1:], len(text)])]
+
+
+def limited(parts: list[str], limit: int) -> list[str]:
+    """The parts, those beyond the limit cut."""
+    return [x for p in parts for x in hard_parts(p, limit)]
+
+
+def groups(sizes: list[int], glue: int, room: int) -> list[tuple[int, int]]:
+    """Consecutive pieces that fit into room together, glue between; a piece too large stands alone."""
+    reach = [0, *accumulate(n + glue for n in sizes)]
+    out, i = [], 0
+    while i < len(sizes):
+        j = max(i + 1, bisect_right(reach, reach[i] + room + glue) - 1)
+        out.append((i, j))
+        i = j
+    return out
+
+
+def _joined(pieces: list[str], glue: str, limit: int) -> list[str]:
+    return [glue.join(pieces[i:j]) for i, j in groups(list(map(len, pieces)), len(glue), limit)]
+
+
+def _level(text: str, limit: int, level: int) -> list[tuple[str, int]] | None:
+    """One level's chunks, each with the level at which it may be split further (the last for those that fit); None if nothing breaks at it."""
     pattern, glue = LEVELS[level]
     pieces = [p for p in pattern.split(text) if p.strip()]
     if len(pieces) < 2:
-        yield from _packed(text, limit, level + 1)
-        return
-    held: list[str] = []
-    size = 0
-    for p in pieces:
-        more = len(p) + (len(glue) if held else 0)
-        if held and size + more > limit:
-            yield glue.join(held)
-            held, size, more = [], 0, len(p)
-        if len(p) > limit:
-            yield from _packed(p, limit, level + 1)
-        else:
-            held.append(p)
-            size += more
-    if held:
-        yield glue.join(held)
+        return None
+    out: list[tuple[str, int]] = []
+    for large, run in groupby(pieces, lambda p: len(p) > limit):
+        out += [(p, level + 1) for p in run] if large else [(p, len(LEVELS)) for p in _joined(list(run), glue, limit)]
+    return out
 
 
 def prose(text: str, limit: int = CHUNK_CHARS, hard: int = MODEL_CHARS) -> list[str]:
-    return within(_packed(text, limit, 0), hard)
-
-
-def _lines(lines: list[str], limit: int) -> Iterator[str]:
-    held: list[str] = []
-    size = 0
-    for line in lines:
-        joined = size + 1 + len(line) if size else len(line)
-        if size and joined > limit:
-            yield "\n".join(held)
-            held, joined = [], len(line)
-        if not size and held:  # an empty start gives way to the line
-            held = []
-        held.append(line)
-        size = joined
-    if size:
-        yield "\n".join(held)
+    """Chunks at the highest level of structure that breaks a text; chunks too large go down level by level."""
+    done, todo = [], [(text, 0)]
+    while todo:
+        part, level = todo.pop()
+        if level == len(LEVELS) or len(part) <= limit:
+            done.append(part)
+        else:
+            todo += reversed(_level(part, limit, level) or [(part, level + 1)])
+    return limited(done, hard)
 
 
 def table(text: str, limit: int = CHUNK_CHARS, hard: int = MODEL_CHARS) -> list[str]:
     """Rows gathered under the repeated first two lines; without them where they would fill half of what the model reads."""
-    if len(text) <= limit:
-        return within(iter([text]), hard)
     lines = text.splitlines()
-    head = "\n".join(lines[:HEADER_LINES])
-    if len(lines) <= HEADER_LINES or len(head) + 1 >= max(2, hard) // 2:
-        return within(_lines(lines, limit), hard)
-    parts, rows, size = [], [], len(head)
-    for row in lines[HEADER_LINES:]:
-        if rows and size + 1 + len(row) > limit:
-            parts.append("\n".join([head, *rows]))
-            rows, size = [], len(head)
-        rows.append(row)
-        size += 1 + len(row)
-    parts.append("\n".join([head, *rows]))
-    return within(iter(parts), hard)
+    head, rows = "\n".join(lines[:HEADER_LINES]), lines[HEADER_LINES:]
+    if len(text) <= limit:
+        parts = [text]
+    elif rows and len(head) + 1 < max(2, hard) // 2:
+        parts = ["\n".join([head, *rows[i:j]]) for i, j in groups(list(map(len, rows)), 1, limit - len(head) - 1)]
+    else:
+        parts, i = [], 0
+        sizes = list(map(len, lines))
+        while (i := next((k for k in range(i, len(lines)) if sizes[k]), len(lines))) < len(lines):  # a chunk begins with text
+            reach = next(iter(groups(sizes[i : i + limit + 2], 1, limit)))[1]
+            parts.append("\n".join(lines[i : i + reach]))
+            i += reach
+    return limited(parts, hard)
+
+
+def lines_alone(text: str, limit: int = CHUNK_CHARS) -> list[str]:
+    """The last level alone: lines gathered, blank ones dropped, one too long by itself."""
+    found = _level(text, limit, len(LEVELS) - 1) if len(text) > limit else None
+    return [p for p, _ in found] if found else [text]
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -124,17 +146,13 @@ def split_units(content: Column, hard: Column | None = None, limit: int = CHUNK_
     return F.when(fits, F.array(content)).otherwise(long)
 
 
-def split_lines_native(content: Column, limit: int = CHUNK_CHARS) -> Column:
-    """The line level alone, as a fold over lines: blank lines go, a line beyond the limit stands alone."""
-    pieces = F.filter(F.split(content, "\n", -1), lambda p: F.regexp_replace(p, r"(?U)\s", "") != "")
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit(None).cast("string").alias("held"))
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _lines_of_long(text: pd.Series, limit: pd.Series) -> pd.Series:
+    return pd.Series([lines_alone(t, int(n)) for t, n in zip(text, limit)])
 
-    def step(acc, p):
-        held, fits = acc["held"], F.length(acc["held"]) + 1 + F.length(p) <= limit
-        flushed = F.when(held.isNull(), acc["done"]).otherwise(F.concat(acc["done"], F.array(held)))
-        return (F.when(held.isNotNull() & fits, F.struct(acc["done"].alias("done"), F.concat(held, F.lit("\n"), p).alias("held")))
-                .when(F.length(p) > limit, F.struct(F.concat(flushed, F.array(p)).alias("done"), F.lit(None).cast("string").alias("held")))
-                .otherwise(F.struct(flushed.alias("done"), p.alias("held"))))
 
-    packed = F.aggregate(pieces, start, step, lambda a: F.when(a["held"].isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(a["held"]))))
-    return F.when(F.length(content) <= limit, F.array(content)).when(F.size(pieces) < 2, F.array(content)).otherwise(packed)
+def split_lines(content: Column, limit: int = CHUNK_CHARS) -> Column:
+    """Chunks of whole lines: array<string>. Null content is one empty chunk."""
+    content = F.coalesce(content, F.lit(""))
+    fits = F.length(content) <= limit
+    return F.when(fits, F.array(content)).otherwise(_lines_of_long(F.when(fits, F.lit("")).otherwise(content), F.lit(limit)))

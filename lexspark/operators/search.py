@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,36 +24,61 @@ def nearest(store: DataFrame, query: list[float], k: int, where: Column | None =
     return rows.withColumn("distance", cosine_distance(F.col(vector_col), q)).where("distance is not null").orderBy("distance", id_col).limit(k)
 
 
-def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 4_096) -> DataFrame:
-    """The k nearest of every query. Blocks of about `block` queries meet all rows one after the other; each batch of rows keeps k of each query before the shuffle."""
+def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 16_384, part: int = 65_536) -> DataFrame:
+    """q, id, distance and place of the k nearest of every query, ties by id. Null and zero vectors are near nothing.
+
+    Queries are dealt into blocks and the store into parts; each block meets each part in one task, which keeps k of each query.
+    """
     import numpy as np
     import pyarrow as pa
 
-    blocks = max(1, -(-queries.count() // block))
-    asked = queries.select(F.col(id_col).alias("q"), F.col(vector_col).alias("v"), F.pmod(F.xxhash64(id_col), F.lit(blocks)).alias("b"))
-    out = None
-    for n in range(blocks):
-        rows = asked.where(F.col("b") == n).collect()  # one block
-        if not rows:
-            continue
-        qid, qv = np.array([r["q"] for r in rows]), np.array([r["v"] for r in rows], np.float64)
-        held = store.sparkSession.sparkContext.broadcast((qid, qv / np.linalg.norm(qv, axis=1, keepdims=True)))
-
-        def local(batches, held=held):
-            ids, q = held.value
-            for b in batches:
-                v = np.array(b.column("v").to_pylist(), np.float64)
-                if not len(v):
-                    continue
-                d = 1 - q @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T
-                m = min(k, d.shape[1])
-                top = np.argpartition(d, m - 1, axis=1)[:, :m]
-                found = b.column("i").to_numpy()[top]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, m)), pa.array(found.ravel()), pa.array(np.take_along_axis(d, top, 1).ravel())], ["q", "id", "distance"])
-
-        part = store.select(F.col(id_col).alias("i"), F.col(vector_col).alias("v")).mapInArrow(local, "q long, id long, distance double")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = store.sparkSession.createDataFrame([], "q long, id long, distance double")
+    whole = lambda v: v.isNotNull() & F.exists(v, lambda x: x != 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x))
+    take = lambda df: df.select(F.col(id_col).alias("i"), F.col(vector_col).alias("v")).where(F.col("i").isNotNull() & F.coalesce(whole(F.col("v")), F.lit(False)))
+    rows, asked = take(store), take(queries)
+    blocks, parts = max(1, -(-asked.count() // block)), max(1, -(-rows.count() // part))
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda salt, n: F.pmod(F.xxhash64("i", F.lit(salt)), F.lit(n)).cast("int")
+    left = asked.select("i", "v", dealt("q", blocks).alias("b"), copies(parts).alias("p"))
+    right = rows.select("i", "v", copies(blocks).alias("b"), dealt("s", parts).alias("p"))
+
+    def unit(table: pa.Table) -> np.ndarray:
+        v = table.column("v").combine_chunks()
+        x = v.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(v), -1)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    def local(q: pa.Table, s: pa.Table) -> pa.Table:
+        if not q.num_rows or not s.num_rows:
+            return pa.table({"q": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
+        s = s.take(pa.array(np.argsort(s.column("i").to_numpy())))
+        ids, x, y, out = s.column("i").to_numpy(), unit(s), unit(q), []
+        for n in range(0, len(y), 512):
+            d = 1 - y[n : n + 512] @ x.T
+            m = min(k, d.shape[1])
+            edge = np.partition(d, m - 1, axis=1)[:, m - 1 : m]
+            near, tied = d < edge, d == edge  # of ties at the edge the smallest ids stay
+            keep = near | (tied & (np.cumsum(tied, axis=1) <= m - near.sum(1, keepdims=True)))
+            r, c = np.nonzero(keep)
+            out.append((q.column("i").to_numpy()[n + r], ids[c], d[r, c]))
+        return pa.table({c: pa.array(np.concatenate(v)) for c, v in zip(("q", "id", "distance"), zip(*out))})
+
+    found = left.groupBy("b", "p").cogroup(right.groupBy("b", "p")).applyInArrow(local, "q long, id long, distance double")
     rank = Window.partitionBy("q").orderBy("distance", "id")
-    return out.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= k)
+    return found.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= k)
+
+
+def keyword_scores(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text", k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """BM25 score of every row for some words (lower case, blanks between); rows without any of them are left out."""
+    rows = docs.select(F.col(id_col), F.split(F.lower(text_col), " ").alias("w"))
+    times = lambda t: F.size(F.filter("w", lambda x: x == t)).cast("double")
+    rows = rows.select(id_col, F.size("w").cast("double").alias("len"), *[times(t).alias(f"tf{k}") for k, t in enumerate(words)])
+    # two numbers and one of each word come to the driver
+    stats = rows.agg(F.count("*").cast("double").alias("docs"), F.avg("len").alias("mean"), *[F.count_if(F.col(f"tf{k}") > 0).cast("double").alias(f"df{k}") for k in range(len(words))]).first()
+    score = F.lit(0.0)
+    for k in range(len(words)):
+        idf = math.log(1 + (stats["docs"] - stats[f"df{k}"] + 0.5) / (stats[f"df{k}"] + 0.5))
+        tf = F.col(f"tf{k}")
+        score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("len") / (stats["mean"] or 1.0)))
+    some = F.lit(False)
+    for k in range(len(words)):
+        some = some | (F.col(f"tf{k}") > 0)
+    return rows.where(some).select(id_col, score.alias("score"))

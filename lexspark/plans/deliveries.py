@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lexspark.functions import text
-from lexspark.operators import intake, references, scope
+from lexspark.operators import identifiers, intake, references, scope
 from lexspark.operators import packages as pk
 from lexspark.plans.texts import table
 
+_ARTICLES = "array<struct<article_no: string, relations: array<struct<" + ", ".join(f"{k}: boolean" if k == "appendix_ambiguous" else f"{k}: string" for k in identifiers.RELATION) + ">>>>"
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -45,22 +46,25 @@ def q42_ministry_fallback_coalesce(spark, sf_dir):
     return s.select("s_suppkey", text.first_text(F.when(k == 0, F.col("s_name")).otherwise("  "), F.when(k == 1, F.concat(F.lit(" "), "n_name")), F.lit("")).alias("ministry"))
 
 
-_GROUPS = """g AS (SELECT l_orderkey AS law_id, l_linenumber AS path, l_returnflag AS source, l_linestatus = 'O' AS repealed, l_quantity > 49 AS error FROM lineitem)"""
+# lines of an order as documents of a law: sources, repeals, versions, hashes and errors so that every rule applies somewhere
+_GROUPS = """g AS (SELECT l_orderkey AS law_id, l_linenumber AS path, CASE WHEN l_orderkey % 11 = 0 THEN l_returnflag WHEN l_linenumber % 2 = 0 AND l_orderkey % 13 = 0 THEN NULL ELSE 'law' END AS source, CASE WHEN l_orderkey % 7 = 0 THEN l_linestatus = 'O' WHEN l_orderkey % 3 = 0 THEN TRUE END AS repealed,
+ CASE WHEN l_orderkey % 5 = 0 AND l_linenumber = 2 THEN NULL ELSE 'v' END AS version_uid, CASE WHEN l_orderkey % 4 = 0 THEN l_suppkey::VARCHAR ELSE 'h' END AS hash, l_quantity > 49 AS error FROM lineitem),
+k AS (SELECT law_id, min(path) AS first_path, bool_or(error) AS err, count(DISTINCT coalesce(source, '?')) > 1 AS s, bool_or(coalesce(repealed, FALSE)) AS some, bool_and(coalesce(repealed, FALSE)) AS alle, count(DISTINCT coalesce(version_uid, '?')) > 1 AS v, count(DISTINCT hash) > 1 AS h, count(*) AS n FROM g GROUP BY law_id),
+j AS (SELECT *, CASE WHEN err THEN NULL WHEN s THEN 'law_id_multi_source' WHEN some AND NOT alle THEN 'repeal_conflict' WHEN alle THEN 'twice' WHEN v THEN 'multi_version_unsupported' WHEN h THEN 'version_conflict' ELSE 'twice' END AS issue FROM k)"""
 
 
 def _units(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(F.col("l_orderkey").alias("law_id"), F.col("l_linenumber").alias("path"), F.col("l_returnflag").alias("source"), (F.col("l_linestatus") == "O").alias("repealed"), F.lit("v").alias("version_uid"), F.lit("h").alias("hash"), (F.col("l_quantity") > 49).alias("error"))
+    li, order, line = table(spark, sf_dir, "lineitem"), F.col("l_orderkey"), F.col("l_linenumber")
+    return li.select(order.alias("law_id"), line.alias("path"), F.when(order % 11 == 0, F.col("l_returnflag")).when((line % 2 == 0) & (order % 13 == 0), F.lit(None)).otherwise("law").alias("source"), F.when(order % 7 == 0, F.col("l_linestatus") == "O").when(order % 3 == 0, True).alias("repealed"),
+                     F.when((order % 5 == 0) & (line == 2), F.lit(None)).otherwise("v").alias("version_uid"), F.when(order % 4 == 0, F.col("l_suppkey").cast("string")).otherwise("h").alias("hash"), (F.col("l_quantity") > 49).alias("error"))
 
 
-@query(f"""WITH {_GROUPS}, k AS (SELECT law_id, count(DISTINCT source) AS s, count(DISTINCT repealed) AS r, count(*) AS n FROM g GROUP BY law_id)
-SELECT law_id, CASE WHEN s > 1 THEN 'law_id_multi_source' WHEN r > 1 THEN 'repeal_conflict' WHEN n > 1 THEN 'duplicate' END AS issue, n AS members FROM k""")
+@query(f"""WITH {_GROUPS} SELECT law_id, path, CASE WHEN issue <> 'twice' THEN issue WHEN issue = 'twice' AND path <> first_path THEN 'duplicate' END AS issue FROM g JOIN j USING (law_id)""")
 def q50_group_validity(spark, sf_dir):
-    g = pk.group_faults(_units(spark, sf_dir), ["law_id"])
-    return g.groupBy("law_id").agg(F.max("issue").alias("issue"), F.count("*").alias("members"))
+    return pk.group_faults(_units(spark, sf_dir), ["law_id"]).select("law_id", "path", "issue")
 
 
-@query(f"""WITH {_GROUPS}, k AS (SELECT law_id, count(DISTINCT source) > 1 OR count(DISTINCT repealed) > 1 OR bool_or(error) AS rejected, count(*) AS n FROM g GROUP BY law_id) SELECT rejected, count(*) AS laws, sum(n)::BIGINT AS members FROM k GROUP BY rejected""")
+@query(f"""WITH {_GROUPS}, r AS (SELECT law_id, coalesce(err OR issue <> 'twice', FALSE) AS rejected, n FROM j) SELECT rejected, count(*) AS laws, sum(n)::BIGINT AS members FROM r GROUP BY rejected""")
 def q51_group_poison(spark, sf_dir):
     g = pk.group_faults(_units(spark, sf_dir), ["law_id"]).groupBy("law_id").agg(F.bool_or("rejected").alias("rejected"), F.count("*").alias("n"))
     return g.groupBy("rejected").agg(F.count("*").alias("laws"), F.sum("n").alias("members"))
@@ -120,11 +124,14 @@ def q57_duplicate_canonical_hash(spark, sf_dir):
     return d.groupBy("hash").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc")).where("copies > 1")
 
 
-@query("SELECT doc_id FROM documents d WHERE doc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM documents a WHERE a.doc_id % 2 = 0 AND a.text = d.text AND (a.lang = d.lang OR d.doc_id % 3 = 0))")
+@query("""WITH a AS (SELECT text, CASE WHEN doc_id % 6 > 0 THEN lang END AS m FROM documents WHERE doc_id % 2 = 0), i AS (SELECT doc_id, text, CASE WHEN doc_id % 3 <> 0 THEN lang END AS m FROM documents WHERE doc_id % 2 = 1)
+SELECT doc_id FROM i WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.text = i.text AND (i.m IS NULL OR a.m IS NULL OR a.m = i.m))""")
 def q58_delivery_dedup(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    """Odd documents as deliveries against the even ones that were accepted; some of either came without a manifest (lang)."""
+    d, k = table(spark, sf_dir, "documents"), F.col("doc_id")
     sha = F.sha2("text", 256).alias("sha256")
-    return intake.new_deliveries(d.where("doc_id % 2 = 1").select("doc_id", sha, F.when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("manifest_sha256")), d.where("doc_id % 2 = 0").select(sha, F.col("lang").alias("manifest_sha256"))).select("doc_id")
+    incoming = d.where("doc_id % 2 = 1").select("doc_id", sha, F.when(k % 3 != 0, F.col("lang")).alias("manifest_sha256"))
+    return intake.new_deliveries(incoming, d.where("doc_id % 2 = 0").select(sha, F.when(k % 6 > 0, F.col("lang")).alias("manifest_sha256"))).select("doc_id")
 
 
 @query("SELECT count(*) AS edges, count(*) FILTER (l_partkey % 3 <> 0) AS resolved, count(DISTINCT l_partkey) FILTER (l_partkey % 3 = 0) AS dangling FROM lineitem")
@@ -145,15 +152,16 @@ def q61_reference_two_hop(spark, sf_dir):
     return references.reach(edges, starts, 2)
 
 
-@query("""WITH p AS (SELECT 'law:' || p_brand || '#JO' || lpad(p_partkey::VARCHAR, 6, '0') AS provision_id, p_partkey, p_brand FROM part)
-SELECT provision_id, [CASE WHEN p_partkey % 25 = 3 THEN 'law:NEW#JO1' ELSE 'law:OTHER#JO1' END, 'law:OLD2#JO2'] AS reference_ids FROM p WHERE p_brand <> 'Brand#11' AND provision_id NOT LIKE 'law:OLD%'""")
+@query("""WITH p AS (SELECT p_partkey, 'law:' || replace(p_brand, '#', '@') || '#JO' || lpad(p_partkey::VARCHAR, 6, '0') AS provision_id, p_brand FROM part)
+SELECT p_partkey, provision_id, [CASE WHEN p_partkey % 25 = 3 THEN 'law:NEW#JO1' ELSE 'law:OTHER#JO1' END, 'law:OLD2#JO2', 'law:Brand@12#JO1'] AS reference_ids FROM p WHERE p_brand <> 'Brand#11' AND NOT (p_brand = 'Brand#12' AND p_partkey % 2 = 0)""")
 def q62_rename_patch(spark, sf_dir):
-    """References to a renamed law move to its new head; rows of a renamed head go."""
-    p = table(spark, sf_dir, "part")
-    rows = p.select(F.concat(F.lit("law:"), F.replace("p_brand", F.lit("#"), F.lit("@")), F.lit("#JO"), F.lpad("p_partkey", 6, "0")).alias("provision_id"),
-                    F.array(F.when(F.col("p_partkey") % 25 == 3, "law:OLD#JO1").otherwise("law:OTHER#JO1"), F.lit("law:OLD2#JO2")).alias("reference_ids"))
-    renames = spark.createDataFrame([("law:OLD", "law:NEW"), ("law:Brand@11", "law:GONE")], "old_head string, new_head string")
-    return references.apply_renames(rows, renames).select(F.replace("provision_id", F.lit("@"), F.lit("#")).alias("provision_id"), "reference_ids")
+    """References to a renamed law move to its new head; its own old rows go; a name that others still bear moves nothing."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    law = F.when(F.col("p_brand") == "Brand#12", F.concat(F.lit("L"), (k % 2).cast("string"))).otherwise("L")
+    rows = p.select(k.cast("string").alias("uuid"), "p_partkey", F.lit("law").alias("domain"), law.alias("law_id"), F.concat(F.lit("law:"), F.replace("p_brand", F.lit("#"), F.lit("@")), F.lit("#JO"), F.lpad(k.cast("string"), 6, "0")).alias("provision_id"),
+                    F.array(F.when(k % 25 == 3, "law:OLD#JO1").otherwise("law:OTHER#JO1"), F.lit("law:OLD2#JO2"), F.lit("law:Brand@12#JO1")).alias("reference_ids"))
+    renames = spark.createDataFrame([("law", "x", "law:OLD", "law:NEW"), ("law", "L", "law:Brand@11", "law:GONE"), ("law", "L0", "law:Brand@12", "law:MOVED")], "domain string, law_id string, old_head string, new_head string")
+    return references.apply_renames(rows, renames).select("p_partkey", "provision_id", "reference_ids")
 
 
 @query("SELECT * FROM (VALUES ('law:ABSENT', 'law:NEW')) t(old_head, new_head) WHERE old_head NOT IN (SELECT 'law:' || replace(p_brand, '#', '@') FROM part)")
@@ -163,36 +171,50 @@ def q63_rename_ambiguity_guard(spark, sf_dir):
     return references.unambiguous(alive.union(spark.createDataFrame([("law:ABSENT", "law:NEW")], alive.schema)), rows)
 
 
-@query("""WITH u AS (SELECT l_orderkey, l_linenumber, l_returnflag, count(*) OVER (PARTITION BY l_orderkey, l_returnflag) AS n, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS i FROM lineitem)
-SELECT l_orderkey, l_linenumber, CASE WHEN n > 1 THEN l_orderkey::VARCHAR || '#' || l_returnflag || ':idx:' || lpad(i::VARCHAR, 4, '0') END AS instance_id FROM u""")
+@query("""WITH u AS (SELECT l_orderkey, l_linenumber, l_returnflag, count(*) OVER (PARTITION BY l_orderkey, l_returnflag) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS i FROM lineitem),
+w AS (SELECT *, 'law:문서' || l_orderkey::VARCHAR || '#' || CASE l_returnflag WHEN 'A' THEN 'BYL0001' WHEN 'N' THEN 'BJ0001' ELSE 'FORM0001' END AS p FROM u)
+SELECT l_orderkey, l_linenumber, p AS provision_id, CASE WHEN n > 1 THEN p || CASE WHEN l_linenumber % 2 = 0 THEN ':file:' || (10000 + l_linenumber)::VARCHAR ELSE ':idx:' || lpad(i::VARCHAR, 4, '0') END END AS instance_id FROM w""")
 def q64_duplicate_unit_instance(spark, sf_dir):
-    """Units that repeat inside a document get numbered instance ids."""
-    w = Window.partitionBy("l_orderkey", "l_returnflag")
-    i = F.row_number().over(w.orderBy("l_linenumber", "l_partkey", "l_suppkey")) - 1
-    made = F.concat(F.col("l_orderkey").cast("string"), F.lit("#"), "l_returnflag", F.lit(":idx:"), F.lpad(i.cast("string"), 4, "0"))
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.count("*").over(w) > 1, made).alias("instance_id"))
+    """Lines of an order as its appendices: units that repeat inside a document get instance ids, by their file's number or their place."""
+    li, line = table(spark, sf_dir, "lineitem"), F.col("l_linenumber")
+    kind = F.when(F.col("l_returnflag") == "A", "별표").when(F.col("l_returnflag") == "N", "별지").otherwise("서식")
+    files = F.array(F.struct(F.lit("hwp").alias("type"), F.when(line % 2 == 0, F.concat(F.lit("u?flSeq="), (line + 10_000).cast("string"))).otherwise("u").alias("url"), F.lit("").alias("name")))
+    entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", kind.alias("kind"), F.lit("1").alias("no"), F.lit("00").alias("branch"), F.lit("").alias("title"), files.alias("files"))
+    docs = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("appendices")).select("l_orderkey", F.concat(F.lit("문서 "), F.col("l_orderkey").cast("string")).alias("law_name"), F.lit("law").alias("doc_target"), F.lit(None).cast("string").alias("id_suffix"), F.lit(None).cast(_ARTICLES).alias("articles"), "appendices")
+    a = identifiers.identify(docs).select("l_orderkey", F.explode("appendices").alias("a"))
+    return a.select("l_orderkey", "a.l_linenumber", "a.provision_id", F.col("a.appendix_instance_id").alias("instance_id"))
 
 
-@query()
+@query("SELECT DISTINCT o_custkey, TRUE AS same FROM orders")
 def q70_stream_replay_equals_batch(spark, sf_dir):
-    """Orders streamed file by file into a last-wins table, which equals the batch fold; rows where they differ, and the count."""
+    """Orders as packages that the consumer takes one by one, twice; the table that results against a batch fold, by customer."""
     from lexspark.functions.scratch import folder
-
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
-    at = folder(spark, "replay")
-    o.repartition(4).write.parquet(f"{at}/in")
-    query = (spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 2).parquet(f"{at}/in").groupBy("o_custkey").agg(F.max_by("o_orderstatus", "o_orderkey").alias("status"), F.max("o_orderkey").alias("last"))
-             .writeStream.outputMode("complete").option("checkpointLocation", f"{at}/checkpoint").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{at}/out-{n % 2}") or df.sparkSession.createDataFrame([(n,)], "n long").write.mode("overwrite").parquet(f"{at}/last")).trigger(availableNow=True).start())
-    query.awaitTermination()
-    n = spark.read.parquet(f"{at}/last").first()["n"]
-    streamed = spark.read.parquet(f"{at}/out-{n % 2}")
-    batch = pk.last_wins(o, ["o_custkey"], "o_orderkey", "o_orderstatus", "o_orderkey").withColumnsRenamed({"o_orderstatus": "b_status", "o_orderkey": "b_last"})
-    return streamed.join(batch, "o_custkey", "full_outer").select("o_custkey", (F.col("status").eqNullSafe(F.col("b_status")) & F.col("last").eqNullSafe(F.col("b_last"))).alias("same"))
-
-
-@query("""SELECT CASE page_id % 4 WHEN 0 THEN 'path_unsafe' WHEN 1 THEN 'os_metadata_ignored' WHEN 2 THEN 'good' ELSE 'unsupported_extension' END AS fault, count(*) AS n, sum(length(url))::BIGINT AS chars FROM pages GROUP BY 1""")
+    from lexspark.operators import store as st
+    from lexspark.sources import packages as src
+    from lexspark.streaming import consumer
+
+    o, at = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), folder(spark, "replay")
+    version = F.concat_ws(":", "o_custkey", "o_orderkey", F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))
+    record = F.to_json(F.struct(F.lit("document").alias("record_type"), F.col("o_custkey").cast("string").alias("law_id"), version.alias("version_uid"), F.col("o_orderstatus").alias("content")))
+    rows = o.select(F.concat(F.lit("p"), (F.col("o_orderkey") % 3).cast("string")).alias("package"), F.lit("law").alias("source"), F.col("o_orderkey").alias("ord"), record.alias("record"))
+    src.write_packages(rows, f"{at}/out")
+
+    def to_rows(folded):
+        d = F.from_json("document", "law_id string, version_uid string, content string")
+        found = folded.select(d.alias("d")).select(F.lit("law").alias("domain"), "d.law_id", "d.version_uid", F.split_part("d.version_uid", F.lit(":"), F.lit(2)).alias("mst"), F.lit("JSON").alias("source_type"), F.col("d.content").alias("content"))
+        return found.withColumn("chunk_id", F.concat_ws("-", "law_id", "version_uid")).withColumn("uuid", F.col("chunk_id"))
+
+    for attempt in range(2):
+        consumer.consume(spark, f"{at}/out", f"{at}/table", f"{at}/checkpoint-{attempt}", to_rows, glob="*.txt")
+    got = st.current(spark, f"{at}/table").select(F.col("law_id").cast("long").alias("o_custkey"), "content", F.col("mst").cast("long").alias("last"))
+    batch = pk.last_wins(o, ["o_custkey"], "o_orderkey", "o_orderstatus", "o_orderkey")
+    same = F.col("content").eqNullSafe(F.col("o_orderstatus")) & F.col("last").eqNullSafe(F.col("o_orderkey"))
+    return got.join(batch, "o_custkey", "full_outer").select("o_custkey", same.alias("same"))
+
+
+@query("""SELECT CASE page_id % 5 WHEN 0 THEN 'path_unsafe' WHEN 1 THEN 'os_metadata_ignored' WHEN 2 THEN 'good' WHEN 3 THEN 'manifest_ignored' ELSE 'unsupported_extension' END AS fault, count(*) AS n, sum(length(url))::BIGINT AS chars FROM pages GROUP BY 1""")
 def q59_path_faults(spark, sf_dir):
-    """Member paths made from page urls: climbing, system files, documents, and others."""
-    k, tail = F.col("page_id") % 4, F.concat(F.replace("url", F.lit("://"), F.lit("/")), F.lit("_"))
-    path = F.when(k == 0, F.concat(F.lit("../"), tail, F.lit(".json"))).when(k == 1, F.concat(F.lit("__MACOSX/"), tail, F.lit(".pdf"))).when(k == 2, F.concat(tail, F.lit(".HWPX"))).otherwise(F.concat(tail, F.lit(".exe")))
+    """Member paths made from page urls: climbing, system files, documents, manifests and others."""
+    k, tail = F.col("page_id") % 5, F.concat(F.replace("url", F.lit("://"), F.lit("/")), F.lit("_"))
+    path = (F.when(k == 0, F.concat(F.lit("../"), tail, F.lit(".json"))).when(k == 1, F.concat(F.lit("__MACOSX/"), tail, F.lit(".pdf"))).when(k == 2, F.concat(tail, F.lit(".HWPX"))).when(k == 3, F.concat(tail, F.lit(".manifest.json"))).otherwise(F.concat(tail, F.lit(".exe"))))
     return table(spark, sf_dir, "pages").select(F.coalesce(intake.path_fault(path), F.lit("good")).alias("fault"), "url").groupBy("fault").agg(F.count("*").alias("n"), F.sum(F.length("url")).alias("chars"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark.functions import ids
 from lexspark.operators import packages as pk
+from lexspark.operators import payloads, units
 from lexspark.operators import store as st
 from lexspark.plans.texts import table
 
@@ -24,18 +25,19 @@ def query(sql: str | None = None):
     return add
 
 
-@query("SELECT o_orderkey AS uuid, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS generation, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS price FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
+@query("SELECT o_orderkey AS uuid, CASE WHEN o_orderkey % 2 = 1 OR o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS generation, CASE WHEN o_orderkey % 2 = 1 OR o_orderkey % 3 = 0 THEN o_totalprice * 2 ELSE o_totalprice END AS price FROM orders")
 def q20_upsert_replace(spark, sf_dir):
+    """Orders stored (all but multiples of three) and incoming (odd ones and multiples of three): every order is in one of them at least."""
     o = table(spark, sf_dir, "orders")
-    stored = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("uuid"), F.lit("old").alias("generation"), F.col("o_totalprice").alias("price"))
-    incoming = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("uuid"), F.lit("new").alias("generation"), (F.col("o_totalprice") * 2).alias("price"))
+    stored = o.where("o_orderkey % 3 <> 0").select(F.col("o_orderkey").alias("uuid"), F.lit("old").alias("generation"), F.col("o_totalprice").alias("price"))
+    incoming = o.where("o_orderkey % 2 = 1 or o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("uuid"), F.lit("new").alias("generation"), (F.col("o_totalprice") * 2).alias("price"))
     return st.upsert(stored, incoming)
 
 
-@query("SELECT o_orderkey % 2 = 0 AS existing, count(*) AS n FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1")
+@query("SELECT o_orderkey % 3 <> 0 AS existing, count(*) AS n FROM orders WHERE o_orderkey % 2 = 1 OR o_orderkey % 3 = 0 GROUP BY 1")
 def q20_upsert_replace_add_counts(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("uuid"))
-    return st.split_existing(o.where("uuid % 3 = 0"), o.where("uuid % 2 = 0")).groupBy("existing").agg(F.count("*").alias("n"))
+    return st.split_existing(o.where("uuid % 2 = 1 or uuid % 3 = 0"), o.where("uuid % 3 <> 0")).groupBy("existing").agg(F.count("*").alias("n"))
 
 
 def _chunks(spark, sf_dir):
@@ -88,10 +90,10 @@ def q25_current_versions(spark, sf_dir):
     return v.groupBy("domain").agg(F.count("*").alias("versions"), F.countDistinct("law_id").alias("laws"))
 
 
-@query(f"WITH {_CHUNKS}, n AS (SELECT law_id, l_linenumber, chunk_id, row_number() OVER (PARTITION BY law_id ORDER BY l_linenumber, chunk_id, file_id, version_uid) AS n FROM c) SELECT law_id, chunk_id, n = 1 AS is_header FROM n")
+@query(f"WITH {_CHUNKS}, n AS (SELECT domain, law_id, version_uid, chunk_id, min((l_linenumber, chunk_id)) OVER (PARTITION BY domain, law_id, version_uid) = (l_linenumber, chunk_id) AS is_header FROM c) SELECT domain, law_id, version_uid, chunk_id, is_header, CASE WHEN is_header THEN law_id END AS promulgation_no FROM n")
 def q26_first_row_only_meta(spark, sf_dir):
-    w = Window.partitionBy("law_id").orderBy("l_linenumber", "chunk_id", "file_id", "version_uid")
-    return _chunks(spark, sf_dir).select("law_id", "chunk_id", (F.row_number().over(w) == 1).alias("is_header"))
+    rows = _chunks(spark, sf_dir).withColumns({"unit_ord": F.col("l_linenumber"), "chunk_index": F.col("chunk_id"), "promulgation_no": F.col("law_id")})
+    return units.with_header(rows).select("domain", "law_id", "version_uid", "chunk_id", "is_header", "promulgation_no")
 
 
 @query("SELECT c_mktsegment AS domain, count(*) AS n FROM customer c WHERE NOT (c_mktsegment = 'BUILDING' AND c_custkey % 5 = 0) GROUP BY 1")
@@ -161,11 +163,17 @@ def q35_retry_quarantine(spark, sf_dir):
     return a.where("attempts > 0").select("user_id", "attempts", pk.retry_or_quarantine(F.col("attempts"), F.col("permanent")).alias("next"))
 
 
-@query("SELECT event_id, event_type AS op, sha256(props) AS props_hash, json_valid(props) AS valid, len(json_keys(props))::INTEGER AS fields FROM events")
+@query("""WITH p AS (SELECT 'p/' || page_id::VARCHAR AS git_path, url FROM pages)
+SELECT event_id, CASE WHEN event_type = 'error' THEN 'delete' ELSE 'upsert' END AS op, user_id::VARCHAR AS law_id, CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'click' THEN sha256(p.url) ELSE sha256(replace(props, ' ', '')) END AS payload_hash,
+ CASE WHEN event_type = 'click' AND p.url IS NULL THEN 'path_missing' END AS error FROM events LEFT JOIN p ON event_type = 'click' AND p.git_path = 'p/' || event_id::VARCHAR""")
 def q36_changeset_json_props(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
-    v = F.try_parse_json("props")
-    return e.select("event_id", F.col("event_type").alias("op"), F.sha2("props", 256).alias("props_hash"), v.isNotNull().alias("valid"), F.size(F.json_object_keys("props")).alias("fields"))
+    """Events as change-set lines: errors delete, clicks name a page's file by path, the others carry their payload."""
+    e, kind = table(spark, sf_dir, "events"), F.col("event_type")
+    body = F.concat(F.lit('{"op":"'), F.when(kind == "error", "delete").otherwise("upsert"), F.lit('","law_id":"'), F.col("user_id").cast("string"), F.lit('"'),
+                    F.when(kind == "click", F.concat(F.lit(',"git_path":"p/'), F.col("event_id").cast("string"), F.lit('"'))).when(kind == "error", "").otherwise(F.concat(F.lit(',"payload":'), "props")), F.lit("}"))
+    docs = table(spark, sf_dir, "pages").select(F.concat(F.lit("p/"), F.col("page_id").cast("string")).alias("git_path"), F.col("url").alias("value"))
+    c = payloads.changes(e.select(F.col("event_id").alias("line_no"), body.alias("body")), docs)
+    return c.select(F.col("line_no").alias("event_id"), "op", "law_id", F.sha2("payload", 256).alias("payload_hash"), "error")
 
 
 @query("""WITH l AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS package, user_id, min(event_id) OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), user_id) AS seen FROM events) SELECT package, list(user_id::VARCHAR ORDER BY seen) AS law_ids FROM l GROUP BY package""")
@@ -175,11 +183,17 @@ def q37_package_law_ids(spark, sf_dir):
     return law_ids(_records(spark, sf_dir))
 
 
-@query("""WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'click') AS partial, count(*) AS n FROM events GROUP BY 1)
-SELECT day, failed, partial, CASE WHEN n % 7 = 0 THEN 'halt: quality' WHEN failed > 0 THEN 'fail' WHEN partial > 0 THEN 'halt: partial' ELSE 'pass' END AS verdict FROM d""")
+@query("""WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_id % 97 AS run, list(user_id::VARCHAR ORDER BY event_id) FILTER (event_type = 'purchase' AND user_id % 10 = 0) AS broken, count(*) FILTER (event_type = 'error' AND user_id % 3 = 0) AS failed,
+  count(*) FILTER (event_type = 'click' AND user_id % 5 = 0) AS partial, count(*) FILTER (event_type = 'view' AND user_id % 7 = 0) AS skipped, count(*) FILTER (event_type = 'signup') AS waiting FROM events GROUP BY ALL),
+r AS (SELECT day, run, waiting, list_concat(list_concat(list_transform(coalesce(broken, []), lambda z: 'convert_failed:' || z), CASE WHEN skipped > 0 THEN ['lock_conflict'] ELSE [] END), list_concat(CASE WHEN failed > 0 THEN ['zip_failed:' || failed::VARCHAR] ELSE [] END, CASE WHEN partial > 0 THEN ['zip_partial:' || partial::VARCHAR] ELSE [] END)) AS reasons FROM d)
+SELECT day, run, CASE WHEN len(reasons) > 0 THEN 'halt' WHEN waiting > 0 THEN 'waiting' ELSE 'ok' END AS verdict, array_to_string(reasons, ',') AS reasons FROM r""")
 def q69_decide_verdict(spark, sf_dir):
-    d = table(spark, sf_dir, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count_if(F.col("event_type") == "error").alias("failed"), F.count_if(F.col("event_type") == "click").alias("partial"), F.count("*").alias("n"))
-    return d.select("day", "failed", "partial", pk.verdict(F.col("failed"), F.col("partial"), F.col("n") % 7 == 0).alias("verdict"))
+    """Runs of a day (events by number) with the reasons for which they halt."""
+    kind = lambda k, n: F.count_if((F.col("event_type") == k) & (F.col("user_id") % n == 0))
+    broken = F.transform(F.array_sort(F.collect_list(F.when((F.col("event_type") == "purchase") & (F.col("user_id") % 10 == 0), F.struct("event_id", F.col("user_id").cast("string").alias("u"))))), lambda x: x["u"])
+    d = table(spark, sf_dir, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), (F.col("event_id") % 97).alias("run")).agg(broken.alias("broken"), kind("error", 3).alias("failed"), kind("click", 5).alias("partial"), kind("view", 7).alias("skipped"), kind("signup", 1).alias("waiting"))
+    v = pk.decide(F.col("broken"), F.col("skipped"), F.col("failed"), F.col("partial"), F.lit(None).cast("array<struct<zip:string,reason:string>>"), F.col("waiting"))
+    return d.select("day", "run", v.alias("v")).select("day", "run", "v.verdict", F.array_join("v.reasons", ",").alias("reasons"))
 
 
 @query("SELECT o_orderkey, sha256(concat_ws(chr(31), 'v', o_orderkey::VARCHAR, trim(o_orderpriority))) AS stable, 'JO' || lpad((o_orderkey % 9999 + 1)::VARCHAR, 4, '0') || CASE WHEN o_custkey % 3 > 0 THEN '_' || lpad((o_custkey % 3)::VARCHAR, 2, '0') ELSE '' END AS unit FROM orders")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 from collections.abc import Callable
 
@@ -97,18 +99,23 @@ def _take(files: DataFrame, root: str, to_rows: RecordsToRows, most_attempts: in
     states.select("package", "attempt", "state", "permanent", "errors", F.lit(run).alias("run"), F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{root}/state/{run}-{batch}")
 
 
-def consume(spark: SparkSession, folder: str, root: str, checkpoint: str, to_rows: RecordsToRows, most_attempts: int = 5) -> None:
+def _named(folder: str):
+    """A file's package: its path below the folder."""
+    return F.element_at(F.split("_metadata.file_path", f"/{re.escape(os.path.basename(folder.rstrip('/')))}/"), -1).alias("package")
+
+
+def consume(spark: SparkSession, folder: str, root: str, checkpoint: str, to_rows: RecordsToRows, most_attempts: int = 5, glob: str = "*.jsonl") -> None:
     """Consume the packages of folder that wait for another attempt, then those that came since, one file a batch in order of arrival.
 
     root/state logs each attempt; root/nack tells producers which laws of quarantined packages to send again.
     """
     waiting = [r["package"] for r in latest_state(_states(spark, root), "package", "attempt").where("state = 'retry'").select("package").collect()]  # files in the folder whose footer lacks
-    again = spark.read.text(folder, wholetext=True, pathGlobFilter="*.jsonl").select(F.col("_metadata.file_name").alias("package"), "value") if waiting else None
+    again = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(_named(folder), "value") if waiting else None
     run = f"again-{uuid.uuid4().hex}"
     for n, package in enumerate(sorted(waiting)):
         _take(again.where(F.col("package") == package), root, to_rows, most_attempts, run, n)
-    lines = spark.readStream.format("text").option("wholetext", "true").option("maxFilesPerTrigger", 1).option("pathGlobFilter", "*.jsonl").load(folder)
-    files = lines.select(F.col("_metadata.file_name").alias("package"), "value")
+    lines = spark.readStream.format("text").option("wholetext", "true").option("maxFilesPerTrigger", 1).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
+    files = lines.select(_named(folder), "value")
     query = files.writeStream.foreachBatch(lambda df, n: _take(df, root, to_rows, most_attempts, "stream", n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 

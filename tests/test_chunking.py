@@ -1,4 +1,6 @@
-"""Chunking: obligations as properties, and the native line packer against the general one."""
+"""Chunking: obligations as properties, and lines alone against a plain packer."""
+
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +16,7 @@ TEXT = st.text(alphabet="가나 .①②1\n\t|x。", max_size=400)
 def test_hard_cut_is_lossless_and_bounded(text, limit):
     parts = list(ch.hard_parts(text, limit))
     assert "".join(parts) == text and all(len(p) <= limit for p in parts)
-    assert ch.within(iter(parts), limit) == parts or text == ""
+    assert ch.limited(parts, limit) == parts
 
 
 @settings(max_examples=300, deadline=None)
@@ -68,8 +70,30 @@ def test_split_units_agrees_with_helpers(spark):
     assert got == [ch.table(t or "", 400, 500) for t in texts]
 
 
-def test_native_lines_equal_packer(spark):
-    texts = ["a\n" * 200, "aaaa\n\n  \nbbbb\n" * 60, "x" * 50 + "\ny\nz", "one"]
+def test_lines_alone(spark):
+    texts = ["a\n" * 200, "aaaa\n\n  \nbbbb\n" * 60, "x" * 50 + "\ny\nz", "one", None, "x" * 50]
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
-    got = [r[0] for r in df.orderBy("k").select(ch.split_lines_native(F.col("t"), 30)).collect()]
-    assert got == [list(ch._packed(t, 30, 3)) if len(t) > 30 else [t] for t in texts]
+    got = [r[0] for r in df.orderBy("k").select(ch.split_lines(F.col("t"), 30)).collect()]
+
+    def slow(t):
+        lines, out, held = [p for p in t.split("\n") if p.strip()], [], []
+        if len(t) <= 30 or len(lines) < 2:
+            return [t]
+        for p in lines:
+            if held and len("\n".join([*held, p])) > 30:
+                out, held = [*out, "\n".join(held)], []
+            held.append(p)
+            if len(p) > 30:
+                out, held = [*out, p], []
+        return out + (["\n".join(held)] if held else [])
+
+    assert got == [slow(t or "") for t in texts]
+
+
+def test_many_lines_take_seconds():
+    began = time.perf_counter()
+    text = "some words\n" * 200_000
+    assert sum(p.count("\n") + 1 for p in ch.lines_alone(text)) == 200_000
+    assert len(ch.prose(text)) == len(ch.lines_alone(text)) and len(ch.table(text)) > 800
+    assert "".join(ch.hard_parts("a. " * 700_000, 2_000)) == "a. " * 700_000
+    assert time.perf_counter() - began < 20
