@@ -3,7 +3,7 @@
 Both vocabularies merge inside pre-tokens only, so a text's ids are those of its pre-tokens in a row. Texts within
 U+0000..U+024F, whose letters, digits and spaces no Unicode version moves, are split here by array operations and
 looked up by a 64-bit hash, whose hits are compared with the entry's characters; any other text, and any that holds an
-added token's string, goes to the library whole. The library encodes every pre-token that the table lacks, that is
+added token's string, goes to the library whole. The library's model encodes every pre-token that the table lacks, that is
 longer than LONGEST characters, or whose hash another one holds. A full table is emptied: that costs time, no result.
 """
 
@@ -24,6 +24,9 @@ _CLASS[:_TOP] = [_SPACE if c in _WHITE else {"L": _LETTER, "N": _NUMBER}.get(uni
 _LOWER = np.arange(_EDGE + 1, dtype=np.uint16)
 _LOWER[:_TOP] = [ord(x) if len(x := chr(c).lower()) == 1 and ord(x) < _TOP else _EDGE for c in range(_TOP)]
 _ODD = {chr(c) for c in range(_TOP) if _LOWER[c] == _EDGE}  # lower case leaves the range
+# the printable signs that byte-level vocabularies write bytes with
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_SIGNS = {c: chr(256 + k) for k, c in enumerate(c for c in range(256) if c not in _PLAIN)}
 _CHARS = 1 << 19
 LONGEST = 64  # characters of a pre-token that the table takes
 _HELD_CHARS = 1 << 24  # characters of all entries
@@ -109,6 +112,7 @@ class PretokenEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.kind, self.table_bits = kind, table_bits
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
@@ -161,10 +165,15 @@ class PretokenEncoder:
         return starts[~drop], ends[~drop]
 
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pre-tokens in a row, and how many each has."""
-        ids = [e.ids for k in range(0, len(words), 4096) for e in self.tokenizer.encode_batch_fast(words[k : k + 4096], add_special_tokens=False)]
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((x for y in ids for x in y), self.dtype, int(n.sum())), n
+        """Ids of the pre-tokens in a row, and how many each has: the library's model alone, as they are cut and normalised."""
+        if self.kind == "word":
+            words = [w.lower() for w in words]
+        # 0xff stands in no UTF-8
+        signs = b"\xff".join([w.encode() for w in words]).decode("latin-1").translate(_SIGNS).split("\xff")
+        tokenize = self.model.tokenize
+        found = [tokenize(w) for w in signs[: len(words)]]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        return np.array([t.id for f in found for t in f], self.dtype), n
 
     def _put(self, new: np.ndarray) -> None:
         """Ids behind those in use; they last until the table takes further entries."""

@@ -192,7 +192,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
     # at most as many as the benchmark has items
     named = found.select("doc_id", "row", "item").distinct().groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("item")).alias("items"))
     hits = counts.withColumnsRenamed({"doc_id": "__d", "row": "__r"}).join(named, F.col("__d").eqNullSafe(F.col("doc_id")) & (F.col("__r") == F.col("row"))).select("__d", "__r", "n_hit", "items")
-    hits = materialize(hits, "hits")
+    hits = materialize(hits, "hits", "uncompressed")
     out = base.join(hits, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("row") == F.col("__r")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return out.select("doc_id", "row", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
@@ -202,7 +202,7 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """docs without those that are contaminated."""
     d, r = unused(docs, "hit_doc", "hit_row")
     bad = contamination(docs, items, id_col=id_col, text_col=text_col).where("contaminated").select(F.col("doc_id").alias(d), F.col("row").alias(r)).distinct()
-    bad = materialize(bad, "contaminated")  # few are broadcast by their size as Spark finds it; documents move only where they are many
+    bad = materialize(bad, "contaminated", "uncompressed")  # few are broadcast by their size as Spark finds it; documents move only where they are many
     return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(r)), "left_anti")
 
 

@@ -212,7 +212,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
     if trigrams:
         hits = candidates(materialize(trigram_index(docs, trigrams, id_col, text_col), "postings"), trigrams, rules)
         doc, hit = unused(docs, "hit_doc", "hit_row")
-        hits = materialize(hits.withColumnsRenamed({"doc_id": doc, "row": hit} | {f"c{k}": n for k, n in flags.items()}), "candidates")
+        hits = materialize(hits.withColumnsRenamed({"doc_id": doc, "row": hit} | {f"c{k}": n for k, n in flags.items()}), "candidates", "uncompressed")  # its size on disk tells its size in memory
         rows = rows.join(hits, F.col(id_col).cast("long").eqNullSafe(F.col(doc)) & (_row(text_col) == F.col(hit)), "left")
     none = F.array().cast(_SPAN)
     found = []

@@ -89,7 +89,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
     hits = possible.join(rules, "key")
     best = hits.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), F.length("host").alias("m"), "rule", "verdict")).alias("b"))
     at, rule, verdict = unused(pages, "listed_url", "listed_rule", "listed_verdict")
-    best = materialize(best.select(F.col("url").alias(at), F.col("b.rule").alias(rule), F.col("b.verdict").alias(verdict)), "listed")
+    best = materialize(best.select(F.col("url").alias(at), F.col("b.rule").alias(rule), F.col("b.verdict").alias(verdict)), "listed", "uncompressed")
     out = pages.join(best, F.col(url_col) == F.col(at), "left")
     return out.select(*kept, *parts, F.col(rule).alias("rule"), F.coalesce(F.col(verdict), F.lit(default)).alias("verdict"))
 
