@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexspark.plans import deliveries, tables, texts
+from lexspark.plans import conversions, deliveries, tables, texts
 
-QUERIES = texts.QUERIES | tables.QUERIES | deliveries.QUERIES
-ORACLE_SQL = texts.ORACLE_SQL | tables.ORACLE_SQL | deliveries.ORACLE_SQL
+QUERIES = texts.QUERIES | tables.QUERIES | deliveries.QUERIES | conversions.QUERIES
+ORACLE_SQL = texts.ORACLE_SQL | tables.ORACLE_SQL | deliveries.ORACLE_SQL | conversions.ORACLE_SQL

@@ -49,8 +49,8 @@ def q42_ministry_fallback_coalesce(spark, sf_dir):
 # lines of an order as documents of a law: sources, repeals, versions, hashes and errors so that every rule applies somewhere
 _GROUPS = """g AS (SELECT l_orderkey AS law_id, l_linenumber AS path, CASE WHEN l_orderkey % 11 = 0 THEN l_returnflag WHEN l_linenumber % 2 = 0 AND l_orderkey % 13 = 0 THEN NULL ELSE 'law' END AS source, CASE WHEN l_orderkey % 7 = 0 THEN l_linestatus = 'O' WHEN l_orderkey % 3 = 0 THEN TRUE END AS repealed,
  CASE WHEN l_orderkey % 5 = 0 AND l_linenumber = 2 THEN NULL ELSE 'v' END AS version_uid, CASE WHEN l_orderkey % 4 = 0 THEN l_suppkey::VARCHAR ELSE 'h' END AS hash, l_quantity > 49 AS error FROM lineitem),
-k AS (SELECT law_id, min(path) AS first_path, bool_or(error) AS err, count(DISTINCT coalesce(source, '?')) > 1 AS s, bool_or(coalesce(repealed, FALSE)) AS some, bool_and(coalesce(repealed, FALSE)) AS alle, count(DISTINCT coalesce(version_uid, '?')) > 1 AS v, count(DISTINCT hash) > 1 AS h, count(*) AS n FROM g GROUP BY law_id),
-j AS (SELECT *, CASE WHEN err THEN NULL WHEN s THEN 'law_id_multi_source' WHEN some AND NOT alle THEN 'repeal_conflict' WHEN alle THEN 'twice' WHEN v THEN 'multi_version_unsupported' WHEN h THEN 'version_conflict' ELSE 'twice' END AS issue FROM k)"""
+k AS (SELECT law_id, min(path) AS first_path, bool_or(error) AS err, count(DISTINCT coalesce(source, '?')) > 1 AS s, bool_or(coalesce(repealed, FALSE)) AS part_rep, bool_and(coalesce(repealed, FALSE)) AS alle, count(DISTINCT coalesce(version_uid, '?')) > 1 AS v, count(DISTINCT hash) > 1 AS h, count(*) AS n FROM g GROUP BY law_id),
+j AS (SELECT *, CASE WHEN err THEN NULL WHEN s THEN 'law_id_multi_source' WHEN part_rep AND NOT alle THEN 'repeal_conflict' WHEN alle THEN 'twice' WHEN v THEN 'multi_version_unsupported' WHEN h THEN 'version_conflict' ELSE 'twice' END AS issue FROM k)"""
 
 
 def _units(spark, sf_dir):
