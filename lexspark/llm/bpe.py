@@ -9,7 +9,9 @@ longer than LONGEST characters, or whose hash another one holds. A full table is
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -26,7 +28,9 @@ _LOWER[:_TOP] = [ord(x) if len(x := chr(c).lower()) == 1 and ord(x) < _TOP else
 _ODD = {chr(c) for c in range(_TOP) if _LOWER[c] == _EDGE}  # lower case leaves the range
 # the printable signs that byte-level vocabularies write bytes with
 _PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_SIGNS = {c: chr(256 + k) for k, c in enumerate(c for c in range(256) if c not in _PLAIN)}
+_MARKS = {c: chr(256 + k) for k, c in enumerate(c for c in range(256) if c not in _PLAIN)}
+_SIGNS = "".join(_MARKS.get(c, chr(c)) for c in range(256))
+_HIGH = re.compile(f"[^\x00-{chr(_TOP - 1)}]")
 _CHARS = 1 << 19
 LONGEST = 64  # characters of a pre-token that the table takes
 _HELD_CHARS = 1 << 24  # characters of all entries
@@ -129,7 +133,7 @@ class PretokenEncoder:
         """True where the array path splits this text as the library does."""
         if any(s in text for s in self.special):
             return False
-        return text.isascii() or (max(text) < chr(_TOP) and not (self.kind == "word" and any(c in text for c in _ODD)))
+        return text.isascii() or (not _HIGH.search(text) and not (self.kind == "word" and any(c in text for c in _ODD)))
 
     def _cut(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the pre-tokens."""
@@ -169,7 +173,7 @@ class PretokenEncoder:
         if self.kind == "word":
             words = [w.lower() for w in words]
         # 0xff stands in no UTF-8
-        signs = b"\xff".join([w.encode() for w in words]).decode("latin-1").translate(_SIGNS).split("\xff")
+        signs = codecs.charmap_decode(b"\xff".join([w.encode() for w in words]), "strict", _SIGNS)[0].split("\xff")
         tokenize = self.model.tokenize
         found = [tokenize(w) for w in signs[: len(words)]]
         n = np.fromiter(map(len, found), np.int64, len(found))
