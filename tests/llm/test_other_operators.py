@@ -356,3 +356,14 @@ def test_pipeline(spark, tmp_path):
     red = spark.read.parquet(f"{tmp_path}/out-3").where("doc_id = 104").first()
     assert "[SECRET] end" in red["text"] and "hunter2" not in red["text"] and red["n_chars"] == len(red["text"])
     assert rows(corpus_pipeline.run(spark, str(tmp_path)), "doc_id", "ids_crc32") == rows(docs, "doc_id", "ids_crc32")
+
+
+def test_no_scratch_folder_of_one_machine_on_a_cluster():
+    from types import SimpleNamespace as N
+
+    from lexspark.llm.common import scratch_path
+
+    conf = N(get=lambda key, default=None: None)
+    sc = N(master="spark://host:7077", _jsc=N(sc=lambda: N(getCheckpointDir=lambda: N(isDefined=lambda: False))))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(N(conf=conf, sparkContext=sc), "x")
