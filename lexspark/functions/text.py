@@ -120,6 +120,13 @@ def fill_image_marks(c: Column, texts: Column) -> Column:
     return F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
 
 
+def image_mark_counts(c: Column, texts: Column) -> Column:
+    """struct of marks in a text, and how many of them texts fill."""
+    marks = F.size(F.split(F.coalesce(c, F.lit("")), r"\[그림\]", -1)) - 1
+    given = F.size(F.filter(F.slice(F.coalesce(texts, F.array().cast("array<string>")), F.lit(1), F.greatest(marks, F.lit(0))), lambda x: text_or_null(x).isNotNull()))
+    return F.struct(marks.alias("marks"), given.alias("filled"))
+
+
 def chapter_context(path: Column, nearest: Column, most: int = 512) -> Column:
     """The chapter path; its nearest step where the path is too long; a cut path where that is too."""
     path, nearest = F.coalesce(text_or_null(path), text_or_null(nearest)), text_or_null(nearest)

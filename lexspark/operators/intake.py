@@ -55,6 +55,36 @@ def check_manifest(documents: DataFrame, manifest: DataFrame, key: str) -> DataF
     return j.select(key, F.coalesce("found", F.lit(0)).alias("found"), "declared", state.alias("state"))
 
 
+def manifest_faults(zips: DataFrame, manifests: DataFrame) -> DataFrame:
+    """zips (zip, sha256, documents, repealed: as counted) against their manifests (zip, manifest: VARIANT, error): one row for each fault, with its level.
+
+    manifest_missing warns; manifest_invalid (unreadable, or no sha256) and manifest_mismatch (another digest, or a count that
+    is no number or another one) are errors; a name of another file and a count left out warn.
+    """
+    get = lambda key: F.try_variant_get("manifest", f"$.{key}", "string")
+    kind = lambda key: F.schema_of_variant(F.try_variant_get("manifest", f"$.{key}", "variant"))
+    rows = zips.join(manifests.select("zip", "manifest", F.col("error").alias("__error"), F.lit(True).alias("__there")), "zip", "left")
+    sha = F.when(kind("sha256") == "STRING", F.trim(get("sha256")))
+    there, good = F.col("__there").isNotNull(), F.col("__error").isNull()
+    fault = lambda when, code, level: F.when(when, F.struct(F.lit(code).alias("code"), F.lit(level).alias("level")))
+
+    def count(key: str) -> list[Column]:
+        named = F.coalesce(kind(key), F.lit("VOID"))
+        same = (named == "BIGINT") & (F.try_variant_get("manifest", f"$.{key}", "long") == F.col(key))
+        return [fault(there & good & (named == "VOID"), "manifest_field_missing", "warning"), fault(there & good & (named != "VOID") & ~F.coalesce(same, F.lit(False)), "manifest_mismatch", "error")]
+
+    base = F.element_at(F.split("zip", "/"), -1)
+    found = F.array_compact(F.array(fault(~there, "manifest_missing", "warning"), fault(there & (~good | (F.coalesce(sha, F.lit("")) == "")), "manifest_invalid", "error"), fault(there & good & (sha != "") & (F.lower(sha) != F.col("sha256")), "manifest_mismatch", "error"),
+                                    fault(there & good & (F.coalesce(get("filename"), base) != base) & (get("filename") != ""), "manifest_filename", "warning"), *count("documents"), *count("repealed")))
+    return rows.select("zip", F.explode(found).alias("f")).select("zip", "f.*").distinct()
+
+
+def attachment_like(name: Column) -> Column:
+    """A file that deliveries may hold as an attachment, and no system's or editor's own."""
+    low = F.lower(F.coalesce(name, F.lit("")))
+    return extension(low).isin(*ATTACHMENTS) & ~low.isin("thumbs.db", ".ds_store", "desktop.ini") & ~F.startswith(low, F.lit("~$")) & ~F.startswith(low, F.lit("._"))
+
+
 def new_deliveries(incoming: DataFrame, accepted: DataFrame) -> DataFrame:
     """Deliveries that were not accepted before: a known file is new only with a manifest that differs from the accepted ones, all of which had one."""
     i, a = incoming.alias("i"), accepted.alias("a")

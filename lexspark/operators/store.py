@@ -95,13 +95,6 @@ def dimension_fault(stored: DataFrame, dim: int, vector: str = "vector") -> str
     return f"stored vectors have {held[0]['d']} dimensions, not {dim}" if held and held[0]["d"] != dim else None
 
 
-def quality_targets(docs: DataFrame) -> DataFrame:
-    """What is left to preprocess, by predicate: documents without text of their own, appendices that are files, images in articles; with the documents' paths."""
-    hit = lambda c, name: F.struct(F.lit(name).alias("target"), c.cast("long").alias("n"))
-    flat = docs.select("path", F.explode(F.array(hit(F.col("file_only"), "document_file"), hit(F.col("pending"), "appendix"), hit(F.col("images"), "article_image"))).alias("t")).select("path", "t.*").where("n > 0")
-    return flat.groupBy("target").agg(F.sum("n").alias("n"), F.countDistinct("path").alias("documents"))
-
-
 class ConcurrentWrite(RuntimeError):
     """Another writer committed since this one read the table."""
 

@@ -26,13 +26,13 @@ def with_common(docs: DataFrame, source: str = "law") -> DataFrame:
     return docs.withColumns({
         "law_id": t("law_id"), "version_uid": version, "mst": t("mst"), "adm_uid": t("adm_uid"), "law_name": t("law_name"), "law_abbr": t("law_abbr"), "law_type": t("law_type"),
         "promulgation_date": text.iso_date(d("promulgation_date")), "revision_date": text.iso_date(d("revision_date")), "revision_type": t("revision_type"),
-        "is_current": d("is_current"), "is_future": d("is_future"), "source_url": text.text_or_null(d("source.source_url")), "git_path": F.col("path"),
+        "is_current": d("is_current"), "is_future": d("is_future"), "source_url": text.text_or_null(d("source.source_url")), "git_path": F.col("path"), "git_commit": text.text_or_null(d("source.git_commit")),
         "ministry": ministry(d("basic_info")), "domain": ids.domain(t("doc_target"), F.lit(source)),
         "doc_base": ids.document_base(ids.id_prefix(d("doc_target"), F.lit(None).cast("string"), F.lit(source)), d("law_name"), t("law_id")),
     })
 
 
-COMMON = ["law_id", "version_uid", "mst", "adm_uid", "law_name", "law_abbr", "law_type", "promulgation_date", "revision_date", "revision_type", "is_current", "is_future", "source_url", "git_path", "ministry", "domain"]
+COMMON = ["law_id", "version_uid", "mst", "adm_uid", "law_name", "law_abbr", "law_type", "promulgation_date", "revision_date", "revision_type", "is_current", "is_future", "source_url", "git_path", "git_commit", "ministry", "domain"]
 
 
 def references(relations: Column) -> Column:

@@ -62,7 +62,18 @@ def canonical_hash(v: Column) -> Column:
     return F.sha2(F.to_json(v), 256)
 
 
-def read_documents(spark: SparkSession, path: str, glob: str = "*.json", limit: int | None = None) -> DataFrame:
-    """path, doc and error of every file below path; limit takes the first files by path."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob).select(F.col("_metadata.file_path").alias("path"), "value")
-    return parse_documents(files.orderBy("path").limit(limit) if limit is not None else files).drop("value")
+SKIPPED = ("_manifest.json",)
+
+
+def read_documents(spark: SparkSession, path: str, glob: str = "*.json", limit: int | None = None, skip: tuple[str, ...] = SKIPPED) -> DataFrame:
+    """path, doc and error of every file below path but those of the names to skip; limit takes the first files by path, whose names alone are listed for that."""
+    name = F.element_at(F.split("path", "/"), -1)
+    if limit is not None:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path).select("path").where(~name.isin(*skip))
+        chosen = [r["path"] for r in listed.orderBy("path").limit(limit).collect()]
+        files = spark.read.text(chosen, wholetext=True) if chosen else None
+    else:
+        files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=glob)
+    if files is None:
+        return parse_documents(spark.createDataFrame([], "path string, value string")).drop("value")
+    return parse_documents(files.select(F.col("_metadata.file_path").alias("path"), "value").where(~name.isin(*skip))).drop("value")
