@@ -78,6 +78,13 @@ def domain(doc_target: Column, source: Column) -> Column:
             .when((source == "eflaw") | (doc_target == "eflaw"), "law").otherwise(F.coalesce(source, F.lit("law"))))
 
 
+def route(doc_target: Column, law_id: Column, default: Column) -> Column:
+    """The collection that a record goes to: by its document's target, else by its law's id, else where its package came from."""
+    target = F.trim(F.coalesce(doc_target, F.lit("")))
+    return (F.when(target.isin("school", "pi", "public"), "schlpub").when(target.isin("eflaw", "law", "법령"), "law").when(target == "admrul", "admrul")
+            .when(F.rlike(F.coalesce(law_id, F.lit("")), F.lit("^(school|pi|public):")), "schlpub").otherwise(default))
+
+
 def document_base(prefix: Column, name: Column, law_id: Column) -> Column:
     return F.concat(prefix, F.lit(":"), F.coalesce(compact_name(name), law_id, F.lit("unknown")))
 

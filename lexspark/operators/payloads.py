@@ -92,4 +92,4 @@ def changes(lines: DataFrame, docs: DataFrame, source: str = "law") -> DataFrame
     payload = F.coalesce("own", "__value")
     target = F.get_json_object(payload, "$.doc_target")
     error = (F.when(F.col("bad"), "json_invalid").when((F.col("op") == "delete") & F.col("law_id").isNull(), "law_id_missing").when((F.col("op") != "delete") & payload.isNull(), F.when(F.col("git_path").isNull(), "payload_missing").otherwise("path_missing")))
-    return rows.select("line_no", "op", "law_id", ids.domain(target, F.col("source")).alias("domain"), F.when(F.col("op") != "delete", payload).alias("payload"), "git_path", error.alias("error"))
+    return rows.select("line_no", "op", "law_id", ids.route(F.when(F.col("op") != "delete", target), F.col("law_id"), F.col("source")).alias("domain"), F.when(F.col("op") != "delete", payload).alias("payload"), "git_path", error.alias("error"))

@@ -45,7 +45,7 @@ def rename_heads(records: DataFrame) -> DataFrame:
     target = F.coalesce("doc_target", F.lit(""))
     prefix = F.when(target.isin("", "eflaw", "law"), "law").when(target == "admrul", "admrul").otherwise("SchlPubRul")
     head = lambda c: F.concat(prefix, F.lit(":"), compact_name(F.col(c)))
-    out = records.select(ids.domain(F.col("doc_target"), F.col("domain")).alias("domain"), "law_id", head("old_name").alias("old_head"), head("new_name").alias("new_head"))
+    out = records.select(ids.route(F.col("doc_target"), F.col("law_id"), F.col("domain")).alias("domain"), "law_id", head("old_name").alias("old_head"), head("new_name").alias("new_head"))
     return out.where("old_head <> new_head").distinct()
 
 

@@ -111,9 +111,9 @@ def q82_names_and_paths(spark, sf_dir):
     """Parts as documents: families, ranks, repository paths, labels of appendices and extensions."""
     p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
     name = F.concat("p_name", F.when(k % 3 == 0, " 시행령").when(k % 3 == 1, "시행규칙").otherwise(""))
-    file = F.when(k % 4 == 0, F.struct(F.lit("HWP").alias("t"), F.lit("x").alias("n"), F.lit("").alias("u"))).when(k % 4 == 1, F.struct(F.lit(""), F.lit("a.JPEG"), F.lit(""))).when(k % 4 == 2, F.struct(F.lit(""), F.lit("b.pdf"), F.lit(""))).otherwise(F.struct(F.lit(""), F.lit("c"), F.lit("d")))
+    kind, base = F.when(k % 4 == 0, "HWP").otherwise(""), F.when(k % 4 == 0, "x").when(k % 4 == 1, "a.JPEG").when(k % 4 == 2, "b.pdf").otherwise("c")
     return p.select("p_partkey", names.family(name).alias("family"), names.kind_of(name).alias("kind"), names.git_path(F.when(k % 5 == 0, "admrul"), name).alias("path"),
-                    names.appendix_label(F.lit(""), F.lpad(text(k % 30), 4, "0"), F.lpad(text(k % 4), 2, "0"), F.col("p_name")).alias("label"), names.file_extension(file["t"], file["n"], file["u"]).alias("extension"))
+                    names.appendix_label(F.lit(""), F.lpad(text(k % 30), 4, "0"), F.lpad(text(k % 4), 2, "0"), F.col("p_name")).alias("label"), names.file_extension(kind, base, F.lit("d")).alias("extension"))
 
 
 @query("""WITH t AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn, text) AS k FROM conversations), f AS (SELECT conv_id, role, turn FROM t WHERE k = 1)
@@ -214,7 +214,7 @@ def q91_phantom_references(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     code = lambda c: F.concat(F.lit("JO"), F.lpad(text(c), 4, "0"))
     most = li.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("m"))
-    articles = most.select(text("l_orderkey").alias("doc"), code(F.explode(F.sequence(F.lit(1), F.col("m")))).alias("unit"))
+    articles = most.select(text("l_orderkey").alias("doc"), F.explode(F.sequence(F.lit(1), F.col("m"))).alias("n")).select("doc", code(F.col("n")).alias("unit"))
     own = F.col("l_linenumber") % 3 == 0
     relations = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", text("l_orderkey").alias("doc"), F.when(own, text("l_orderkey")).otherwise("other").alias("target_doc"), code(F.col("l_partkey") % 8 + 1).alias("target_unit"))
     return references.drop_phantoms(relations, articles).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")

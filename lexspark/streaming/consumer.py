@@ -23,7 +23,7 @@ STATE = "package string, attempt int, state string, permanent boolean, errors ar
 def with_domain(records: DataFrame) -> DataFrame:
     """records with the domain of each: its own target first, then its package's source."""
     source = src.headers(records).select("package", F.col("source").alias("__source"))
-    return records.join(source, "package", "left").withColumn("domain", ids.domain(F.col("doc_target"), F.col("__source"))).drop("__source")
+    return records.join(source, "package", "left").withColumn("domain", ids.route(F.col("doc_target"), F.col("law_id"), F.col("__source"))).drop("__source")
 
 
 def flush(stored: DataFrame | None, records: DataFrame, fresh: DataFrame, older: bool = False) -> DataFrame:
