@@ -45,25 +45,40 @@ def uncircled(c: Column) -> Column:
     return F.when(F.rlike(c, F.lit("[①-⑳]")), F.array_join(F.transform(found, lambda x: F.when(place(x) > 0, place(x).cast("string")).otherwise(x)), "")).otherwise(c)
 
 
+def _number(c: Column) -> Column:
+    """number of what is compact already."""
+    return let(uncircled(c), lambda s: F.when(_digits(s), F.regexp_replace(s, r"^0+(?=\d)", "")).otherwise(s))
+
+
 def number(c: Column) -> Column:
     """A unit's number without leading zeros; letters stay."""
-    return let(compact(c), lambda x: let(uncircled(x), lambda s: F.when(_digits(s), F.regexp_replace(s, r"^0+(?=\d)", "")).otherwise(s)))
+    return let(compact(c), _number)
+
+
+def _branch(c: Column) -> Column:
+    return let(_number(c), lambda n: F.when(n.isin("", "0"), "").otherwise(n))
 
 
 def branch_number(c: Column) -> Column:
     """As number; none where it is zero."""
-    return let(number(c), lambda n: F.when(n.isin("", "0"), "").otherwise(n))
+    return let(compact(c), _branch)
 
 
 def token(c: Column) -> Column:
-    """Letters of a unit's number as an id holds them."""
-    s = reduce(lambda s, r: F.replace(s, F.lit(r[0]), F.lit(r[1])), ROMAN.items(), F.upper(compact(c)))
-    return F.regexp_replace(s, "[^0-9A-Z가-힣]+", "")
+    """Letters of a compact number as an id holds them."""
+    roman = F.create_map(*[F.lit(x) for r in ROMAN.items() for x in r])
+    spelled = F.when(F.rlike(c, F.lit("[Ⅰ-Ⅹ]")), F.array_join(F.transform(F.split(c, ""), lambda x: F.coalesce(F.try_element_at(roman, x), x)), "")).otherwise(c)
+    return F.regexp_replace(F.upper(spelled), "[^0-9A-Z가-힣]+", "")
 
 
-def kind_code(kind: Column) -> Column:
+def _pre(kind: Column) -> Column:
+    """The code of a compact kind."""
     codes = F.create_map(*[F.lit(x) for c in CODES.items() for x in c])
-    return F.coalesce(F.try_element_at(codes, compact(kind)), F.lit("APX"))
+    return F.coalesce(F.try_element_at(codes, kind), F.lit("APX"))
+
+
+def kind_code(kind: Column) -> Column:
+    return _pre(compact(kind))
 
 
 def _label(s: Column, pattern: str, sub: bool = False) -> Column:
@@ -95,33 +110,43 @@ def appendix_kind(kind: Column, no: Column, title: Column) -> Column:
 
 
 def _compatible(kind: Column, found: Column) -> Column:
-    a, b = (F.coalesce(F.nullif(compact(c), F.lit("")), F.lit("별표")) for c in (kind, found))
-    return (a == b) | ((a == "서식") & (b == "별지"))
+    """Whether a label's kind may stand for a compact kind."""
+    mine = F.when(kind == "", "별표").otherwise(kind)
+    return (mine == found) | ((mine == "서식") & (found == "별지"))
 
 
 def _code(pre: Column, n: Column, b: Column, index: Column | None = None) -> Column:
     """A unit's code of its number and branch; numbers in letters follow a dash, without a number the index counts."""
-    tail = F.when(b == "", "").otherwise(F.concat(F.lit("_"), F.when(_digits(b), _zfill(b, 2)).otherwise(token(b))))
-    letters = F.when(token(b) == "", "").otherwise(F.concat(F.lit("_"), token(b)))
+    tail = F.when(b == "", "").when(_digits(b), F.concat(F.lit("_"), _zfill(b, 2)))
+    letters = let(F.when(b == "", "").otherwise(token(b)), lambda t: F.when(t == "", "").otherwise(F.concat(F.lit("_"), t)))
     none = F.lit("0000") if index is None else F.when(index.isNull(), "0000").otherwise(F.concat(F.lit("-IDX"), _zfill(index.cast("string"), 4)))
-    return F.concat(pre, F.when(_digits(n), F.concat(_zfill(n, 4), tail)).when(n != "", F.concat(F.lit("-"), token(n), letters)).otherwise(none))
+    named = F.when(b == "", "").otherwise(F.concat(F.lit("_"), token(b)))  # a branch in letters keeps its mark
+    return F.concat(pre, F.when(_digits(n), F.concat(_zfill(n, 4), F.coalesce(tail, named))).when(n != "", F.concat(F.lit("-"), token(n), letters)).otherwise(none))
+
+
+def _code_of(x: Column) -> Column:
+    """The code of a label."""
+    return _code(_pre(x["kind"]), _number(x["no"]), _branch(x["branch"]))
 
 
 def appendix_unit(kind: Column, no: Column, branch: Column, title: Column | None = None, file_name: Column | None = None, index: Column | None = None) -> Column:
     """An appendix's code. Its own number decides; a title's label counts where it leads and bears that number, and titles or file names where there is no number."""
     title, file_name = (F.lit("") if c is None else F.coalesce(c, F.lit("")) for c in (title, file_name))
-    given = F.struct(number(no).alias("n"), branch_number(branch).alias("b"), kind_code(kind).alias("pre"), leading_label(title).alias("lab"))
+    given = F.struct(number(no).alias("n"), branch_number(branch).alias("b"), compact(kind).alias("k"))
+
+    def told(g: Column, text: Column) -> Column:
+        return let(appendix_label(text), lambda x: F.when(x.isNotNull() & _compatible(g["k"], x["kind"]), _code_of(x)))
 
-    def told(text: Column) -> Column:
-        return let(appendix_label(text), lambda x: F.when(x.isNotNull() & _compatible(kind, x["kind"]), _code(kind_code(x["kind"]), number(x["no"]), branch_number(x["branch"]))))
+    def numbered(g: Column, lab: Column) -> Column:
+        leads = lab.isNotNull() & (_number(lab["no"]) == g["n"]) & _compatible(g["k"], lab["kind"])
+        deeper = F.when(leads & (lab["sub"] != "") & _branch(lab["branch"]).isin(F.lit(""), g["b"]), F.concat(F.lit("-"), lab["sub"])).otherwise("")
+        return F.concat(_code(F.when(leads, _pre(lab["kind"])).otherwise(_pre(g["k"])), g["n"], g["b"]), deeper)
 
-    def numbered(g: Column) -> Column:
-        lab = g["lab"]
-        leads = lab.isNotNull() & (number(lab["no"]) == g["n"]) & _compatible(kind, lab["kind"])
-        deeper = F.when(leads & (lab["sub"] != "") & branch_number(lab["branch"]).isin(F.lit(""), g["b"]), F.concat(F.lit("-"), lab["sub"])).otherwise("")
-        return F.concat(_code(F.when(leads, kind_code(lab["kind"])).otherwise(g["pre"]), g["n"], g["b"]), deeper)
+    def unit(g: Column) -> Column:
+        own = F.when(title == "", _code(_pre(g["k"]), g["n"], g["b"])).otherwise(let(leading_label(title), lambda lab: numbered(g, lab)))
+        return F.when(_digits(g["n"]), own).otherwise(F.coalesce(told(g, title), told(g, file_name), _code(_pre(g["k"]), g["n"], g["b"], index)))
 
-    return let(given, lambda g: F.when(_digits(g["n"]), numbered(g)).otherwise(F.coalesce(told(title), told(file_name), _code(g["pre"], g["n"], g["b"], index))))
+    return let(given, unit)
 
 
 def unit_of(label: Column) -> Column:
@@ -132,11 +157,12 @@ def unit_of(label: Column) -> Column:
         return F.concat(F.lit("JO"), _zfill(g(1), 4), F.when(g(2) != "", F.concat(F.lit("-"), _zfill(g(2), 2))).otherwise(""), F.when(g(3) != "", F.concat(F.lit("_"), _zfill(g(3), 2))).otherwise(""))
 
     def part(x: Column) -> Column:
-        return F.concat(kind_code(x["kind"]), _zfill(x["no"], 4), F.when(x["branch"] != "", F.concat(F.lit("_"), _zfill(x["branch"], 2))).otherwise(""))
+        return F.concat(_pre(x["kind"]), _zfill(x["no"], 4), F.when(x["branch"] != "", F.concat(F.lit("_"), _zfill(x["branch"], 2))).otherwise(""))
 
     sub = lambda s: let(_label(s, "^" + SUBLABEL, True), lambda x: F.concat(part(x), F.lit("-"), x["sub"]))
-    letters = let(appendix_label(label), lambda x: F.when(x.isNotNull() & ~_digits(number(x["no"])), _code(kind_code(x["kind"]), number(x["no"]), branch_number(x["branch"]))))
-    return let(compact(label), lambda c: let(uncircled(c), lambda s: F.when(F.rlike(s, F.lit(ARTICLE)), article(s)).otherwise(F.coalesce(sub(s), let(_label(s, COMPACT_APPENDIX), part), letters, F.lit("DOC")))))
+    letters = let(appendix_label(label), lambda x: F.when(x.isNotNull() & ~_digits(_number(x["no"])), _code_of(x)))
+    other = lambda s: F.coalesce(sub(s), let(_label(s, COMPACT_APPENDIX), part), letters, F.lit("DOC"))
+    return let(compact(label), lambda c: F.when(F.rlike(c, F.lit(ARTICLE)), article(c)).otherwise(let(uncircled(c), other)))
 
 
 def article_place(label: Column) -> Column:
