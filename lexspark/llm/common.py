@@ -28,7 +28,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise RuntimeError("spark.checkpoint.dir is not set: a cluster's intermediate tables need a shared folder")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/lexspark/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/lexspark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete the application's scratch tables, once its results were read or written elsewhere."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "x")).getParent()
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from lexspark.llm.bpe import encoder, vocabulary
 from lexspark.llm.common import materialize, scratch_path, tidy, unused
 
-_SEEN = 1_000_000
+_SEEN = 200_000
 CACHE_SCHEMA = "version string, digest string, n_tokens long"
 
 

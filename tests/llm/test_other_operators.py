@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import time
@@ -367,3 +368,17 @@ def test_no_scratch_folder_of_one_machine_on_a_cluster():
     sc = N(master="spark://host:7077", _jsc=N(sc=lambda: N(getCheckpointDir=lambda: N(isDefined=lambda: False))))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(N(conf=conf, sparkContext=sc), "x")
+
+
+def test_scratch_tables_can_be_removed(spark):
+    from lexspark.llm.common import materialize, remove_scratch
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    spark.conf.set("spark.checkpoint.dir", base + "/removal")
+    try:
+        df = materialize(spark.range(3), "some")
+        assert df.count() == 3 and os.path.isdir(f"{base}/removal/lexspark/{spark.sparkContext.applicationId}")
+        remove_scratch(spark)
+        assert not os.path.exists(f"{base}/removal/lexspark/{spark.sparkContext.applicationId}")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", base)
