@@ -143,6 +143,11 @@ def content_budget(prefix_length: Column, most: int = 8_184) -> Column:
     return F.greatest(F.lit(1), F.lit(most) - F.when(prefix_length > 0, prefix_length + 1).otherwise(0))
 
 
+def preview(c: Column, most: int = 500, mark: str = "~") -> Column:
+    """A text of at most so many characters; a longer one is cut and marked."""
+    return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most - len(mark)), F.lit(mark))).otherwise(c)
+
+
 def extension(c: Column) -> Column:
     """Lower-case extension without the dot; empty if there is none."""
     return F.lower(F.regexp_extract(F.coalesce(c, F.lit("")), r"\.([A-Za-z0-9]+)$", 1))

@@ -5,8 +5,6 @@ An id is {prefix}:{name}[:{suffix}]#{unit}. Units of articles and appendices hav
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

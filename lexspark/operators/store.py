@@ -95,6 +95,11 @@ def dimension_fault(stored: DataFrame, dim: int, vector: str = "vector") -> str
     return f"stored vectors have {held[0]['d']} dimensions, not {dim}" if held and held[0]["d"] != dim else None
 
 
+def inventory(rows: DataFrame, *keys: str, chunks: str | None = None) -> DataFrame:
+    """Rows (and the sum of a column of chunk counts) for every combination of the keys from the left, totals included."""
+    return rows.rollup(*keys).agg(F.count("*").alias("docs"), *([F.sum(chunks).alias("chunks")] if chunks else []))
+
+
 class ConcurrentWrite(RuntimeError):
     """Another writer committed since this one read the table."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions import ids, text
@@ -212,7 +212,7 @@ def q14_knn_of_query_set(spark, sf_dir):
 @query("""WITH c AS (SELECT lang, source, ceil(length(text) / 2500.0)::BIGINT AS n FROM documents) SELECT lang, source, count(*) AS docs, sum(n)::BIGINT AS chunks FROM c GROUP BY ROLLUP (lang, source)""")
 def q43_inventory_rollup(spark, sf_dir):
     c = table(spark, sf_dir, "documents").select("lang", "source", F.ceil(F.length("text") / 2500.0).alias("n"))
-    return c.rollup("lang", "source").agg(F.count("*").alias("docs"), F.sum("n").alias("chunks"))
+    return store.inventory(c, "lang", "source", chunks="n")
 
 
 @query("""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS pos, turn, role FROM conversations), h AS (SELECT *, turn % 3 = 0 AS head FROM t),
@@ -254,7 +254,7 @@ def q68_alias_dedup_ordered(spark, sf_dir):
 
 @query("""SELECT conv_id, turn, sha256(coalesce(text, '')) AS content_hash, CASE WHEN length(text) > 500 THEN left(text, 499) || '~' ELSE text END AS preview FROM conversations""")
 def q71_previews(spark, sf_dir):
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(F.coalesce("text", F.lit("")), 256).alias("content_hash"), F.when(F.length("text") > 500, F.concat(F.substring("text", 1, 499), F.lit("~"))).otherwise(F.col("text")).alias("preview"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.sha2(F.coalesce("text", F.lit("")), 256).alias("content_hash"), text.preview(F.col("text")).alias("preview"))
 
 
 _BM25_TERMS = "('thaned'), ('reeres'), ('que')"

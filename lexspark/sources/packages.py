@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 RECORD = "record_type string, package_id string, source string, law_id string, op string, version_uid string, record_count long, file_id string, chunk_index int, content string, old_name string, new_name string, doc_target string, sha256 string, content_b64 string, reason string"
@@ -19,10 +19,11 @@ def parse_records(lines: DataFrame) -> DataFrame:
 
 
 def read_packages(spark: SparkSession, path: str) -> DataFrame:
-    """Records of every package below path. A package is one file; its lines are numbered within it."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.jsonl").select(F.col("_metadata.file_name").alias("package"), "value")
-    lines = files.select("package", F.posexplode(F.split("value", "\n")).alias("line_no", "body"))
-    return parse_records(lines.withColumn("line_no", F.col("line_no") + 1))
+    """Records of every package below path. A package is one file, of any size: its lines are read in splits and numbered in order."""
+    lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.jsonl")
+    lines = lines.select(F.col("_metadata.file_name").alias("package"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("body"))
+    number = F.row_number().over(Window.partitionBy("package").orderBy("block", "row"))
+    return parse_records(lines.select("package", number.alias("line_no"), "body"))
 
 
 def headers(records: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def _states(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(STATE).parquet(f"{root}/state/*") if fs.exists(path(f"{root}/state")) else spark.createDataFrame([], STATE)
 
 
-def _take(files: DataFrame, root: str, to_rows: RecordsToRows, most_attempts: int, run: str, batch: int) -> None:
+def _take(files: DataFrame, root: str, to_rows: RecordsToRows, most_attempts: int, run: str, batch: int, older: bool = False) -> None:
     """Consume the packages of files (package, value): a batch taken twice gives the same table, as ids are deterministic."""
     spark = files.sparkSession
     at = f"{root}/staged/{run}-{batch}"
@@ -93,7 +93,7 @@ def _take(files: DataFrame, root: str, to_rows: RecordsToRows, most_attempts: in
         laws = good.select("law_id").unionByName(fresh.select("law_id")).where("law_id is not null").distinct()
         # a rename may touch any row; else only the laws' buckets (at most BUCKETS numbers) are rewritten
         touched = None if not good.where("record_type = 'rename'").isEmpty() else [r[0] for r in laws.select(st.bucket().alias("b")).distinct().collect()]
-        st.commit(flush(st.current(spark, root, touched), good, fresh), root, touched, last)
+        st.commit(flush(st.current(spark, root, touched), good, fresh, older), root, touched, last)
     bad = states.where("state = 'quarantined'").join(src.headers(records).select("package", "source"), "package", "left")
     pk.nack(bad, records).write.mode("overwrite").parquet(f"{root}/nack/run={run}-{batch}")
     states.select("package", "attempt", "state", "permanent", "errors", F.lit(run).alias("run"), F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{root}/state/{run}-{batch}")
@@ -104,19 +104,19 @@ def _named(folder: str):
     return F.element_at(F.split("_metadata.file_path", f"/{re.escape(os.path.basename(folder.rstrip('/')))}/"), -1).alias("package")
 
 
-def consume(spark: SparkSession, folder: str, root: str, checkpoint: str, to_rows: RecordsToRows, most_attempts: int = 5, glob: str = "*.jsonl") -> None:
+def consume(spark: SparkSession, folder: str, root: str, checkpoint: str, to_rows: RecordsToRows, most_attempts: int = 5, glob: str = "*.jsonl", older: bool = False) -> None:
     """Consume the packages of folder that wait for another attempt, then those that came since, one file a batch in order of arrival.
 
-    root/state logs each attempt; root/nack tells producers which laws of quarantined packages to send again.
+    older: versions older than stored ones are taken too. root/state logs each attempt; root/nack tells producers which laws of quarantined packages to send again.
     """
     waiting = [r["package"] for r in latest_state(_states(spark, root), "package", "attempt").where("state = 'retry'").select("package").collect()]  # files in the folder whose footer lacks
     again = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(_named(folder), "value") if waiting else None
     run = f"again-{uuid.uuid4().hex}"
     for n, package in enumerate(sorted(waiting)):
-        _take(again.where(F.col("package") == package), root, to_rows, most_attempts, run, n)
+        _take(again.where(F.col("package") == package), root, to_rows, most_attempts, run, n, older)
     lines = spark.readStream.format("text").option("wholetext", "true").option("maxFilesPerTrigger", 1).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
     files = lines.select(_named(folder), "value")
-    query = files.writeStream.foreachBatch(lambda df, n: _take(df, root, to_rows, most_attempts, "stream", n)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = files.writeStream.foreachBatch(lambda df, n: _take(df, root, to_rows, most_attempts, "stream", n, older)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

@@ -353,3 +353,15 @@ def test_file_only_documents(spark):
     docs = documents.parse_documents(spark.createDataFrame([(str(k), json.dumps(g, ensure_ascii=False)) for k, g in enumerate(given)], "path string, value string"))
     assert [tuple(r) for r in docs.orderBy("path").select(units.has_text(F.col("doc")), units.is_file_only(F.col("doc"))).collect()] == [(False, True), (False, False), (True, False), (True, False)]
     assert units.pending_appendices(docs.where("path = '2'")).count() == 1
+
+
+def test_large_packages_are_read_in_splits(spark, tmp_path):
+    n = 5_000
+    write_package(tmp_path / "big.jsonl", *[doc(f"L{k}", "1", "x" * 200) for k in range(n)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        r = packages.read_packages(spark, str(tmp_path))
+        got = r.where("record_type = 'document'").orderBy("line_no").select("line_no", "law_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [tuple(x) for x in got] == [(k + 2, f"L{k}") for k in range(n)] and packages.footers(r).first()["record_count"] == n
