@@ -370,15 +370,14 @@ def test_no_scratch_folder_of_one_machine_on_a_cluster():
         scratch_path(N(conf=conf, sparkContext=sc), "x")
 
 
-def test_scratch_tables_can_be_removed(spark):
-    from lexspark.llm.common import materialize, remove_scratch
-
-    base = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", base + "/removal")
-    try:
-        df = materialize(spark.range(3), "some")
-        assert df.count() == 3 and os.path.isdir(f"{base}/removal/lexspark/{spark.sparkContext.applicationId}")
-        remove_scratch(spark)
-        assert not os.path.exists(f"{base}/removal/lexspark/{spark.sparkContext.applicationId}")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", base)
+def test_scratch_tables_can_be_removed(spark, tmp_path):
+    from types import SimpleNamespace as N
+
+    from lexspark.llm.common import remove_scratch, scratch_path
+
+    other = N(conf=N(get=lambda key, default=None: str(tmp_path)), sparkContext=spark.sparkContext)
+    at = scratch_path(other, "some")
+    spark.range(3).write.parquet(at)
+    assert at.startswith(str(tmp_path)) and spark.read.parquet(at).count() == 3
+    remove_scratch(other)
+    assert os.path.isdir(tmp_path) and not os.path.exists(os.path.dirname(at))
