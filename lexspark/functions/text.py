@@ -19,9 +19,12 @@ FULL_WIDTH = "".join(map(chr, range(0xFF01, 0xFF5F)))
 HALF_WIDTH = "".join(map(chr, range(0x21, 0x7F)))
 
 
-def let(value: Column, f) -> Column:
-    """f(value), the value being worked out once however often f names it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
+def let(value: Column, f, kind: str = "string") -> Column:
+    """f(value) of type kind, the value being worked out once however often f names it.
+
+    A fold over one element: unlike taking an element of a transformed array, it doesn't derive its type again for each row.
+    """
+    return F.aggregate(F.array(value), F.lit(None).cast(kind), lambda _, x: f(x))
 
 
 def strip(c: Column) -> Column:

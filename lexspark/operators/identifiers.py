@@ -87,13 +87,13 @@ def _label(s: Column, pattern: str, sub: bool = False) -> Column:
 
 def appendix_label(text: Column) -> Column:
     """kind, no, branch and sub of the first label in a text ("별표1", "별첨 A"); null if there is none."""
-    some = lambda label: let(label, lambda x: F.when(~normalize(x["no"]).isin(*NO_NUMBERS), x))
-    return let(normalize(text), lambda s: F.coalesce(_label(s, SUBLABEL, True), some(_label(s, NUMBERED)), some(_label(s, LETTERED))))
+    some = lambda label: let(label, lambda x: F.when(~normalize(x["no"]).isin(*NO_NUMBERS), x), LABEL)
+    return let(normalize(text), lambda s: F.coalesce(_label(s, SUBLABEL, True), some(_label(s, NUMBERED)), some(_label(s, LETTERED))), LABEL)
 
 
 def leading_label(text: Column) -> Column:
     """The label that a title begins with. One inside a title is a reference, no label."""
-    return let(F.regexp_replace(normalize(text), r"^[\[［ \t]+", ""), lambda s: F.coalesce(_label(s, "^" + SUBLABEL, True), _label(s, "^" + NUMBERED), _label(s, "^" + LETTERED)))
+    return let(F.regexp_replace(normalize(text), r"^[\[［ \t]+", ""), lambda s: F.coalesce(_label(s, "^" + SUBLABEL, True), _label(s, "^" + NUMBERED), _label(s, "^" + LETTERED)), LABEL)
 
 
 def title_kind(title: Column) -> Column:
@@ -103,7 +103,7 @@ def title_kind(title: Column) -> Column:
 
 def appendix_kind(kind: Column, no: Column, title: Column) -> Column:
     """An appendix's kind: a title may name a closer one than "별표", if it bears the same number."""
-    told = let(number(appendix_label(title)["no"]), lambda n: (n != "") & (n == number(no)))
+    told = let(number(appendix_label(title)["no"]), lambda n: (n != "") & (n == number(no)), "boolean")
     return F.when(title_kind(title).isNotNull() & compact(kind).isin("", "별표") & told, title_kind(title)).otherwise(normalize(kind))
 
 
@@ -207,7 +207,7 @@ def own_appendix(unit: Column, owned: Column) -> Column:
         twin = F.concat(F.when(pre == "BJ", SAME_SPACE["BJ"]).when(pre == "FORM", SAME_SPACE["FORM"]), tail)
         same = F.array_distinct(F.filter(owned, lambda x: (F.regexp_extract(x, pattern, 2) == tail) & (F.regexp_extract(x, pattern, 1) != pre)))
         return (F.when((tail == "") | F.array_contains(owned, u), u).when(F.coalesce(F.array_contains(owned, twin), F.lit(False)), twin)
-                .otherwise(let(same, lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))).otherwise(u))))
+                .when(F.size(same) == 1, F.array_max(same)).otherwise(u))
 
     return let(unit, alias)
 
@@ -231,31 +231,35 @@ def identify(docs: DataFrame) -> DataFrame:
     head = F.concat(prefix, F.lit(":"), name, F.when((suffix != "") & prefix.isin("SchlPubRul", "admrul"), F.concat(F.lit(":"), suffix)).otherwise(""))
     file_name = lambda a: F.get(F.filter(F.transform(F.coalesce(a["files"], F.array().cast("array<struct<type: string, url: string, name: string>>")), lambda f: normalize(f["name"])), lambda x: x != ""), F.lit(0))
     apx = F.coalesce("appendices", F.array().cast(docs.schema["appendices"].dataType))
-    docs = docs.withColumns({"__head": head, "__prefix": prefix, "__name": name, "__owned": F.transform(apx, lambda a: appendix_unit(a["kind"], a["no"], a["branch"], a["title"], file_name(a)))})
-
-    def reference(r: Column, source: Column) -> Column:
-        given = F.struct(compact(r["target_law_name"]).alias("target"), target_prefix(r, F.col("__prefix"), F.col("__name")).alias("axis"))
-        return let(given, lambda g: made(r, source, g["target"], g["axis"]))
-
-    def made(r: Column, source: Column, target: Column, axis: Column) -> Column:
-        own = target == F.col("__name")
-        given = F.nullif(r["target_unit"], F.lit(""))
-        kind = F.coalesce(F.nullif(r["appendix_kind"], F.lit("")), r["target_category"])
-        sheet = F.coalesce(given, appendix_unit(kind, r["appendix_no"], r["appendix_branch"], r["target_article_no"], r["link_text"]))
-        unit = F.when(r["relation_type"] == "appendix_ref", F.when(own, own_appendix(sheet, F.col("__owned"))).otherwise(sheet)).otherwise(F.coalesce(given, unit_of(r["target_article_no"])))
-        unsure = F.coalesce(r["appendix_ambiguous"], F.lit(False))
-
-        def filled(unit: Column) -> Column:
-            at = F.when(own & (axis == F.col("__prefix")), F.concat("__head", F.lit("#"), unit)).otherwise(F.concat(axis, F.lit(":"), target, F.lit("#"), unit))
-            return r.withField("source_provision_id", source).withField("target_unit", F.when(unsure, r["target_unit"]).otherwise(unit)).withField(
+    docs = docs.withColumns({"__head": head, "__prefix": prefix, "__name": name, "__owned": F.transform(apx, lambda a: appendix_unit(a["kind"], a["no"], a["branch"], a["title"], file_name(a))), "__units": F.transform("articles", lambda a: unit_of(a["article_no"]))})
+
+    def references(relations: Column, source: Column) -> Column:
+        """The relations with their targets' ids, in steps: the target's name and axis, its unit, the id."""
+        own_name, axis_here = F.col("__name"), F.col("__prefix")
+        named = F.transform(relations, lambda r: F.struct(r.alias("r"), compact(r["target_law_name"]).alias("target"), target_prefix(r, axis_here, own_name).alias("axis")))
+
+        def unit(x: Column) -> Column:
+            r, given = x["r"], F.nullif(x["r"]["target_unit"], F.lit(""))
+            kind = F.coalesce(F.nullif(r["appendix_kind"], F.lit("")), r["target_category"])
+            sheet = F.coalesce(given, appendix_unit(kind, r["appendix_no"], r["appendix_branch"], r["target_article_no"], r["link_text"]))
+            of = lambda u: F.when(x["target"] == own_name, own_appendix(u, F.col("__owned"))).otherwise(u)
+            return F.when(r["relation_type"] == "appendix_ref", let(sheet, of)).otherwise(F.coalesce(given, unit_of(r["target_article_no"])))
+
+        placed = F.transform(named, lambda x: F.struct(x["r"].alias("r"), x["target"].alias("target"), x["axis"].alias("axis"), unit(x).alias("unit")))
+
+        def filled(x: Column) -> Column:
+            r, target, axis = x["r"], x["target"], x["axis"]
+            unsure = F.coalesce(r["appendix_ambiguous"], F.lit(False))
+            at = F.when((target == own_name) & (axis == axis_here), F.concat("__head", F.lit("#"), x["unit"])).otherwise(F.concat(axis, F.lit(":"), target, F.lit("#"), x["unit"]))
+            return r.withField("source_provision_id", source).withField("target_unit", F.when(unsure, r["target_unit"]).otherwise(x["unit"])).withField(
                 "reference_id", F.when(unsure, "").when(target == "", F.coalesce(r["reference_id"], F.lit(""))).otherwise(at)).withField(
                 "target_path", F.when(~unsure & (target != ""), names.predicted_path(axis, r["target_law_name"])))
 
-        return let(unit, filled)
+        return F.transform(placed, filled)
 
-    def article(a: Column) -> Column:
-        at = F.concat("__head", F.lit("#"), unit_of(a["article_no"]))
-        return let(at, lambda at: a.withField("provision_id", at).withField("relations", F.transform(a["relations"], lambda r: reference(r, at))))
+    def article(a: Column, i: Column) -> Column:
+        at = F.concat("__head", F.lit("#"), F.get("__units", i))
+        return a.withField("provision_id", at).withField("relations", references(a["relations"], at))
 
     def appendix(a: Column, i: Column) -> Column:
         unit = F.get("__owned", i)
@@ -266,7 +270,7 @@ def identify(docs: DataFrame) -> DataFrame:
 
     out = docs.withColumns({"provision_id": F.concat("__head", F.lit("#DOC")), "addendum_provision_id": F.concat("__head", F.lit("#ADDENDUM")), "amendment_provision_id": F.concat("__head", F.lit("#AMENDMENT")),
                             "articles": F.transform("articles", article), "appendices": F.transform("appendices", appendix)})
-    return out.drop("__head", "__prefix", "__name", "__owned")
+    return out.drop("__head", "__prefix", "__name", "__owned", "__units")
 
 
 def file_meta(docs: DataFrame) -> DataFrame:

@@ -100,7 +100,7 @@ def q81_reference_ids(spark, sf_dir):
     docs = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("e"))
     articles = F.transform("e", lambda x, i: F.struct(F.concat(F.lit("제"), text(i + 1), F.lit("조")).alias("article_no"), F.array(x["r"]).alias("relations")))
     docs = docs.select("l_orderkey", F.concat(F.lit("문서 "), text("l_orderkey")).alias("law_name"), no(None).alias("doc_target"), no(None).alias("id_suffix"), articles.alias("articles"), F.array().cast("array<struct<kind: string, no: string, branch: string, title: string, files: array<struct<type: string, url: string, name: string>>>>").alias("appendices"))
-    a = identifiers.identify(docs).select("l_orderkey", F.posexplode("articles").alias("pos", "a")).select("l_orderkey", (F.col("pos") + 1).alias("i"), F.get("a.relations", F.lit(0)).alias("r"))
+    a = identifiers.identify(docs).select("l_orderkey", F.posexplode_outer("articles").alias("pos", "a")).where("pos is not null").select("l_orderkey", (F.col("pos") + 1).alias("i"), F.get("a.relations", F.lit(0)).alias("r"))
     return a.select("l_orderkey", "i", F.col("r.source_provision_id").alias("source_id"), "r.reference_id", F.col("r.target_path.path").alias("path"))
 
 

@@ -181,7 +181,8 @@ def q64_duplicate_unit_instance(spark, sf_dir):
     files = F.array(F.struct(F.lit("hwp").alias("type"), F.when(line % 2 == 0, F.concat(F.lit("u?flSeq="), (line + 10_000).cast("string"))).otherwise("u").alias("url"), F.lit("").alias("name")))
     entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", kind.alias("kind"), F.lit("1").alias("no"), F.lit("00").alias("branch"), F.lit("").alias("title"), files.alias("files"))
     docs = li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("appendices")).select("l_orderkey", F.concat(F.lit("문서 "), F.col("l_orderkey").cast("string")).alias("law_name"), F.lit("law").alias("doc_target"), F.lit(None).cast("string").alias("id_suffix"), F.lit(None).cast(_ARTICLES).alias("articles"), "appendices")
-    a = identifiers.identify(docs).select("l_orderkey", F.explode("appendices").alias("a"))
+    # outer: Spark would put a test of the array's size before the ids and make them twice
+    a = identifiers.identify(docs).select("l_orderkey", F.explode_outer("appendices").alias("a")).where("a is not null")
     return a.select("l_orderkey", "a.l_linenumber", "a.provision_id", F.col("a.appendix_instance_id").alias("instance_id"))
 
 
