@@ -165,7 +165,8 @@ def trigram_index(docs: DataFrame, trigrams: list[str], id_col: str = "doc_id",
     """Postings (t, doc_id, row): t is a place in trigrams, which the text holds whatever its letters' case."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row(text_col).alias("row"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("low"))
     held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(k)) for k, t in enumerate(trigrams)]))
-    return rows.select(F.explode(held).alias("t"), "doc_id", "row")
+    # outer: Spark would put a test of the array's size first, and look for every trigram twice
+    return rows.select(F.explode_outer(held).alias("t"), "doc_id", "row").where("t is not null")
 
 
 def candidates(index: DataFrame, trigrams: list[str], rules: tuple[Rule, ...]) -> DataFrame:
