@@ -135,7 +135,7 @@ def links(fps: DataFrame, tau: int = 4, file: int = FILE) -> DataFrame:
     own = F.array(*[key(s, _bits(F.col("fp"), segs[(s + 1) % m])) for s in range(m)])
     flips = F.concat(*[_flips(F.col("fp"), segs[(s + 1) % m], lambda v, s=s: key(s, v)) for s in range(m)])
     home = fps.select("fp", F.lit(False).alias("guest"), F.explode(own).alias("at")).select("fp", "guest", "at.s", "at.k")
-    visit = fps.select("fp", F.lit(True).alias("guest"), F.explode(flips).alias("at")).select("fp", "guest", "at.s", "at.k")
+    visit = fps.select("fp", F.lit(True).alias("guest"), F.explode_outer(flips).alias("at")).where("at is not null").select("fp", "guest", "at.s", "at.k")
     met = _met(home.unionByName(visit), ["s", "k"], tau, "files")
     star = met.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))
     if m < 4 or tau // (m - 2) > 1:  # no other segment is sure to have one difference at most
