@@ -13,7 +13,7 @@ class BitTable:
     """One bit for each hash of 64 signed bits, by its leading bits. A full table lets everything through: callers count on members only."""
 
     def __init__(self, table: np.ndarray, bits: int):
-        self.table, self.bits = table, bits
+        self.table, self.bits, self.raw = table, bits, table.tobytes()
 
     def passes(self, h: np.ndarray) -> np.ndarray:
         """Booleans, one for each hash."""
@@ -22,7 +22,7 @@ class BitTable:
 
     def holds(self, h: int) -> bool:
         at = h >> (64 - self.bits)
-        return bool(self.table[at >> 3] >> (at & 7) & 1)
+        return self.raw[at >> 3] >> (at & 7) & 1 == 1
 
 
 def bit_table(hashes: DataFrame, col: str = "h", most: int = MOST) -> BitTable:

@@ -1,9 +1,10 @@
 """Operator 13, phrase collocation mining: phrases are counted in HAT-tries, scored by their worst cut.
 
-A task numbers the words it meets and counts phrases in a shallow trie over word ids: the first word leads to a hash
-container of what follows; a container of more than BURST entries bursts into one for each second word. When the
-trie holds ENTRIES phrases, whole subtrees, the largest first, are spilled as sorted runs. Runs meet by prefix (language,
-first word, and for words that take more than a SHARE-th of all a bucket of the rest) and are merged there.
+A task numbers the words it meets and counts phrases in a shallow trie over word ids: a hash of the first word leads to
+a hybrid container, a hash table for the phrases of many first words; one of more than BURST entries bursts into a table
+for each first word. When the trie holds ENTRIES phrases, whole subtrees, the largest first, are spilled as sorted runs, one for each
+prefix: the language and a hash of the first word (for words that take more than a SHARE-th of all, of the rest, too).
+The number of prefixes grows with the words. Runs meet by prefix and are merged there.
 
 Lengths are counted in turn, as a phrase is no more frequent than its parts: words of fewer than `least` occurrences
 end a stretch, and of three words only those are counted whose pairs are frequent. Bit tables (8 MB at most) tell; they
@@ -17,17 +18,18 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.llm.bits import BitTable, bit_table
 from lexspark.llm.common import materialize, tidy
 
-BURST, ENTRIES, VOCABULARY, TOKENS, SHARE = 4_096, 500_000, 1 << 19, 1 << 21, 1_024
+BURST, ENTRIES, VOCABULARY, TOKENS, SHARE, ROOT = 4_096, 500_000, 1 << 19, 1 << 21, 1_024, 1_024
 ID_BITS = 21  # of a word's number in a task, more than VOCABULARY needs
 _MASK = (1 << ID_BITS) - 1
 _MIX, _STEP = 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93
@@ -45,10 +47,16 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_FOLD).replace(b"\n", b" " + _BREAK + b" ").split()
 
 
-def word_hash(group: str, word: bytes) -> int:
+def group_hash(group: str) -> int:
     import xxhash
 
-    return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(group.encode("utf-8", "surrogatepass")))
+    return xxhash.xxh64_intdigest(group.encode("utf-8", "surrogatepass"))
+
+
+def word_hash(seed: int, word: bytes) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(word, seed)
 
 
 def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -61,14 +69,16 @@ def pair_hashes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Words:
     """Numbers of a task's words, 0 for breaks and words that `allowed` stops. A number belongs to one group."""
 
-    def __init__(self, allowed: BitTable | None):
-        self.allowed = allowed
+    def __init__(self, allowed: BitTable | None, shares: dict[tuple[str, bytes], int]):
+        self.allowed, self.shares = allowed, shares
         self.clear()
 
     def clear(self) -> None:
         self.groups: dict[str, _Group] = {}
-        self.names: list[tuple[str, bytes]] = [("", b"")]
+        self.names: list[bytes] = [b""]
+        self.group: list[int] = [0]
         self.hashes: list[int] = [0]
+        self.share: list[int] = [1]
         self.seen = 0
 
     def number(self, group: str, tokens: list[bytes]) -> list[int]:
@@ -80,109 +90,116 @@ class Words:
 
 class _Group(dict):
     def __init__(self, words: Words, name: str):
-        self.words, self.name = words, name
+        self.words, self.name, self.place, self.seed = words, name, len(words.groups), group_hash(name)
         self[_BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
-        words, h = self.words, word_hash(self.name, word)
+        words, h = self.words, word_hash(self.seed, word)
         words.seen += 1
         if words.allowed is not None and not words.allowed.holds(h):
             self[word] = 0
             return 0
-        words.names.append((self.name, word))
+        words.names.append(word)
+        words.group.append(self.place)
         words.hashes.append(h)
+        words.share.append(words.shares.get((self.name, word), 1))
         self[word] = n = len(words.names) - 1
         return n
 
 
 class Trie:
-    """Counts of phrases: first word's number to a container of packed numbers of the rest, or to containers by second word once it burst."""
+    """Counts of phrases as packed word numbers. The root leads by a hash of the first word to hybrid containers, which hold the phrases of many first words; one that grows beyond BURST entries bursts into a container for each first word."""
 
     def __init__(self, length: int):
-        self.rest = ID_BITS * (length - 1)
-        self.root: dict[int, Counter | dict[int, Counter]] = {}
-        self.sizes: Counter = Counter()
+        self.first = ID_BITS * (length - 1)
+        self.root: list[Counter | dict[int, Counter] | None] = [None] * ROOT
+        self.sizes = [0] * ROOT
         self.entries = 0
 
-    def add(self, keys: np.ndarray) -> None:
-        """keys: packed numbers of phrases, repeats included."""
-        keys = np.sort(keys)
-        first = keys >> self.rest
-        cut = np.flatnonzero(np.diff(first, prepend=-1)).tolist() + [len(keys)]
-        heads, rest = first[cut[:-1]].tolist(), keys & ((1 << self.rest) - 1)
-        for k, i, j in zip(heads, cut, cut[1:]):
-            node = self.root.get(k)
+    def add(self, keys: np.ndarray, way: np.ndarray) -> None:
+        """keys: packed numbers of phrases, repeats included; way: the root's place for each."""
+        order = np.argsort(way, kind="stable")  # a radix sort
+        keys, way = keys[order], way[order]
+        cut = np.flatnonzero(np.diff(way.astype(np.int32), prepend=-1)).tolist() + [len(keys)]
+        for k, i, j in zip(way[cut[:-1]].tolist(), cut, cut[1:]):
+            node = self.root[k]
             if node is None:
                 node = self.root[k] = Counter()
             if type(node) is Counter:
                 before = len(node)
-                node.update(rest[i:j].tolist())
+                node.update(keys[i:j].tolist())
                 added = len(node) - before
-                if len(node) > BURST and self.rest > ID_BITS:
+                if len(node) > BURST:
                     self.root[k] = self._burst(node)
             else:
-                added = self._deal(node, rest[i:j])
+                added = self._deal(node, np.sort(keys[i:j]))
             self.sizes[k] += added
             self.entries += added
 
-    @staticmethod
-    def _burst(held: Counter) -> dict[int, Counter]:
+    def _burst(self, held: Counter) -> dict[int, Counter]:
         node: dict[int, Counter] = {}
-        for rest, n in held.items():
-            node.setdefault(rest >> ID_BITS, Counter())[rest & _MASK] = n
+        for key, n in held.items():
+            node.setdefault(key >> self.first, Counter())[key] = n
         return node
 
-    @staticmethod
-    def _deal(node: dict[int, Counter], rest: np.ndarray) -> int:
-        second, added = rest >> ID_BITS, 0
-        cut = np.flatnonzero(np.diff(second, prepend=-1)).tolist() + [len(rest)]
-        for k, i, j in zip(second[cut[:-1]].tolist(), cut, cut[1:]):
+    def _deal(self, node: dict[int, Counter], keys: np.ndarray) -> int:
+        first, added = keys >> self.first, 0
+        cut = np.flatnonzero(np.diff(first, prepend=-1)).tolist() + [len(keys)]
+        for k, i, j in zip(first[cut[:-1]].tolist(), cut, cut[1:]):
             held = node.setdefault(k, Counter())
             before = len(held)
-            held.update((rest[i:j] & _MASK).tolist())
+            held.update(keys[i:j].tolist())
             added += len(held) - before
         return added
 
-    def spill(self, down_to: int) -> Iterator[tuple[int, list[tuple[tuple[int, ...], int]]]]:
-        """Whole subtrees, largest first, until so many entries are left: first word's number, and (numbers of the rest, count)."""
-        for k, size in self.sizes.most_common():
-            if self.entries <= down_to:
+    def spill(self, down_to: int) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases and counts of whole subtrees, which leave the trie, largest first, until so many entries are left."""
+        out: list[Counter] = []
+        for k in sorted(range(ROOT), key=self.sizes.__getitem__, reverse=True):
+            node = self.root[k]
+            if self.entries <= down_to or node is None:
                 break
-            node = self.root.pop(k)
-            del self.sizes[k]
-            self.entries -= size
-            if type(node) is not Counter:
-                yield k, [((b, c), n) for b, held in node.items() for c, n in held.items()]
-            elif self.rest > ID_BITS:
-                yield k, [((r >> ID_BITS, r & _MASK), n) for r, n in node.items()]
-            else:
-                yield k, [((r,), n) for r, n in node.items()]
-
-
-_RUN = pa.schema([("lang", pa.string()), ("first", pa.binary()), ("bucket", pa.int32()), ("rest", pa.binary()), ("counts", pa.binary())])
-
-
-def _runs(words: Words, trie: Trie, down_to: int, buckets: dict[tuple[str, bytes], int]) -> Iterator[pa.RecordBatch]:
-    """Spilled subtrees as rows: what follows the first word, sorted and joined by line feeds, and its counts."""
-    rows, held = [], 0
-    names, hashes = words.names, words.hashes
-    for k, entries in trie.spill(down_to):
-        group, first = names[k]
-        n = buckets.get((group, first), 1)
-        parts: dict[int, list[tuple[bytes, int]]] = {}
-        for rest, count in entries:
-            part = sum(hashes[r] for r in rest) % n if n > 1 else 0
-            parts.setdefault(part, []).append((b" ".join([names[r][1] for r in rest]), count))
-        for part, run in parts.items():
-            run.sort()
-            said, counts = zip(*run)
-            rows.append((group, first, part, b"\n".join(said), np.array(counts, "<i8").tobytes()))
-            held += len(run)
-        if held > 100_000:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN)], schema=_RUN)
-            rows, held = [], 0
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN)], schema=_RUN)
+            out += [node] if type(node) is Counter else list(node.values())
+            self.entries -= self.sizes[k]
+            self.root[k], self.sizes[k] = None, 0
+        n = sum(map(len, out))
+        return np.fromiter(chain.from_iterable(out), np.int64, n), np.fromiter(chain.from_iterable(c.values() for c in out), np.int64, n)
+
+
+_RUN = pa.schema([("lang", pa.string()), ("prefix", pa.int64()), ("phrases", pa.binary()), ("counts", pa.binary())])
+
+
+def _runs(words: Words, trie: Trie, down_to: int, prefixes: int) -> Iterator[pa.RecordBatch]:
+    """Spilled subtrees as a sorted run for each prefix: its phrases, joined by line feeds, and their counts."""
+    keys, counts = trie.spill(down_to)
+    if not len(keys):
+        return
+    names = pa.array(words.names, pa.binary())
+    order = pc.array_sort_indices(names).to_numpy().astype(np.int64)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    parts = [keys >> shift & _MASK for shift in range(trie.first, -1, -ID_BITS)]
+    hashes, share = np.array(words.hashes, np.uint64), np.array(words.share, np.uint64)
+    prefix = hashes[parts[0]] % np.uint64(prefixes)
+    rest = hashes[parts[1]] if len(parts) == 2 else pair_hashes(hashes[parts[1]], hashes[parts[2]])
+    prefix = (prefix << np.uint64(12) | rest % share[parts[0]]).astype(np.int64)
+    group = np.array(words.group, np.int64)[parts[0]]
+    packed = rank[parts[0]]
+    for p in parts[1:]:
+        packed = packed << ID_BITS | rank[p]
+    at = np.argsort(packed)
+    at = at[np.argsort(prefix[at], kind="stable")]
+    at = at[np.argsort(group[at].astype(np.uint16), kind="stable")]
+    prefix, group = prefix[at], group[at]
+    cut = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (group[1:] != group[:-1])]))
+    said = pc.binary_join_element_wise(*[names.take(pa.array(p[at])) for p in parts], pa.scalar(b" ", pa.binary()))
+    ends = np.append(cut, len(at)).astype(np.int32)
+    phrases = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), said), pa.scalar(b"\n", pa.binary()))
+    numbers = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer((ends * 8).astype("<i4")), pa.py_buffer(counts[at].astype("<i8"))])
+    langs = pa.array(list(words.groups), pa.string()).take(pa.array(group[cut]))
+    run = pa.RecordBatch.from_arrays([langs, pa.array(prefix[cut]), phrases, numbers], schema=_RUN)
+    for i in range(0, run.num_rows, 1_000):
+        yield run.slice(i, 1_000)
 
 
 def _numbered(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple[np.ndarray, bool]]:
@@ -204,79 +221,81 @@ def _numbered(batches: Iterator[pa.RecordBatch], words: Words) -> Iterator[tuple
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, total = Words(None), np.zeros(0, np.int64)
+    words, total = Words(None, {}), np.zeros(0, np.int64)
     for ids, last in _numbered(batches, words):
         total = np.bincount(ids, minlength=len(words.names)) + np.pad(total, (0, max(0, len(words.names) - len(total))))
         if last:
-            groups, said = zip(*words.names)
-            for i in range(1, len(said), 50_000):
-                j = min(len(said), i + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(groups[i:j], pa.string()), pa.array(said[i:j], pa.binary()), pa.array(total[i:j], pa.int64())], ["lang", "first", "n"])
+            groups, names, place = pa.array(list(words.groups), pa.string()), words.names, np.array(words.group)
+            for i in range(1, len(names), 50_000):
+                j = min(len(names), i + 50_000)
+                yield pa.RecordBatch.from_arrays([groups.take(pa.array(place[i:j])), pa.array(names[i:j], pa.binary()), pa.array(total[i:j], pa.int64())], ["lang", "word", "n"])
             total = np.zeros(0, np.int64)
 
 
-def _count_phrases(length: int, tables, buckets):
+def _count_phrases(length: int, tables, shares, prefixes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = tables.value
-        words, trie, dealt = Words(words), Trie(length), buckets.value
+        single, pairs = tables.value
+        words, trie = Words(single, shares.value), Trie(length)
         for ids, last in _numbered(batches, words):
             ok = (ids[:-1] > 0) & (ids[1:] > 0)
+            h = np.array(words.hashes, np.uint64)
             if length == 3:
-                h = np.array(words.hashes, np.uint64)[ids]
                 at = np.flatnonzero(ok)
-                ok[at] = pairs.passes(pair_hashes(h[at], h[at + 1]))
+                ok[at] = pairs.passes(pair_hashes(h[ids[at]], h[ids[at + 1]]))
                 at = np.flatnonzero(ok[:-1] & ok[1:])
                 keys = ids[at] << 2 * ID_BITS | ids[at + 1] << ID_BITS | ids[at + 2]
             else:
                 at = np.flatnonzero(ok)
                 keys = ids[at] << ID_BITS | ids[at + 1]
+            way = (h % np.uint64(ROOT)).astype(np.uint16)[ids[at]]
             for i in range(0, len(keys), ENTRIES):
-                trie.add(keys[i : i + ENTRIES])
+                trie.add(keys[i : i + ENTRIES], way[i : i + ENTRIES])
                 if trie.entries > ENTRIES:
-                    yield from _runs(words, trie, ENTRIES // 2, dealt)
+                    yield from _runs(words, trie, ENTRIES // 2, prefixes)
             if last:
-                yield from _runs(words, trie, 0, dealt)
+                yield from _runs(words, trie, 0, prefixes)
 
     return run
 
 
+_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("n", pa.int64())])
+
+
 def _merge(least: int):
-    """Sorted runs of one prefix after the other, merged and summed; phrases of `least` and more are kept."""
+    """The runs of one prefix after the other, merged and summed; phrases of `least` and more are kept."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for b in batches:
-            yield from zip(*[c.to_pylist() for c in b.columns])
+    def total(held: list[tuple]) -> pa.RecordBatch:
+        code = pa.array(b"\n".join([r[2] for r in held]).split(b"\n"), pa.binary()).dictionary_encode()
+        n = np.zeros(len(code.dictionary), np.int64)
+        np.add.at(n, code.indices.to_numpy(), np.frombuffer(b"".join([r[3] for r in held]), "<i8"))
+        often = np.flatnonzero(n >= least)
+        return pa.RecordBatch.from_arrays([pa.repeat(held[0][0], len(often)), code.dictionary.take(pa.array(often)), pa.array(n[often])], schema=_COUNTED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[str, bytes, bytes, int]] = []
-        for (group, first, _), held in groupby(rows(batches), lambda r: r[:3]):
-            entries = [x for r in held for x in zip(r[3].split(b"\n"), np.frombuffer(r[4], "<i8").tolist())]
-            entries.sort()  # runs that are in order are merged
-            for rest, same in groupby(entries, lambda x: x[0]):
-                n = sum(x[1] for x in same)
-                if n >= least:
-                    out.append((group, first, rest, n))
-            if len(out) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _KINDS)], _COUNTED)
-                out = []
+        rows = (r for b in batches for r in zip(*[c.to_pylist() for c in b.columns]))
+        out, n = [], 0
+        for _, held in groupby(rows, lambda r: r[:2]):
+            out.append(total(list(held)))
+            n += out[-1].num_rows
+            if n > 20_000:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+                out, n = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _KINDS)], _COUNTED)
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
 
     return run
 
 
-_KINDS, _COUNTED = (pa.string(), pa.binary(), pa.binary(), pa.int64()), ["lang", "first", "rest", "n"]
-
-
 def _hashed(counts: DataFrame) -> DataFrame:
     """h of each word or pair of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            group = b.column(0).to_pylist()
-            h = np.array([word_hash(g, w) for g, w in zip(group, b.column(1).to_pylist())], np.uint64)
-            if b.num_columns > 2:
-                h = pair_hashes(h, np.array([word_hash(g, w) for g, w in zip(group, b.column(2).to_pylist())], np.uint64))
+            seed = {g: group_hash(g) for g in b.column(0).unique().to_pylist()}
+            parts = [(seed[g], p.split(b" ")) for g, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            h = np.array([word_hash(g, p[0]) for g, p in parts], np.uint64)
+            if parts and len(parts[0][1]) == 2:
+                h = pair_hashes(h, np.array([word_hash(g, p[1]) for g, p in parts], np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], ["h"])
 
     return counts.mapInArrow(run, "h long")
@@ -286,23 +305,23 @@ def phrase_counts(docs: DataFrame, least: int = 10, text_col: str = "text", grou
     """Counts of all words (lang, a, n), and of the pairs (a, b) and triples (a, b, c) that occur `least` times or more; words as binaries."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(group_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-    words = rows.mapInArrow(tidy(_count_words), "lang string, first binary, n long").groupBy("lang", "first").agg(F.sum("n").alias("n"))
+    words = rows.mapInArrow(tidy(_count_words), "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     words = materialize(words, "words")
-    frequent = words.where(F.col("n") >= least)
     total = words.agg(F.sum("n")).first()[0] or 0
     large = words.where(F.col("n") * SHARE >= total).collect()  # SHARE at most
-    buckets = spark.sparkContext.broadcast({(r["lang"], bytes(r["first"])): 1 + 2 * SHARE * r["n"] // total for r in large})
-    allowed, counted = [bit_table(_hashed(frequent.select("lang", "first"))), None], []
+    shares = spark.sparkContext.broadcast({(r["lang"], bytes(r["word"])): 1 + 2 * SHARE * r["n"] // total for r in large})
+    prefixes = min(1 << 20, max(512, total >> 18))
+    allowed, counted = [bit_table(_hashed(words.where(F.col("n") >= least).select("lang", "word"))), None], []
     for length in (2, 3):
         tables = spark.sparkContext.broadcast(tuple(allowed))
-        runs = rows.mapInArrow(tidy(_count_phrases(length, tables, buckets)), "lang string, first binary, bucket int, rest binary, counts binary")
-        runs = runs.repartition("lang", "first", "bucket").sortWithinPartitions("lang", "first", "bucket")
-        counted.append(materialize(runs.mapInArrow(tidy(_merge(least)), "lang string, first binary, rest binary, n long"), f"phrases{length}"))
+        runs = rows.mapInArrow(tidy(_count_phrases(length, tables, shares, prefixes)), "lang string, prefix long, phrases binary, counts binary")
+        runs = runs.repartition("lang", "prefix").sortWithinPartitions("lang", "prefix")
+        counted.append(materialize(runs.mapInArrow(tidy(_merge(least)), "lang string, phrase binary, n long"), f"phrases{length}"))
         if length == 2:
-            allowed[1] = bit_table(_hashed(counted[0].select("lang", "first", "rest")))
-    second, third = F.substring_index(F.col("rest").cast("string"), " ", 1), F.substring_index(F.col("rest").cast("string"), " ", -1)
-    return (words.select("lang", F.col("first").cast("string").alias("a"), "n"), counted[0].select("lang", F.col("first").cast("string").alias("a"), F.col("rest").cast("string").alias("b"), "n"),
-            counted[1].select("lang", F.col("first").cast("string").alias("a"), second.alias("b"), third.alias("c"), "n"))
+            allowed[1] = bit_table(_hashed(counted[0].select("lang", "phrase")))
+    word = lambda k: F.split_part(F.col("phrase").cast("string"), F.lit(" "), F.lit(k))
+    return (words.select("lang", F.col("word").cast("string").alias("a"), "n"), counted[0].select("lang", word(1).alias("a"), word(2).alias("b"), "n"),
+            counted[1].select("lang", word(1).alias("a"), word(2).alias("b"), word(3).alias("c"), "n"))
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:
