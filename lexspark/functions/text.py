@@ -113,7 +113,8 @@ def image_urls(c: Column, base: str = "") -> Column:
 
 
 def mark_images(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?i)<img[^>]*>", IMAGE_MARK)
+    """Image tags as marks; closing tags go where the text has an image."""
+    return F.when(F.rlike(c, F.lit("(?i)<img")), F.regexp_replace(F.regexp_replace(c, r"(?i)<img\b[^>]*>", IMAGE_MARK), r"(?i)</\s*img\s*>", "")).otherwise(c)
 
 
 def fill_image_marks(c: Column, texts: Column) -> Column:

@@ -16,26 +16,34 @@ def first_seen(records: DataFrame, key: list[str], order: str, *values: str) ->
 
 
 def fold_laws(records: DataFrame) -> DataFrame:
-    """One row for each law of a package: the last document, whether a delete stands, chunks and files in order, and the action.
+    """One row for each law of a package: the last document's payload, whether a delete stands, chunks and files in order, and the action.
 
-    records: package, line_no, law_id, record_type, body, and domain where laws of several domains come (deletes need
-    it). A document beats a delete; a law with pending files alone keeps its stored body.
+    records: package, line_no, law_id, record_type, op, payload, body, and domain where laws of several domains come
+    (deletes need it; a law's document decides it before its other records). A delete is a record of that type or a document
+    whose op says so; the latter brings no payload, and a document without payload or with an empty one is no content. Content beats a
+    delete; a law with pending files alone keeps its stored body. `superseded`: there is content and a delete.
     """
     kind = F.col("record_type")
-    extra = [F.min_by("domain", F.when(F.col("domain").isNotNull(), F.col("line_no"))).alias("domain")] if "domain" in records.columns else []
+    told = (kind == "document") & (F.coalesce("op", F.lit("")) != "delete")
+    deleted = (kind == "delete") | (kind == "document") & (F.col("op") == "delete")
+    extra = []
+    if "domain" in records.columns:
+        own = F.max_by("domain", F.when(told & F.col("payload").isNotNull(), F.col("line_no")))
+        extra = [F.coalesce(own, F.min_by("domain", F.when(F.col("domain").isNotNull(), F.col("line_no")))).alias("domain")]
 
     def gathered(*kinds: str) -> Column:
         rows = F.array_sort(F.collect_list(F.when(kind.isin(*kinds), F.struct("line_no", "body"))))
         return F.transform(rows, lambda r: r["body"])
 
     out = records.where("law_id is not null").groupBy("package", "law_id").agg(
-        F.max_by("body", F.when(kind == "document", F.col("line_no"))).alias("document"),
-        F.coalesce(F.bool_or(kind == "delete"), F.lit(False)).alias("deleted"),
+        F.max_by(F.struct("payload"), F.when(told, F.col("line_no")))["payload"].alias("document"),
+        F.coalesce(F.bool_or(deleted), F.lit(False)).alias("deleted"),
         gathered("normalized_chunk").alias("normalized"), gathered("preprocessed_chunk").alias("preprocessed"),
         gathered("file").alias("files"), F.count_if(kind == "pending_attachment").alias("pending"), *extra)
+    out = out.withColumn("document", F.when(~F.rlike("document", F.lit(r"^\s*(\{\s*\}|null)?\s*$")), F.col("document")))
     content = F.col("document").isNotNull() | (F.size("normalized") > 0) | (F.size("preprocessed") > 0) | (F.size("files") > 0)
     action = F.when(content, "upsert").when(F.col("deleted"), "delete").when(F.col("pending") > 0, "keep").otherwise("none")
-    return out.withColumn("action", action)
+    return out.withColumns({"action": action, "superseded": content & F.col("deleted")})
 
 
 def reconcile(records: DataFrame, key: list[str], footers: DataFrame, headers: DataFrame | None = None) -> DataFrame:
@@ -88,6 +96,10 @@ def retry_or_quarantine(attempts: Column, permanent: Column, most: int = 5) -> C
 PERMANENT_MARKS = ("파싱 실패", "source 미결정", "source 를 결정", "law_id 없는", "계약 위반", "record_count")
 
 
+# fixed values: errors of records that a later attempt may mend
+PASSING = ("record_type_unknown", "record_type_missing", "document_law_missing")
+
+
 def is_permanent(error: Column) -> Column:
     """Package errors that trying again can't mend."""
     return F.rlike(F.coalesce(error, F.lit("")), F.lit("|".join(PERMANENT_MARKS)))

@@ -44,7 +44,7 @@ def q76_flush_domain_deletes(spark, sf_dir):
                                                                              F.to_json(F.struct(F.lit("delete").alias("record_type"), law.alias("law_id"), F.when(k % 4 == 2, "eflaw").alias("doc_target"))).alias("body"))
     heads = spark.createDataFrame([(p, -1, f'{{"record_type": "package_header", "source": "{s}"}}') for p, s in (("law", "law"), ("mixed", "admrul"), ("admrul", "admrul"))], lines.schema)
     records = consumer.with_domain(src.parse_records(lines.unionByName(heads))).where("record_type <> 'package_header'")
-    return consumer.flush(stored, records, stored.limit(0)).groupBy("domain", "law_id").agg(F.count("*").alias("n"))
+    return consumer.flush(stored, pk.fold_laws(records), records.where("record_type = 'rename'"), stored.limit(0)).groupBy("domain", "law_id").agg(F.count("*").alias("n"))
 
 
 @query("""WITH r AS (SELECT o_custkey, o_orderkey, o_orderdate AS d FROM orders), b AS (SELECT o_custkey, max((d, o_orderkey)) AS best FROM r WHERE o_orderkey % 2 = 0 GROUP BY o_custkey)

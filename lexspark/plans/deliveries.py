@@ -196,7 +196,7 @@ def q70_stream_replay_equals_batch(spark, sf_dir):
 
     o, at = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), folder(spark, "replay")
     version = F.concat_ws(":", "o_custkey", "o_orderkey", F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))
-    record = F.to_json(F.struct(F.lit("document").alias("record_type"), F.col("o_custkey").cast("string").alias("law_id"), version.alias("version_uid"), F.col("o_orderstatus").alias("content")))
+    record = F.to_json(F.struct(F.lit("document").alias("record_type"), F.col("o_custkey").cast("string").alias("law_id"), F.struct(F.col("o_custkey").cast("string").alias("law_id"), version.alias("version_uid"), F.col("o_orderstatus").alias("content")).alias("payload")))
     rows = o.select(F.concat(F.lit("p"), (F.col("o_orderkey") % 3).cast("string")).alias("package"), F.lit("law").alias("source"), F.col("o_orderkey").alias("ord"), record.alias("record"))
     src.write_packages(rows, f"{at}/out")
 

@@ -8,6 +8,7 @@ from lexspark.functions import ids
 from lexspark.operators import packages as pk
 from lexspark.operators import payloads, units
 from lexspark.operators import store as st
+from lexspark.sources import packages as src
 from lexspark.plans.texts import table
 
 QUERIES: dict = {}
@@ -116,21 +117,56 @@ def q30_last_wins_fold(spark, sf_dir):
     return pk.last_wins(table(spark, sf_dir, "events"), ["user_id"], "event_id", "event_type", "event_id")
 
 
-_KIND = "CASE WHEN event_type = 'error' THEN 'delete' WHEN event_type = 'purchase' THEN 'document' WHEN event_type = 'click' THEN 'normalized_chunk' ELSE 'pending_attachment' END"
-
-
 def _records(spark, sf_dir):
-    """Events as package records: a day is a package, a user a law."""
-    e, kind = table(spark, sf_dir, "events"), F.col("event_type")
+    """Events as package records: a day is a package, a user a law. Documents may be deletes by their op, or come with a null, empty or full payload."""
+    e, kind, n = table(spark, sf_dir, "events"), F.col("event_type"), F.col("event_id")
     record = F.when(kind == "error", "delete").when(kind == "purchase", "document").when(kind == "click", "normalized_chunk").otherwise("pending_attachment")
-    return e.select(F.date_format("ts", "yyyy-MM-dd").alias("package"), F.col("event_id").alias("line_no"), F.col("user_id").cast("string").alias("law_id"), record.alias("record_type"), F.col("event_id").cast("string").alias("body"))
+    payload = F.when(n % 5 == 1, F.lit(None)).when(n % 5 == 2, "{ }").otherwise(F.concat(F.lit('{"n":'), n.cast("string"), F.lit("}")))
+    return e.select(F.date_format("ts", "yyyy-MM-dd").alias("package"), n.alias("line_no"), F.col("user_id").cast("string").alias("law_id"), record.alias("record_type"), F.when(n % 3 == 0, "delete").alias("op"), payload.alias("payload"), n.cast("string").alias("body"))
 
 
-@query(f"""WITH r AS (SELECT strftime(ts, '%Y-%m-%d') AS package, user_id::VARCHAR AS law_id, event_id, {_KIND} AS kind FROM events)
-SELECT package, law_id, max(event_id) FILTER (kind = 'document') ::VARCHAR AS document, bool_or(kind = 'delete') AS deleted, count(*) FILTER (kind = 'normalized_chunk')::INTEGER AS chunks,
- CASE WHEN bool_or(kind IN ('document', 'normalized_chunk')) THEN 'upsert' WHEN bool_or(kind = 'delete') THEN 'delete' ELSE 'keep' END AS action FROM r GROUP BY package, law_id""")
+@query("""WITH r AS (SELECT strftime(ts, '%Y-%m-%d') AS package, user_id::VARCHAR AS law_id, event_id AS n, event_type AS t, event_type = 'purchase' AND event_id % 3 <> 0 AS doc FROM events),
+s AS (SELECT package, law_id, max(n) FILTER (doc) AS last, bool_or(t = 'error' OR t = 'purchase' AND NOT doc) AS deleted, count(*) FILTER (t = 'click')::INTEGER AS chunks, count(*) FILTER (t NOT IN ('error', 'purchase', 'click')) AS pending FROM r GROUP BY package, law_id),
+d AS (SELECT *, CASE WHEN last % 5 NOT IN (1, 2) THEN '{"n":' || last::VARCHAR || '}' END AS document FROM s)
+SELECT package, law_id, document, deleted, chunks, CASE WHEN document IS NOT NULL OR chunks > 0 THEN 'upsert' WHEN deleted THEN 'delete' WHEN pending > 0 THEN 'keep' ELSE 'none' END AS action,
+  deleted AND (document IS NOT NULL OR chunks > 0) AS superseded FROM d""")
 def q31_delete_vs_upsert_state(spark, sf_dir):
-    return pk.fold_laws(_records(spark, sf_dir)).select("package", "law_id", "document", "deleted", F.size("normalized").alias("chunks"), "action")
+    return pk.fold_laws(_records(spark, sf_dir)).select("package", "law_id", "document", "deleted", F.size("normalized").alias("chunks"), "action", "superseded")
+
+
+@query("""WITH r AS (SELECT event_id AS n, event_type AS t, user_id::VARCHAR AS u FROM events)
+SELECT n AS line_no, CASE WHEN t <> 'signup' AND n % 4 = 3 AND NOT (t = 'purchase' AND n % 8 = 7) THEN NULL WHEN t = 'signup' AND n % 4 = 3 THEN NULL ELSE u END AS law_id,
+  CASE WHEN n % 4 = 3 AND t = 'purchase' AND n % 8 <> 7 THEN 'document_law_missing' WHEN n % 4 = 3 AND t NOT IN ('purchase', 'signup') THEN 'law_id_missing' WHEN t = 'view' THEN 'record_type_unknown' END AS error FROM r""")
+def q96_ids_of_records(spark, sf_dir):
+    """Records that name their law by law_id, doc_id or (documents alone) in the payload, or not at all; unknown types; renames need no law."""
+    e, n, kind = table(spark, sf_dir, "events"), F.col("event_id"), F.col("event_type")
+    u = F.col("user_id").cast("string")
+    record = F.when(kind == "error", "delete").when(kind == "purchase", "document").when(kind == "click", "normalized_chunk").when(kind == "signup", "rename").otherwise("memo")
+    body = F.to_json(F.struct(record.alias("record_type"), F.when(n % 4 == 0, u).when(n % 4 == 1, "").alias("law_id"), F.when(n % 4 == 1, u).when(n % 4 == 2, u).alias("doc_id"),
+                              F.struct(F.when(n % 8 == 7, u).otherwise("").alias("law_id"), F.lit("x").alias("law_name")).alias("payload")))
+    lines = e.select(F.lit("p").alias("package"), n.alias("line_no"), body.alias("body"))
+    return src.parse_records(lines).select("line_no", "law_id", "error")
+
+
+@query("""WITH n AS (SELECT doc_id % 3 AS p, doc_id, row_number() OVER (PARTITION BY doc_id % 3 ORDER BY doc_id) AS k FROM documents)
+SELECT 'part' || p::VARCHAR AS package, k AS line_no, doc_id FROM n""")
+def q97_lines_numbered_in_splits(spark, sf_dir):
+    """Documents written as three package files that are read in many small splits: lines numbered by their splits' counts."""
+    from lexspark.functions.scratch import folder
+
+    at = folder(spark, "numbered")
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("part"), (F.col("doc_id") % 3).cast("string")).alias("package"), F.to_json(F.struct("doc_id", "text")).alias("value"))
+    d.repartition("package").sortWithinPartitions("package", "doc_id").select("package", "value").write.partitionBy("package").text(at)
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        lines = spark.read.text(at, recursiveFileLookup=True)
+        lines = lines.select(F.regexp_extract("_metadata.file_path", "package=([^/]+)", 1).alias("package"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("body"))
+        found = src.number_lines(lines).select("package", "line_no", F.get_json_object("body", "$.doc_id").cast("long").alias("doc_id"))
+        found.write.parquet(f"{at}-numbers")  # while the setting holds
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    return spark.read.parquet(f"{at}-numbers")
 
 
 @query("""WITH n AS (SELECT strftime(ts, '%Y-%m-%d') AS package, count(*) AS records FROM events GROUP BY 1)
@@ -177,9 +213,7 @@ def q36_changeset_json_props(spark, sf_dir):
 
 @query("""WITH l AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS package, user_id, min(event_id) OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), user_id) AS seen FROM events) SELECT package, list(user_id::VARCHAR ORDER BY seen) AS law_ids FROM l GROUP BY package""")
 def q37_package_law_ids(spark, sf_dir):
-    from lexspark.sources.packages import law_ids
-
-    return law_ids(_records(spark, sf_dir))
+    return src.law_ids(_records(spark, sf_dir))
 
 
 @query("""WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_id % 97 AS run, list(user_id::VARCHAR ORDER BY event_id) FILTER (event_type = 'purchase' AND user_id % 10 = 0) AS broken, count(*) FILTER (event_type = 'error' AND user_id % 3 = 0) AS failed,

@@ -217,7 +217,7 @@ def q43_inventory_rollup(spark, sf_dir):
 
 @query("""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS pos, turn, role FROM conversations), h AS (SELECT *, turn % 3 = 0 AS head FROM t),
 g AS (SELECT *, last_value(CASE WHEN head AND turn % 2 = 0 THEN pos END IGNORE NULLS) OVER w AS chapter_at, last_value(CASE WHEN head AND turn % 2 = 1 THEN pos END IGNORE NULLS) OVER w AS section_at FROM h WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING))
-SELECT conv_id, pos::INTEGER AS pos, CASE WHEN chapter_at IS NOT NULL THEN '제' || chapter_at::VARCHAR || '장 ' || 'x' END AS chapter_head, concat_ws(' ', CASE WHEN chapter_at IS NOT NULL THEN '제' || chapter_at::VARCHAR || '장 x' END, CASE WHEN section_at > coalesce(chapter_at, -1) THEN '제' || section_at::VARCHAR || '절 y' END) AS path FROM g WHERE NOT head""")
+SELECT conv_id, pos::INTEGER AS pos, CASE WHEN chapter_at IS NOT NULL THEN '제' || chapter_at::VARCHAR || '장 ' || 'x' END AS chapter_head, concat_ws(' > ', CASE WHEN chapter_at IS NOT NULL THEN '제' || chapter_at::VARCHAR || '장 x' END, CASE WHEN section_at > coalesce(chapter_at, -1) THEN '제' || section_at::VARCHAR || '절 y' END) AS path FROM g WHERE NOT head""")
 def q65_chapter_running_path(spark, sf_dir):
     """Turns as units of a body, every third a heading: the chapters and sections that articles stand under."""
     ordered = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
@@ -279,6 +279,40 @@ def q74_raw_bodies(spark, sf_dir):
     return raw.articles(bodies, key="conv_id").select("conv_id", "pos", "article_no", F.sha2("content", 256).alias("content_hash"))
 
 
+@query("""WITH t AS (SELECT conv_id, turn, (row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1)::INTEGER AS pos FROM conversations),
+u AS (SELECT *, CASE WHEN conv_id % 5 = 4 THEN 'pre' WHEN turn % 4 = 3 THEN 'pre' ELSE 'art' END AS kind, CASE WHEN pos % 7 = 6 THEN NULL WHEN turn % 3 = 2 THEN pos ELSE pos + 1 END AS n, CASE WHEN turn % 6 = 5 THEN '' ELSE ' u' || pos::VARCHAR END AS tail FROM t),
+a AS (SELECT *, row_number() OVER (PARTITION BY conv_id, n ORDER BY pos) AS k FROM u WHERE kind = 'art' AND n > 0),
+p AS (SELECT conv_id, min(pos) AS pos, string_agg('제' || coalesce(n, 0)::VARCHAR || '조' || tail, chr(10) ORDER BY pos) AS content FROM u WHERE kind = 'pre' OR n IS NULL OR n = 0 GROUP BY conv_id HAVING conv_id NOT IN (SELECT conv_id FROM a))
+SELECT conv_id, pos, '제' || n::VARCHAR || '조' AS article_no, '제' || n::VARCHAR || '조' || tail || CASE WHEN tail = '' THEN ' [이동]' ELSE '' END AS content FROM a WHERE k = 1
+UNION ALL SELECT conv_id, pos, '전문', content FROM p""")
+def q98_articles_of_raw_statutes(spark, sf_dir):
+    """Turns as units of raw bodies: repeated and missing numbers, unmarked units, preambles alone, notes in place of a text."""
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+
+    def unit(x, i):
+        n = F.when(i % 7 == 6, 0).when(x["turn"] % 3 == 2, i).otherwise(i + 1)
+        marked = F.when(F.col("conv_id") % 5 == 4, "전문").when(x["turn"] % 4 == 3, F.lit(None)).when(x["turn"] % 4 == 1, F.lit(None)).otherwise("조문")
+        title = F.when((F.col("conv_id") % 5 != 4) & (x["turn"] % 4 == 1), "제목")
+        said = F.concat(F.lit("제"), n.cast("string"), F.lit("조"), F.when(x["turn"] % 6 == 5, "").otherwise(F.concat(F.lit(" u"), i.cast("string"))))
+        return F.struct(marked.alias("조문여부"), n.cast("string").alias("조문번호"), title.alias("조문제목"), said.alias("조문내용"), F.when(x["turn"] % 6 == 5, "[이동]").alias("조문참고자료"))
+
+    bodies = c.select("conv_id", F.parse_json(F.to_json(F.struct(F.transform("t", unit).alias("조문단위")))).alias("body"))
+    return raw.articles(bodies, key="conv_id").select("conv_id", "pos", "article_no", "content")
+
+
+@query("""WITH k AS (SELECT page_id, url, page_id % 6 AS k FROM pages)
+SELECT page_id, CASE k WHEN 1 THEN 'A' WHEN 2 THEN '0012' WHEN 3 THEN '1의2' ELSE '0003' END AS no, k IN (0, 1, 2, 4) AS is_file_only, CASE WHEN k = 5 THEN 0 ELSE 2 END::INTEGER AS files,
+  CASE WHEN k = 5 THEN '' WHEN k % 2 = 0 THEN 'n1,n2' ELSE 'n1,n1' END AS names FROM k""")
+def q99_raw_appendices(spark, sf_dir):
+    """Pages as raw appendices: lettered numbers, texts that only point to a file or repeat a label, several files of a kind."""
+    p, k = table(spark, sf_dir, "pages"), F.col("page_id") % 6
+    content = F.when(k == 0, F.concat(F.lit("자세한 내용은 "), "url", F.lit(" 에서 다운로드"))).when(k == 1, "[별표 3]").when(k == 3, F.concat(F.lit("본문 "), "url")).when(k == 4, " ")
+    links = F.when(k != 5, F.array("url", F.concat("url", F.lit("?2"))))
+    unit = F.struct(F.when(k == 1, "A").when(k == 2, "12").when(k == 3, "1의2").otherwise("3").alias("별표번호"), content.alias("별표내용"), links.alias("별표서식PDF파일링크"), F.when(k % 2 == 0, F.array(F.lit("n1"), F.lit("n2"))).otherwise(F.array(F.lit("n1"))).alias("별표PDF파일명"))
+    a = p.select("page_id", F.parse_json(F.to_json(F.struct(unit.alias("별표단위")))).alias("body")).select("page_id", F.explode(raw.appendices(F.col("body"))).alias("a"))
+    return a.select("page_id", "a.no", "a.is_file_only", F.size("a.files").alias("files"), F.array_join(F.transform("a.files", lambda f: f["name"]), ",").alias("names"))
+
+
 @query()
 def q75_embedding_connector(spark, sf_dir):
     """Every text through the embedding connector: dimension, length, and a digest of its vector."""

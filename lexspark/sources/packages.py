@@ -2,28 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RECORD = "record_type string, package_id string, source string, law_id string, op string, version_uid string, record_count long, file_id string, chunk_index int, content string, old_name string, new_name string, doc_target string, sha256 string, content_b64 string, reason string"
+RECORD = "record_type string, package_id string, source string, law_id string, doc_id string, op string, version_uid string, record_count long, file_id string, chunk_index int, content string, old_name string, new_name string, doc_target string, sha256 string, content_b64 string, reason string, payload string"
+# fixed values: types of records
+ENDS = ("package_header", "package_footer")
+TYPES = ("document", "normalized_chunk", "preprocessed_chunk", "file", "pending_attachment", "delete", "rename")
 
 
 def parse_records(lines: DataFrame) -> DataFrame:
-    """package, line_no, the known fields, body (the line itself) and error of each line that isn't blank."""
+    """package, line_no, the known fields, body (the line itself) and error of each line that isn't blank.
+
+    A record's law is its law_id, else its doc_id, else, for documents, that of the payload; empty ones are none. Ends
+    of packages and renames need no law.
+    """
     rows = lines.where(F.trim("body") != "").withColumn("r", F.from_json("body", RECORD))
     rows = rows.select("package", "line_no", "body", "r.*")
+    given = lambda c: F.nullif(c, F.lit(""))
+    document = F.coalesce(F.col("record_type") == "document", F.lit(False))
+    rows = rows.withColumn("law_id", F.coalesce(given(F.col("law_id")), given(F.col("doc_id")), F.when(document, given(F.get_json_object("payload", "$.law_id")))))
+    free = F.col("record_type").isin(*ENDS, "rename")
     error = (F.when(F.try_parse_json("body").isNull(), "json_invalid").when(F.col("record_type").isNull(), "record_type_missing")
-             .when(F.col("law_id").isNull() & ~F.col("record_type").isin("package_header", "package_footer"), "law_id_missing")
+             .when(~free & F.col("law_id").isNull(), F.when(document, "document_law_missing").otherwise("law_id_missing"))
+             .when(~F.col("record_type").isin(*ENDS, *TYPES), "record_type_unknown")
              .when((F.col("record_type") == "file") & F.col("content_b64").isNotNull() & (F.sha2(F.try_to_binary("content_b64", F.lit("base64")), 256) != F.col("sha256")), "sha_mismatch"))
     return rows.withColumn("error", error)
 
 
-def read_packages(spark: SparkSession, path: str) -> DataFrame:
-    """Records of every package below path. A package is one file, of any size: its lines are read in splits and numbered in order."""
-    lines = spark.read.text(path, recursiveFileLookup=True, pathGlobFilter="*.jsonl")
+def number_lines(lines: DataFrame) -> DataFrame:
+    """package, line_no (from 1) and body of lines that were read in splits (package, block: where the split begins, row: rising within a task, body).
+
+    Every split counts its lines; a line's number is the sum of the splits before its own and its place in that. Only
+    the counts, a row a split, meet by package, so that packages of any size are numbered without moving a line. The
+    splits are the same for both passes, as long as files and session settings are.
+    """
+    splits = lines.groupBy("package", "block").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+
+    def before(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        rows["base"] = rows["n"].cumsum() - rows["n"]
+        return rows[["package", "block", "first", "base"]]
+
+    bases = splits.groupBy("package").applyInPandas(before, "package string, block long, first long, base long")
+    met = lines.join(bases, ["package", "block"])
+    return met.select("package", (F.col("base") + F.col("row") - F.col("first") + 1).alias("line_no"), "body")
+
+
+def read_lines(spark: SparkSession, paths: str | list[str], glob: str = "*.jsonl") -> DataFrame:
+    """package (name of the file), line_no and body of all lines of the files at or below the paths, blank ones too."""
+    lines = spark.read.text(paths, recursiveFileLookup=True, pathGlobFilter=glob)
     lines = lines.select(F.col("_metadata.file_name").alias("package"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("body"))
-    number = F.row_number().over(Window.partitionBy("package").orderBy("block", "row"))
-    return parse_records(lines.select("package", number.alias("line_no"), "body"))
+    return number_lines(lines)
+
+
+def read_packages(spark: SparkSession, path: str | list[str], glob: str = "*.jsonl") -> DataFrame:
+    """Records of every package below path. A package is one file, of any size: its lines are read in splits and numbered in order."""
+    return parse_records(read_lines(spark, path, glob))
 
 
 def headers(records: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ import zipfile
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from lexspark.operators.intake import JUNK_FOLDERS, JUNK_NAMES, path_fault
 MAX_DEPTH = 3  # archives within one another that are opened
 NAME_BYTES = 222
 SCHEMA = "zip string, ord int, path string, bytes long, sha256 string, content binary, error string"
-BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError)
+BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError, pa.ArrowException)
 _UNSAFE = re.compile(r"/|[A-Za-z]:")
 
 
@@ -85,13 +86,13 @@ def _inside(blob: bytes, stem: str, depth: int) -> Iterator[tuple[str, Callable[
             yield f"{stem}__{base}", lambda info=info: archive.read(info)
 
 
-def members(blob: bytes) -> Iterator[tuple[str, str | None, Callable[[], bytes] | None]]:
+def members(blob: bytes | BinaryIO) -> Iterator[tuple[str, str | None, Callable[[], bytes] | None]]:
     """(path, fault, reader) of all files of a delivery.
 
     An attached archive gives its files beside it as {stem}__{name}, with a number where a name is taken; one that
     can't be read stays a member (of an unsupported kind). Two members of one path are both refused.
     """
-    archive = zipfile.ZipFile(io.BytesIO(blob))
+    archive = zipfile.ZipFile(io.BytesIO(blob) if isinstance(blob, bytes) else blob)
     plain, nested = [], []
     for info in archive.infolist():
         if info.is_dir():
@@ -126,26 +127,39 @@ def _row(*values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], ["zip", "ord", "path", "bytes", "sha256", "content", "error"])
 
 
+def _digest(f: BinaryIO) -> str:
+    h = hashlib.sha256()
+    while piece := f.read(1 << 20):
+        h.update(piece)
+    return h.hexdigest()
+
+
+def rows_of(name: str, f: BinaryIO, size: int, content: bool = True) -> Iterator[pa.RecordBatch]:
+    """A row for each member of an archive that can be sought in; a member that can't be read to its end faults the whole delivery."""
+    try:
+        archive = zipfile.ZipFile(f)
+        for info in archive.infolist():
+            with archive.open(info) as member:
+                while member.read(1 << 20):
+                    pass
+    except BROKEN:
+        f.seek(0)
+        yield _row(name, 0, None, size, _digest(f), None, "zip_corrupt")
+        return
+    for k, (path, fault, read) in enumerate(members(f)):
+        try:
+            data = read()
+        except BROKEN:
+            yield _row(name, k, path, None, None, None, fault or "zip_corrupt")
+            continue
+        yield _row(name, k, path, len(data), hashlib.sha256(data).hexdigest(), data if content and not fault else None, fault)
+
+
 def _open(content: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, blob in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
-                try:  # a member that can't be read to its end faults the whole delivery
-                    archive = zipfile.ZipFile(io.BytesIO(blob))
-                    for info in archive.infolist():
-                        with archive.open(info) as f:
-                            while f.read(1 << 20):
-                                pass
-                except BROKEN:
-                    yield _row(path, 0, None, len(blob), hashlib.sha256(blob).hexdigest(), None, "zip_corrupt")
-                    continue
-                for k, (name, fault, read) in enumerate(members(blob)):
-                    try:
-                        data = read()
-                    except BROKEN:
-                        yield _row(path, k, name, None, None, None, fault or "zip_corrupt")
-                        continue
-                    yield _row(path, k, name, len(data), hashlib.sha256(data).hexdigest(), data if content and not fault else None, fault)
+                yield from rows_of(path, io.BytesIO(blob), len(blob), content)
 
     return run
 

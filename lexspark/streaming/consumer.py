@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import re
 import uuid
 from collections.abc import Callable
 
@@ -12,58 +10,80 @@ from pyspark.sql import functions as F
 
 from lexspark.functions import ids
 from lexspark.operators import packages as pk
-from lexspark.operators import references
+from lexspark.operators import references, scope, units
 from lexspark.operators import store as st
+from lexspark.sources import documents
 from lexspark.sources import packages as src
+from lexspark.sources.folder import FolderSource
 
 RecordsToRows = Callable[[DataFrame], DataFrame]
-STATE = "package string, attempt int, state string, permanent boolean, errors array<string>, run string, batch long"
+STATE = "package string, attempt int, state string, permanent boolean, errors array<string>, run string, batch string"
 
 
 def with_domain(records: DataFrame) -> DataFrame:
-    """records with the domain of each: its own target first, then its package's source."""
+    """records with the domain of each: its document's or its own target first, then its package's source."""
     source = src.headers(records).select("package", F.col("source").alias("__source"))
-    return records.join(source, "package", "left").withColumn("domain", ids.route(F.col("doc_target"), F.col("law_id"), F.col("__source"))).drop("__source")
+    target = F.coalesce(F.nullif(F.get_json_object("payload", "$.doc_target"), F.lit("")), F.col("doc_target"))
+    return records.join(source, "package", "left").withColumn("domain", ids.route(target, F.col("law_id"), F.col("__source"))).drop("__source")
 
 
-def flush(stored: DataFrame | None, records: DataFrame, fresh: DataFrame, older: bool = False) -> DataFrame:
-    """The table after one batch of records (with their domain).
+LAWS = ("domain", "law_id")
+
+
+def flush(stored: DataFrame | None, folded: DataFrame, renames: DataFrame, fresh: DataFrame, older: bool = False, outside: DataFrame | None = None) -> DataFrame:
+    """The table after one batch of laws (folded, with their domain) and rename records.
 
     fresh: the store rows (domain, law_id, version_uid, mst, source_type, chunk_id, file_id, uuid, ...) of the laws with
-    content. Laws to delete go, in their domain alone; laws with content are written unless a newer version is stored
+    content; outside: laws (domain, law_id) whose content the scope keeps out. Laws to delete go, in their domain alone, and laws
+    outside that were deleted and sent anew, too; laws with content are written unless a newer version is stored
     (or older ones are allowed); their stale versions and orphaned units and file chunks go after the new rows are in.
     Renames come last.
     """
-    laws = ["domain", "law_id"]
+    if outside is not None:
+        fresh = fresh.join(outside, list(LAWS), "left_anti")
     if stored is None:
         merged = fresh
     else:
         if not older:
-            heads = fresh.select(*laws, "version_uid", "mst").distinct()
-            fresh = fresh.join(st.older_than_stored(heads, stored).select(*laws).distinct(), laws, "left_anti")
-        gone = pk.fold_laws(records).where("action = 'delete'").select(*laws).distinct()
-        merged = st.upsert(st.delete_laws(stored, gone), fresh)
+            heads = fresh.select(*LAWS, "version_uid", "mst").distinct()
+            fresh = fresh.join(st.older_than_stored(heads, stored).select(*LAWS).distinct(), list(LAWS), "left_anti")
+        gone = folded.where("action = 'delete'").select(*LAWS)
+        if outside is not None:
+            gone = gone.unionByName(folded.where("superseded").join(outside, list(LAWS), "left_semi").select(*LAWS))
+        merged = st.upsert(st.delete_laws(stored, gone.distinct()), fresh)
         drop = st.stale_versions(merged, fresh).select("uuid").unionByName(st.orphan_units(merged, fresh).select("uuid"))
         if "file_id" in merged.columns:
             drop = drop.unionByName(st.orphan_files(merged, fresh.where("source_type = 'FILE'")).select("uuid"))
         merged = merged.join(drop.distinct(), "uuid", "left_anti")
     if "reference_ids" not in merged.columns:
         return merged
-    return references.apply_renames(merged, references.rename_heads(records.where("record_type = 'rename'")))
+    return references.apply_renames(merged, references.rename_heads(renames))
+
+
+def out_of_scope(names: list[str], ministries: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """Of folded laws (domain, law_id, document) those whose document neither its name nor a ministry admits; laws without document are admitted by nothing."""
+
+    def split(folded: DataFrame) -> DataFrame:
+        docs = documents.parse_documents(folded, "document").select(*LAWS, F.col("doc.law_name").alias("law_name"), units.ministry(F.col("doc.basic_info")).alias("ministry"))
+        inside = scope.gate(docs, names, ministries).select(*LAWS)
+        return folded.select(*LAWS).join(inside, list(LAWS), "left_anti")
+
+    return split
 
 
 def judge(records: DataFrame, before: DataFrame, most_attempts: int) -> DataFrame:
     """State of each package of records: done, retry, or quarantined; before: the states so far.
 
-    A package without footer is tried again until most_attempts; errors that trying again can't mend quarantine it at once.
+    A package without footer, or with errors that may pass, is tried again until most_attempts; others quarantine it at once.
     """
     content = records.where("record_type is null or record_type not in ('package_header', 'package_footer')")
     verdicts = pk.reconcile(content, ["package"], src.footers(records), src.headers(records).select("package"))
     errors = records.where("error is not null").groupBy("package").agg(F.collect_set("error").alias("errors"))
     tried = before.where("state = 'retry'").groupBy("package").agg(F.count("*").cast("int").alias("tried"))
     out = verdicts.join(errors, "package", "left").join(tried, "package", "left")
-    out = out.withColumns({"attempt": F.coalesce("tried", F.lit(0)) + 1, "errors": F.coalesce("errors", F.array().cast("array<string>")), "permanent": (F.col("verdict") == "quarantine") | F.col("errors").isNotNull()})
-    state = F.when(F.col("permanent"), "quarantined").when(F.col("verdict") == "ok", "done").otherwise(F.when(F.col("attempt") >= most_attempts, "quarantined").otherwise("retry"))
+    out = out.withColumns({"attempt": F.coalesce("tried", F.lit(0)) + 1, "errors": F.coalesce("errors", F.array().cast("array<string>")), "permanent": (F.col("verdict") == "quarantine") | F.coalesce(F.size(F.array_except("errors", F.array(*map(F.lit, pk.PASSING)))) > 0, F.lit(False))})
+    good = (F.col("verdict") == "ok") & (F.size("errors") == 0)
+    state = F.when(F.col("permanent"), "quarantined").when(good, "done").otherwise(F.when(F.col("attempt") >= most_attempts, "quarantined").otherwise("retry"))
     out = out.withColumn("errors", F.when(F.col("verdict") == "quarantine", F.concat("errors", F.array(F.lit("record_count")))).when(F.col("verdict") == "retry", F.concat("errors", F.array(F.lit("footer missing")))).otherwise(F.col("errors")))
     return out.select("package", "attempt", state.alias("state"), "permanent", "errors")
 
@@ -73,11 +93,10 @@ def _states(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(STATE).parquet(f"{root}/state/*") if fs.exists(path(f"{root}/state")) else spark.createDataFrame([], STATE)
 
 
-def _take(files: DataFrame, root: str, to_rows: RecordsToRows, most_attempts: int, run: str, batch: int, older: bool = False) -> None:
-    """Consume the packages of files (package, value): a batch taken twice gives the same table, as ids are deterministic."""
-    spark = files.sparkSession
+def _take(spark: SparkSession, folder: str, package: str, root: str, to_rows: RecordsToRows, most_attempts: int, run: str, batch: str, older: bool = False, outside: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Consume one package: taken twice, it gives the same table, as ids are deterministic."""
     at = f"{root}/staged/{run}-{batch}"
-    lines = files.select("package", F.posexplode(F.split("value", "\n")).alias("line_no", "body"))
+    lines = src.read_lines(spark, f"{folder.rstrip('/')}/{package}", "*").withColumn("package", F.lit(package))
     with_domain(src.parse_records(lines)).write.mode("overwrite").parquet(f"{at}-records")
     records = spark.read.parquet(f"{at}-records")
     before = _states(spark, root).where(~((F.col("run") == run) & (F.col("batch") == batch)))
@@ -86,37 +105,51 @@ def _take(files: DataFrame, root: str, to_rows: RecordsToRows, most_attempts: in
     content = records.where("record_type is null or record_type not in ('package_header', 'package_footer')")
     good = content.join(states.where("state = 'done'").select("package"), "package", "left_semi")
     if not good.isEmpty():
-        # made once: the guards and merges below read it several times
-        to_rows(pk.fold_laws(good).where("action = 'upsert'")).write.mode("overwrite").parquet(f"{at}-rows")
+        # made once: the guards and merges below read them several times
+        pk.fold_laws(good).write.mode("overwrite").parquet(f"{at}-laws")
+        folded = spark.read.parquet(f"{at}-laws")
+        upserts, kept_out = folded.where("action = 'upsert'"), None
+        if outside is not None:
+            outside(upserts).write.mode("overwrite").parquet(f"{at}-outside")
+            kept_out = spark.read.parquet(f"{at}-outside")
+            upserts = upserts.join(kept_out, list(LAWS), "left_anti")
+        to_rows(upserts).write.mode("overwrite").parquet(f"{at}-rows")
         fresh = spark.read.parquet(f"{at}-rows")
         last = st.generation(spark, root)
         laws = good.select("law_id").unionByName(fresh.select("law_id")).where("law_id is not null").distinct()
+        renames = good.where("record_type = 'rename'")
         # a rename may touch any row; else only the laws' buckets (at most BUCKETS numbers) are rewritten
-        touched = None if not good.where("record_type = 'rename'").isEmpty() else [r[0] for r in laws.select(st.bucket().alias("b")).distinct().collect()]
-        st.commit(flush(st.current(spark, root, touched), good, fresh, older), root, touched, last)
+        touched = None if not renames.isEmpty() else [r[0] for r in laws.select(st.bucket().alias("b")).distinct().collect()]
+        st.commit(flush(st.current(spark, root, touched), folded, renames, fresh, older, kept_out), root, touched, last)
     bad = states.where("state = 'quarantined'").join(src.headers(records).select("package", "source"), "package", "left")
     pk.nack(bad, records).write.mode("overwrite").parquet(f"{root}/nack/run={run}-{batch}")
-    states.select("package", "attempt", "state", "permanent", "errors", F.lit(run).alias("run"), F.lit(batch).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{root}/state/{run}-{batch}")
-
-
-def _named(folder: str):
-    """A file's package: its path below the folder."""
-    return F.element_at(F.split("_metadata.file_path", f"/{re.escape(os.path.basename(folder.rstrip('/')))}/"), -1).alias("package")
+    states.select("package", "attempt", "state", "permanent", "errors", F.lit(run).alias("run"), F.lit(batch).alias("batch")).write.mode("overwrite").parquet(f"{root}/state/{run}-{batch}")
 
 
-def consume(spark: SparkSession, folder: str, root: str, checkpoint: str, to_rows: RecordsToRows, most_attempts: int = 5, glob: str = "*.jsonl", older: bool = False) -> None:
-    """Consume the packages of folder that wait for another attempt, then those that came since, one file a batch in order of arrival.
+def consume(spark: SparkSession, folder: str, root: str, checkpoint: str, to_rows: RecordsToRows, most_attempts: int = 5, glob: str = "*.jsonl", older: bool = False, outside: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Consume the packages of folder one by one, in the order of their names: first those that wait for another attempt or came late, then those behind the last one taken.
 
-    older: versions older than stored ones are taken too. root/state logs each attempt; root/nack tells producers which laws of quarantined packages to send again.
+    older: versions older than stored ones are taken too; outside: the laws of a package that the scope keeps out.
+    root/state logs each attempt; root/nack tells producers which laws of quarantined packages to send again.
     """
-    waiting = [r["package"] for r in latest_state(_states(spark, root), "package", "attempt").where("state = 'retry'").select("package").collect()]  # files in the folder whose footer lacks
-    again = spark.read.text(folder, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True).select(_named(folder), "value") if waiting else None
-    run = f"again-{uuid.uuid4().hex}"
-    for n, package in enumerate(sorted(waiting)):
-        _take(again.where(F.col("package") == package), root, to_rows, most_attempts, run, n, older)
-    lines = spark.readStream.format("text").option("wholetext", "true").option("maxFilesPerTrigger", 1).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
-    files = lines.select(_named(folder), "value")
-    query = files.writeStream.foreachBatch(lambda df, n: _take(df, root, to_rows, most_attempts, "stream", n, older)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    spark.dataSource.register(FolderSource)
+    take = lambda package, run, batch: _take(spark, folder, package, root, to_rows, most_attempts, run, batch, older, outside)
+    log = _states(spark, root)
+    last = latest_state(log, "package", "attempt")
+    reached = log.where("run = 'stream'").agg(F.max("package")).first()[0]
+    if reached is not None:
+        there = spark.read.format("lexspark_folder").option("glob", glob).option("rows", "names").load(folder)
+        waiting = there.join(last.where("state <> 'retry'"), "package", "left_anti").where(F.col("package") <= reached)
+        run = f"again-{uuid.uuid4().hex}"
+        for n, r in enumerate(waiting.orderBy("package").select("package").collect()):  # names alone
+            take(r["package"], run, str(n))
+    names = spark.readStream.format("lexspark_folder").option("glob", glob).option("rows", "names").load(folder)
+
+    def batch(df: DataFrame, n: int) -> None:
+        for k, r in enumerate(df.select("package").orderBy("package").collect()):
+            take(r["package"], "stream", f"{n}-{k}")
+
+    query = names.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

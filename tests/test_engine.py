@@ -76,7 +76,7 @@ def write_package(path, *rows, count=None, footer=True):
 
 
 def doc(law_id, version, text="본문"):
-    return {"record_type": "document", "op": "upsert", "law_id": law_id, "version_uid": version, "content": text}
+    return {"record_type": "document", "op": "upsert", "law_id": law_id, "payload": {"law_id": law_id, "version_uid": version, "content": text}}
 
 
 def test_packages(spark, tmp_path):
@@ -145,10 +145,81 @@ def test_stream_guards_cleans_and_replays(spark, tmp_path):
         consumer.consume(spark, str(inbox), root, f"{tmp_path}/ck", to_rows)
     assert log()["8.jsonl", 5] == ("quarantined", False) and nacks()["8.jsonl"] == ("transient_exhausted", ["E"], "law")
     assert ("8.jsonl", 6) not in log()
+    run("9", {"record_type": "document", "op": "delete", "law_id": "", "doc_id": "D"}, {"record_type": "document", "payload": {"law_id": "F", "version_uid": "F:20250101", "content": "f"}})
+    assert state() == before | {"F-F:20250101-0": "f"}  # a repeal sent as a document; a law named by its payload alone
+    run("10", doc("D", "D:20250101", "q"), {"record_type": "delete", "law_id": "F"})  # late: before 9 by name
+    assert log()["10.jsonl", 1] == ("done", False) and state() == before | {"D-D:20250101-0": "q"}
+    run("91", {"record_type": "memo", "law_id": "G"})
+    assert log()["91.jsonl", 1] == ("retry", False)
     assert len(st.remove_old(spark, root)) > 2 and state() == before | {"D-D:20250101-0": "q"}
     assert st.current(spark, f"{tmp_path}/nothing") is None
 
 
+def test_scope_keeps_content_out_but_not_deletes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+
+    def run(name, *rows):
+        write_package(tmp_path / "in" / f"{name}.jsonl", *rows)
+        consumer.consume(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/ck", to_rows, outside=consumer.out_of_scope(["시험 법"], ["법무부"]))
+        return sorted(r["uuid"] for r in st.current(spark, f"{tmp_path}/t").collect())
+
+    given = lambda law, version, name, ministry=None: {"record_type": "document", "law_id": law, "payload": {"law_id": law, "version_uid": f"{law}:{version}", "law_name": name, "content": "x", "basic_info": {"소관부처": {"content": ministry}} if ministry else {}, "body": {"articles": []}}}
+    assert run("1", given("A", 20240101, "시험법"), given("B", 20240101, "다른 법", "법무부"), given("C", 20240101, "다른 법")) == ["A-A:20240101-0", "B-B:20240101-0"]
+    # A's new version is out of scope: the old one stays; B's is, too, but its delete counts
+    assert run("2", given("A", 20250101, "새 이름"), given("B", 20250101, "다른 법"), {"record_type": "delete", "law_id": "B"}) == ["A-A:20240101-0"]
+
+
+def test_lines_of_small_splits(spark, tmp_path):
+    for name, n in (("a", 5_000), ("b", 1), ("c", 777)):
+        (tmp_path / f"{name}.jsonl").write_text("".join("\n" if k % 10 == 3 else json.dumps({"record_type": "memo", "law_id": f"{name}{k}"}) + "\r\n" for k in range(n)))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+        r = packages.read_packages(spark, str(tmp_path))
+        assert "Window" not in r._jdf.queryExecution().executedPlan().toString() and spark.read.text(f"{tmp_path}/a.jsonl").rdd.getNumPartitions() > 8
+        got = {(x["package"], x["line_no"]): x["law_id"] for x in r.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert got == {(f"{name}.jsonl", k + 1): f"{name}{k}" for name, n in (("a", 5_000), ("b", 1), ("c", 777)) for k in range(n) if k % 10 != 3}
+
+
+def test_folder_source_by_name(spark, tmp_path):
+    import zipfile
+
+    from lexspark.sources.folder import FolderSource
+
+    spark.dataSource.register(FolderSource)
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for name in ("b", "a", "d"):
+        (inbox / f"{name}.jsonl").write_text(f"{name}1\n\n{name}3")
+    (inbox / ".hidden.jsonl").write_text("x")
+    seen = []
+
+    def run():
+        q = spark.readStream.format("lexspark_folder").load(str(inbox)).writeStream.foreachBatch(lambda df, n: seen.append((n, sorted(map(tuple, df.collect()))))).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    rows = lambda *names: sorted((f"{n}.jsonl", k, body) for n in names for k, body in ((1, f"{n}1"), (2, ""), (3, f"{n}3")))
+    run()
+    assert seen == [(0, rows("a", "b", "d"))]
+    (inbox / "e.jsonl").write_text("e1\n\ne3")
+    (inbox / "c.jsonl").write_text("late")
+    run()
+    assert seen[1:] == [(1, rows("e"))]
+    assert sorted(map(tuple, spark.read.format("lexspark_folder").option("later_than", "d.jsonl").load(str(inbox)).collect())) == rows("e")
+    with zipfile.ZipFile(inbox / "z.zip", "w") as z:
+        z.writestr("law/x.json", "{}")
+        z.writestr("law/y.hwp", "body")
+    (inbox / "y.zip").write_bytes(b"PK broken")
+    got = {(r["zip"], r["path"]): (r["bytes"], r["error"]) for r in spark.read.format("lexspark_folder").option("rows", "members").load(str(inbox)).collect()}
+    assert got == {("y.zip", None): (9, "zip_corrupt"), ("z.zip", "law/x.json"): (2, None), ("z.zip", "law/y.hwp"): (4, None)}
+
+
+def split(records):
+    return pk.fold_laws(records), records.where("record_type = 'rename'")
+
+
 def test_deletes_stay_in_their_domain(spark):
     """The same id in two collections: a law's delete leaves the rule."""
     row = lambda domain, law, version="L:20240101", kind="JSON", file=None, n=0: (domain, law, version, "1", kind, f"{domain}{law}{version}{kind}{file}{n}", file, f"{domain}{law}{version}{kind}{file}{n}")
@@ -156,20 +227,20 @@ def test_deletes_stay_in_their_domain(spark):
     stored = spark.createDataFrame([row("law", "A"), row("admrul", "A"), row("law", "B", "L:20240101", "FILE", "f1", 0), row("law", "B", "L:20240101", "FILE", "f1", 1), row("law", "B", "L:20240101", "FILE", "f2", 0)], schema)
     lines = lambda *rs: spark.createDataFrame([("p", k, json.dumps(r)) for k, r in enumerate(rs)], "package string, line_no int, body string")
     given = consumer.with_domain(packages.parse_records(lines({"record_type": "package_header", "source": "law"}, {"record_type": "delete", "law_id": "A"}))).where("record_type <> 'package_header'")
-    out = consumer.flush(stored, given, stored.limit(0))
+    out = consumer.flush(stored, *split(given), stored.limit(0))
     assert sorted((r["domain"], r["law_id"]) for r in out.collect()) == [("admrul", "A"), ("law", "B"), ("law", "B"), ("law", "B")]
     own = consumer.with_domain(packages.parse_records(lines({"record_type": "package_header", "source": "law"}, {"record_type": "delete", "law_id": "A", "doc_target": "admrul"}))).where("record_type <> 'package_header'")
-    assert sorted((r["domain"], r["law_id"]) for r in consumer.flush(stored, own, stored.limit(0)).collect())[0] == ("law", "A")
+    assert sorted((r["domain"], r["law_id"]) for r in consumer.flush(stored, *split(own), stored.limit(0)).collect())[0] == ("law", "A")
     # a file with one chunk fewer: the orphan goes, other files stay
     fresh = spark.createDataFrame([row("law", "B", "L:20240101", "FILE", "f1", 0)], schema)
-    out = consumer.flush(stored, given.limit(0), fresh)
+    out = consumer.flush(stored, *split(given.limit(0)), fresh)
     assert sorted(r["uuid"] for r in out.where("law_id = 'B'").collect()) == ["lawBL:20240101FILEf10", "lawBL:20240101FILEf20"]
     # dashed dates rank as dates
     late = spark.createDataFrame([row("law", "A", "L:2023-12-31")], schema)
-    assert consumer.flush(stored, given.limit(0), late).where("version_uid like '%2023%'").count() == 0
-    assert consumer.flush(stored, given.limit(0), late, older=True).where("version_uid like '%2023%'").count() == 1
+    assert consumer.flush(stored, *split(given.limit(0)), late).where("version_uid like '%2023%'").count() == 0
+    assert consumer.flush(stored, *split(given.limit(0)), late, older=True).where("version_uid like '%2023%'").count() == 1
     newer = spark.createDataFrame([row("law", "A", "L:2025-01-01")], schema)
-    assert [r["version_uid"] for r in consumer.flush(stored, given.limit(0), newer).where("law_id = 'A' and domain = 'law'").collect()] == ["L:2025-01-01"]
+    assert [r["version_uid"] for r in consumer.flush(stored, *split(given.limit(0)), newer).where("law_id = 'A' and domain = 'law'").collect()] == ["L:2025-01-01"]
 
 
 def test_commits_touch_buckets_and_see_other_writers(spark, tmp_path):

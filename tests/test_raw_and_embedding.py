@@ -27,9 +27,9 @@ def test_articles_and_running_headings(spark):
                      head("제2절 절"), art("2", "제2조", 조문가지번호="3"), head("제2편 각론"), art("4", "제4조", 호=[{"호내용": "1. 바로"}]), art("4", "제4조", 호=[{"호내용": "1. 바로"}])]}
     got = [tuple(r)[1:] for r in raw.articles(bodies(spark, body)).orderBy("pos").collect()]
     assert got == [
-        (2, "제1조", None, "제1조(목적)\n① 가\n나\n1. 호\n가. 목\n나. 목\n다. 뒤", "제1장 총칙", "제1편 총론 제1장 총칙"),
-        (4, "제2조의3", None, "제2조", "제2절 절", "제1편 총론 제1장 총칙 제2절 절"),
-        (6, "제4조", None, "제4조\n1. 바로", "제2편 각론", "제2편 각론"),
+        (2, "제1조", None, "제1조(목적)\n① 가\n나\n1. 호\n가. 목\n나. 목\n다. 뒤", "제1장 총칙", "제1편 총론 > 제1장 총칙", None),
+        (4, "제2조의3", None, "제2조", "제2절 절", "제1편 총론 > 제1장 총칙 > 제2절 절", None),
+        (6, "제4조", None, "제4조\n1. 바로", "제2편 각론", "제2편 각론", None),
     ]
 
 
