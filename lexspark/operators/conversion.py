@@ -144,7 +144,9 @@ def administrative_rules(bodies: DataFrame) -> DataFrame:
     addenda = F.transform(F.array_sort(F.transform(addenda, lambda z, i: F.struct(at(z, "d").alias("promulgation_date"), i.alias("pos"), at(z, "n").alias("promulgation_no"), at(z, "t").alias("content")))), lambda a: a.dropFields("pos"))
     files = F.transform(F.arrays_zip(side("첨부파일", "첨부파일링크").alias("u"), side("첨부파일", "첨부파일명").alias("n")), lambda z: F.struct(at(z, "n").alias("name"), at(z, "u").alias("url")))
     said = F.coalesce(F.get_json_object("body", "$.Law"), F.lit(""))
-    rows = rows.withColumn("__articles", rules.rule_articles(items)).withColumn("articles", _with_images(F.col("__articles")))
+    rows = rows.withColumns({"__items": items, "__k": F.sha2("body", 256)})  # equal bodies have equal articles
+    made = rules.rule_articles(rows.dropDuplicates(["__k"]).select("__k", "__items"), "__k", "__items").withColumnRenamed("articles", "__articles")
+    rows = rows.join(made, "__k", "left").withColumn("__articles", F.coalesce("__articles", F.array().cast(made.schema["__articles"].dataType))).drop("__items", "__k").withColumn("articles", _with_images(F.col("__articles")))
     rows = rows.withColumns({
         "law_id": law_id, "mst": own_seq, "adm_uid": F.concat_ws(":", "target", law_id), "version_uid": F.lit(None).cast("string"), "law_name": name, "law_abbr": F.lit(""), "law_type": normalize(F.when(of("행정규칙종류") != "", of("행정규칙종류")).otherwise("행정규칙")),
         "doc_target": F.col("target"), "doc_kind": F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k in RULE_KINDS.items() for x in k]), F.col("target")), F.lit("행정규칙")), "id_suffix": F.lit(None).cast("string"),

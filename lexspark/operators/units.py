@@ -174,16 +174,41 @@ def stored(rows: DataFrame, key: str = "uuid") -> DataFrame:
     return rows.select(key, *[c for c in PROPERTIES if c in rows.columns], (F.to_json(F.struct(*rest)) if rest else F.lit("{}")).alias("meta"), *(c for c in ("vector",) if c in rows.columns))
 
 
-def file_chunks(parsed: DataFrame, drop_fillers: bool = True) -> DataFrame:
-    """Parsed attachments (version_uid, law_id, provision_id, file_name, file_url, unit_type, chunks) to FILE rows: fillers go (unless they are to stay), places in the file stay.
+def file_chunks(parsed: DataFrame, drop_fillers: bool = True, uuid_prefix: str = "chunk:") -> DataFrame:
+    """Parsed files (version_uid, law_id, provision_id, file_id, file_name, file_url, unit_type, chunks; law_name, law_type, unit_no, unit_title, file_kind and others where they are known) to FILE rows with ids, search texts and hashes.
 
-    A file of no given kind is an appendix where it has a provision.
+    Fillers go (unless they are to stay), places in the file stay. A file of no given kind is an appendix where it has a provision.
+    Where `parsed` has a column appendix (kind, no, branch, title), files are those that documents declare: their rows are titled by the
+    file's stem and searched by the appendix's label (or as the document's whole text) and page; other columns stay.
     """
-    rows = parsed.withColumn("file_id", F.coalesce("file_id", ids.file_id(F.col("version_uid"), F.col("provision_id"), F.col("file_name"))))
-    rows = rows.withColumn("kept", F.filter(F.transform("chunks", lambda c, i: F.struct(F.coalesce(c["chunk_index"], i).alias("chunk_index"), text.collapse_padding(c["content"]).alias("content"), c["page_no"].alias("page_no"))), lambda c: ~text.is_filler(c["content"]) if drop_fillers else F.lit(True)))
-    rows = rows.select("*", F.size("kept").alias("chunk_count"), F.explode("kept").alias("c")).select("*", "c.*").drop("c", "kept", "chunks")
+    given = set(parsed.columns)
+    inner = {f.name for f in parsed.schema["chunks"].dataType.elementType}
+    none = F.lit(None).cast("string")
+    own = lambda name: F.col(name) if name in given else none
+    of = lambda c, name: c[name] if name in inner else none
+    rows = parsed.withColumn("file_id", F.coalesce(own("file_id"), ids.file_id(F.col("version_uid"), F.col("provision_id"), F.col("file_name"))))
+
+    def chunk(c: Column, i: Column) -> Column:
+        kept = [of(c, n).alias(n) for n in ("chunk_bboxes", "media_files", "guardrail_categories", "n_char", "n_word", "n_line")]
+        page = lambda n: F.coalesce(of(c, n).cast("int"), c["page_no"] if "appendix" not in given else F.lit(None)).alias(n)
+        return F.struct(F.coalesce(c["chunk_index"], i).alias("chunk_index"), text.collapse_padding(F.coalesce(c["content"], F.lit(""))).alias("content"), c["page_no"].alias("page_no"), of(c, "chunk_id").alias("chunk_id"), page("start_page"), page("end_page"), *kept)
+
+    rows = rows.withColumn("kept", F.filter(F.transform("chunks", chunk), lambda c: ~text.is_filler(c["content"]) if drop_fillers else F.lit(True)))
+    rows = rows.select("*", F.size("kept").alias("chunk_count"), F.explode("kept").alias("c")).drop("kept", "chunks").select("*", "c.*").drop("c")
     unit = F.when(F.col("unit_type").isin("DOCUMENT_FILE", "ATTACHMENT"), "FILE").otherwise(F.coalesce("unit_type", F.when(F.col("provision_id").isNotNull(), "APPENDIX").otherwise("FILE")))
-    return rows.withColumns({"unit_type": unit, "source_type": F.lit("FILE"), "chunk_id": ids.file_chunk_id(F.col("version_uid"), F.col("provision_id"), F.col("file_id"), F.col("chunk_index"))})
+    if "appendix" in given:
+        x, stem = F.col("appendix"), F.regexp_replace("file_name", r"(?s)^(.+)\.[^.]*$", "$1")
+        no, branch, kind = text.text_or_null(x["no"]), text.text_or_null(x["branch"]), F.coalesce(F.nullif(x["kind"], F.lit("")), F.lit("별표"))
+        label = F.when(no.isNotNull(), F.concat(kind, F.lit(" "), no, F.when(branch.isNotNull() & (branch != "00"), F.concat(F.lit("의"), branch)).otherwise("")))
+        said = [F.when(x.isNull(), F.lit("문서 전체 원문")).otherwise(x["kind"]), F.when(x.isNull(), stem).otherwise(label), x["title"], F.concat(F.col("page_no").cast("string"), F.lit("페이지"))]
+        titles = {"unit_no": none, "unit_title": stem, "file_kind": F.when(x.isNull(), "document_file").otherwise("attachment")}
+    else:
+        title = F.coalesce(text.text_or_null(own("unit_title")), F.col("file_name"))
+        said = [own("unit_no"), title]
+        titles = {"unit_no": text.text_or_null(own("unit_no")), "unit_title": title, "file_kind": F.coalesce(text.text_or_null(own("file_kind")), F.lit("attachment"))}
+    chunk_id = F.coalesce(text.text_or_null(F.col("chunk_id")), ids.file_chunk_id(F.col("version_uid"), F.col("provision_id"), F.col("file_id"), F.col("chunk_index")))
+    rows = rows.withColumns({"search_text": text.search_text(own("law_name"), own("law_type"), *said, F.col("content")), "content_hash": F.sha2("content", 256), "chunk_id": chunk_id})
+    return rows.withColumns(titles | {"unit_type": unit, "source_type": F.lit("FILE"), "is_file_only": F.lit(True), "uuid": ids.object_uuid(F.col("chunk_id"), uuid_prefix)}).drop("appendix")
 
 
 def quality(rows: DataFrame, content: str = "content", kept: str | None = None, by: list[str] | None = None, most_dropped: float = 0.05) -> DataFrame:

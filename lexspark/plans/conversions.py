@@ -166,10 +166,43 @@ def q86_rule_articles(spark, sf_dir):
     parts = F.transform("t", lambda x, i: one(x, i, F.col("cite")))
     head = F.when(F.col("conv_id") % 2 == 0, F.array(F.lit("제1장 머리"))).otherwise(F.array().cast("array<string>"))
     items = c.select("conv_id", F.concat(head, parts).alias("items"))
-    a = items.select("conv_id", F.explode(rules.rule_articles(F.col("items"))).alias("a"))
+    a = rules.rule_articles(items, "conv_id").select("conv_id", F.explode("articles").alias("a"))
     return a.select("conv_id", "a.article_no", F.col("a.article_title").alias("title"), "a.chapter", F.length("a.content").alias("chars"))
 
 
+@query("""WITH t AS (SELECT conv_id, conv_id % 5 AS k, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM conversations), n AS (SELECT conv_id, k, max(i) AS n FROM t GROUP BY ALL)
+SELECT conv_id, '제1-1조' AS article_no, '제1장 머리' AS path, '제1-1조 본문은' || chr(10) || string_agg('뒤' || i::VARCHAR, chr(10) ORDER BY i) AS content FROM t WHERE k = 0 GROUP BY conv_id
+UNION ALL SELECT conv_id, '제1조', '', string_agg('제1조(가) u' || i::VARCHAR, chr(10) ORDER BY i) FROM t WHERE k = 1 GROUP BY conv_id
+UNION ALL SELECT conv_id, '제' || i::VARCHAR || '조', '', '제' || i::VARCHAR || '조(가) 본문 건축법' || chr(10) || '제90조(나) 끝 「규칙」' || chr(10) || '제91조(다)' || chr(10) || '제92조(라)에 따른다' FROM t WHERE k = 2
+UNION ALL SELECT conv_id, '전문', '', '제1조(가) 머리' || chr(10) || repeat('1-1-1. 항목이 이어진다 ', 200) || '끝' || n::VARCHAR FROM n WHERE k = 3
+UNION ALL SELECT conv_id, '제' || (i + 1)::VARCHAR || '조', CASE WHEN i % 2 = 0 THEN '제2장 짝' ELSE '제1장 홀' END, '제' || (i + 1)::VARCHAR || '조(가) 본문' || chr(10) || '제1조(나) 뒤' FROM t WHERE k = 4""")
+def q100_rule_marks(spark, sf_dir):
+    """Rules of five kinds: an article of no title behind its chapter, a number again and again, citations by names and particles, an outline, numbers that go back under chapters in turn."""
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.size(F.collect_list("turn")).alias("n"))
+    k, each = F.col("conv_id") % 5, F.sequence(F.lit(1), F.col("n"))
+    per = lambda f: F.transform(each, f)
+    items = (F.when(k == 0, F.concat(F.array(F.lit("제1장 머리제1-1조 본문은")), per(lambda i: F.concat(F.lit("뒤"), text(i))))).when(k == 1, per(lambda i: F.concat(F.lit("제1조(가) u"), text(i))))
+             .when(k == 2, per(lambda i: F.concat(F.lit("제"), text(i), F.lit("조(가) 본문 건축법 제90조(나) 끝 「규칙」 제91조(다) 제92조(라)에 따른다")))).when(k == 3, F.array(F.lit("제1조(가) 머리"), F.concat(F.repeat(F.lit("1-1-1. 항목이 이어진다 "), 200), F.lit("끝"), text("n"))))
+             .otherwise(F.flatten(per(lambda i: F.array(F.when(i % 2 == 0, "제2장 짝").otherwise("제1장 홀"), F.concat(F.lit("제"), text(i + 1), F.lit("조(가) 본문 제1조(나) 뒤")))))))
+    a = rules.rule_articles(c.select("conv_id", items.alias("items")), "conv_id").select("conv_id", F.explode("articles").alias("a"))
+    return a.select("conv_id", "a.article_no", F.col("a.chapter_path").alias("path"), "a.content")
+
+
+@query("""WITH p AS (SELECT page_id, page_id % 3 AS k, url, 'f' || page_id::VARCHAR AS stem, CASE WHEN page_id % 5 = 0 THEN '시험 법' END AS law FROM pages),
+t AS (SELECT *, concat_ws(chr(10), law, CASE WHEN k = 0 THEN concat_ws(chr(10), '별지', '별지 ' || page_id::VARCHAR || '의2', '제목 ' || stem) WHEN k = 1 THEN '문서 전체 원문' || chr(10) || stem END, CASE WHEN k < 2 THEN '7페이지' ELSE stem || '.hwp' END, url) AS said FROM p)
+SELECT page_id, CASE WHEN k = 2 THEN stem || '.hwp' ELSE stem END AS unit_title, CASE WHEN k = 1 THEN 'document_file' ELSE 'attachment' END AS file_kind, CASE WHEN k = 0 THEN 'APPENDIX' ELSE 'FILE' END AS unit_type, 1::INTEGER AS chunk_index, 1::INTEGER AS chunk_count, CASE WHEN k = 2 THEN 7 END::INTEGER AS start_page,
+  sha256(url) AS content_hash, sha256(said) AS search_hash FROM t""")
+def q101_file_rows(spark, sf_dir):
+    """Pages as parsed files: an appendix's, a document's whole text, and one whose chunks came as records; a filler comes first in each."""
+    p, k = table(spark, sf_dir, "pages"), F.col("page_id") % 3
+    none = F.lit(None).cast("string")
+    chunks = F.array(F.struct(F.lit(None).cast("int").alias("chunk_index"), F.lit("| --- |").alias("content"), F.lit(1).alias("page_no")), F.struct(F.lit(None).cast("int").alias("chunk_index"), F.col("url").alias("content"), F.lit(7).alias("page_no")))
+    rows = p.select("page_id", text("page_id").alias("version_uid"), F.lit("L").alias("law_id"), F.when(k == 0, "law:x#BJ0001").alias("provision_id"), none.alias("file_id"), F.concat(F.lit("f"), text("page_id"), F.lit(".hwp")).alias("file_name"), none.alias("file_url"),
+                    F.when(k == 1, "DOCUMENT_FILE").alias("unit_type"), F.when(F.col("page_id") % 5 == 0, "시험 법").alias("law_name"), chunks.alias("chunks"), F.when(k == 0, F.struct(F.lit("별지").alias("kind"), text("page_id").alias("no"), F.lit("2").alias("branch"), F.concat(F.lit("제목 f"), text("page_id")).alias("title"))).alias("appendix"))
+    made = units.file_chunks(rows.where(k < 2)).unionByName(units.file_chunks(rows.where(k == 2).drop("appendix")))
+    return made.select("page_id", "unit_title", "file_kind", "unit_type", "chunk_index", "chunk_count", "start_page", "content_hash", F.sha2("search_text", 256).alias("search_hash"))
+
+
 @query("""WITH d AS (SELECT doc_id, doc_id % 12 AS k, lang FROM documents)
 SELECT doc_id, CASE k WHEN 0 THEN 'json_invalid' WHEN 1 THEN 'json_not_object' WHEN 2 THEN 'law_id_missing' WHEN 3 THEN 'law_id_not_string' WHEN 4 THEN 'source_unknown' WHEN 5 THEN 'doc_target_unknown' WHEN 6 THEN 'source_mismatch' WHEN 7 THEN 'mapping_failed' END AS error,
  CASE WHEN k >= 3 AND k <> 11 THEN doc_id::VARCHAR WHEN k = 11 THEN 'u' || doc_id::VARCHAR END AS law_id, k = 11 AS repealed, CASE WHEN k = 8 THEN 'v:' || doc_id::VARCHAR WHEN k = 9 THEN 'adm:20240101' WHEN k IN (10) THEN 'w' END AS version_uid FROM d""")

@@ -33,19 +33,34 @@ def test_statutes(spark):
     assert {k: got[k]["error"] for k in (3, 4, 5, 6)} == {3: "json_invalid", 4: "articles_missing", 5: "sequence_missing", 6: "json_invalid"}
 
 
-def test_rule_articles():
-    read = lambda *items: [(a["article_no"], a["article_title"], a["chapter_path"], a["content"]) for a in rules.read_rule(list(items))]
-    assert read("제1장 총칙", "제1조(목적) 이 규정은", "① 항", "제2조(정의) 가. 나. 제3조(범위) 다.") == [("제1조", "목적", "제1장 총칙", "제1조(목적) 이 규정은\n① 항"), ("제2조", "정의", "제1장 총칙", "제2조(정의) 가. 나."), ("제3조", "범위", "제1장 총칙", "제3조(범위) 다.")]
-    # citations: a law's name before, a particle behind, or a number that goes back
-    assert read("제5조(위임) 「건설법」 제9조(관리)와 같다. 건설기술법 제10조(사업) 및 제7조(x)에 따라 제2조(정의) 참조") == [("제5조", "위임", "", "제5조(위임) 「건설법」 \n제9조(관리)와 같다. 건설기술법\n제10조(사업) 및\n제7조(x)에 따라\n제2조(정의) 참조".replace(" \n", "\n"))]
-    assert read("제1조(a) x", "제2조 삭제 <2020>") == [("제1조", "a", "", "제1조(a) x"), ("제2조", "삭제", "", "제2조 삭제 <2020>")]
-    assert read("제1장 총칙제1절 통칙제1-1조 이 규정은 그렇다") == [("제1-1조", "", "제1장 총칙제1절 통칙", "제1-1조 이 규정은 그렇다")]
-    assert read("머리말", "제1조(a) x") == [("전문", "", "", "머리말"), ("제1조", "a", "", "제1조(a) x")]
-    assert read("제3관 위험관리기준제7-5조(한도) 본문")[-1][:2] == ("제7-5조", "한도")
+def test_rule_articles(spark):
     outline = " ".join(f"1-{k}-1. 항목 내용이 이어진다 그리고 더 이어진다." for k in range(80))
-    assert [x[0] for x in read("제1조(a) x", outline)] == ["전문"] and read() == [] and read("", "텍스트") == [("전문", "", "", "텍스트")]
-    assert [x[2] for x in read("제1편 가", "제1장 나", "제1절 다", "제1조(a) x", "제2장 라", "제2조(b) y")] == ["제1편 가 > 제1장 나 > 제1절 다", "제1편 가 > 제2장 라"]
-    assert [x[0] for x in read("제1조(a) x", "제1조(a) 다시")] == ["제1조"]
+    long = "제1장 총칙 " + "가나다라 " * 120
+    cases = [
+        (("제1장 총칙", "제1조(목적) 이 규정은", "① 항", "제2조(정의) 가. 나. 제3조(범위) 다."), [("제1조", "목적", "제1장 총칙", "제1조(목적) 이 규정은\n① 항"), ("제2조", "정의", "제1장 총칙", "제2조(정의) 가. 나."), ("제3조", "범위", "제1장 총칙", "제3조(범위) 다.")]),
+        # citations: a law's name before, a particle behind, or a number that goes back
+        (("제5조(위임) 「건설법」 제9조(관리)와 같다. 건설기술법 제10조(사업) 및 제7조(x)에 따라 제2조(정의) 참조",), [("제5조", "위임", "", "제5조(위임) 「건설법」\n제9조(관리)와 같다. 건설기술법\n제10조(사업) 및\n제7조(x)에 따라\n제2조(정의) 참조")]),
+        (("제1조(a) x", "제2조 삭제 <2020>"), [("제1조", "a", "", "제1조(a) x"), ("제2조", "삭제", "", "제2조 삭제 <2020>")]),
+        (("제1장 총칙제1절 통칙제1-1조 이 규정은 그렇다",), [("제1-1조", "", "제1장 총칙제1절 통칙", "제1-1조 이 규정은 그렇다")]),
+        (("머리말", "제1조(a) x"), [("전문", "", "", "머리말"), ("제1조", "a", "", "제1조(a) x")]),
+        (("제3관 위험관리기준제7-5조(한도) 본문",), [("제7-5조", "한도", "제3관 위험관리기준", "제7-5조(한도) 본문")]),
+        (("제1조(a) x", outline), [("전문", "", "", "제1조(a) x\n" + outline)]),
+        ((), None),
+        (("", "텍스트"), [("전문", "", "", "텍스트")]),
+        (("제1편 가", "제1장 나", "제1절 다", "제1조(a) x", "제2장 라", "제2조(b) y"), [("제1조", "a", "제1편 가 > 제1장 나 > 제1절 다", "제1조(a) x"), ("제2조", "b", "제1편 가 > 제2장 라", "제2조(b) y")]),
+        (("제1조(a) x", "제1조(a) 다시"), [("제1조", "a", "", "제1조(a) x\n제1조(a) 다시")]),
+        # a chapter's name that ends like a law's is no citation; the same behind a closing bracket is
+        (("제1장 소방시설기준제3조(설치) 가",), [("제3조", "설치", "제1장 소방시설기준", "제3조(설치) 가")]),
+        (("제1조(a) 나", "제2장 「소방」 기준 제9조(설치) 가"), [("전문", "", "", "제9조(설치) 가"), ("제1조", "a", "", "제1조(a) 나")]),
+        # a chapter closes an article: the next mark may go back, a number that was there adds to nothing
+        (("제5조(a) x", "제2장 나", "꼬리 제3조(b) y", "제3장 다", "앞 제5조(c) z"), [("전문", "", "", "꼬리\n앞"), ("제5조", "a", "", "제5조(a) x"), ("제3조", "b", "제2장 나", "제3조(b) y")]),
+        ((long, "제1조(a) x"), [("전문", "", "", long.strip()), ("제1조", "a", long[:63].strip(), "제1조(a) x")]),
+        (("제1장 총칙 1. 이 장은 " + "가나다라 " * 120, "제1조(a) x"), [("전문", "", "", ("제1장 총칙 1. 이 장은 " + "가나다라 " * 120).strip()), ("제1조", "a", "제1장 총칙", "제1조(a) x")]),
+    ]
+    df = spark.createDataFrame([(k, list(items)) for k, (items, _) in enumerate(cases)], "k int, items array<string>")
+    got = {r["k"]: [(a["article_no"], a["article_title"], a["chapter_path"], a["content"]) for a in r["articles"]] for r in rules.rule_articles(df, "k").collect()}
+    for k, (_, want) in enumerate(cases):
+        assert got.get(k) == want, k
 
 
 RULE = {"AdmRulService": {"행정규칙기본정보": {"행정규칙ID": "7", "행정규칙일련번호": "70", "행정규칙명": "가 고시", "행정규칙종류": "고시", "발령일자": "20240101", "발령번호": "3", "시행일자": "20240105"}, "조문내용": ["제1조(목적) 이 고시는", ["② 더", "이어"]],

@@ -62,6 +62,33 @@ def test_file_chunks_drop_fillers_but_keep_places(spark):
     df = spark.createDataFrame([("v", "L", None, None, "f.hwp", None, "ATTACHMENT", [(None, "| --- |", 1), (None, "글", 2)])], "version_uid string, law_id string, provision_id string, file_id string, file_name string, file_url string, unit_type string, chunks array<struct<chunk_index: int, content: string, page_no: int>>")
     (r,) = units.file_chunks(df).collect()
     assert (r["chunk_index"], r["chunk_count"], r["content"], r["page_no"], r["unit_type"]) == (1, 1, "글", 2, "FILE")
+    assert (r["search_text"], r["file_kind"], r["start_page"], r["unit_title"]) == ("f.hwp\n글", "attachment", 2, "f.hwp") and len(r["content_hash"]) == 64 and len(r["uuid"]) == 36
+
+
+def test_file_chunks_of_a_package_are_stored_and_found(spark, tmp_path):
+    from lexspark.operators import search
+
+    def to_file_rows(folded):
+        d = F.from_json("document", "law_id string, version_uid string, law_name string, law_type string")
+        laws = folded.select("law_id", F.col("preprocessed"), d.alias("d")).select(F.lit("law").alias("domain"), "law_id", "d.version_uid", "d.law_name", "d.law_type", F.explode("preprocessed").alias("r"))
+        r = F.from_json("r", "file_id string, chunk_index int, content string, metadata struct<provision_id string, unit_type string, file_name string, page_no int>")
+        flat = laws.select("domain", "law_id", "version_uid", "law_name", "law_type", r.alias("r")).select("*", "r.file_id", "r.metadata.provision_id", "r.metadata.unit_type", "r.metadata.file_name")
+        files = flat.groupBy("domain", "law_id", "version_uid", "law_name", "law_type", "file_id", "provision_id", "unit_type", "file_name").agg(F.array_sort(F.collect_list(F.struct("r.chunk_index", "r.content", F.col("r.metadata.page_no").alias("page_no")))).alias("chunks"))
+        return units.file_chunks(files.withColumn("file_url", F.lit(None).cast("string"))).withColumn("mst", F.lit("1"))
+
+    inbox, root = tmp_path / "in", f"{tmp_path}/t"
+    inbox.mkdir()
+    chunk = lambda k, content: {"record_type": "preprocessed_chunk", "law_id": "A", "file_id": "f1", "chunk_index": k, "content": content, "metadata": {"provision_id": "law:가#BYL0001", "file_name": "별표1.hwp", "page_no": k + 1}}
+    body = {"record_type": "document", "payload": {"law_id": "A", "version_uid": "A:20240101", "law_name": "가 법", "law_type": "법률"}}
+    write_package(inbox / "1.jsonl", body, chunk(0, "| --- |"), chunk(1, "과태료 기준"), chunk(2, "둘째 쪽"))
+    consumer.consume(spark, str(inbox), root, f"{tmp_path}/ck", to_file_rows)
+    rows = {r["chunk_index"]: r for r in st.current(spark, root).collect()}
+    assert {k: (r["search_text"], r["unit_type"], r["start_page"], r["chunk_count"]) for k, r in rows.items()} == {1: ("가 법\n법률\n별표1.hwp\n과태료 기준", "APPENDIX", 2, 2), 2: ("가 법\n법률\n별표1.hwp\n둘째 쪽", "APPENDIX", 3, 2)}
+    found = search.keyword_scores(st.current(spark, root).select(F.col("uuid").alias("doc_id"), F.translate("search_text", "\n", " ").alias("text")), ["과태료"]).collect()
+    assert [r["doc_id"] for r in found] == [rows[1]["uuid"]]
+    write_package(inbox / "2.jsonl", body, chunk(1, "바뀐 기준"))  # the file has a chunk fewer: the orphan goes
+    consumer.consume(spark, str(inbox), root, f"{tmp_path}/ck", to_file_rows)
+    assert [(r["chunk_index"], r["content"]) for r in st.current(spark, root).collect()] == [(1, "바뀐 기준")]
 
 
 def records(*rows):
