@@ -1,10 +1,12 @@
 """Operator 5, URL filters: a blocked Bloom filter in front of an exact hash join, in DataFrame functions only.
 
 A listed rule is a host and a path; it fits that host and its subdomains where the url's path starts with the rule's.
-Every url gives its candidate keys: suffixes of its host of as many labels as listed hosts have, with prefixes of its path
-of the lengths that go with them in the list. A key's hash chooses one block of eight 32-bit words of the filter and one bit in each word; keys whose bits are
-all set go on to an equality join with the listed keys, which removes the filter's false positives. The longest rule
-wins (then the longer host). The filter has at most MAX_BLOCKS blocks of 40 bytes, so it may be broadcast whatever the
+It is found in two steps. Every url gives the suffixes of its host, of as many labels as the longest listed host has at
+most; those that pass a filter of the listed hosts are made distinct and meet the hosts, each of which names the lengths of its
+paths. Prefixes of the url's path of these lengths make keys; those that pass a filter of the listed keys go on to an
+equality join with them, which removes the filter's false positives. The plan is of one size whatever the list holds, and urls
+that no listed host fits move nowhere. In a filter a key's hash chooses one block of eight 32-bit words and one bit in each
+word. The longest rule wins (then the longer host). A filter has at most MAX_BLOCKS blocks of 40 bytes, so it may be broadcast whatever the
 list's size: a longer list makes more false positives, no wrong answers. Urls with a rule are written before pages are
 joined with them: few are broadcast by their size as Spark finds it, many let Spark split a url of many pages.
 
@@ -70,22 +72,22 @@ def maybe_listed(rows: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: str = "url") -> DataFrame:
     """pages with host, path, rule and verdict. rules: host, path, verdict."""
     key = lambda host, path: F.concat(F.length(host).cast("string"), F.lit(":"), host, path)
-    rules = rules.where("host is not null and path is not null and verdict is not null")
-    labels = F.when(F.col("host") == "", 0).otherwise(F.size(F.split("host", r"\.", -1)))
-    rules = rules.groupBy(key(F.col("host"), F.col("path")).alias("key"), "host", F.concat("host", "path").alias("rule"), labels.alias("labels"), F.length("path").alias("chars")).agg(F.min("verdict").alias("verdict"))
-    size = rules.agg(F.count("*").alias("n")).first()["n"]
-    blocks = min(MAX_BLOCKS, max(1, -(-size * BITS_PER_KEY // 256)))
-    # numbers of labels and path lengths that occur together: names have 127 labels at most, paths a few lengths
-    shapes = sorted(tuple(r) for r in rules.where("labels > 0").select("labels", "chars").distinct().collect())
+    rules = rules.where("host <> '' and path is not null and verdict is not null")
+    rules = rules.groupBy(key(F.col("host"), F.col("path")).alias("key"), "host", F.concat("host", "path").alias("rule"), F.length("path").alias("chars")).agg(F.min("verdict").alias("verdict"))
+    hosts = materialize(rules.groupBy(F.col("host").alias("key")).agg(F.collect_set("chars").alias("lengths"), F.count("*").alias("n")), "hosts", "uncompressed")
+    found = hosts.agg(F.count("*").alias("hosts"), F.sum("n").alias("rules"), F.max(F.size(F.split("key", r"\.", -1))).alias("labels")).first()
     kept = [F.col(f"`{c}`") for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
     parts = [canonical_host(F.col(url_col)).alias("host"), canonical_path(F.col(url_col)).alias("path")]
-    if not shapes:
+    if not found["hosts"]:
         return pages.select(*kept, *parts, F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    urls = pages.select(F.col(url_col).alias("url")).where("url is not null").distinct()
-    urls = urls.select("url", canonical_host(F.col("url")).alias("h"), canonical_path(F.col("url")).alias("p")).where("h <> ''")
-    urls = urls.withColumn("m", F.size(F.split("h", r"\.", -1)))
-    keys = F.array_compact(F.array(*[F.when((F.col("m") >= n) & (F.length("p") >= c), key(F.substring_index("h", ".", -n), F.substring("p", 1, c))) for n, c in shapes]))
-    possible = maybe_listed(urls.select("url", F.explode(keys).alias("key")), blocked_bloom(rules, blocks), blocks)
+    blocks = lambda n: min(MAX_BLOCKS, max(1, -(-n * BITS_PER_KEY // 256)))
+    of_hosts, of_keys = blocks(found["hosts"]), blocks(found["rules"])
+    urls = pages.select(F.col(url_col).alias("url"), canonical_host(F.col(url_col)).alias("h")).where("h <> ''")
+    names = F.sequence(F.lit(1), F.least(F.size(F.split("h", r"\.", -1)), F.lit(found["labels"])))
+    ends = urls.select("url", F.explode(names).alias("n"), "h").select("url", F.call_function("substring_index", F.col("h"), F.lit("."), -F.col("n")).alias("key"))
+    near = maybe_listed(ends, blocked_bloom(hosts, of_hosts), of_hosts).distinct().join(hosts.select("key", "lengths"), "key")
+    near = near.withColumn("p", canonical_path(F.col("url"))).select("url", "p", F.col("key").alias("h"), F.explode("lengths").alias("c")).where("length(p) >= c")
+    possible = maybe_listed(near.select("url", key(F.col("h"), F.substring("p", F.lit(1), F.col("c"))).alias("key")), blocked_bloom(rules, of_keys), of_keys)
     hits = possible.join(rules, "key")
     best = hits.groupBy("url").agg(F.max(F.struct(F.length("rule").alias("n"), F.length("host").alias("m"), "rule", "verdict")).alias("b"))
     at, rule, verdict = unused(pages, "listed_url", "listed_rule", "listed_verdict")

@@ -107,6 +107,22 @@ def test_url_filter_with_clashing_columns_and_odd_rules(spark):
     assert url_filter.judge(deep, spark.createDataFrame(url_filter.OP5_RULES, "host string, path string, verdict string")).first()["rule"] == "org/"
 
 
+def test_url_filter_with_many_shapes_of_rules(spark):
+    """20,000 rules of 1,000 shapes: the plan is that of a short list, and urls that no listed host fits are in no exchange."""
+    n = F.col("id")
+    rules = spark.range(20_000).select(F.concat(F.repeat(F.lit("s."), (n % 20).cast("int")), F.lit("h"), (n % 7000).cast("string"), F.lit(".com")).alias("host"), F.concat(F.lit("/"), F.repeat(F.lit("p"), (n % 50).cast("int"))).alias("path"), F.when(n % 3 == 0, "allow").otherwise("block").alias("verdict"))
+    listed = [(r["host"], r["path"], r["verdict"]) for r in rules.collect()]
+    by = {}
+    for host, path, verdict in listed:
+        by.setdefault((host, path), set()).add(verdict)
+    urls = [f"http://x.{h}{p}pp?q" for h, p, _ in listed[::997]] + [f"https://{h}/other" for h, _, _ in listed[::1999]] + ["http://none.org/p"] * 50
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_filter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules).collect()}
+    for k, u in enumerate(urls):
+        host, _, path = u.partition("://")[2].partition("?")[0].partition("/")
+        fits = [(len(h + p), len(h), h + p, min(v)) for end in ([host.split(".", i)[-1] for i in range(host.count(".") + 1)]) for h, p, v in ((end, "/" + path[:c], by.get((end, "/" + path[:c]))) for c in range(len(path) + 1)) if v]
+        assert got[k] == (max(fits)[2:] if fits else (None, "allow")), u
+
+
 def test_bloom_has_no_false_negatives(spark):
     keys = spark.range(3000).select(F.concat(F.lit("h"), "id", F.lit(".org/")).alias("key"))
     bloom = url_filter.blocked_bloom(keys, 188)
