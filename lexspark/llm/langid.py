@@ -6,9 +6,10 @@ looked for in the next shorter context, down to 1/256 for any byte. Contexts tha
 The statistics are frozen once learned, so a text's code length is an exact sum over its bytes, found here for all
 languages at once: the costs of every gram that some language saw, and of every context's escape, are tabled.
 
-The trees are learned from a sample of labelled rows: texts chosen by a hash of the id, about `sample_bytes` for each
-language (a documented bound, held on average; 2 MB by default, less where `total_bytes` is shared by many languages),
-the first in hash order always, of one text that many characters at most. Every byte of every text is scored.
+The trees are learned from a sample of labelled rows: distinct rows in the order of a hash of id and text, until `sample_bytes` of
+a language are reached (repeated rows count as often as they come) (2 MB by default, less where `total_bytes` is shared by many languages), whatever the table's
+size; of one text that many characters at most. Every byte of every text is scored. A label column of more than
+MOST_LABELS values is refused with a ValueError: it holds no languages.
 
 Languages are tabled in groups of GROUP: a gram has a row in the groups of the languages that saw it, so that the tables
 grow with what was seen and not with grams times languages.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.llm.bpe import _Table
@@ -55,12 +56,12 @@ def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        by: dict[int, list[str]] = {}
-        for code, text in zip(b.column("code").to_pylist(), b.column("text").to_pylist()):
-            by.setdefault(code, []).append(text)
-        for code, texts in by.items():
+        by: dict[tuple[int, int], list[str]] = {}
+        for code, copies, text in zip(b.column("code").to_pylist(), b.column("copies").to_pylist(), b.column("text").to_pylist()):
+            by.setdefault((code, copies), []).append(text)
+        for (code, copies), texts in by.items():
             kinds, n = np.unique(_grams(texts)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), code), pa.int32()), pa.array(kinds.astype(np.int64)), pa.array(n, pa.int64())], ["code", "g", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(kinds), code), pa.int32()), pa.array(kinds.astype(np.int64)), pa.array(n * copies, pa.int64())], ["code", "g", "n"])
 
 
 def _hash(g: np.ndarray) -> np.ndarray:
@@ -186,18 +187,20 @@ class Model:
 def learn(docs: DataFrame, where: Column, sample_bytes: int = SAMPLE_BYTES, total_bytes: int = TOTAL_BYTES, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from the labelled rows that `where` admits."""
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), where.alias("w")).where("w and lang is not null and text <> '' and i is not null")
-    draw = F.pmod(F.xxhash64("i", F.lit("sample")), F.lit(1_000_000)) / 1e6
+    draw = F.shiftrightunsigned(F.xxhash64("i", "text", F.lit("sample")), 2)  # 62 bits, whatever the table's size
     sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(draw).alias("first")).limit(MOST_LABELS + 1).collect()
     if len(sizes) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} values of {lang_col}: not a language column")
     if not sizes:
         return Model([], np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0))
     most = max(1, min(sample_bytes, total_bytes // len(sizes)))
-    share = {r["lang"]: min(1.0, most / max(1, r["bytes"])) for r in sizes}
-    first = {r["lang"]: r["first"] for r in sizes}  # a language of few long texts has it, if nothing else
-    spark, langs = docs.sparkSession, sorted(share)
-    shares = F.broadcast(spark.createDataFrame([(x, k, share[x], first[x]) for k, x in enumerate(langs)], "lang string, code int, share double, first double"))  # at most MOST_LABELS rows
-    sample = rows.join(shares, "lang").where((draw < F.col("share")) | (draw == F.col("first"))).select("code", F.substring("text", 1, most).alias("text"))
+    # half as many bytes again as are wanted, at least the first draw (a language of few long texts has it, if nothing else)
+    below = {r["lang"]: max(r["first"], int(min(1.0, 1.5 * most / max(1, r["bytes"])) * (1 << 62))) for r in sizes}
+    spark, langs = docs.sparkSession, sorted(below)
+    shares = F.broadcast(spark.createDataFrame([(x, k, below[x]) for k, x in enumerate(langs)], "lang string, code int, below long"))  # at most MOST_LABELS rows
+    drawn = rows.withColumn("draw", draw).join(shares, "lang").where("draw <= below").select("code", "draw", F.substring("text", 1, most).alias("text")).groupBy("code", "draw").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    before = Window.partitionBy("code").orderBy("draw").rowsBetween(Window.unboundedPreceding, -1)
+    sample = drawn.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(before), F.lit(0))).where(F.col("before") < most).select("code", "copies", "text")
     # grams of a sample of bounded bytes: bounded as well
     counts = sample.mapInArrow(tidy(_count_grams), "code int, g long, n long").groupBy("code", "g").agg(F.sum("n").alias("n")).toArrow()
     return Model(langs, counts.column("code").to_numpy().astype(np.int64), counts.column("g").to_numpy().astype(np.uint64), counts.column("n").to_numpy().astype(np.float64))
