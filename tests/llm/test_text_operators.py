@@ -94,6 +94,10 @@ def test_token_counts(spark, docs, empty, texts):
     assert held == len({" ".join(re.sub(r"[ \t\n\x0b\x0c\r]+", " ", (t or "").lower()).split(" ")).strip(" ") for _, t, _ in texts})
     assert rows(token_counts.token_counts(docs, path), "doc_id", "n_bytes", "n_tokens") == want
     assert token_counts.read_cache(spark, path).count() == held  # only misses are encoded
+    digest = F.sha2(F.lit("x"), 256)
+    none, some = (spark.range(1).select(digest.alias("digest")).where(w) for w in ("false", "true"))
+    assert token_counts.texts_of(docs, none, []).count() == 0  # and no text moves for the others
+    assert token_counts.texts_of(docs, some, []).count() == 0
     assert token_counts.token_counts(empty, scratch_path(spark, "cache")).count() == 0
 
 
