@@ -213,6 +213,31 @@ def q70_stream_replay_equals_batch(spark, sf_dir):
     return got.join(batch, "o_custkey", "full_outer").select("o_custkey", same.alias("same"))
 
 
+@query("""WITH e AS (SELECT p_partkey % 3 AS run, 'z' || lpad(p_partkey::VARCHAR, 8, '0') AS zip, p_brand || p_size::VARCHAR AS sha, p_size % 5 = 0 AS broken, p_size % 3 AS rejected FROM part),
+r AS (SELECT *, row_number() OVER (PARTITION BY run, sha ORDER BY zip) AS k, min(run) OVER (PARTITION BY sha) < run AS earlier FROM e)
+SELECT run, zip, CASE WHEN k > 1 OR NOT broken AND earlier THEN 'duplicate' WHEN broken THEN 'failed' WHEN rejected = 0 THEN 'done' ELSE 'partial' END AS state, CASE WHEN broken AND k = 1 THEN 'zip_corrupt' END AS reason FROM r""")
+def q102_states_in_the_stream(spark, sf_dir):
+    """Parts as deliveries of three runs that come as a stream: what was done before is known from the stream's own state."""
+    from lexspark.functions.scratch import folder
+    from lexspark.streaming import states
+
+    p, at, run = table(spark, sf_dir, "part"), folder(spark, "states"), F.col("p_partkey") % 3
+    none = F.lit(None).cast("string")
+    e = p.select(F.lit("q").alias("queue"), run.cast("long").alias("run"), F.make_timestamp(F.lit(2024), F.lit(1), (run + 1).cast("int"), F.lit(0), F.lit(0), F.lit(0)).alias("at"), F.concat(F.lit("z"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("zip"),
+                 F.concat("p_brand", F.col("p_size").cast("string")).alias("sha256"), F.lit(True).alias("manifest"), F.when(F.col("p_size") % 5 == 0, "zip_corrupt").otherwise(none).alias("convert_error"), F.lit(1).cast("long").alias("accepted"), (F.col("p_size") % 3).cast("long").alias("rejected"), F.lit(0).cast("long").alias("zip_errors"), F.lit(False).alias("pending"), F.lit(False).alias("failed"))
+    name = "spark.sql.streaming.stateStore.providerClass"
+    held = spark.conf.get(name)
+    spark.conf.set(name, states.STORE)
+    try:
+        for k in range(3):  # the runs come one after the other, each to a stream that is started anew
+            e.where(F.col("run") == k).coalesce(1).write.mode("append").parquet(f"{at}/in")
+            stream = states.delivery_states(spark.readStream.schema(states.EVENTS).parquet(f"{at}/in"))
+            stream.writeStream.foreachBatch(lambda df, n: df.write.mode("append").parquet(f"{at}/out")).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(name, held)
+    return spark.read.schema(states.STATES).parquet(f"{at}/out").where("run >= 0").select("run", "zip", "state", "reason")
+
+
 @query("""SELECT CASE page_id % 5 WHEN 0 THEN 'path_unsafe' WHEN 1 THEN 'os_metadata_ignored' WHEN 2 THEN 'good' WHEN 3 THEN 'manifest_ignored' ELSE 'unsupported_extension' END AS fault, count(*) AS n, sum(length(url))::BIGINT AS chars FROM pages GROUP BY 1""")
 def q59_path_faults(spark, sf_dir):
     """Member paths made from page urls: climbing, system files, documents, manifests and others."""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark.functions import ids, text
-from lexspark.operators import chunking, embedding, raw, search, store, units
+from lexspark.operators import ann, chunking, embedding, postings, raw, search, store, units
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -209,6 +209,22 @@ def q14_knn_of_query_set(spark, sf_dir):
     return r.where("place > 1").select("q", "id", F.round("distance", 6).alias("distance"), F.col("place").cast("long").alias("place"))
 
 
+@query("""WITH q AS (SELECT vec_id FROM embeddings WHERE vec_id % 20 = 0 AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+SELECT count(*) AS queries, count(*) * 10 AS places, TRUE AS recall_of_95 FROM q""")
+def q103_cells_and_codes(spark, sf_dir):
+    """Every twentieth vector against all by cells and product codes, then exactly: recall of the ten nearest against the exact scan."""
+    from lexspark.functions.scratch import folder
+
+    e = table(spark, sf_dir, "embeddings")
+    asked = e.where("vec_id % 20 = 0")
+    index = ann.build(e, folder(spark, "lists"))
+    probes, shortlist, _ = ann.audit(index, e)
+    found = ann.search(index, e, asked, 10, probes, shortlist)
+    r = ann.recall(found, search.nearest_to_each(e.where(ann.usable(F.col("embedding"))), asked.where(ann.usable(F.col("embedding"))), 10))
+    places = found.agg(F.count("*").alias("places"))
+    return r.agg(F.count("*").alias("queries"), (F.avg("recall") >= 0.95).alias("recall_of_95")).crossJoin(F.broadcast(places)).select("queries", "places", "recall_of_95")  # a row each
+
+
 @query("""WITH c AS (SELECT lang, source, ceil(length(text) / 2500.0)::BIGINT AS n FROM documents) SELECT lang, source, count(*) AS docs, sum(n)::BIGINT AS chunks FROM c GROUP BY ROLLUP (lang, source)""")
 def q43_inventory_rollup(spark, sf_dir):
     c = table(spark, sf_dir, "documents").select("lang", "source", F.ceil(F.length("text") / 2500.0).alias("n"))
@@ -269,6 +285,19 @@ def q72_keyword_scores(spark, sf_dir):
     return search.keyword_scores(docs, ["thaned", "reeres", "que"]).select("doc_id", F.round("score", 6).alias("score"))
 
 
+@query(f"""WITH terms(term) AS (VALUES {_BM25_TERMS}), t AS (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS term FROM documents), n AS (SELECT doc_id, count(*)::DOUBLE AS len FROM t GROUP BY doc_id),
+tf AS (SELECT doc_id, term, count(*)::DOUBLE AS tf FROM t JOIN terms USING (term) GROUP BY doc_id, term), df AS (SELECT term, count(*)::DOUBLE AS df FROM tf GROUP BY term), s AS (SELECT count(*)::DOUBLE AS docs, avg(len) AS mean FROM n),
+r AS (SELECT doc_id, sum(ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))) AS score FROM tf JOIN df USING (term) JOIN n USING (doc_id), s GROUP BY doc_id)
+SELECT doc_id, round(score, 6) AS score FROM r ORDER BY round(score, 9) DESC, doc_id LIMIT 10""")
+def q104_posting_blocks(spark, sf_dir):
+    """The ten best documents for three words by posting blocks, of which those that can't hold one stay closed."""
+    from lexspark.functions.scratch import folder
+
+    at = folder(spark, "postings")
+    postings.build(table(spark, sf_dir, "documents").select("doc_id", "text"), at)
+    return postings.top(spark, at, ["thaned", "reeres", "que"])[0].select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query("""WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos, turn, role, trim(text, ' ' || chr(10)) AS content FROM conversations)
 SELECT conv_id, pos::INTEGER AS pos, '제' || (turn + 1)::VARCHAR || '조' AS article_no, sha256(content) AS content_hash FROM t WHERE role <> 'system'""")
 def q74_raw_bodies(spark, sf_dir):

@@ -83,3 +83,50 @@ def test_discovery(spark, tmp_path):
     base = lambda df: sorted(r["path"].rpartition("/")[2] for r in df.collect())
     assert base(documents.read_documents(spark, str(tmp_path))) == ["a.json", "b.json", "c.json"]
     assert base(documents.read_documents(spark, str(tmp_path), limit=2)) == ["a.json", "b.json"] and base(documents.read_documents(spark, str(tmp_path), limit=0)) == []
+
+
+def test_states_in_the_stream_equal_the_batch_rules(spark, tmp_path):
+    """Runs as a stream, with a restart in between: states as next_states gives them from the log; attempts and manifests by state and timer."""
+    import datetime
+
+    from lexspark.operators.deliveries import next_states
+    from lexspark.streaming import states
+
+    day = lambda n: datetime.datetime(2024, 1, n)
+    row = lambda run, zip, sha, at=None, manifest=True, error=None, good=1, bad=0, faults=0, pending=False, failed=False, queue="q": (queue, run, at or day(run), zip, sha, manifest, error, good, bad, faults, pending, failed)
+    runs = [
+        [row(1, "a", "1"), row(1, "b", "1"), row(1, "c", "2", bad=2, good=0), row(1, "d", "3", pending=True), row(1, "e", "4"), row(1, "a", "9", queue="p")],
+        [row(2, "d", "3", pending=True), row(2, "e", "4"), row(2, "f", "1")],
+        [row(3, "d", "3", bad=1), row(3, "e", "4", error="zip_corrupt"), row(3, "g", "3"), row(3, "h", "5", failed=True)],
+    ]
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", states.STORE)
+    got = []
+
+    def run(n, rows):
+        spark.createDataFrame(rows, states.EVENTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(states.EVENTS).parquet(f"{tmp_path}/in")
+        q = states.delivery_states(stream, "0 seconds", wait_ms=86_400_000, most_attempts=3).writeStream.foreachBatch(lambda df, k: got.extend(map(tuple, df.collect()))).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start()
+        q.awaitTermination()
+
+    try:
+        log = []
+        for n, rows in enumerate(runs, 1):
+            before = len(got)
+            run(n, rows)
+            zips = spark.createDataFrame([r[3:5] + r[6:10] for r in rows if r[0] == "q"], "zip string, sha256 string, convert_error string, accepted long, rejected long, zip_errors long")
+            packages = spark.createDataFrame([(r[3], "pending" if r[10] else "failed" if r[11] else "ok") for r in rows if r[0] == "q"], "zip string, status string")
+            want = {(r["zip"], r["state"], r["reason"]) for r in next_states(zips, spark.createDataFrame(log, "sha256 string, zip string, state string"), packages).collect()}
+            assert {(z, s, reason) for q, k, z, s, reason, _ in got[before:] if q == "q"} == want
+            sha = {r[3]: r[4] for r in rows}
+            log += [(sha[z], z, s) for z, s, _ in want]
+        assert {g[5] for g in got if g[2] == "d"} == {1, 2}
+        # a third loading is the last; a manifest that doesn't come is told once, one that comes isn't
+        run(4, [row(4, "k", "7", pending=True), row(4, "m", "8", manifest=False), row(4, "n", "9", manifest=False)])
+        run(5, [row(5, "k", "7", pending=True), row(5, "n", "9")])
+        before = len(got)
+        run(6, [row(6, "k", "7", pending=True, at=day(8))])
+        run(7, [row(7, "z", "0", at=day(9))])
+        assert ("q", 6, "k", "failed", "attempts_exhausted", 3) in got[before:]
+        assert [g for g in got if g[3] == states.OVERDUE] == [("q", -1, "m", states.OVERDUE, None, 0)]
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")

@@ -463,3 +463,49 @@ def test_large_packages_are_read_in_splits(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert [tuple(x) for x in got] == [(k + 2, f"L{k}") for k in range(n)] and packages.footers(r).first()["record_count"] == n
+
+
+def test_cells_and_codes(spark, tmp_path):
+    import numpy as np
+
+    from lexspark.operators import ann, search
+
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(30, 12)), 20, 0) + rng.normal(scale=0.2, size=(600, 12))
+    data = [(k, v.tolist()) for k, v in enumerate(x)] + [(900, None), (901, [0.0] * 12), (902, [float("nan")] * 12), (903, [None] + [1.0] * 11), (904, [float("inf")] * 12)]
+    data += [(1000 + k, x[0].tolist()) for k in range(300)]  # a third of the rows in one cell
+    e = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    index = ann.build(e, f"{tmp_path}/lists", cells=12, subspaces=5)
+    assert index.lists.count() == 900 and index.books.shape == (4, 256, 3)
+    asked = e.where("vec_id % 50 = 1 or vec_id > 899 and vec_id < 910")
+    exact = search.nearest_to_each(e.where(ann.usable(F.col("embedding"))), asked.where(ann.usable(F.col("embedding"))), 10)
+    found = ann.search(index, e, asked, 10, probes=12, shortlist=900, part=64)
+    key = lambda df: sorted((r["q"], r["place"], r["id"]) for r in df.collect())
+    assert key(found) == key(exact)  # all cells, whole lists: exact, cells in parts
+    probes, shortlist, got = ann.audit(index, e, target=0.9, probes=1, shortlist=10)
+    assert got >= 0.9 and probes <= 12
+    few = ann.search(index, e, asked, 10, probes, shortlist)
+    assert ann.recall(few, exact).agg(F.avg("recall")).first()[0] >= 0.8
+    none = ann.build(e.limit(0), f"{tmp_path}/none")
+    assert ann.search(none, e.limit(0), asked, 10).count() == 0
+    with pytest.raises(ValueError):
+        ann.build(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<double>"), f"{tmp_path}/bad")
+
+
+def test_posting_blocks_equal_keyword_scores(spark, tmp_path):
+    import random
+
+    from lexspark.operators import postings, search
+
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choices(["the", "a", "Rare", "x", "y", "z"], weights=[40, 20, 1, 10, 10, 10], k=rnd.randint(0, 40))) for _ in range(3_000)]
+    texts += ["rare rare rare", "rare the", None, "rare rare rare"]
+    docs = spark.createDataFrame([(7 * k - 500, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    postings.build(docs, f"{tmp_path}/p", block=16)
+    for words in (["rare", "the"], ["rare"], ["the", "a", "nowhere"], ["nowhere"], ["rare", "x", "rare"]):
+        want = [(r["doc_id"], round(r["score"], 9)) for r in search.keyword_scores(docs.where("text is not null"), list(dict.fromkeys(words))).orderBy(F.desc(F.round("score", 9)), "doc_id").limit(10).collect()]
+        got, opened = postings.top(spark, f"{tmp_path}/p", words)
+        assert sorted((r["doc_id"], round(r["score"], 9)) for r in got.collect()) == sorted(want) or [s for _, s in want] == [round(r["score"], 9) for r in got.orderBy(F.desc("score")).collect()], words
+        if words[0] == "rare":
+            heads = spark.read.parquet(f"{tmp_path}/p/heads").where(F.col("word").isin(words))
+            assert opened.count() < heads.count()  # blocks stay closed
