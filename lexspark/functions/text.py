@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -80,10 +82,55 @@ def is_placeholder(c: Column) -> Column:
     return (s == "") | F.rlike(s, F.lit(PLACEHOLDER))
 
 
+#: Names of the HTML standard's table that may stand without a semicolon, the longest first.
+BARE_NAMES = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True))
+REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_NAMES = json.dumps(html5)
+
+
+def _control(code: int) -> str:
+    """What a reference to a control character of 0x80 to 0x9f means: that of the Windows code page, where it has one."""
+    try:
+        return bytes([code]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(code)
+
+
+def _character(code: Column) -> Column:
+    """The character of a numeric reference: controls by the Windows code page, none for non-characters, the replacement for what is no character."""
+    nothing = code.between(0x1, 0x8) | code.isin(0xB, 0x7F) | code.between(0xE, 0x1F) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    windows = F.get(F.array(*[F.lit(_control(k)) for k in range(0x80, 0xA0)]), (code - 0x80).cast("int"))
+    return (F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd").when(code.between(0x80, 0x9F), windows).when(nothing, "")
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")))
+
+
 def unescape(c: Column) -> Column:
+    """The entities that names hold resolved; short, as ids are made of many such expressions."""
     return reduce(lambda s, e: F.replace(s, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), c)
 
 
+def unescape_all(c: Column) -> Column:
+    """All references of HTML resolved once: names of the standard's table by the longest match, and numbers; others stay. The table is part of the plan: use it once for a column."""
+    names = F.from_json(F.lit(_NAMES), "map<string,string>")
+
+    def code(digits: Column, base: int, most: int) -> Column:
+        return F.when(F.length(digits) > most, F.lit(0x110000).cast("long")).when(digits != "", F.conv(digits, base, 10).cast("long"))
+
+    def told(p: Column, said: Column) -> Column:
+        """The piece p that follows an ampersand, of which `said` may be a reference."""
+        number = F.coalesce(code(F.regexp_extract(said, r"^#[xX]0*([0-9a-fA-F]+);?$", 1), 16, 7), code(F.regexp_extract(said, r"^#0*([0-9]+);?$", 1), 10, 9))
+        bare = F.regexp_extract(said, f"^({BARE_NAMES})", 1)
+        # the whole reference, else the longest name that it begins with; each looked up once
+        found = let(F.struct(number.alias("n"), F.when(F.map_contains_key(names, said), said).otherwise(bare).alias("k")), lambda f: F.when(f["n"].isNotNull(), F.concat(_character(f["n"]), F.substr(p, F.length(said) + 1))).when(
+            f["k"] != "", F.concat(F.element_at(names, f["k"]), F.substr(p, F.length(f["k"]) + 1))))
+        return F.coalesce(found, F.concat(F.lit("&"), p))
+
+    def resolved(v: Column) -> Column:
+        return let(F.split(v, "&", -1), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: let(F.regexp_extract(p, REFERENCE, 1), lambda said: told(p, said))), "")))
+
+    return let(c, lambda v: F.when(F.contains(v, F.lit("&")), resolved(v)).otherwise(v))
+
+
 def normalize(c: Column) -> Column:
     """Entities resolved, wide blanks made plain, both ends stripped; null becomes empty."""
     return strip(F.replace(unescape(F.coalesce(c.cast("string"), F.lit(""))), F.lit("\u3000"), F.lit(" ")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexspark.functions import ids, text
@@ -221,3 +221,16 @@ def quality(rows: DataFrame, content: str = "content", kept: str | None = None,
     real = F.length(F.regexp_replace(padded, "(?U)" + text.FILLER, ""))
     out = rows.groupBy(*(by or [])).agg(F.count("*").alias("seen"), F.count_if(dropped).alias("dropped"), F.coalesce(F.sum(F.when(dropped, real)), F.lit(0)).cast("long").alias("dropped_real_chars"))
     return out.withColumn("verdict", F.when(F.col("dropped_real_chars") > 0, "fail: dropped_chunks_had_content").when(F.col("dropped") > most_dropped * F.col("seen"), "fail: chunks_dropped_ratio").otherwise("pass"))
+
+
+def write_observed(rows: DataFrame, path: str, content: str = "content", kept: str = "kept", most_dropped: float = 0.05) -> dict:
+    """Write the rows that stay (without the column `kept`) and give quality()'s totals and verdict, counted in the same pass over the rows."""
+    padded = text.collapse_padding(F.coalesce(F.col(content), F.lit("")))
+    dropped = ~F.coalesce(F.col(kept), F.lit(False))
+    real = F.length(F.regexp_replace(padded, "(?U)" + text.FILLER, ""))
+    totals = Observation("quality")
+    seen = rows.observe(totals, F.count("*").alias("seen"), F.count_if(dropped).alias("dropped"), F.coalesce(F.sum(F.when(dropped, real)), F.lit(0)).cast("long").alias("dropped_real_chars"))
+    seen.where(kept).drop(kept).write.mode("overwrite").parquet(path)
+    got = dict(totals.get)
+    bad = "fail: dropped_chunks_had_content" if got["dropped_real_chars"] > 0 else "fail: chunks_dropped_ratio" if got["dropped"] > most_dropped * got["seen"] else "pass"
+    return got | {"verdict": bad}

@@ -186,6 +186,34 @@ def q64_duplicate_unit_instance(spark, sf_dir):
     return a.select("l_orderkey", "a.l_linenumber", "a.provision_id", F.col("a.appendix_instance_id").alias("instance_id"))
 
 
+@query("""SELECT p_partkey, 'law:N' || CASE WHEN p_size % 4 = 3 THEN 'x' ELSE '' END || (p_partkey % 10)::VARCHAR || '#JO1' AS reference, '{"n":1,"relation_refs":[{"reference_id":"law:N' || CASE WHEN p_size % 4 = 3 THEN 'x' ELSE '' END || (p_partkey % 10)::VARCHAR || '#JO1","k":"v"}]}' AS meta
+FROM (SELECT p_partkey, p_size FROM part) WHERE p_size % 4 = 3
+UNION ALL SELECT p_partkey, 'law:N' || (p_partkey % 10)::VARCHAR || '_9#JO1', '{"n":1,"relation_refs":[{"reference_id":"law:N' || (p_partkey % 10)::VARCHAR || '_9#JO1","k":"v"}]}' FROM part WHERE p_size % 4 <> 3""")
+def q107_chains_of_renames(spark, sf_dir):
+    """Parts that refer to documents renamed nine times in one package: references, and what meta holds of them, end at the last name."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    ref = F.when(F.col("p_size") % 4 == 3, F.concat(F.lit("law:Nx"), (k % 10).cast("string"), F.lit("#JO1"))).otherwise(F.concat(F.lit("law:N"), (k % 10).cast("string"), F.lit("_"), (F.col("p_size") % 9).cast("string"), F.lit("#JO1")))
+    rows = p.select(k.cast("string").alias("uuid"), "p_partkey", F.lit("law").alias("domain"), F.lit("P").alias("law_id"), F.concat(F.lit("law:P#JO"), k.cast("string")).alias("provision_id"), F.array(ref).alias("reference_ids"), F.concat(F.lit('{"n":1,"relation_refs":[{"reference_id":"'), ref, F.lit('","k":"v"}]}')).alias("meta"))
+    steps = p.select((k % 10).alias("d")).distinct().select("d", F.explode(F.sequence(F.lit(0), F.lit(8))).alias("i"))
+    name = lambda i: F.concat(F.lit("law:N"), F.col("d").cast("string"), F.lit("_"), i.cast("string"))
+    renames = steps.select(F.lit("law").alias("domain"), F.concat(F.lit("L"), "d").alias("law_id"), name(F.col("i")).alias("old_head"), name(F.col("i") + 1).alias("new_head"), F.col("i").cast("long").alias("at"))
+    return references.apply_renames(rows, renames).select("p_partkey", F.col("reference_ids")[0].alias("reference"), "meta")
+
+
+@query("""SELECT p_size, p_brand, count(*) AS n, TRUE AS same FROM part GROUP BY ALL""")
+def q108_hash_of_values(spark, sf_dir):
+    """Parts as JSON of two layouts, keys in either order: one hash for each value, whatever it looks like."""
+    from lexspark.sources import documents
+
+    p = table(spark, sf_dir, "part")
+    one = F.concat(F.lit('{"size": '), F.col("p_size").cast("string"), F.lit(', "b": ["'), "p_brand", F.lit('", null]}'))
+    other = F.concat(F.lit('{"b":["'), "p_brand", F.lit('" , null],\n "size":'), F.col("p_size").cast("string"), F.lit("}"))
+    h = lambda c: documents.canonical_hash(F.parse_json(c))
+    both = p.select("p_size", "p_brand", h(F.when(F.col("p_partkey") % 2 == 0, one).otherwise(other)).alias("h"))
+    seen = both.groupBy("h").agg(F.count("*").alias("n"), F.countDistinct("p_size", "p_brand").alias("values"), F.first("p_size").alias("p_size"), F.first("p_brand").alias("p_brand"))
+    return seen.select("p_size", "p_brand", "n", (F.col("values") == 1).alias("same"))
+
+
 @query("SELECT DISTINCT o_custkey, TRUE AS same FROM orders")
 def q70_stream_replay_equals_batch(spark, sf_dir):
     """Orders as packages that the consumer takes one by one, twice; the table that results against a batch fold, by customer."""

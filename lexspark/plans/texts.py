@@ -126,6 +126,29 @@ def q06_quality_guard(spark, sf_dir):
     return units.quality(rows, kept="kept", by=["lang"])
 
 
+@query(r"""WITH u AS (SELECT CASE WHEN l.quality = 0 AND d.doc_id % 3 = 0 THEN '| --- |' ELSE d.text END AS content, d.doc_id % 50 <> 1 AS kept FROM documents d LEFT JOIN labels l USING (doc_id)),
+c AS (SELECT NOT kept OR content = '| --- |' AS dropped, CASE WHEN content = '| --- |' THEN 0 ELSE length(regexp_replace(regexp_replace(content, '[ \t' || chr(160) || ']{3,}', ' ', 'g'), '[\s|+_=~·.※□■◦○●\x{a0}-]', '', 'g')) END AS real FROM u)
+SELECT count(*) AS seen, count(*) FILTER (dropped) AS dropped, coalesce(sum(real) FILTER (dropped), 0)::BIGINT AS dropped_real_chars, 'fail: dropped_chunks_had_content' AS verdict, count(*) FILTER (NOT dropped) AS written FROM c""")
+def q106_quality_in_the_write(spark, sf_dir):
+    """q06's chunks written, with the guard's totals counted by the write itself."""
+    from lexspark.functions.scratch import folder
+
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    content = F.when((F.col("quality") == 0) & (F.col("doc_id") % 3 == 0), "| --- |").otherwise(F.col("text"))
+    rows = docs.select("doc_id", content.alias("content"), ((F.col("doc_id") % 50 != 1) & (content != "| --- |")).alias("kept"))
+    at = folder(spark, "observed")
+    got = units.write_observed(rows, at)
+    return spark.read.parquet(at).agg(F.count("*").alias("written")).select(*[F.lit(got[c]).cast("string" if c == "verdict" else "long").alias(c) for c in ("seen", "dropped", "dropped_real_chars", "verdict")], "written")
+
+
+@query("SELECT page_id, 'a' || chr((page_id % 5000 + 200)::INTEGER) || 'b&lt;©&copyx;' || chr((page_id % 5000 + 200)::INTEGER) || '…& &nope;' || url AS said FROM pages WHERE url NOT LIKE '%&%'")
+def q105_references_resolved(spark, sf_dir):
+    """Pages' addresses behind numeric and named references, escaped and unknown ones."""
+    p, n = table(spark, sf_dir, "pages").where("url not like '%&%'"), F.col("page_id") % 5000 + 200
+    given = F.concat(F.lit("a&#"), n.cast("string"), F.lit(";b&amp;lt;&copy;&amp;copyx;&#x"), F.hex(n), F.lit(";&hellip;& &nope;"), "url")
+    return p.select("page_id", text.unescape_all(given).alias("said"))
+
+
 @query("""WITH RECURSIVE d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE len(string_split(text, chr(10))) > 4 AND text NOT LIKE '%' || chr(13) || '%'),
 h AS (SELECT doc_id, text, l[1] || chr(10) || l[2] AS head, len(l) - (CASE WHEN l[len(l)] = '' THEN 1 ELSE 0 END) AS m, l, length(l[1]) + length(l[2]) + 1 AS hl FROM d),
 f AS (SELECT * FROM h WHERE length(text) > 400 AND hl + 1 < 4092 AND m > 2),

@@ -91,3 +91,15 @@ def test_routing(spark):
     null = F.lit(None).cast("string")
     assert one(spark, ids.domain(F.lit("school"), F.lit("admrul")), ids.domain(null, F.lit("eflaw")), ids.domain(null, null), ids.id_prefix(F.lit("pi"), null, F.lit("law")), ids.id_prefix(null, null, F.lit("조례")))[:] == ("schlpub", "law", "law", "SchlPubRul", "ordin")
     assert one(spark, ids.admin_rule_version(F.lit("a:1"), F.lit(" "), F.lit("2024")), ids.admin_rule_version(F.lit("a:1"), null, null))[:] == ("a:1:2024", "a:1")
+
+
+def test_all_references_of_html(spark):
+    import html
+    from html.entities import html5
+
+    given = [f"x&{n}y" for n in html5] + [f"&{n}" for n in list(html5)[::7]] + [f"&#{k};" for k in [*range(0, 300), 0xD7FF, 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFF, 0x10FFFF, 0x110000, 10**12]] + [f"&#x{k:x}" for k in (0, 13, 128, 0x20AC, 0x110000)]
+    given += ["&", "&&amp;&", "&amp;lt;", "&notit;", "&notin;", "&ampx", "&#", "&#x", "&#xg", "&#65", "&#0065;", "no", "", "&copy &nbsp; &unknown; &CounterClockwiseContourIntegral;"]
+    df = spark.createDataFrame([(k, g) for k, g in enumerate(given)] + [(-1, None)], "k int, s string")
+    got = {r["k"]: r["u"] for r in df.select("k", text.unescape_all(F.col("s")).alias("u")).collect()}
+    assert got.pop(-1) is None
+    assert {g: got[k] for k, g in enumerate(given)} == {g: html.unescape(g) for g in given}
