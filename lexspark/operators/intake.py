@@ -39,6 +39,14 @@ def best_format(files: DataFrame, key: list[str], name: str, order: tuple[str, .
     return ranked.where("__rank = 0 or __place = 1").drop("__rank", "__place")
 
 
+def declared_format(files: DataFrame, key: list[str], name: str, declared: str, order: tuple[str, ...] = DECLARED_ORDER) -> DataFrame:
+    """One file of each key: of the declared format (one that can be read), else of the first in the order, ties by name; keys whose files are all of other formats, such as images, have none."""
+    ext = extension(F.col(name))
+    rank = format_rank(ext, order)
+    best = Window.partitionBy(*key).orderBy(ext.eqNullSafe(F.lower(F.col(declared))).cast("int").desc(), F.when(F.col("__rank") > 0, F.col("__rank")).otherwise(len(order) + 1), name)
+    return files.withColumn("__rank", rank).withColumn("__place", F.row_number().over(best)).where("__place = 1 and __rank > 0").drop("__rank", "__place")
+
+
 def match_declared(units: DataFrame, entries: DataFrame) -> DataFrame:
     """units (unit, names) with the path of the one entry (name, path) that bears any of their names; else pending or ambiguous."""
     hits = units.select("unit", F.explode(F.array_distinct("names")).alias("name")).join(entries, "name").groupBy("unit").agg(F.collect_set("path").alias("paths"))

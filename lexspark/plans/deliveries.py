@@ -111,6 +111,16 @@ def q55_format_priority_declared_first(spark, sf_dir):
     return intake.best_format(_files(spark, sf_dir), ["doc"], "name", intake.DECLARED_ORDER, "declared").select("doc", "name")
 
 
+@query(f"""WITH f AS (SELECT p_brand || CASE WHEN p_size % 5 = 4 THEN 'i' ELSE '' END AS doc, lpad(p_partkey::VARCHAR, 8, '0') || '.' || {_EXT} AS name, {_EXT} AS ext, CASE WHEN length(p_brand) % 2 = 0 THEN 'docx' ELSE 'png' END AS declared FROM part),
+r AS (SELECT *, CASE ext WHEN 'pdf' THEN 1 WHEN 'hwpx' THEN 2 WHEN 'hwp' THEN 3 WHEN 'docx' THEN 4 ELSE 9 END AS rank FROM f), n AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY CASE WHEN ext = declared THEN 0 ELSE 1 END, rank, name) AS k FROM r)
+SELECT doc, name FROM n WHERE k = 1 AND rank < 9""")
+def q109_one_file_of_a_declared_format(spark, sf_dir):
+    """Parts as files of declared formats: documents that have images alone keep none."""
+    f = table(spark, sf_dir, "part").select("p_partkey", F.concat("p_brand", F.when(F.col("p_size") % 5 == 4, "i").otherwise("")).alias("doc"), F.when(F.length("p_brand") % 2 == 0, "docx").otherwise("png").alias("declared"))
+    f = f.join(_files(spark, sf_dir).select(F.substring("name", 1, 8).cast("long").alias("p_partkey"), "name"), "p_partkey")
+    return intake.declared_format(f, ["doc"], "name", "declared").select("doc", "name")
+
+
 @query("""WITH d AS (SELECT o_custkey, count(*) AS found FROM orders GROUP BY o_custkey), m AS (SELECT c_custkey AS o_custkey, c_custkey % 20 AS declared FROM customer WHERE c_custkey % 4 <> 0)
 SELECT o_custkey, coalesce(found, 0) AS found, declared, CASE WHEN declared IS NULL THEN 'manifest_missing' WHEN coalesce(found, 0) = declared THEN 'ok' ELSE 'manifest_mismatch' END AS state FROM d FULL JOIN m USING (o_custkey)""")
 def q56_manifest_reconcile(spark, sf_dir):
