@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lexspark.functions import ids
+from lexspark.functions.scratch import folder
 from lexspark.operators import packages as pk
 from lexspark.operators import payloads, units
 from lexspark.operators import store as st
+from lexspark.operators import transfer as tf
 from lexspark.sources import packages as src
 from lexspark.plans.texts import table
 
@@ -112,6 +114,32 @@ def q28_export_verify(spark, sf_dir):
     return st.compare_exports(e, other)
 
 
+@query("""WITH e AS (SELECT *, vec_id % 97 AS k FROM embeddings WHERE len(embedding) > 0)
+SELECT vec_id::VARCHAR AS uuid, CASE k WHEN 0 THEN 'missing' WHEN 1 THEN 'vector' WHEN 2 THEN 'props' ELSE 'extra' END AS fault FROM e WHERE k <= 3""")
+def q110_verify_by_tree(spark, sf_dir):
+    """Embeddings exported, loaded and verified against a table in which some are missing, changed or new: unequal leaves alone are read."""
+    e, k = table(spark, sf_dir, "embeddings"), F.col("vec_id") % 97
+    a, b, c = (folder(spark, name) for name in ("export", "loaded", "stored"))
+    bits = tf.export(tf.portable(e.where(k != 3), ["label"], "vec_id", "embedding"), a)
+    tf.load(spark, a, b)
+    m = F.col("uuid").cast("long") % 97
+    held = tf.rows_of(spark, b).where(m != 0).select("uuid", F.when(m == 1, F.transform("vector", lambda x: x + F.lit(1).cast("float"))).otherwise(F.col("vector")).alias("vector"), F.when(m == 2, "{}").otherwise(F.col("props")).alias("props"))
+    tf.export(held.unionByName(tf.portable(e.where(k == 3), ["label"], "vec_id", "embedding")), c, bits)
+    return tf.verify(spark, a, c)
+
+
+@query("""SELECT o_orderkey::VARCHAR AS uuid, o_orderstatus AS status, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS ordered, o_totalprice AS price, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS priority, NULL::VARCHAR AS fault
+FROM orders WHERE o_orderstatus <> 'P'""")
+def q111_properties_moved(spark, sf_dir):
+    """Orders moved into a table of another schema: times as RFC 3339, nulls kept; those without a vector (status P) are left out."""
+    o, a, b = table(spark, sf_dir, "orders"), folder(spark, "export"), folder(spark, "loaded")
+    rows = o.select(F.col("o_orderkey").alias("uuid"), F.when(F.col("o_orderstatus") != "P", F.array("o_totalprice")).alias("vector"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("ordered"),
+                    F.col("o_totalprice").alias("price"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("priority"))
+    tf.export(tf.portable(rows, ["status", "ordered", "price", "priority"]), a)
+    tf.load(spark, a, b)
+    return tf.typed(tf.rows_of(spark, b), "status string, ordered string, price double, priority string").drop("vector")
+
+
 @query("SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id FROM events GROUP BY user_id")
 def q30_last_wins_fold(spark, sf_dir):
     return pk.last_wins(table(spark, sf_dir, "events"), ["user_id"], "event_id", "event_type", "event_id")
