@@ -74,29 +74,44 @@ def final_heads(moves: DataFrame) -> DataFrame:
     return step.groupBy("old_head").agg(F.min_by("head", "at").alias("new_head")).where("old_head <> new_head")
 
 
-def apply_renames(rows: DataFrame, renames: DataFrame, key: str = "uuid") -> DataFrame:
+def _told(columns: list[str]) -> Column:
+    """All ids that a stored row refers to, in whichever of its columns."""
+    none = F.array().cast("array<string>")
+    refs = F.coalesce("reference_ids", none)
+    if "relation_refs" in columns:
+        refs = F.array_union(refs, F.coalesce(F.transform("relation_refs", lambda r: r["reference_id"]), none))
+    if "meta" in columns:
+        refs = F.array_union(refs, F.regexp_extract_all(F.coalesce("meta", F.lit("")), F.lit(r'"reference_id":"((?:[^"\\\\]|\\\\.)*)"'), F.lit(1)))
+    return F.array_distinct(refs)
+
+
+def referring(rows: DataFrame, renames: DataFrame) -> DataFrame:
+    """Rows with a reference to an old head of renames. Ids and references alone are read where the caller asks for no more."""
+    old = renames.select(F.col("old_head").alias("__head")).distinct()
+    told = rows.withColumn("__ref", F.explode(_told(rows.columns))).withColumn("__head", head_of(F.col("__ref")))
+    return told.join(old, "__head", "left_semi").select(*rows.columns)
+
+
+def apply_renames(rows: DataFrame, renames: DataFrame, key: str = "uuid", elsewhere: DataFrame | None = None) -> DataFrame:
     """rows after renames of documents: their own rows under the old head go, and references to it move to the new one.
 
     rows: key, domain, law_id, provision_id, reference_ids (and relation_refs, whose reference_id moves along, and meta,
     JSON of which holds such relations). renames: domain, law_id, old_head, new_head, and at where their order counts. Where other rows still bear the old head a reference to it may mean them: it
-    stays. Only rows with a reference that moves are rewritten; applying a rename again changes nothing.
+    stays. Only rows with a reference that moves are rewritten; applying a rename again changes nothing. elsewhere:
+    rows (provision_id) of the same table that aren't in rows, but may bear an old head.
     """
     own = renames.select("domain", "law_id", F.col("old_head").alias("__head")).distinct()
     kept = rows.withColumn("__head", head_of(F.col("provision_id"))).join(own, ["domain", "law_id", "__head"], "left_anti")
-    alive = kept.select("__head").distinct()
+    alive = kept.select("__head")
+    if elsewhere is not None:
+        alive = alive.unionByName(elsewhere.select(head_of(F.col("provision_id")).alias("__head")))
+    alive = alive.distinct()
     at = F.col("at") if "at" in renames.columns else F.lit(0).cast("long")
     moves = renames.select("old_head", "new_head", at.alias("at")).join(alive.withColumnRenamed("__head", "old_head"), "old_head", "left_anti")
     moves = final_heads(moves).select(F.col("old_head").alias("__head"), F.col("new_head").alias("__new"))
     kept = kept.drop("__head")
     more, told = "relation_refs" in rows.columns, "meta" in rows.columns
-    none = F.array().cast("array<string>")
-    refs = F.coalesce("reference_ids", none)
-    if more:
-        refs = F.array_union(refs, F.coalesce(F.transform("relation_refs", lambda r: r["reference_id"]), none))
-    if told:
-        held = F.regexp_extract_all(F.coalesce("meta", F.lit("")), F.lit(r'"reference_id":"((?:[^"\\\\]|\\\\.)*)"'), F.lit(1))
-        refs = F.array_union(refs, held)
-    flat = kept.select(key, F.explode(F.array_distinct(refs)).alias("ref")).where("ref is not null").withColumn("__head", head_of(F.col("ref"))).join(moves, "__head")
+    flat = kept.select(key, F.explode(_told(rows.columns)).alias("ref")).where("ref is not null").withColumn("__head", head_of(F.col("ref"))).join(moves, "__head")
     moved = flat.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ref", F.concat("__new", F.expr("substring(ref, length(__head) + 1)"))))).alias("__moved"))
     out = kept.join(moved, key, "left")
     to = lambda r: F.coalesce(F.element_at("__moved", r), r)

@@ -25,7 +25,7 @@ def nearest(store: DataFrame, query: list[float], k: int, where: Column | None =
 
 
 def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 16_384, part: int = 65_536) -> DataFrame:
-    """q, id, distance and place of the k nearest of every query, ties by id. Null and zero vectors are near nothing.
+    """q, id, distance and place of the k nearest of every query, ties by id. Null and zero vectors are near nothing, and vectors of different lengths aren't near each other.
 
     Queries are dealt into blocks and the store into parts; each block meets each part in one task, which keeps k of each query.
     """
@@ -38,8 +38,9 @@ def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str =
     blocks, parts = max(1, -(-asked.count() // block)), max(1, -(-rows.count() // part))
     copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = lambda salt, n: F.pmod(F.xxhash64("i", F.lit(salt)), F.lit(n)).cast("int")
-    left = asked.select("i", "v", dealt("q", blocks).alias("b"), copies(parts).alias("p"))
-    right = rows.select("i", "v", copies(blocks).alias("b"), dealt("s", parts).alias("p"))
+    dim = F.size("v").alias("d")
+    left = asked.select("i", "v", dim, dealt("q", blocks).alias("b"), copies(parts).alias("p"))
+    right = rows.select("i", "v", dim, copies(blocks).alias("b"), dealt("s", parts).alias("p"))
 
     def unit(table: pa.Table) -> np.ndarray:
         v = table.column("v").combine_chunks()
@@ -61,7 +62,7 @@ def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str =
             out.append((q.column("i").to_numpy()[n + r], ids[c], d[r, c]))
         return pa.table({c: pa.array(np.concatenate(v)) for c, v in zip(("q", "id", "distance"), zip(*out))})
 
-    found = left.groupBy("b", "p").cogroup(right.groupBy("b", "p")).applyInArrow(local, "q long, id long, distance double")
+    found = left.groupBy("d", "b", "p").cogroup(right.groupBy("d", "b", "p")).applyInArrow(local, "q long, id long, distance double")
     rank = Window.partitionBy("q").orderBy("distance", "id")
     return found.withColumn("place", F.row_number().over(rank)).where(F.col("place") <= k)
 

@@ -135,7 +135,7 @@ def generation(spark: SparkSession, root: str) -> int:
     return max(_generations(spark, root), default=0)
 
 
-def commit(df: DataFrame, root: str, touched: list[int] | None = None, after: int | None = None, buckets: int = BUCKETS) -> int:
+def commit(df: DataFrame, root: str, touched: list[int] | None = None, after: int | None = None, buckets: int = BUCKETS, rows_a_file: int = 1 << 20) -> int:
     """Write df beside the current files of root, then name the next generation: readers see all of it or none.
 
     df holds all rows of the touched buckets (of the whole table where none are named); other buckets keep their files.
@@ -144,7 +144,8 @@ def commit(df: DataFrame, root: str, touched: list[int] | None = None, after: in
     spark = df.sparkSession
     after = generation(spark, root) if after is None else after
     name = f"v-{uuid.uuid4().hex}"
-    df.withColumn("__bucket", bucket(buckets)).repartition("__bucket").write.partitionBy("__bucket").parquet(f"{root}/{name}")
+    # tasks of about equal size: small buckets share one, a large one is split
+    df.withColumn("__bucket", bucket(buckets)).hint("rebalance", "__bucket").write.option("maxRecordsPerFile", rows_a_file).partitionBy("__bucket").parquet(f"{root}/{name}")
     fs, path = _fs(spark, root)
     held = {} if touched is None or not after else {k: v for k, v in _manifest(spark, root, after).items() if k not in set(touched)}
     for f in fs.listStatus(path(f"{root}/{name}")):

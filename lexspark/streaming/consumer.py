@@ -30,14 +30,14 @@ def with_domain(records: DataFrame) -> DataFrame:
 LAWS = ("domain", "law_id")
 
 
-def flush(stored: DataFrame | None, folded: DataFrame, renames: DataFrame, fresh: DataFrame, older: bool = False, outside: DataFrame | None = None) -> DataFrame:
+def flush(stored: DataFrame | None, folded: DataFrame, renames: DataFrame, fresh: DataFrame, older: bool = False, outside: DataFrame | None = None, elsewhere: DataFrame | None = None) -> DataFrame:
     """The table after one batch of laws (folded, with their domain) and rename records.
 
     fresh: the store rows (domain, law_id, version_uid, mst, source_type, chunk_id, file_id, uuid, ...) of the laws with
     content; outside: laws (domain, law_id) whose content the scope keeps out. Laws to delete go, in their domain alone, and laws
     outside that were deleted and sent anew, too; laws with content are written unless a newer version is stored
     (or older ones are allowed); their stale versions and orphaned units and file chunks go after the new rows are in.
-    Renames come last.
+    Renames come last; elsewhere: rows of the table (provision_id) that stored leaves out, as nothing in them changes.
     """
     if outside is not None:
         fresh = fresh.join(outside, list(LAWS), "left_anti")
@@ -57,7 +57,7 @@ def flush(stored: DataFrame | None, folded: DataFrame, renames: DataFrame, fresh
         merged = merged.join(drop.distinct(), "uuid", "left_anti")
     if "reference_ids" not in merged.columns:
         return merged
-    return references.apply_renames(merged, references.rename_heads(renames))
+    return references.apply_renames(merged, references.rename_heads(renames), elsewhere=elsewhere)
 
 
 def out_of_scope(names: list[str], ministries: list[str]) -> Callable[[DataFrame], DataFrame]:
@@ -118,9 +118,16 @@ def _take(spark: SparkSession, folder: str, package: str, root: str, to_rows: Re
         last = st.generation(spark, root)
         laws = good.select("law_id").unionByName(fresh.select("law_id")).where("law_id is not null").distinct()
         renames = good.where("record_type = 'rename'")
-        # a rename may touch any row; else only the laws' buckets (at most BUCKETS numbers) are rewritten
-        touched = None if not renames.isEmpty() else [r[0] for r in laws.select(st.bucket().alias("b")).distinct().collect()]
-        st.commit(flush(st.current(spark, root, touched), folded, renames, fresh, older, kept_out), root, touched, last)
+        numbers = laws.select(st.bucket().alias("b"))
+        table, elsewhere, renamed = st.current(spark, root), None, not renames.isEmpty()
+        renamed = renamed and table is not None and "reference_ids" in table.columns
+        if renamed:  # and the buckets of rows that refer to an old head: ids and references of the table are read for it, no more
+            held = table.select("law_id", *[c for c in ("reference_ids", "relation_refs", "meta") if c in table.columns])
+            numbers = numbers.unionByName(references.referring(held, references.rename_heads(renames)).select(st.bucket().alias("b")))
+        touched = sorted(r[0] for r in numbers.distinct().collect())  # BUCKETS numbers at most
+        if renamed:
+            elsewhere = table.where(~st.bucket().isin(touched)).select("provision_id")
+        st.commit(flush(st.current(spark, root, touched), folded, renames, fresh, older, kept_out, elsewhere), root, touched, last)
     bad = states.where("state = 'quarantined'").join(src.headers(records).select("package", "source"), "package", "left")
     pk.nack(bad, records).write.mode("overwrite").parquet(f"{root}/nack/run={run}-{batch}")
     states.select("package", "attempt", "state", "permanent", "errors", F.lit(run).alias("run"), F.lit(batch).alias("batch")).write.mode("overwrite").parquet(f"{root}/state/{run}-{batch}")

@@ -182,6 +182,44 @@ def test_stream_guards_cleans_and_replays(spark, tmp_path):
     assert st.current(spark, f"{tmp_path}/nothing") is None
 
 
+def test_a_rename_rewrites_the_buckets_that_it_names(spark, tmp_path):
+    from lexspark.operators import references
+
+    (tmp_path / "in").mkdir()
+    root = f"{tmp_path}/t"
+    schema = "domain string, law_id string, version_uid string, mst string, source_type string, chunk_id string, uuid string, content string, provision_id string, reference_ids array<string>, meta string"
+
+    def row(n, head, refs=(), meta=None):
+        return ("law", f"L{n}", "1", "1", "JSON", f"c{n}", f"u{n}", "x", f"law:{head}#1", list(refs), meta)
+
+    rows = [row(n, f"법{n}") for n in range(40)] + [row(50, "가법"), row(51, "나법"), row(52, "나법"), row(60, "다법", ["law:가법#3"]), row(61, "라법", [], '{"r":[{"reference_id":"law:가법#4"}]}'), row(62, "마법", ["law:나법#1", "law:가법B#1"])]
+    table = spark.createDataFrame(rows, schema)
+    st.commit(table, root)
+    before = st._manifest(spark, root, 1)
+    renames = [{"record_type": "rename", "law_id": "L50", "old_name": "가법", "new_name": "새법"}, {"record_type": "rename", "law_id": "L51", "old_name": "나법", "new_name": "하법"}]
+    write_package(tmp_path / "in" / "1.jsonl", *renames)
+    consumer.consume(spark, f"{tmp_path}/in", root, f"{tmp_path}/ck", lambda folded: table.limit(0))
+    after = st._manifest(spark, root, st.generation(spark, root))
+    number = {r["law_id"]: r["b"] for r in table.select("law_id", st.bucket().alias("b")).collect()}
+    named = {number[f"L{n}"] for n in (50, 51, 60, 61, 62)}
+    assert {b for b in before if before[b] != after.get(b)} == named and len(before) > len(named) + 5
+    # a bucket that isn't read (L52's) has a row that still bears the old name: references to it stay
+    assert number["L52"] not in named
+    given = spark.createDataFrame([("law", f"L{n}", None, a, b) for n, a, b in ((50, "가법", "새법"), (51, "나법", "하법"))], "domain string, law_id string, doc_target string, old_name string, new_name string")
+    show = lambda df: {r["uuid"]: (r["reference_ids"], r["meta"]) for r in df.collect()}
+    got = show(st.current(spark, root))
+    assert got == show(references.apply_renames(table, references.rename_heads(given)))
+    assert got["u60"] == (["law:새법#3"], None) and got["u61"] == ([], '{"r":[{"reference_id":"law:새법#4"}]}') and got["u62"] == (["law:나법#1", "law:가법B#1"], None) and "u50" not in got
+
+
+def test_nearest_of_vectors_of_several_lengths(spark):
+    from lexspark.operators import search
+
+    rows = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [1.0, 0.0, 0.0]), (4, [0.9, 0.1, 0.0]), (5, None), (6, []), (7, [0.0, 0.0])], "vec_id long, embedding array<double>")
+    got = {(r["q"], r["id"]) for r in search.nearest_to_each(rows, rows, 5).collect()}
+    assert got == {(a, b) for g in ((1, 2), (3, 4)) for a in g for b in g}
+
+
 def test_scope_keeps_content_out_but_not_deletes(spark, tmp_path):
     (tmp_path / "in").mkdir()
 
