@@ -7,7 +7,9 @@ looked up there as it is and with one 0 bit of the second segment set; a joined
 budgets before its full Hamming distance is taken. Copies meet in one fingerprint before that. In a file, members
 near the file's smallest fingerprint link to it alone, so a dense group makes a star of links, not all its pairs. A
 file of more than FILE members is filed again under each of its other segments: these have tau differences at most
-between them, so one of them has at most one.
+between them, so one of them has at most one. Of such a file again, one of more than REFILED members is filed a third
+time, under each segment that is left, within the differences that one of them must keep (two of the usual five
+segments): its members share all bits but one segment's, so that no file has more than 2^13, however many texts there are.
 
 Null text counts as empty (fingerprint zero, linked like any other). Ids may repeat or be null: a class id is the
 smallest id in it, null only where no member has one. An empty table gives an empty result; extra columns are ignored.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from lexspark.llm.common import connected_components, materialize, tidy, unused
 
 FILE = 64
+REFILED = 1024
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -118,7 +122,7 @@ def _pairs(met: DataFrame, keys: list[str], segs: list[tuple[int, int]], tau: in
         & _chain("fp", "host", segs, F.col("s"), tau) & (_distance("fp", "host") <= tau)).select(F.col("fp").alias("u"), F.col("host").alias("v"))
 
 
-def links(fps: DataFrame, tau: int = 4, file: int = FILE) -> DataFrame:
+def links(fps: DataFrame, tau: int = 4, file: int = FILE, refiled: int = REFILED) -> DataFrame:
     """Undirected links (u, v) whose components are those of all pairs of distinct fps at distance <= tau.
 
     tau is at least 1 and at most 15. A pair in a file is left out only if both link to the file's leader.
@@ -161,7 +165,29 @@ def links(fps: DataFrame, tau: int = 4, file: int = FILE) -> DataFrame:
     rows = spread(base, F.col("guest"), own2).unionByName(spread(base, F.lit(True), more)).unionByName(spread(base.where("guest"), F.lit(True), less))
     keys = ["s", "k", "t", "l"]
     met2 = _met(rows, keys, tau, "refiled")
-    return out.unionByName(met2.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))).unionByName(_pairs(met2.where("n > 1"), keys, segs, tau))
+    out = out.unionByName(met2.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v")))
+    crowded = met2.where(F.col("n") > refiled)
+    if m < 5 or crowded.isEmpty():  # four segments leave one, which may hold all differences
+        return out.unionByName(_pairs(met2.where("n > 1"), keys, segs, tau))
+    out = out.unionByName(_pairs(met2.where((F.col("n") > 1) & (F.col("n") <= refiled)), keys, segs, tau))
+
+    def under_rest(masks) -> Column:
+        """For a row filed under s and t: (segment, its bits changed by each of masks(width)) of the segments that are left."""
+        kind = "array<struct<v:tinyint,w:bigint>>"
+        kinds = []
+        for v in range(m):
+            bits = F.transform(F.array(*[F.lit(x).cast("long") for x in masks(segs[v][1])]), lambda x: F.struct(F.lit(v).cast("byte").alias("v"), _bits(F.col("fp"), segs[v]).bitwiseXOR(x).alias("w")))  # noqa: B023
+            kinds.append(F.when(~F.col("s").isin(v, (v - 1) % m) & (F.col("t") != v), bits.cast(kind)).otherwise(F.array().cast(kind)))
+        return F.concat(*kinds)
+
+    def changed(width: int) -> list[int]:
+        """Numbers of one bit and more, up to the differences that one of the m - 3 segments must keep."""
+        return [sum(1 << b for b in c) for n in range(1, tau // (m - 3) + 1) for c in combinations(range(width), n)]
+
+    third = lambda guest, masks: crowded.select("fp", *keys, guest.alias("guest"), F.explode(under_rest(masks)).alias("at")).select("fp", *keys, "guest", "at.v", "at.w")
+    keys3 = [*keys, "v", "w"]
+    met3 = _met(third(F.col("guest"), lambda _: [0]).unionByName(third(F.lit(True), changed)), keys3, tau, "refiled-again")
+    return out.unionByName(met3.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))).unionByName(_pairs(met3.where("n > 1"), keys3, segs, tau))
 
 
 def near_duplicates(docs: DataFrame, tau: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -212,8 +212,8 @@ def test_simhash(spark, docs, empty, texts):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
-@pytest.mark.parametrize("tau, file", [(4, 64), (4, 2), (3, 1), (2, 2)])
-def test_links_of_dense_groups_keep_components(spark, tau, file):
+@pytest.mark.parametrize("tau, file, refiled", [(4, 64, 1024), (4, 2, 1024), (4, 2, 1), (5, 2, 1), (3, 1, 1), (2, 2, 1)])
+def test_links_of_dense_groups_keep_components(spark, tau, file, refiled):
     rng = random.Random(9)
     fps = {rng.getrandbits(64) for _ in range(150)}
     for c in list(fps)[:6]:  # balls of fingerprints that share segments
@@ -225,11 +225,35 @@ def test_links_of_dense_groups_keep_components(spark, tau, file):
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     df = spark.createDataFrame([(f,) for f in signed], "fp long")
-    roots = {r["node"]: r["root"] for r in connected_components(simhash.links(df, tau, file), plain=100).collect()}
+    roots = {r["node"]: r["root"] for r in connected_components(simhash.links(df, tau, file, refiled), plain=100).collect()}
     want = slow_components(signed, lambda a, b: (fps[a] ^ fps[b]).bit_count() <= tau)
     assert [roots.get(f, f) for f in signed] == want
 
 
+def test_texts_of_one_template_are_filed_until_files_are_small(spark, monkeypatch):
+    """Three segments are the same for all fingerprints: files of two segments, and of three, hold all of them."""
+    rng = random.Random(4)
+    base = rng.getrandbits(64) & ((1 << 38) - 1)
+    fps = {base | rng.getrandbits(26) << 38 for _ in range(1500)}
+    for c in sorted(fps)[:100]:  # links that the third filing must find: two bits in each of the last segments
+        fps.add(c ^ (0b101 << 39) ^ (0b11 << 52))
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    sizes = []
+    plain = simhash._pairs
+
+    def counted(met, keys, *more):
+        sizes.append(met.where("not guest").groupBy(*keys).count().agg(F.max("count")).first()[0] or 0)
+        return plain(met, keys, *more)
+
+    monkeypatch.setattr(simhash, "_pairs", counted)
+    roots = {r["node"]: r["root"] for r in connected_components(simhash.links(df, 4, 64, 200)).collect()}
+    want = slow_components(signed, lambda a, b: (fps[a] ^ fps[b]).bit_count() <= 4)
+    assert [roots.get(f, f) for f in signed] == want
+    assert len(sizes) == 3 and max(sizes) <= 200 < len(fps)
+
+
 def test_components_of_long_paths(spark):
     n = 300
     edges = [(k, k + 1) for k in range(n)] + [(1000, 1001), (5, 5), (None, 3), (7, 6)]
