@@ -10,6 +10,7 @@ themselves are then compared.
 Null text has no words. Items without words have no windows. Repeated documents each get a row; a repeated item id
 counts once, with the windows of all its texts; a null item id is left out of item lists, its windows still hit.
 Empty tables give results without hits. Extra columns are ignored.
+Document and item ids are 64-bit integers, or strings of such; another id ends in CAST_INVALID_INPUT.
 """
 
 from __future__ import annotations

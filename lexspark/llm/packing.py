@@ -10,6 +10,7 @@ piece's rank gives its pattern, the pattern's copy and the slot.
 
 Null text: the end id alone. Null and repeated ids: every row is packed. An empty table gives an empty result. Extra
 columns are ignored.
+Document ids are 64-bit integers, or strings of such; another id ends in CAST_INVALID_INPUT.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ are joined: few are broadcast by their size as Spark finds it, so texts move onl
 Null text counts as empty. Null or repeated ids: rows are told apart by the text's hash, equal rows give equal
 results. Spans of one kind never overlap; those of different kinds may. An empty table gives an empty result. Extra
 columns are kept by `redact` and ignored elsewhere.
+Document ids are 64-bit integers, or strings of such; another id ends in CAST_INVALID_INPUT.
 """
 
 from __future__ import annotations

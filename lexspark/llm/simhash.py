@@ -13,6 +13,7 @@ segments): its members share all bits but one segment's, so that no file has mor
 
 Null text counts as empty (fingerprint zero, linked like any other). Ids may repeat or be null: a class id is the
 smallest id in it, null only where no member has one. An empty table gives an empty result; extra columns are ignored.
+Document ids are 64-bit integers, or strings of such; another id ends in CAST_INVALID_INPUT.
 """
 
 from __future__ import annotations

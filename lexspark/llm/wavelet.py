@@ -8,6 +8,7 @@ Spark's committer writes whole or not at all on any store.
 
 Null text: only the end id. Null ids sort first. Repeated ids are told apart by their text; equal rows follow each
 other. An empty table gives a table without shards. Extra columns are ignored.
+Document ids are 64-bit integers, or strings of such; another id ends in CAST_INVALID_INPUT.
 """
 
 from __future__ import annotations
