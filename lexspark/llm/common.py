@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BROADCAST_ROWS = 1 << 17
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -57,6 +60,15 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd", path: str |
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def for_join(df: DataFrame, n: int, small: bool = False) -> DataFrame:
+    """df as one side of a join of n rows (an upper bound of those that Spark might broadcast): beyond BROADCAST_ROWS both sides are shuffled.
+
+    Spark broadcasts by the size of files or shuffle blocks, which are compressed, and takes an exploded row for one row:
+    what it calls 10 MB may not fit into the driver. small: df itself has n rows, and few of them are broadcast.
+    """
+    return df.hint("merge") if n > BROADCAST_ROWS else F.broadcast(df) if small else df
+
+
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
     """run, after which a Python worker gives freed memory back to the system: idle workers stay small beside their executor."""
 
@@ -92,17 +104,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, plain: int = 1_
     def sums(e: DataFrame):
         return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    def star(e: DataFrame, large: bool, written: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, written: bool, n: int) -> DataFrame:
         if large:
             both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
             low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
             low = materialize(low, "low") if written else low
-            out = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            out = both.join(for_join(low, n), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         else:
             down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
             low = down.groupBy("u").agg(F.min("v").alias("m"))
             low = materialize(low, "low") if written else low
-            out = down.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
+            out = down.join(for_join(low, n), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
         return out.where("u <> v").distinct()
 
     e = edges.select("u", "v").where("u is not null and v is not null and u <> v").distinct()
@@ -113,8 +125,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, plain: int = 1_
         if done:
             break
         written = seen[0] > plain
-        stars = star(e, True, written)
-        e = materialize(star(materialize(stars, "large") if written else stars, False, written), "star")
+        stars = star(e, True, written, seen[0])
+        e = materialize(star(materialize(stars, "large") if written else stars, False, written, seen[0]), "star")
         now = sums(e)
         done, seen = now == seen, now
     if not done:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import connected_components, materialize, tidy, unused
+from lexspark.llm.common import connected_components, for_join, materialize, tidy, unused
 
 FILE = 64
 REFILED = 1024
@@ -112,13 +112,13 @@ def _met(rows: DataFrame, keys: list[str], tau: int, name: str) -> DataFrame:
     """
     files = materialize(rows.where("not guest").groupBy(*keys).agg(F.min("fp").alias("lead"), F.count("*").alias("n")), f"{name}-files")
     near = _distance("fp", "lead") <= tau
-    return materialize(rows.join(files, keys).where((F.col("fp") != F.col("lead")) & (near | (F.col("n") > 1))).withColumn("near", near), name)
+    return materialize(rows.join(for_join(files, files.count(), small=True), keys).where((F.col("fp") != F.col("lead")) & (near | (F.col("n") > 1))).withColumn("near", near), name)
 
 
-def _pairs(met: DataFrame, keys: list[str], segs: list[tuple[int, int]], tau: int) -> DataFrame:
-    """Verified links (u, v) of rows with members of their file, unless both are near its lead."""
+def _pairs(met: DataFrame, keys: list[str], segs: list[tuple[int, int]], tau: int, n: int) -> DataFrame:
+    """Verified links (u, v) of rows (n at most) with members of their file, unless both are near its lead."""
     hosts = met.where("not guest").select(*keys, F.col("fp").alias("host"), F.col("near").alias("host_near"))
-    return met.join(hosts, keys).where(
+    return met.join(for_join(hosts, n), keys).where(
         ~(F.col("near") & F.col("host_near")) & (F.col("guest") | (F.col("fp") < F.col("host")))
         & _chain("fp", "host", segs, F.col("s"), tau) & (_distance("fp", "host") <= tau)).select(F.col("fp").alias("u"), F.col("host").alias("v"))
 
@@ -142,10 +142,11 @@ def links(fps: DataFrame, tau: int = 4, file: int = FILE, refiled: int = REFILED
     home = fps.select("fp", F.lit(False).alias("guest"), F.explode(own).alias("at")).select("fp", "guest", "at.s", "at.k")
     visit = fps.select("fp", F.lit(True).alias("guest"), F.explode_outer(flips).alias("at")).where("at is not null").select("fp", "guest", "at.s", "at.k")
     met = _met(home.unionByName(visit), ["s", "k"], tau, "files")
+    n_met = met.count()
     star = met.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))
     if m < 4 or tau // (m - 2) > 1:  # no other segment is sure to have one difference at most
-        return star.unionByName(_pairs(met.where("n > 1"), ["s", "k"], segs, tau))
-    out = star.unionByName(_pairs(met.where((F.col("n") > 1) & (F.col("n") <= file)), ["s", "k"], segs, tau))
+        return star.unionByName(_pairs(met.where("n > 1"), ["s", "k"], segs, tau, n_met))
+    out = star.unionByName(_pairs(met.where((F.col("n") > 1) & (F.col("n") <= file)), ["s", "k"], segs, tau, n_met))
     large = met.where(F.col("n") > file)
 
     def under(make) -> Column:
@@ -166,11 +167,12 @@ def links(fps: DataFrame, tau: int = 4, file: int = FILE, refiled: int = REFILED
     rows = spread(base, F.col("guest"), own2).unionByName(spread(base, F.lit(True), more)).unionByName(spread(base.where("guest"), F.lit(True), less))
     keys = ["s", "k", "t", "l"]
     met2 = _met(rows, keys, tau, "refiled")
+    n_met2 = met2.count()
     out = out.unionByName(met2.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v")))
     crowded = met2.where(F.col("n") > refiled)
     if m < 5 or crowded.isEmpty():  # four segments leave one, which may hold all differences
-        return out.unionByName(_pairs(met2.where("n > 1"), keys, segs, tau))
-    out = out.unionByName(_pairs(met2.where((F.col("n") > 1) & (F.col("n") <= refiled)), keys, segs, tau))
+        return out.unionByName(_pairs(met2.where("n > 1"), keys, segs, tau, n_met2))
+    out = out.unionByName(_pairs(met2.where((F.col("n") > 1) & (F.col("n") <= refiled)), keys, segs, tau, n_met2))
 
     def under_rest(masks) -> Column:
         """For a row filed under s and t: (segment, its bits changed by each of masks(width)) of the segments that are left."""
@@ -188,19 +190,20 @@ def links(fps: DataFrame, tau: int = 4, file: int = FILE, refiled: int = REFILED
     third = lambda guest, masks: crowded.select("fp", *keys, guest.alias("guest"), F.explode(under_rest(masks)).alias("at")).select("fp", *keys, "guest", "at.v", "at.w")
     keys3 = [*keys, "v", "w"]
     met3 = _met(third(F.col("guest"), lambda _: [0]).unionByName(third(F.lit(True), changed)), keys3, tau, "refiled-again")
-    return out.unionByName(met3.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))).unionByName(_pairs(met3.where("n > 1"), keys3, segs, tau))
+    return out.unionByName(met3.where("near").select(F.col("fp").alias("u"), F.col("lead").alias("v"))).unionByName(_pairs(met3.where("n > 1"), keys3, segs, tau, met3.count()))
 
 
 def near_duplicates(docs: DataFrame, tau: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, row, fp and component_id (smallest id reachable) of every row."""
     rows = materialize(fingerprints(docs, width, id_col, text_col), "fingerprints")
+    n = rows.count()
     reps = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
     roots = connected_components(links(reps.select("fp"), tau))
-    named = reps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = reps.join(for_join(roots.withColumnRenamed("node", "fp"), n), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialize(named, "classes")
     # written, so that Spark may split the fingerprints of one root
     ids = materialize(named.groupBy("root").agg(F.min("low").alias("component_id")), "class-ids")
-    return rows.join(named.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "row", "fp", "component_id")
+    return rows.join(for_join(named.join(for_join(ids, n), "root").select("fp", "component_id"), n), "fp").select("doc_id", "row", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, tau: int = 4, width: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
