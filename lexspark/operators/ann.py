@@ -1,14 +1,16 @@
 """Search beyond exact scans: inverted lists over cells, residual product codes, and an exact re-rank of a shortlist.
 
 Vectors are compared by cosine. Cells and code books are fitted on a sample of `sample_bytes` at most (documented, by a
-hash of the id); every row of the store is filed under its nearest cell with the codes of what it differs from it. A query
-meets the lists of its `probes` nearest cells, in parts of at most `part` rows so that a cell of many rows is spread; each part gives its
-`shortlist` best by codes, and the best of all are compared exactly, their vectors fetched by id. Nothing is compared with whole
-copies of the store. Null and zero vectors, and those with null or non-finite components, are in no list and near nothing.
+hash of the id); every row of the store is filed under its nearest cell with the codes of what it differs from it. The lists
+are dealt by id into parts of at most `part` rows, so that a cell of many rows is spread; a query meets its `probes` nearest cells in
+each part, which gives its `shortlist` best by codes over all of them, and the best of all parts are compared exactly, their vectors
+fetched by id. What moves grows with queries times parts (16 at least), not with probes. Nothing is compared with whole copies of
+the store. Null and zero vectors, and those with null or non-finite components, are in no list and near nothing.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lexspark.operators.search import cosine_distance, nearest_to_each
 
-SAMPLE_BYTES, CODES = 32_000_000, 256
+SAMPLE_BYTES, CODES, PARTS = 32_000_000, 256, 16
 
 
 @dataclass
@@ -106,47 +108,50 @@ def build(store: DataFrame, path: str, cells: int | None = None, subspaces: int
     return index
 
 
-def search(index: Index, store: DataFrame, queries: DataFrame, k: int = 10, probes: int = 16, shortlist: int = 100, part: int = 65_536, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def search(index: Index, store: DataFrame, queries: DataFrame, k: int = 10, probes: int = 16, shortlist: int = 100, part: int = 262_144, block: int = 16_384, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """q, id, distance and place of the k nearest of every query that its cells' lists give, ties by id."""
     spark = store.sparkSession
     held = spark.sparkContext.broadcast((index.cells, index.books))
     kind = store.schema[id_col].dataType.simpleString()
     asked = queries.select(F.col(id_col).alias("q"), F.col(vector_col).alias("v")).where(F.col("q").isNotNull() & usable(F.col("v")))
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, _ = held.value
-        m = min(probes, len(cells))
-        for b in batches:
-            near = _nearest(_unit(b.column("v")), cells, m)
-            at = pa.array(np.repeat(np.arange(b.num_rows), m))
-            yield pa.RecordBatch.from_arrays([b.column("q").take(at), b.column("v").take(at), pa.array(near.ravel())], ["q", "v", "cell"])
-
-    met = asked.mapInArrow(ask, f"q {kind}, v {asked.schema['v'].dataType.simpleString()}, cell int")
-    sizes = index.lists.groupBy("cell").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
-    left = met.join(sizes, "cell").select("q", "v", "cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    right = index.lists.join(sizes, "cell").select("i", "codes", "cell", F.pmod(F.xxhash64("i"), F.col("parts")).cast("int").alias("part"))
+    blocks, parts = max(1, -(-asked.count() // block)), max(PARTS, -(-index.lists.count() // part))
+    copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    left = asked.select("q", "v", dealt("q", blocks).alias("b"), copies(parts).alias("p"))
+    right = index.lists.select("i", "cell", "codes", dealt("i", parts).alias("p"), copies(blocks).alias("b"))
 
     def compare(q: pa.Table, lists: pa.Table) -> pa.Table:
         out = [], [], []
         if q.num_rows and lists.num_rows:
             cells, books = held.value
             own = Index(cells, books, None)
-            codes = np.frombuffer(b"".join(lists.column("codes").to_pylist()), np.uint8).reshape(lists.num_rows, len(books))
-            ids, m = lists.column("i").combine_chunks(), np.arange(len(books))[:, None]
-            x = _unit(q.column("v").combine_chunks())
-            tables = np.einsum("qmw,mcw->qmc", own.split(x), books)
-            base = x @ cells[q.column("cell")[0].as_py()]
-            for n in range(len(x)):
-                near = base[n] + tables[n][m, codes.T].sum(0)
-                best = np.argpartition(-near, min(shortlist, len(near)) - 1)[:shortlist]
-                out[0].append(q.column("q").combine_chunks().take(pa.array(np.full(len(best), n))))
-                out[1].append(ids.take(pa.array(best)))
-                out[2].append(near[best].astype(np.float64))
+            at = lists.column("cell").to_numpy()
+            order = np.argsort(at, kind="stable")
+            first = np.searchsorted(at[order], np.arange(len(cells) + 1))
+            ids = lists.column("i").combine_chunks().take(pa.array(order))
+            codes = np.frombuffer(b"".join(lists.column("codes").to_pylist()), np.uint8).reshape(lists.num_rows, len(books))[order]
+            places = codes.astype(np.int32) + np.arange(len(books), dtype=np.int32) * CODES
+            asks, x = q.column("q").combine_chunks(), _unit(q.column("v").combine_chunks())
+            for a in range(0, len(x), 256):
+                some = x[a : a + 256]
+                near_cells = np.sort(_nearest(some, cells, min(probes, len(cells))), axis=1)
+                tables = np.einsum("qmw,mcw->qmc", own.split(some), books).reshape(len(some), -1)
+                for n in range(len(some)):
+                    c = near_cells[n]
+                    many = first[c + 1] - first[c]
+                    rows = np.repeat(first[c] - np.cumsum(many) + many, many) + np.arange(many.sum())
+                    if not len(rows):
+                        continue
+                    near = np.repeat(cells[c] @ some[n], many) + tables[n][places[rows]].sum(1)
+                    best = np.argpartition(-near, min(shortlist, len(near)) - 1)[:shortlist]
+                    out[0].append(asks.take(pa.array(np.full(len(best), a + n))))
+                    out[1].append(ids.take(pa.array(rows[best])))
+                    out[2].append(near[best].astype(np.float64))
         if not out[0]:
             return pa.table({"q": q.column("q").slice(0, 0), "i": lists.column("i").slice(0, 0), "near": pa.array([], pa.float64())})
         return pa.table({"q": pa.concat_arrays(out[0]), "i": pa.concat_arrays(out[1]), "near": pa.array(np.concatenate(out[2]))})
 
-    found = left.groupBy("cell", "part").cogroup(right.groupBy("cell", "part")).applyInArrow(compare, f"q {kind}, i {kind}, near double")
+    found = left.groupBy("b", "p").cogroup(right.groupBy("b", "p")).applyInArrow(compare, f"q {kind}, i {kind}, near double")
     best = Window.partitionBy("q").orderBy(F.desc("near"), "i")
     short = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= shortlist).select("q", "i")
     exact = short.join(asked, "q").join(store.select(F.col(id_col).alias("i"), F.col(vector_col).alias("w")), "i").select("q", F.col("i").alias("id"), cosine_distance(F.col("v"), F.col("w")).alias("distance"))
@@ -155,19 +160,43 @@ def search(index: Index, store: DataFrame, queries: DataFrame, k: int = 10, prob
 
 
 def audit(index: Index, store: DataFrame, k: int = 10, target: float = 0.97, queries: int = 64, probes: int = 8, shortlist: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> tuple[int, int, float]:
-    """(probes, shortlist, recall): doubled until some rows of the store, by a hash of the id, find so many of their exact k nearest; with all cells and a long list the search is exact."""
+    """(probes, shortlist, recall) with which some rows of the store, by a hash of the id, find so many of their exact k nearest.
+
+    Probes are what their neighbours' cells ask for: half of what may be missed is left to them. The shortlist is
+    doubled then, and probes with it only once it has all that they reach; with all cells and a long list the search is exact.
+    """
     rows = store.where(usable(F.col(vector_col)))
-    asked = rows.orderBy(F.xxhash64(F.lit("audit"), F.col(id_col))).limit(queries)
+    asked = rows.orderBy(F.xxhash64(F.lit("audit"), F.col(id_col))).limit(queries).cache()
     exact = nearest_to_each(rows, asked, k, id_col, vector_col).cache()
     total = index.lists.count()
     try:
+        probes = min(len(index.cells), max(probes, _reached(index, asked, exact, (1 + target) / 2, id_col, vector_col)))
         while True:
             got = recall(search(index, store, asked, k, probes, shortlist, id_col=id_col, vector_col=vector_col), exact, k).agg(F.avg("recall")).first()[0]
             if got is None or got >= target or probes >= len(index.cells) and shortlist >= total:
                 return probes, shortlist, got if got is not None else 1.0
-            probes, shortlist = min(2 * probes, len(index.cells)), min(2 * shortlist, max(total, 1))
+            if shortlist >= total:
+                probes = min(2 * probes, len(index.cells))
+            shortlist = min(2 * shortlist, max(total, 1))
     finally:
         exact.unpersist()
+        asked.unpersist()
+
+
+def _reached(index: Index, asked: DataFrame, exact: DataFrame, share: float, id_col: str, vector_col: str) -> int:
+    """So many nearest cells of a query hold this share of the exact neighbours."""
+    held = asked.sparkSession.sparkContext.broadcast(index.cells)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half = (held.value * held.value).sum(1) / 2
+        for b in batches:
+            far = half - _unit(b.column("v")) @ held.value.T
+            own = far[np.arange(b.num_rows), b.column("cell").to_numpy()]
+            yield pa.RecordBatch.from_arrays([pa.array((far <= own[:, None]).sum(1).astype(np.int32))], ["place"])
+
+    pairs = exact.select("q", "id").join(asked.select(F.col(id_col).alias("q"), F.col(vector_col).alias("v")), "q")
+    found = index.lists.join(F.broadcast(pairs), F.col("i") == F.col("id")).select("v", "cell").mapInArrow(places, "place int")
+    return math.ceil(found.agg(F.percentile("place", share)).first()[0] or 1)  # of queries times k rows
 
 
 def recall(found: DataFrame, exact: DataFrame, k: int = 10) -> DataFrame:

@@ -1,0 +1,13 @@
+"""What a task holds or moves, at sizes that tests can make."""
+
+import numpy as np
+
+from lexspark.operators import ann
+
+
+def test_audit_raises_what_is_short_alone(spark, tmp_path):
+    x = np.random.default_rng(5).normal(size=(1_500, 12))
+    e = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    index = ann.build(e, f"{tmp_path}/lists", cells=30, subspaces=12)
+    probes, shortlist, got = ann.audit(index, e, target=0.9, queries=16, probes=1, shortlist=300)
+    assert got >= 0.9 and 1 < probes < 30 and shortlist == 300
