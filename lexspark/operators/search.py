@@ -8,6 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+PARTS = 16  # parts of a store at least, for as many tasks
+CELLS = 1 << 22  # distances that a worker holds at a time
+
+
+def at_a_time(n: int) -> int:
+    """So many queries are compared with n rows at once: a worker's distances stay within CELLS, whatever the sizes of blocks."""
+    return max(1, CELLS // max(1, n))
+
+
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
@@ -24,7 +33,7 @@ def nearest(store: DataFrame, query: list[float], k: int, where: Column | None =
     return rows.withColumn("distance", cosine_distance(F.col(vector_col), q)).where("distance is not null").orderBy("distance", id_col).limit(k)
 
 
-def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 16_384, part: int = 65_536) -> DataFrame:
+def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = 32_768, part: int = 131_072) -> DataFrame:
     """q, id, distance and place of the k nearest of every query, ties by id. Null and zero vectors are near nothing, and vectors of different lengths aren't near each other.
 
     Queries are dealt into blocks and the store into parts; each block meets each part in one task, which keeps k of each query.
@@ -35,7 +44,7 @@ def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str =
     whole = lambda v: v.isNotNull() & F.exists(v, lambda x: x != 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x))
     take = lambda df: df.select(F.col(id_col).alias("i"), F.col(vector_col).alias("v")).where(F.col("i").isNotNull() & F.coalesce(whole(F.col("v")), F.lit(False)))
     rows, asked = take(store), take(queries)
-    blocks, parts = max(1, -(-asked.count() // block)), max(1, -(-rows.count() // part))
+    blocks, parts = max(1, -(-asked.count() // block)), max(PARTS, -(-rows.count() // part))
     copies = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     dealt = lambda salt, n: F.pmod(F.xxhash64("i", F.lit(salt)), F.lit(n)).cast("int")
     dim = F.size("v").alias("d")
@@ -52,12 +61,13 @@ def nearest_to_each(store: DataFrame, queries: DataFrame, k: int, id_col: str =
             return pa.table({"q": pa.array([], pa.int64()), "id": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
         s = s.take(pa.array(np.argsort(s.column("i").to_numpy())))
         ids, x, y, out = s.column("i").to_numpy(), unit(s), unit(q), []
-        for n in range(0, len(y), 512):
-            d = 1 - y[n : n + 512] @ x.T
+        step = at_a_time(len(x))
+        for n in range(0, len(y), step):
+            d = 1 - y[n : n + step] @ x.T
             m = min(k, d.shape[1])
             edge = np.partition(d, m - 1, axis=1)[:, m - 1 : m]
             near, tied = d < edge, d == edge  # of ties at the edge the smallest ids stay
-            keep = near | (tied & (np.cumsum(tied, axis=1) <= m - near.sum(1, keepdims=True)))
+            keep = near | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= m - near.sum(1, keepdims=True)))
             r, c = np.nonzero(keep)
             out.append((q.column("i").to_numpy()[n + r], ids[c], d[r, c]))
         return pa.table({c: pa.array(np.concatenate(v)) for c, v in zip(("q", "id", "distance"), zip(*out))})

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from lexspark.operators import ann
+from lexspark.operators import ann, search
 
 
 def test_audit_raises_what_is_short_alone(spark, tmp_path):
@@ -11,3 +11,7 @@ def test_audit_raises_what_is_short_alone(spark, tmp_path):
     index = ann.build(e, f"{tmp_path}/lists", cells=30, subspaces=12)
     probes, shortlist, got = ann.audit(index, e, target=0.9, queries=16, probes=1, shortlist=300)
     assert got >= 0.9 and 1 < probes < 30 and shortlist == 300
+
+
+def test_distances_held_at_a_time_are_bounded():
+    assert all(search.at_a_time(n) * n * 8 <= 1 << 25 for n in (1, 1_000, 65_536, 131_072, 1 << 22))
