@@ -87,8 +87,11 @@ def changes(lines: DataFrame, docs: DataFrame, source: str = "law") -> DataFrame
     """
     rows = lines.where(F.trim("body") != "").withColumn("r", F.from_json("body", CHANGE)).withColumn("own", F.get_json_object("body", "$.payload"))
     rows = rows.select("line_no", F.try_parse_json("body").isNull().alias("bad"), F.coalesce("r.law_id", "r.doc_id").alias("law_id"), F.coalesce("r.op", F.lit("upsert")).alias("op"), "r.git_path", F.coalesce("r.source", F.lit(source)).alias("source"), "own")
-    read = docs.select(F.col("git_path").alias("__path"), F.col("value").alias("__value"))
-    rows = rows.join(read, (F.col("git_path") == F.col("__path")) & F.col("own").isNull() & (F.col("op") != "delete"), "left")
+    # changes that take nothing from docs have no path in common, so that they are spread by their lines
+    asks = F.col("git_path").isNotNull() & F.col("own").isNull() & (F.col("op") != "delete")
+    rows = rows.withColumn("__asks", asks).withColumn("__key", F.when(asks, F.col("git_path")).otherwise(F.col("line_no").cast("string")))
+    read = docs.select(F.col("git_path").alias("__path"), F.col("value").alias("__value"), F.lit(True).alias("__there"))
+    rows = rows.join(read, (F.col("__key") == F.col("__path")) & (F.col("__asks") == F.col("__there")), "left")
     payload = F.coalesce("own", "__value")
     target = F.get_json_object(payload, "$.doc_target")
     error = (F.when(F.col("bad"), "json_invalid").when((F.col("op") == "delete") & F.col("law_id").isNull(), "law_id_missing").when((F.col("op") != "delete") & payload.isNull(), F.when(F.col("git_path").isNull(), "payload_missing").otherwise("path_missing")))

@@ -1,8 +1,9 @@
 """What a task holds or moves, at sizes that tests can make."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from lexspark.operators import ann, search
+from lexspark.operators import ann, payloads, search
 
 
 def test_audit_raises_what_is_short_alone(spark, tmp_path):
@@ -15,3 +16,20 @@ def test_audit_raises_what_is_short_alone(spark, tmp_path):
 
 def test_distances_held_at_a_time_are_bounded():
     assert all(search.at_a_time(n) * n * 8 <= 1 << 25 for n in (1, 1_000, 65_536, 131_072, 1 << 22))
+
+
+def test_changes_without_path_do_not_meet_in_one_task(spark):
+    lines = spark.range(2_000).select(F.col("id").alias("line_no"), F.concat(F.lit('{"op":"upsert","law_id":"'), "id", F.lit('",'), F.when(F.col("id") % 10 == 0, F.concat(F.lit('"git_path":"p/'), F.col("id"), F.lit('"'))).otherwise('"payload":{"a":1}'), F.lit("}")).alias("body"))
+    docs = spark.range(0, 2_000, 20).select(F.concat(F.lit("p/"), F.col("id")).alias("git_path"), F.lit('{"b":2}').alias("value"))
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(held, ("-1", "false", "8")):
+            spark.conf.set(k, v)
+        c = payloads.changes(lines, docs)
+        sizes = [r["n"] for r in c.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()]
+        got = {r["line_no"]: (r["payload"], r["error"]) for r in c.collect()}
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert len(sizes) == 8 and max(sizes) < 600
+    assert got == {k: ('{"a":1}', None) if k % 10 else ('{"b":2}', None) if k % 20 == 0 else (None, "path_missing") for k in range(2_000)}
