@@ -179,17 +179,18 @@ def q96_ids_of_records(spark, sf_dir):
 @query("""WITH n AS (SELECT doc_id % 3 AS p, doc_id, row_number() OVER (PARTITION BY doc_id % 3 ORDER BY doc_id) AS k FROM documents)
 SELECT 'part' || p::VARCHAR AS package, k AS line_no, doc_id FROM n""")
 def q97_lines_numbered_in_splits(spark, sf_dir):
-    """Documents written as three package files that are read in many small splits: lines numbered by their splits' counts."""
+    """Documents written as three packages, of files in order, that are read in many small splits: lines numbered by their splits' counts."""
     from lexspark.functions.scratch import folder
 
     at = folder(spark, "numbered")
     d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("part"), (F.col("doc_id") % 3).cast("string")).alias("package"), F.to_json(F.struct("doc_id", "text")).alias("value"))
-    d.repartition("package").sortWithinPartitions("package", "doc_id").select("package", "value").write.partitionBy("package").text(at)
+    # ranges of documents: no task holds a whole package, and the names of its files are in the order of its lines
+    d.repartitionByRange("package", "doc_id").sortWithinPartitions("package", "doc_id").select("package", "value").write.partitionBy("package").text(at)
     held = spark.conf.get("spark.sql.files.maxPartitionBytes")
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
         lines = spark.read.text(at, recursiveFileLookup=True)
-        lines = lines.select(F.regexp_extract("_metadata.file_path", "package=([^/]+)", 1).alias("package"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("body"))
+        lines = lines.select(F.regexp_extract("_metadata.file_path", "package=([^/]+)", 1).alias("package"), src.place().alias("block"), F.monotonically_increasing_id().alias("row"), F.col("value").alias("body"))
         found = src.number_lines(lines).select("package", "line_no", F.get_json_object("body", "$.doc_id").cast("long").alias("doc_id"))
         found.write.parquet(f"{at}-numbers")  # while the setting holds
     finally:

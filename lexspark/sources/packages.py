@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RECORD = "record_type string, package_id string, source string, law_id string, doc_id string, op string, version_uid string, record_count long, file_id string, chunk_index int, content string, old_name string, new_name string, doc_target string, sha256 string, content_b64 string, reason string, payload string"
@@ -45,11 +45,17 @@ def number_lines(lines: DataFrame) -> DataFrame:
         rows["base"] = rows["n"].cumsum() - rows["n"]
         return rows[["package", "block", "first", "base"]]
 
-    bases = splits.groupBy("package").applyInPandas(before, "package string, block long, first long, base long")
+    kind = lines.schema["block"].dataType.simpleString()
+    bases = splits.groupBy("package").applyInPandas(before, f"package string, block {kind}, first long, base long")
     met = lines.join(bases, ["package", "block"])
     return met.select("package", (F.col("base") + F.col("row") - F.col("first") + 1).alias("line_no"), "body")
 
 
+def place() -> Column:
+    """A split's block in a package of several files, whose names are in the order of its lines."""
+    return F.concat_ws("/", "_metadata.file_name", F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0"))
+
+
 def read_lines(spark: SparkSession, paths: str | list[str], glob: str = "*.jsonl") -> DataFrame:
     """package (name of the file), line_no and body of all lines of the files at or below the paths, blank ones too."""
     lines = spark.read.text(paths, recursiveFileLookup=True, pathGlobFilter=glob)

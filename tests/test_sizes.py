@@ -33,3 +33,19 @@ def test_changes_without_path_do_not_meet_in_one_task(spark):
             spark.conf.set(k, v)
     assert len(sizes) == 8 and max(sizes) < 600
     assert got == {k: ('{"a":1}', None) if k % 10 else ('{"b":2}', None) if k % 20 == 0 else (None, "path_missing") for k in range(2_000)}
+
+
+def test_no_task_holds_a_whole_package(spark, tmp_path, monkeypatch):
+    from lexspark.plans import tables
+
+    n = 4_000
+    spark.range(n).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 300).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr("lexspark.functions.scratch.folder", lambda spark, name: f"{tmp_path}/{name}")
+    held = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = tables.q97_lines_numbered_in_splits(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", held)
+    assert sorted((r["package"], r["line_no"], r["doc_id"]) for r in got) == sorted((f"part{k % 3}", k // 3 + 1, k) for k in range(n))
+    assert len(list((tmp_path / "numbered").glob("package=part1/*.txt"))) > 1
