@@ -60,13 +60,13 @@ def materialize(df: DataFrame, name: str, compression: str = "zstd", path: str |
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def for_join(df: DataFrame, n: int, small: bool = False) -> DataFrame:
+def for_join(df: DataFrame, n: int) -> DataFrame:
     """df as one side of a join of n rows (an upper bound of those that Spark might broadcast): beyond BROADCAST_ROWS both sides are shuffled.
 
     Spark broadcasts by the size of files or shuffle blocks, which are compressed, and takes an exploded row for one row:
-    what it calls 10 MB may not fit into the driver. small: df itself has n rows, and few of them are broadcast.
+    what it calls 10 MB may not fit into the driver.
     """
-    return df.hint("merge") if n > BROADCAST_ROWS else F.broadcast(df) if small else df
+    return df.hint("merge") if n > BROADCAST_ROWS else df
 
 
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:

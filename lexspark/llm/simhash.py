@@ -108,11 +108,11 @@ def _met(rows: DataFrame, keys: list[str], tau: int, name: str) -> DataFrame:
     """rows (fp, guest and keys of a file) with the file's smallest member (lead), its number of members and `near`: within tau of the lead.
 
     Guests aren't members. A file of one member is settled by its lead; of fuller ones all rows stay. The files are
-    written before they are joined, so that Spark may split one that many rows ask for.
+    written before they are joined, so that Spark may split one that many rows ask for; exploded rows are shuffled, as they come from few tasks.
     """
     files = materialize(rows.where("not guest").groupBy(*keys).agg(F.min("fp").alias("lead"), F.count("*").alias("n")), f"{name}-files")
     near = _distance("fp", "lead") <= tau
-    return materialize(rows.join(for_join(files, files.count(), small=True), keys).where((F.col("fp") != F.col("lead")) & (near | (F.col("n") > 1))).withColumn("near", near), name)
+    return materialize(rows.join(files.hint("merge"), keys).where((F.col("fp") != F.col("lead")) & (near | (F.col("n") > 1))).withColumn("near", near), name)
 
 
 def _pairs(met: DataFrame, keys: list[str], segs: list[tuple[int, int]], tau: int, n: int) -> DataFrame:
