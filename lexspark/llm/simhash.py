@@ -218,11 +218,11 @@ def keep_one(docs: DataFrame, tau: int = 4, width: int = 4, id_col: str = "doc_i
     kept = materialize(kept.select(F.col("k.f.i").alias(k_id), F.col("k.f.r").alias(k_row), F.col("k.n").alias(k_n)), "kept")
     marked = docs.withColumn(row, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     mine = F.col(id_col).cast("long").eqNullSafe(F.col(k_id)) & (F.col(row) == F.col(k_row))
-    out = marked.join(kept.where(F.col(k_n) == 1), mine, "left_semi").drop(row)
+    out = marked.join(for_join(kept.where(F.col(k_n) == 1), kept.count()), mine, "left_semi").drop(row)
     again = kept.where(F.col(k_n) > 1)
     if again.isEmpty():
         return out
-    return out.unionByName(marked.join(again, mine, "left_semi").dropDuplicates([id_col, row]).drop(row))
+    return out.unionByName(marked.join(for_join(again, again.count()), mine, "left_semi").dropDuplicates([id_col, row]).drop(row))
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
