@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import compact_name, strip, text_or_null
+from lexspark.functions.text import compact_name, let, strip, text_or_null
 
 # fixed value: the name space of URL-based UUIDs
 URL_SPACE = "6ba7b8119dad11d180b400c04fd430c8"
@@ -80,9 +80,9 @@ def domain(doc_target: Column, source: Column) -> Column:
 
 def route(doc_target: Column, law_id: Column, default: Column) -> Column:
     """The collection that a record goes to: by its document's target, else by its law's id, else where its package came from."""
-    target = F.trim(F.coalesce(doc_target, F.lit("")))
-    return (F.when(target.isin("school", "pi", "public"), "schlpub").when(target.isin("eflaw", "law", "법령"), "law").when(target == "admrul", "admrul")
-            .when(F.rlike(F.coalesce(law_id, F.lit("")), F.lit("^(school|pi|public):")), "schlpub").otherwise(default))
+    own = lambda t: (F.when(t.isin("school", "pi", "public"), "schlpub").when(t.isin("eflaw", "law", "법령"), "law").when(t == "admrul", "admrul")
+                     .when(F.rlike(F.coalesce(law_id, F.lit("")), F.lit("^(school|pi|public):")), "schlpub").otherwise(default))
+    return let(F.trim(F.coalesce(doc_target, F.lit(""))), own)
 
 
 def document_base(prefix: Column, name: Column, law_id: Column) -> Column:

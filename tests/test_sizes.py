@@ -49,3 +49,36 @@ def test_no_task_holds_a_whole_package(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.adaptive.enabled", held)
     assert sorted((r["package"], r["line_no"], r["doc_id"]) for r in got) == sorted((f"part{k % 3}", k // 3 + 1, k) for k in range(n))
     assert len(list((tmp_path / "numbered").glob("package=part1/*.txt"))) > 1
+
+
+def test_consumer_parses_each_line_once(spark, tmp_path, monkeypatch):
+    from lexspark.sources import packages as src
+    from lexspark.streaming import consumer
+
+    n, seen, parse = 40, spark.sparkContext.accumulator(0), src.parse_records
+
+    def counted(lines):
+        def pass_on(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return parse(lines.mapInArrow(pass_on, lines.schema))
+
+    lines = ['{"record_type": "package_header", "package_id": "p", "source": "admrul"}']
+    lines += [f'{{"record_type": "document", "law_id": "L{k}", "payload": {{"law_id": "L{k}", "v": "{k}:20240101"{", " + chr(34) + "doc_target" + chr(34) + ": " + chr(34) + "eflaw" + chr(34) if k % 2 else ""}}}}}' for k in range(n)]
+    lines += [f'{{"record_type": "package_footer", "package_id": "p", "record_count": {n}}}']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "p.jsonl").write_text("\n".join(lines) + "\n")
+    monkeypatch.setattr(src, "parse_records", counted)
+
+    def to_rows(folded):
+        found = folded.select("domain", "law_id", F.get_json_object("document", "$.v").alias("version_uid"))
+        return found.select("*", F.lit("1").alias("mst"), F.lit("JSON").alias("source_type"), F.lit("c").alias("content"), F.col("law_id").alias("chunk_id"), F.col("law_id").alias("uuid"))
+
+    consumer.consume(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/ck", to_rows)
+    from lexspark.operators import store
+
+    got = {r["law_id"]: r["domain"] for r in store.current(spark, f"{tmp_path}/t").collect()}
+    assert got == {f"L{k}": "law" if k % 2 else "admrul" for k in range(n)}
+    assert seen.value == n + 2
