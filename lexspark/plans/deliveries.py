@@ -268,7 +268,7 @@ def q102_states_in_the_stream(spark, sf_dir):
     spark.conf.set(name, states.STORE)
     try:
         for k in range(3):  # the runs come one after the other, each to a stream that is started anew
-            e.where(F.col("run") == k).coalesce(1).write.mode("append").parquet(f"{at}/in")
+            e.where(F.col("run") == k).write.mode("append").parquet(f"{at}/in")
             stream = states.delivery_states(spark.readStream.schema(states.EVENTS).parquet(f"{at}/in"))
             stream.writeStream.foreachBatch(lambda df, n: df.write.mode("append").parquet(f"{at}/out")).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:

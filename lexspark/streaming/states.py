@@ -7,6 +7,7 @@ file of former states is read again. Timers tell manifests that don't come.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,6 +20,7 @@ EVENTS = "queue string, run long, at timestamp, zip string, sha256 string, manif
 STATES = "queue string, run long, zip string, state string, reason string, attempt int"
 WAITING, OVERDUE = "pending_manifest", "manifest_overdue"
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PIECE = 65_536
 
 
 def end_of(r, done: bool, first: bool) -> tuple[str, str | None]:
@@ -50,42 +52,58 @@ class Deliveries(StatefulProcessor):
         self.waits = handle.getMapState("waits", "zip string", "until long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        given = pd.concat(list(rows)).astype(object)
-        for run, part in given.sort_values(["run", "zip"], kind="stable").groupby("run"):
-            yield pd.DataFrame(list(self._run(key[0], int(run), part)), columns=["queue", "run", "zip", "state", "reason", "attempt"])
+        """Calls to the store cost far more than a row's rules: open deliveries (tried or waiting) are read once for a batch, each digest is asked for once."""
+        given = pd.concat([b.drop(columns="queue") for b in rows]).sort_values(["run", "zip"], kind="stable")
+        self.tried = {name: n for (name,), (n,) in self.tries.iterator()}
+        self.waiting = {name for (name,) in self.waits.keys()}
+        self.known: dict[str, bool] = {}
+        for run, part in given.groupby("run"):
+            told = self._run(key[0], int(run), part)
+            while some := list(islice(told, PIECE)):
+                yield pd.DataFrame(some, columns=["queue", "run", "zip", "state", "reason", "attempt"])
+
+    def _done(self, sha: str) -> bool:
+        if sha not in self.known:
+            self.known[sha] = self.done.containsKey((sha,))
+        return self.known[sha]
 
     def _run(self, queue: str, run: int, part: pd.DataFrame) -> Iterator[tuple]:
         first: dict[str, str] = {}
+        for sha, name in zip(part["sha256"], part["zip"]):
+            first.setdefault(sha, name)
+        blocked, finished = False, {}
         for r in part.itertuples():
-            first.setdefault(r.sha256, r.zip)
-        blocked, finished = False, []
-        for r in part.itertuples():
-            n = self.tries.getValue((r.zip,))[0] if self.tries.containsKey((r.zip,)) else 0
+            n = self.tried.get(r.zip, 0)
             if r.manifest is False:
                 until = int(pd.Timestamp(r.at).timestamp() * 1000) + self.wait_ms
-                if not self.waits.containsKey((r.zip,)):
+                if r.zip not in self.waiting:
+                    self.waiting.add(r.zip)
                     self.waits.updateValue((r.zip,), (until,))
                     self.handle.registerTimer(until)
                 yield queue, run, r.zip, WAITING, None, n
                 continue
-            if self.waits.containsKey((r.zip,)):
+            if r.zip in self.waiting:
+                self.waiting.remove(r.zip)
                 self.waits.removeKey((r.zip,))
             if blocked:
                 yield queue, run, r.zip, BLOCKED, None, n
                 continue
-            state, reason = end_of(r, self.done.containsKey((r.sha256,)), first[r.sha256] == r.zip)
+            state, reason = end_of(r, self._done(r.sha256), first[r.sha256] == r.zip)
             n += state == LOADING
             if state == LOADING and n >= self.most_attempts:
                 state, reason = FAILED, "attempts_exhausted"
             blocked = state == LOADING
             if blocked:
+                self.tried[r.zip] = int(n)
                 self.tries.updateValue((r.zip,), (int(n),))
-            elif self.tries.containsKey((r.zip,)):
+            elif r.zip in self.tried:
+                del self.tried[r.zip]
                 self.tries.removeKey((r.zip,))
             if state in (DONE, PARTIAL):
-                finished.append((r.sha256, r.zip))
+                finished[r.sha256] = r.zip
             yield queue, run, r.zip, state, reason, int(n)
-        for sha, name in finished:  # a run sees what earlier ones did
+        for sha, name in finished.items():  # a run sees what earlier ones did
+            self.known[sha] = True
             self.done.updateValue((sha,), (name,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:

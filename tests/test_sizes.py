@@ -82,3 +82,38 @@ def test_consumer_parses_each_line_once(spark, tmp_path, monkeypatch):
     got = {r["law_id"]: r["domain"] for r in store.current(spark, f"{tmp_path}/t").collect()}
     assert got == {f"L{k}": "law" if k % 2 else "admrul" for k in range(n)}
     assert seen.value == n + 2
+
+
+def test_calls_to_the_state_store_do_not_grow_with_repeats():
+    import pandas as pd
+
+    from lexspark.streaming import states
+
+    class Held(dict):
+        calls = 0
+
+        def _count(f):
+            def counted(self, *args):
+                Held.calls += 1
+                return f(self, *args)
+
+            return counted
+
+        containsKey, getValue = _count(lambda self, k: k in self), _count(lambda self, k: self[k])
+        updateValue, removeKey = _count(dict.__setitem__), _count(dict.pop)
+        keys, iterator = _count(dict.keys), _count(dict.items)
+
+    class Handle:
+        def getMapState(self, *args):
+            return Held()
+
+    rows = pd.DataFrame([("q", run, pd.Timestamp(2024, 1, run), f"z{k:05d}", str(k % 7), True, "bad" if k % 7 == 3 else None, 1, k % 7 % 2, 0, False, False) for run in (1, 2) for k in range(run, 4_000, 2)],
+                        columns=[c.split()[0] for c in states.EVENTS.split(", ")])
+    d = states.Deliveries(1_000, 3)
+    d.init(Handle())
+    got = pd.concat(d.handleInputRows(("q",), iter([rows[3_000:], rows[:3_000]]), None))
+    firsts = {(1, f"z{k:05d}") for k in range(1, 15, 2)}
+    want = {(r.run, r.zip): "failed" if r.sha256 == "3" and ((r.run, r.zip) in firsts or (r.run, r.zip) == (2, "z00010")) else "duplicate" if (r.run, r.zip) not in firsts else "partial" if r.rejected else "done" for r in rows.itertuples()}
+    assert {(r.run, r.zip): r.state for r in got.itertuples()} == want
+    assert list(got["zip"]) == sorted(got["zip"][:2_000]) + sorted(got["zip"][2_000:])
+    assert Held.calls < 40
