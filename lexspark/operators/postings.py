@@ -32,14 +32,17 @@ def build(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     stats.write.mode("overwrite").parquet(f"{path}/stats")
     spark = docs.sparkSession
     counts, mean = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/stats").first()["mean"] or 1.0
-    # a word of a third of all documents is cut by ranges of documents first: its blocks are made in many tasks
-    sizes = counts.groupBy("word").agg(F.count("*").alias("df"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
-    cut = counts.join(sizes, "word").withColumn("cut", F.when(F.col("df") <= 64 * block, 0).otherwise(F.floor((F.col("doc") - F.col("lo")) / F.greatest(F.lit(1), F.floor((F.col("hi") - F.col("lo")) * (32.0 * block) / F.col("df"))))))
+    # a word of a third of all documents is cut by ranges of documents first: its blocks are made in many tasks. Such words are few
+    # (one for each 64 blocks of postings at most), so that postings stay where they are until they are dealt by word and range
+    sizes = counts.groupBy("word").agg(F.count("*").alias("df"), F.min("doc").alias("lo"), F.max("doc").alias("hi")).where(F.col("df") > 64 * block)
+    range_ = F.floor((F.col("doc") - F.col("lo")) / F.greatest(F.lit(1), F.floor((F.col("hi") - F.col("lo")) * (32.0 * block) / F.col("df"))))
+    cut = counts.join(F.broadcast(sizes), "word", "left").withColumn("cut", F.coalesce(range_, F.lit(0)))
     place = Window.partitionBy("word", "cut").orderBy("doc")
     dealt = cut.withColumn("n", F.floor((F.row_number().over(place) - 1) / block))
     made = dealt.groupBy("word", "cut", "n").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.max(_part(F.col("tf"), F.col("len"), mean, k1, b)).alias("best"), F.count("*").alias("size"), F.array_sort(F.collect_list(F.struct("doc", "tf", "len"))).alias("postings"))
     made = made.select("word", F.concat_ws("-", "cut", "n").alias("block"), "first", "last", "best", "size", "postings")
-    made.repartitionByRange("word", "first").sortWithinPartitions("word", "first").write.mode("overwrite").parquet(f"{path}/blocks")
+    made.write.mode("overwrite").parquet(f"{path}/made")  # ranges are sampled from here: blocks are made once
+    spark.read.parquet(f"{path}/made").repartitionByRange("word", "first").sortWithinPartitions("word", "first").write.mode("overwrite").parquet(f"{path}/blocks")
     spark.read.parquet(f"{path}/blocks").drop("postings").repartitionByRange("word", "first").sortWithinPartitions("word", "first").write.mode("overwrite").parquet(f"{path}/heads")
 
 

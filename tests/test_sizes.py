@@ -117,3 +117,15 @@ def test_calls_to_the_state_store_do_not_grow_with_repeats():
     assert {(r.run, r.zip): r.state for r in got.itertuples()} == want
     assert list(got["zip"]) == sorted(got["zip"][:2_000]) + sorted(got["zip"][2_000:])
     assert Held.calls < 40
+
+
+def test_posting_blocks_are_made_once(spark, tmp_path):
+    from lexspark.operators import postings
+
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("often w"), F.col("id")).alias("text"))
+    postings.build(docs, f"{tmp_path}/p", block=2)
+    rows = lambda name: sorted(map(tuple, spark.read.parquet(f"{tmp_path}/p/{name}").select("word", "block", "first", "last", "size").collect()))
+    assert rows("made") == rows("blocks") == rows("heads")
+    often = [r for r in rows("blocks") if r[0] == "often"]
+    assert sum(r[4] for r in often) == 300 and len({r[1].split("-")[0] for r in often}) > 1
+    assert all(r[1] == "0-0" and r[4] == 1 for r in rows("blocks") if r[0] != "often") and len(rows("blocks")) == 300 + len(often)
