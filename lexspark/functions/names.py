@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexspark.functions.text import compact, normalize, strip
+from lexspark.functions.text import compact, let, normalize, strip
 
 # fixed values: the portal's address, categories of its links, folders of appendix kinds, formats in order of preference
 PORTAL = "https://www.law.go.kr"
@@ -24,37 +24,54 @@ def or_unnamed(c: Column) -> Column:
     return F.when(c == "", UNNAMED).otherwise(c)
 
 
+def _element(c: Column) -> Column:
+    """path_element of what is stripped already."""
+    return let(F.regexp_replace(c, r'[\\/:*?"<>|\n\t]', "_"), or_unnamed)
+
+
 def path_element(c: Column) -> Column:
     """A name with signs that paths can't hold replaced; never empty."""
-    return or_unnamed(F.regexp_replace(strip(_empty(c)), r'[\\/:*?"<>|\n\t]', "_"))
+    return _element(strip(_empty(c)))
+
+
+def _kind(n: Column) -> Column:
+    """kind_of a stripped name."""
+    return F.when(F.endswith(n, F.lit("시행규칙")), "시행규칙").when(F.endswith(n, F.lit("시행령")), "시행령").otherwise("법률")
 
 
 def kind_of(name: Column) -> Column:
     """The folder of a statute's rank: decrees and rules by the end of their names."""
-    n = strip(_empty(name))
-    return F.when(F.endswith(n, F.lit("시행규칙")), "시행규칙").when(F.endswith(n, F.lit("시행령")), "시행령").otherwise("법률")
+    return let(strip(_empty(name)), _kind)
+
+
+def _family(n: Column) -> Column:
+    """family of a stripped name."""
+    return F.when(F.endswith(n, F.lit("시행규칙")) | F.endswith(n, F.lit("시행령")), strip(F.regexp_replace(n, "(시행규칙|시행령)$", ""))).otherwise(n)
 
 
 def family(name: Column) -> Column:
     """The statute that a decree or rule belongs to."""
-    return strip(F.regexp_replace(strip(_empty(name)), "(시행규칙|시행령)$", ""))
+    return let(strip(_empty(name)), _family)
+
+
+def _path(alone: Column, n: Column) -> Column:
+    """Where a document of a stripped name lies: in a folder of its own name, or by family and kind; null without a name."""
+    folder = F.concat(_element(_family(n)), F.lit("/"), _kind(n))
+    return F.when(n != "", let(_element(n), lambda own: F.concat(F.when(alone, own).otherwise(folder), F.lit("/"), own, F.lit(".json"))))
 
 
 def git_path(doc_target: Column, name: Column, given: Column | None = None) -> Column:
     """Where a document lies in its repository: as given, else by family and kind, or in a folder of its own name for other targets."""
-    own = path_element(name)
-    made = F.when(doc_target.isin("admrul", "school", "pi", "public", "schlpub", "SchlPubRul"), F.concat(own, F.lit("/"), own, F.lit(".json"))).otherwise(
-        F.concat(path_element(family(name)), F.lit("/"), kind_of(name), F.lit("/"), own, F.lit(".json")))
-    made = F.when(F.nullif(strip(_empty(name)), F.lit("")).isNotNull(), made)
+    alone = doc_target.isin("admrul", "school", "pi", "public", "schlpub", "SchlPubRul")
+    made = let(strip(_empty(name)), lambda n: _path(alone, n))
     return made if given is None else F.coalesce(F.nullif(strip(given), F.lit("")), made)
 
 
 def predicted_path(prefix: Column, name: Column) -> Column:
     """struct of repo and path where a reference's target should lie; null for targets without a repository. A guess: nothing looks whether it is there."""
-    n = normalize(name)
     repo = F.when(prefix == "law", "LAW").when(prefix == "admrul", "ADMRUL").when(prefix == "SchlPubRul", "SCHLPUBRUL")
-    at = git_path(F.when(prefix != "law", "admrul"), n)
-    return F.when(repo.isNotNull() & (n != ""), F.struct(repo.alias("repo"), at.alias("path")))
+    made = lambda n: F.when(n != "", F.struct(repo.alias("repo"), _path(prefix != "law", n).alias("path")))
+    return F.when(repo.isNotNull(), let(normalize(name), made, "struct<repo: string, path: string>"))
 
 
 def file_type(kind: Column, name: Column) -> Column:

@@ -150,9 +150,13 @@ def appendix_unit(kind: Column, no: Column, branch: Column, title: Column | None
 def unit_of(label: Column) -> Column:
     """The code of an article's or an appendix's label; DOC for the document itself."""
 
+    def behind(s: Column) -> Column:
+        """An article's second number and branch; most have neither."""
+        more = lambda k, sign: let(F.regexp_extract(s, ARTICLE, k), lambda n: F.when(n != "", F.concat(F.lit(sign), _zfill(n, 2))).otherwise(""))
+        return F.when(F.endswith(s, F.lit("조")) & ~F.contains(s, F.lit("-")), "").otherwise(F.concat(more(2, "-"), more(3, "_")))
+
     def article(s: Column) -> Column:
-        g = lambda k: F.regexp_extract(s, ARTICLE, k)
-        return F.concat(F.lit("JO"), _zfill(g(1), 4), F.when(g(2) != "", F.concat(F.lit("-"), _zfill(g(2), 2))).otherwise(""), F.when(g(3) != "", F.concat(F.lit("_"), _zfill(g(3), 2))).otherwise(""))
+        return F.concat(F.lit("JO"), let(F.regexp_extract(s, ARTICLE, 1), lambda n: _zfill(n, 4)), behind(s))
 
     def part(x: Column) -> Column:
         return F.concat(_pre(x["kind"]), _zfill(x["no"], 4), F.when(x["branch"] != "", F.concat(F.lit("_"), _zfill(x["branch"], 2))).otherwise(""))
@@ -160,7 +164,7 @@ def unit_of(label: Column) -> Column:
     sub = lambda s: let(_label(s, "^" + SUBLABEL, True), lambda x: F.concat(part(x), F.lit("-"), x["sub"]))
     letters = let(appendix_label(label), lambda x: F.when(x.isNotNull() & ~_digits(_number(x["no"])), _code_of(x)))
     other = lambda s: F.coalesce(sub(s), let(_label(s, COMPACT_APPENDIX), part), letters, F.lit("DOC"))
-    return let(compact(label), lambda c: F.when(F.rlike(c, F.lit(ARTICLE)), article(c)).otherwise(let(uncircled(c), other)))
+    return let(compact(label), lambda c: F.when(c == "", "DOC").when(F.rlike(c, F.lit(ARTICLE)), article(c)).otherwise(let(uncircled(c), other)))
 
 
 def article_place(label: Column) -> Column:
@@ -170,6 +174,11 @@ def article_place(label: Column) -> Column:
     return F.when(F.rlike(F.coalesce(label, F.lit("")), F.lit(pattern)), F.struct(g(1).alias("no"), (g(2) * 10_000 + g(3)).alias("branch"))).otherwise(F.struct(F.lit(10**9).cast("long").alias("no"), F.lit(0).cast("long").alias("branch")))
 
 
+def _again(c: Column) -> Column:
+    """compact of what is compact already: only entities that resolving has brought to light can change it."""
+    return F.when(F.contains(c, F.lit("&")), compact(c)).otherwise(c)
+
+
 def is_ordinance(name: Column) -> Column:
     return F.endswith(compact(name), F.lit("조례"))
 
@@ -181,21 +190,30 @@ def prefix_of(target: Column, fallback: str = "law") -> Column:
             .when(raw.isin("ordin", "ordinance", "자치법규", "조례"), "ordin").when(raw.isin("admrul", "행정규칙"), "admrul").otherwise(raw))
 
 
-def category_prefix(category: Column) -> Column:
-    """The same of a reference's category; statutes where it says nothing."""
-    c = compact(category)
+def _category_prefix(c: Column) -> Column:
+    """category_prefix of what is compact already."""
     return (F.when(c.isin("행정규칙", "admrul"), "admrul").when(c.isin("학칙공단", "학칙", "공단정관", "공공기관", "school", "pi", "public", "SchlPubRul"), "SchlPubRul")
             .when(c.isin("자치법규", "조례", "ordin", "ordinance"), "ordin").otherwise("law"))
 
 
-def target_prefix(r: Column, own: Column, own_name: Column) -> Column:
-    """The axis of a reference's target. A category that is certain beats the target's name."""
-    kind, name, category, delegated = r["relation_type"], compact(r["target_law_name"]), compact(r["target_category"]), F.coalesce(r["delegation_type"], F.lit(""))
-    certain = category.isin("법령", "행정규칙", "자치법규")
-    by_name = F.when(certain, category_prefix(category)).when(is_ordinance(name), "ordin").otherwise(category_prefix(category))
-    handed = (F.when(certain & (category != "자치법규") & (delegated == ""), category_prefix(category)).when(is_ordinance(name) & ~certain, "ordin")
-              .when(delegated == "위임행정규칙", "admrul").when(delegated == "위임자치법규", "ordin").when(delegated == "위임학칙공단", "SchlPubRul").otherwise("law"))
-    return F.when(kind == "internal_ref", own).when(kind == "appendix_ref", F.when(name == own_name, own).otherwise(by_name)).when(kind == "delegation", handed).when(kind == "citation", by_name).otherwise("law")
+def category_prefix(category: Column) -> Column:
+    """The same of a reference's category; statutes where it says nothing."""
+    return let(compact(category), _category_prefix)
+
+
+def target_prefix(r: Column, name: Column, own: Column, own_name: Column) -> Column:
+    """The axis of a reference's target, whose compact name is given. A category that is certain beats the target's name."""
+    kind, delegated = r["relation_type"], F.coalesce(r["delegation_type"], F.lit(""))
+
+    def axis(category: Column) -> Column:
+        certain = category.isin("법령", "행정규칙", "자치법규")
+        by_category, ordinance = let(_again(category), _category_prefix), F.endswith(_again(name), F.lit("조례"))
+        by_name = F.when(certain, by_category).when(ordinance, "ordin").otherwise(by_category)
+        handed = (F.when(certain & (category != "자치법규") & (delegated == ""), by_category).when(ordinance & ~certain, "ordin")
+                  .when(delegated == "위임행정규칙", "admrul").when(delegated == "위임자치법규", "ordin").when(delegated == "위임학칙공단", "SchlPubRul").otherwise("law"))
+        return F.when(kind == "delegation", handed).otherwise(by_name)
+
+    return F.when((kind == "internal_ref") | ((kind == "appendix_ref") & (name == own_name)), own).when(kind.isin("appendix_ref", "delegation", "citation"), let(compact(r["target_category"]), axis)).otherwise("law")
 
 
 def own_appendix(unit: Column, owned: Column) -> Column:
@@ -234,28 +252,29 @@ def identify(docs: DataFrame) -> DataFrame:
     docs = docs.withColumns({"__head": head, "__prefix": prefix, "__name": name, "__owned": F.transform(apx, lambda a: appendix_unit(a["kind"], a["no"], a["branch"], a["title"], file_name(a))), "__units": F.transform("articles", lambda a: unit_of(a["article_no"]))})
 
     def references(relations: Column, source: Column) -> Column:
-        """The relations with their targets' ids, in steps: the target's name and axis, its unit, the id."""
+        """The relations with their targets' ids: first the target's name, axis and unit, then the fields made of them. Relations are copied once."""
         own_name, axis_here = F.col("__name"), F.col("__prefix")
-        named = F.transform(relations, lambda r: F.struct(r.alias("r"), compact(r["target_law_name"]).alias("target"), target_prefix(r, axis_here, own_name).alias("axis")))
 
-        def unit(x: Column) -> Column:
-            r, given = x["r"], F.nullif(x["r"]["target_unit"], F.lit(""))
+        def unit(r: Column, target: Column) -> Column:
+            given = F.nullif(r["target_unit"], F.lit(""))
             kind = F.coalesce(F.nullif(r["appendix_kind"], F.lit("")), r["target_category"])
             sheet = F.coalesce(given, appendix_unit(kind, r["appendix_no"], r["appendix_branch"], r["target_article_no"], r["link_text"]))
-            of = lambda u: F.when(x["target"] == own_name, own_appendix(u, F.col("__owned"))).otherwise(u)
+            of = lambda u: F.when(target == own_name, own_appendix(u, F.col("__owned"))).otherwise(u)
             return F.when(r["relation_type"] == "appendix_ref", let(sheet, of)).otherwise(F.coalesce(given, unit_of(r["target_article_no"])))
 
-        placed = F.transform(named, lambda x: F.struct(x["r"].alias("r"), x["target"].alias("target"), x["axis"].alias("axis"), unit(x).alias("unit")))
+        def told(r: Column) -> Column:
+            facts = lambda target: F.struct(target.alias("target"), target_prefix(r, target, axis_here, own_name).alias("axis"), unit(r, target).alias("unit"))
+            return let(compact(r["target_law_name"]), facts, "struct<target: string, axis: string, unit: string>")
 
-        def filled(x: Column) -> Column:
-            r, target, axis = x["r"], x["target"], x["axis"]
+        def filled(r: Column, x: Column) -> Column:
+            target, axis = x["target"], x["axis"]
             unsure = F.coalesce(r["appendix_ambiguous"], F.lit(False))
             at = F.when((target == own_name) & (axis == axis_here), F.concat("__head", F.lit("#"), x["unit"])).otherwise(F.concat(axis, F.lit(":"), target, F.lit("#"), x["unit"]))
             return r.withField("source_provision_id", source).withField("target_unit", F.when(unsure, r["target_unit"]).otherwise(x["unit"])).withField(
                 "reference_id", F.when(unsure, "").when(target == "", F.coalesce(r["reference_id"], F.lit(""))).otherwise(at)).withField(
                 "target_path", F.when(~unsure & (target != ""), names.predicted_path(axis, r["target_law_name"])))
 
-        return F.transform(placed, filled)
+        return F.zip_with(relations, F.transform(relations, told), filled)
 
     def article(a: Column, i: Column) -> Column:
         at = F.concat("__head", F.lit("#"), F.get("__units", i))

@@ -91,14 +91,17 @@ SELECT l_orderkey, i::INTEGER AS i, 'law:문서' || l_orderkey::VARCHAR || '#JO'
  CASE WHEN l_linenumber % 4 = 1 THEN '고시 ' || l_partkey::VARCHAR || '/고시 ' || l_partkey::VARCHAR || '.json' WHEN l_linenumber % 4 = 3 THEN '법 ' || l_partkey::VARCHAR || '/법률/법 ' || l_partkey::VARCHAR || '.json' WHEN l_linenumber % 4 = 0 THEN '문서 ' || l_orderkey::VARCHAR || '/법률/문서 ' || l_orderkey::VARCHAR || '.json' END AS path FROM n""")
 def q81_reference_ids(spark, sf_dir):
     """Lines of an order as its articles, each with one reference: inside, to rules, to ordinances, to another law's appendix."""
-    k = F.col("l_linenumber") % 4
     no = lambda c: F.lit(c).cast("string")
-    given = {"relation_type": F.when(k == 0, "internal_ref").when(k == 3, "appendix_ref").otherwise("citation"), "target_law_name": F.when(k == 0, F.concat(F.lit("문서 "), text("l_orderkey"))).when(k == 1, F.concat(F.lit("고시 "), text("l_partkey"))).when(k == 2, F.concat(F.lit("시 "), text("l_suppkey"), F.lit(" 조례"))).otherwise(F.concat(F.lit("법 "), text("l_partkey"))),
-             "target_category": F.when(k == 1, "행정규칙"), "target_article_no": F.when(k == 0, "제1조").when(k == 1, "제2조의3"), "appendix_kind": F.when(k == 3, "별표"), "appendix_no": F.when(k == 3, "7"), "appendix_ambiguous": F.lit(False)}
-    relation = F.struct(*[given.get(c, no(None)).alias(c) for c in identifiers.RELATION])
-    entry = F.struct("l_linenumber", "l_partkey", "l_suppkey", relation.alias("r"))
-    docs = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("e"))
-    articles = F.transform("e", lambda x, i: F.struct(F.concat(F.lit("제"), text(i + 1), F.lit("조")).alias("article_no"), F.array(x["r"]).alias("relations")))
+
+    def relation(x: Column) -> Column:
+        k, part = x["l_linenumber"] % 4, text(x["l_partkey"])
+        given = {"relation_type": F.when(k == 0, "internal_ref").when(k == 3, "appendix_ref").otherwise("citation"), "target_law_name": F.when(k == 0, F.concat(F.lit("문서 "), text("l_orderkey"))).when(k == 1, F.concat(F.lit("고시 "), part)).when(k == 2, F.concat(F.lit("시 "), text(x["l_suppkey"]), F.lit(" 조례"))).otherwise(F.concat(F.lit("법 "), part)),
+                 "target_category": F.when(k == 1, "행정규칙"), "target_article_no": F.when(k == 0, "제1조").when(k == 1, "제2조의3"), "appendix_kind": F.when(k == 3, "별표"), "appendix_no": F.when(k == 3, "7"), "appendix_ambiguous": F.lit(False)}
+        return F.struct(*[given.get(c, no(None)).alias(c) for c in identifiers.RELATION])
+
+    # lines are gathered by their keys, not with the texts made of them
+    docs = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("e"))
+    articles = F.transform("e", lambda x, i: F.struct(F.concat(F.lit("제"), text(i + 1), F.lit("조")).alias("article_no"), F.array(relation(x)).alias("relations")))
     docs = docs.select("l_orderkey", F.concat(F.lit("문서 "), text("l_orderkey")).alias("law_name"), no(None).alias("doc_target"), no(None).alias("id_suffix"), articles.alias("articles"), F.array().cast("array<struct<kind: string, no: string, branch: string, title: string, files: array<struct<type: string, url: string, name: string>>>>").alias("appendices"))
     a = identifiers.identify(docs).select("l_orderkey", F.posexplode_outer("articles").alias("pos", "a")).where("pos is not null").select("l_orderkey", (F.col("pos") + 1).alias("i"), F.get("a.relations", F.lit(0)).alias("r"))
     return a.select("l_orderkey", "i", F.col("r.source_provision_id").alias("source_id"), "r.reference_id", F.col("r.target_path.path").alias("path"))

@@ -84,3 +84,10 @@ def test_names(spark):
     assert one(spark, names.first_line_with, "하나\n  둘 셋 \n둘", "둘") == "둘 셋" and one(spark, names.first_line_with, "하나", "") is None
     assert many(spark, lambda c: names.mirror_folder(c, F.lit("APPENDIX")), ["부속서 1.hwp", "무엇.hwp"]) == ["부속서", "별표"] and one(spark, names.mirror_folder, "제3조_1.gif", None) == "본문이미지" and one(spark, names.mirror_folder, "x", None) == "첨부미러"
     assert one(spark, names.without_forbidden, " a/b:c ") == "abc" and one(spark, names.reference_url, "행정규칙", "고시", "제1조") == "https://www.law.go.kr/행정규칙/고시/제1조"
+
+
+def test_names_are_worked_out_once_for_a_path(spark):
+    df = spark.createDataFrame([("law", "가&amp;nbsp;법 시행령"), ("admrul", "나:고시"), ("ordin", "다 조례"), ("law", " ")], "p string, n string")
+    made = df.select(names.predicted_path(F.col("p"), F.col("n"))["path"].alias("x"))
+    assert [r["x"] for r in made.collect()] == ["가&nbsp;법/시행령/가&nbsp;법 시행령.json", "나_고시/나_고시.json", None, None]
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("&middot;") == 1
