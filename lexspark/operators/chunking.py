@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, groupby
 
 import pandas as pd
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_CHARS, MODEL_CHARS, HEADER_LINES = 2_500, 8_184, 2
+HELD_CHARS = 1 << 21  # of chunks that a Python worker makes before it hands them over
 # fixed values: where units break (circled paragraph, numbered item, blank line, line) and what joins the pieces again
 LEVELS = (
     (re.compile(r"(?m)(?=^[ \t]*[①-⑳㉑-㉚])"), ""),
@@ -131,9 +133,24 @@ def lines_alone(text: str, limit: int = CHUNK_CHARS) -> list[str]:
     return [p for p, _ in found] if found else [text]
 
 
+def pieces(parts: Iterable[list[str]], most: int = HELD_CHARS) -> Iterator[list[list[str]]]:
+    """The same lists in runs of about `most` characters, so that what is held at a time does not grow with a batch."""
+    held, size = [], 0
+    for p in parts:
+        held.append(p)
+        size += sum(map(len, p))
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _split_long(text: pd.Series, hard: pd.Series, limit: pd.Series, rows: pd.Series) -> pd.Series:
-    return pd.Series([(table if r else prose)(t, int(n), int(h)) for t, h, n, r in zip(text, hard, limit, rows)])
+def _split_long(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    for text, hard, limit, rows in batches:
+        for held in pieces((table if r else prose)(t, int(n), int(h)) for t, h, n, r in zip(text, hard, limit, rows)):
+            yield pd.Series(held)
 
 
 def split_units(content: Column, hard: Column | None = None, limit: int = CHUNK_CHARS, is_table: Column | None = None) -> Column:
@@ -147,8 +164,10 @@ def split_units(content: Column, hard: Column | None = None, limit: int = CHUNK_
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _lines_of_long(text: pd.Series, limit: pd.Series) -> pd.Series:
-    return pd.Series([lines_alone(t, int(n)) for t, n in zip(text, limit)])
+def _lines_of_long(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    for text, limit in batches:
+        for held in pieces(lines_alone(t, int(n)) for t, n in zip(text, limit)):
+            yield pd.Series(held)
 
 
 def split_lines(content: Column, limit: int = CHUNK_CHARS) -> Column:

@@ -139,7 +139,8 @@ def chunks(units_df: DataFrame, uuid_prefix: str = "chunk:") -> DataFrame:
     context = F.when(F.col("unit_type") == "ARTICLE", text.chapter_context(F.col("chapter_path"), F.col("chapter")))
     rows = units_df.withColumn("prefix", text.clamp_prefix(text.search_text(F.col("law_name"), F.col("law_type"), context, F.col("unit_no"), F.col("unit_title"))))
     rows = rows.withColumn("parts", split_units(content, text.content_budget(F.length("prefix")), is_table=F.col("unit_type") == "APPENDIX"))
-    rows = rows.select("*", F.size("parts").alias("chunk_count"), F.posexplode("parts").alias("chunk_index", "part")).drop("parts", "content").withColumnRenamed("part", "content")
+    # outer, or Spark would filter by the split's size and so split each text twice
+    rows = rows.select("*", F.size("parts").alias("chunk_count"), F.posexplode_outer("parts").alias("chunk_index", "part")).where("chunk_index is not null").drop("parts", "content").withColumnRenamed("part", "content")
     chunk_id = ids.json_chunk_id(F.col("version_uid"), F.coalesce("identity", "provision_id"), F.col("unit_type"), F.col("unit_no"), F.col("chunk_index"))
     rows = rows.withColumns({"chunk_id": chunk_id, "source_type": F.lit("JSON"), "search_text": text.search_text(F.col("prefix"), F.col("content")), "content_hash": F.sha2("content", 256),
                              "enforcement_date": text.iso_date(F.col("enforcement_date")), "reference_ids": F.when(F.col("chunk_index") == 0, F.col("reference_ids")).otherwise(F.array().cast("array<string>"))})

@@ -129,3 +129,18 @@ def test_posting_blocks_are_made_once(spark, tmp_path):
     often = [r for r in rows("blocks") if r[0] == "often"]
     assert sum(r[4] for r in often) == 300 and len({r[1].split("-")[0] for r in often}) > 1
     assert all(r[1] == "0-0" and r[4] == 1 for r in rows("blocks") if r[0] != "often") and len(rows("blocks")) == 300 + len(often)
+
+
+def test_tables_are_split_once_and_handed_over_in_pieces(spark, tmp_path):
+    from lexspark.operators import chunking
+    from lexspark.plans import texts
+
+    text = "\n".join(["t" * 90, "h" * 90, *["row " * 40] * 60])
+    spark.range(50).select(F.col("id").alias("doc_id"), F.lit(text).alias("text")).write.parquet(f"{tmp_path}/documents.parquet")
+    q = texts.q07_table_header_repeat(spark, str(tmp_path))
+    parts = chunking.table(text, 400)
+    want = {(k, len(parts), 60, max(map(len, parts))) for k in range(50)}
+    assert set(map(tuple, q.select("doc_id", "parts", "rows", "longest").collect())) == want
+    assert q._jdf.queryExecution().optimizedPlan().toString().count("_split_long(") == 1
+    held = list(chunking.pieces((p for p in [["x" * 60] * 5] * 9), 1_000))
+    assert list(map(len, held)) == [4, 4, 1] and [p for h in held for p in h] == [["x" * 60] * 5] * 9
