@@ -58,10 +58,10 @@ def admin_rule_version(adm_uid: Column, revision: Column, enforcement: Column) -
 
 def version_rank(version_uid: Column, mst: Column) -> Column:
     """(day, sequence) for comparison; dates may have dashes. Parts that can't be read are 0, the oldest."""
-    day = F.regexp_extract(F.replace(F.element_at(F.split(F.coalesce(version_uid, F.lit("")), ":"), -1), F.lit("-"), F.lit("")), r"(\d{8})", 1)
+    day = F.regexp_extract(F.replace(F.substring_index(F.coalesce(version_uid, F.lit("")), ":", -1), F.lit("-"), F.lit("")), r"(\d{8})", 1)
     number = F.regexp_extract(F.coalesce(mst.cast("string"), F.lit("")), r"(\d+)", 1)
-    whole = lambda s: F.coalesce(F.nullif(s, F.lit("")).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
-    return F.struct(whole(day).alias("day"), whole(number).alias("number"))
+    whole = lambda s, kind: F.coalesce(F.nullif(s, F.lit("")).cast(kind), F.lit(0).cast(kind))
+    return F.struct(whole(day, "int").alias("day"), whole(number, "decimal(38,0)").alias("number"))
 
 
 def id_prefix(doc_target: Column, collection: Column, fallback: Column) -> Column:
@@ -80,9 +80,13 @@ def domain(doc_target: Column, source: Column) -> Column:
 
 def route(doc_target: Column, law_id: Column, default: Column) -> Column:
     """The collection that a record goes to: by its document's target, else by its law's id, else where its package came from."""
-    own = lambda t: (F.when(t.isin("school", "pi", "public"), "schlpub").when(t.isin("eflaw", "law", "법령"), "law").when(t == "admrul", "admrul")
-                     .when(F.rlike(F.coalesce(law_id, F.lit("")), F.lit("^(school|pi|public):")), "schlpub").otherwise(default))
-    return let(F.trim(F.coalesce(doc_target, F.lit(""))), own)
+    return let(F.trim(F.coalesce(doc_target, F.lit(""))), lambda t: routed(t, law_id, default))
+
+
+def routed(target: Column, law_id: Column, default: Column) -> Column:
+    """route of a target that is trimmed and not null."""
+    return (F.when(target.isin("school", "pi", "public"), "schlpub").when(target.isin("eflaw", "law", "법령"), "law").when(target == "admrul", "admrul")
+            .when(F.rlike(F.coalesce(law_id, F.lit("")), F.lit("^(school|pi|public):")), "schlpub").otherwise(default))
 
 
 def document_base(prefix: Column, name: Column, law_id: Column) -> Column:

@@ -15,13 +15,18 @@ def first_seen(records: DataFrame, key: list[str], order: str, *values: str) ->
     return records.groupBy(*key).agg(F.min_by(F.struct(*values), order).alias("v")).select(*key, "v.*")
 
 
-def fold_laws(records: DataFrame) -> DataFrame:
+# fixed values: the lists of a folded law and the types of records in them
+LISTS = {"normalized": "normalized_chunk", "preprocessed": "preprocessed_chunk", "files": "file"}
+
+
+def fold_laws(records: DataFrame, apart: bool = False) -> DataFrame:
     """One row for each law of a package: the last document's payload, whether a delete stands, chunks and files in order, and the action.
 
     records: package, line_no, law_id, record_type, op, payload, body, and domain where laws of several domains come
     (deletes need it; a law's document decides it before its other records). A delete is a record of that type or a document
     whose op says so; the latter brings no payload, and a document without payload or with an empty one is no content. Content beats a
     delete; a law with pending files alone keeps its stored body. `superseded`: there is content and a delete.
+    apart: chunks and files are gathered by themselves, so that documents don't carry lists along: for records that are stored, as they are read twice.
     """
     kind = F.col("record_type")
     told = (kind == "document") & (F.coalesce("op", F.lit("")) != "delete")
@@ -31,15 +36,21 @@ def fold_laws(records: DataFrame) -> DataFrame:
         own = F.max_by("domain", F.when(told & F.col("payload").isNotNull(), F.col("line_no")))
         extra = [F.coalesce(own, F.min_by("domain", F.when(F.col("domain").isNotNull(), F.col("line_no")))).alias("domain")]
 
-    def gathered(*kinds: str) -> Column:
-        rows = F.array_sort(F.collect_list(F.when(kind.isin(*kinds), F.struct("line_no", "body"))))
+    def gathered(of: str) -> Column:
+        rows = F.array_sort(F.collect_list(F.when(kind == of, F.struct("line_no", "body"))))
         return F.transform(rows, lambda r: r["body"])
 
-    out = records.where("law_id is not null").groupBy("package", "law_id").agg(
-        F.max_by(F.struct("payload"), F.when(told, F.col("line_no")))["payload"].alias("document"),
-        F.coalesce(F.bool_or(deleted), F.lit(False)).alias("deleted"),
-        gathered("normalized_chunk").alias("normalized"), gathered("preprocessed_chunk").alias("preprocessed"),
-        gathered("file").alias("files"), F.count_if(kind == "pending_attachment").alias("pending"), *extra)
+    given, law = records.where("law_id is not null"), ["law_id", "package"]  # sorted by what tells most rows apart
+    single = [F.max_by(F.struct("payload"), F.when(told, F.col("line_no")))["payload"].alias("document"), F.coalesce(F.bool_or(deleted), F.lit(False)).alias("deleted")]
+    lists = [gathered(kinds).alias(name) for name, kinds in LISTS.items()]
+    pending = F.count_if(kind == "pending_attachment").alias("pending")
+    if apart:
+        held = given.where(kind.isin(*LISTS.values())).groupBy(*law).agg(*lists)
+        none = F.array().cast("array<string>")
+        out = given.groupBy(*law).agg(*single, pending, *extra).join(held, law, "left")
+        out = out.select("package", "law_id", "document", "deleted", *[F.coalesce(c, none).alias(c) for c in LISTS], "pending", *(["domain"] if extra else []))
+    else:
+        out = given.groupBy(*law).agg(*single, *lists, pending, *extra).select("package", "law_id", "document", "deleted", *LISTS, "pending", *(["domain"] if extra else []))
     out = out.withColumn("document", F.when(~F.rlike("document", F.lit(r"^\s*(\{\s*\}|null)?\s*$")), F.col("document")))
     content = F.col("document").isNotNull() | (F.size("normalized") > 0) | (F.size("preprocessed") > 0) | (F.size("files") > 0)
     action = F.when(content, "upsert").when(F.col("deleted"), "delete").when(F.col("pending") > 0, "keep").otherwise("none")
@@ -57,8 +68,12 @@ def reconcile(records: DataFrame, key: list[str], footers: DataFrame, headers: D
     for df in known:
         everyone = everyone.unionByName(df)
     n = F.coalesce("records", F.lit(0).cast("long"))
-    verdict = F.when(F.col("record_count").isNull(), "retry").when(F.col("record_count") == n, "ok").otherwise("quarantine")
-    return everyone.distinct().join(found, key, "left").join(footers, key, "left").withColumns({"records": n, "verdict": verdict})
+    return everyone.distinct().join(found, key, "left").join(footers, key, "left").withColumns({"records": n, "verdict": verdict(n)})
+
+
+def verdict(n: Column) -> Column:
+    """Of n records against the footer's record_count."""
+    return F.when(F.col("record_count").isNull(), "retry").when(F.col("record_count") == n, "ok").otherwise("quarantine")
 
 
 def merge_reports(reports: DataFrame, key: str, attempt: str, status: str = "status") -> DataFrame:

@@ -6,7 +6,7 @@ import json
 import uuid
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexspark.functions.ids import version_rank
@@ -53,6 +53,32 @@ def older_than_stored(incoming: DataFrame, stored: DataFrame, keys: list[str] |
     return incoming.join(best, keys).where(version_rank(F.col("version_uid"), F.col("mst")) < F.col("best")).drop("best")
 
 
+def outgoing(stored: DataFrame, fresh: DataFrame, gone: DataFrame, older: bool = False) -> DataFrame:
+    """`new` (1: row of fresh, 0: of stored) and uuid of the rows that don't stand once fresh is merged into stored.
+
+    Of stored: rows of the laws of gone, rows whose id is written anew, and stale versions and orphan units. Of fresh: laws
+    of which a newer version is stored, unless older, which count for nothing; and what is stale or an orphan by its own laws' rows.
+    The same as older_than_stored, delete_laws, upsert, stale_versions and orphan_units one after the other, but ids and versions alone
+    are shuffled, by law, and once.
+    """
+    new, held, law_first = F.col("new"), [*LAW, "version_uid", "source_type", "chunk_id", "uuid"], LAW[::-1]  # sorted by what tells most rows apart
+    rank = lambda df: F.lit(None) if older else version_rank(df["version_uid"], df["mst"])
+    rows = stored.select(F.lit(0).alias("new"), *held, rank(stored).alias("rank")).unionByName(fresh.select(F.lit(1).alias("new"), *held, rank(fresh).alias("rank")))
+    rows = rows.unionByName(gone.select(F.lit(2).alias("new"), *LAW), allowMissingColumns=True).repartition(*law_first)
+    among = lambda c, *by: F.bool_or(c).over(Window.partitionBy(*law_first, *by))
+    # from many keys to few: one sort serves all
+    rows = rows.withColumn("chunk_named", among(new == 1, "version_uid", "chunk_id")).withColumn("version_named", among(new == 1, "version_uid"))
+    named, law = F.col("version_uid").isNotNull(), F.col("domain").isNotNull() & F.col("law_id").isNotNull()
+    best = lambda f, n: F.when(law, f(F.when(new == n, F.col("rank"))).over(Window.partitionBy(*law_first)))
+    rows = rows.withColumns({"law_named": among((new == 1) & named), "law_gone": among(new == 2), "late": F.lit(False) if older else F.coalesce(best(F.min, 1) < best(F.max, 0), F.lit(False))})
+    version = named & F.col("version_named")
+    orphan = F.coalesce(F.col("source_type") == "JSON", F.lit(False)) & version & ~(F.col("chunk_id").isNotNull() & F.col("chunk_named"))
+    unnamed = law & ~F.col("late") & ((F.col("law_named") & ~version) | orphan)
+    out = unnamed | F.when(new == 1, F.col("late")).otherwise(law & F.col("law_gone"))
+    both = F.array(F.when(out, F.struct("new", "uuid")), F.when((new == 1) & ~F.col("late"), F.struct(F.lit(0).alias("new"), F.col("uuid"))))
+    return rows.where(new < 2).select(F.explode(F.array_compact(both)).alias("r")).select("r.*")
+
+
 def missing(expected: DataFrame, stored: DataFrame, key: str = "uuid") -> DataFrame:
     return expected.join(stored.select(key).distinct(), key, "left_anti")
 

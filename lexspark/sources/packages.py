@@ -47,7 +47,7 @@ def number_lines(lines: DataFrame) -> DataFrame:
 
     kind = lines.schema["block"].dataType.simpleString()
     bases = splits.groupBy("package").applyInPandas(before, f"package string, block {kind}, first long, base long")
-    met = lines.join(bases, ["package", "block"])
+    met = lines.join(F.broadcast(bases), ["package", "block"])  # else lines would be shuffled by split, a task for each
     return met.select("package", (F.col("base") + F.col("row") - F.col("first") + 1).alias("line_no"), "body")
 
 

@@ -547,3 +547,40 @@ def test_posting_blocks_equal_keyword_scores(spark, tmp_path):
         if words[0] == "rare":
             heads = spark.read.parquet(f"{tmp_path}/p/heads").where(F.col("word").isin(words))
             assert opened.count() < heads.count()  # blocks stay closed
+
+
+def test_one_pass_over_ids_stands_for_the_guards_and_clean_ups(spark):
+    import random
+
+    rnd = random.Random(7)
+    schema = "domain string, law_id string, version_uid string, mst string, source_type string, chunk_id string, uuid string"
+
+    def rows(n, mark):
+        some = [(rnd.choice(["law", "admrul", None]) if rnd.random() < 0.2 else "law", rnd.choice([f"L{k}" for k in range(12)] + [None]), rnd.choice([f"v:2024010{k}" for k in range(3)] + [None]),
+                 str(rnd.randrange(3)), rnd.choice(["JSON", "JSON", "FILE", None]), rnd.choice(["a", "b", "c", None])) for _ in range(n)]
+        return [(*r, rnd.choice([f"u{k}", f"{mark}{k}"])) for k, r in enumerate(some)]
+
+    stored, fresh = spark.createDataFrame(rows(150, "s"), schema), spark.createDataFrame(rows(60, "f"), schema)
+    fresh = fresh.where("law_id is null or law_id not in ('L1', 'L2')")
+    gone = spark.createDataFrame([("law", "L1"), ("law", "L3"), ("law", "L1"), ("admrul", "L2"), (None, "L2")], "domain string, law_id string")
+    changed = 0
+    for older in (False, True):
+        late = st.older_than_stored(fresh.select("domain", "law_id", "version_uid", "mst").distinct(), stored).select("domain", "law_id").distinct()
+        kept = fresh if older else fresh.join(late, ["domain", "law_id"], "left_anti")
+        merged = st.upsert(st.delete_laws(stored, gone), kept)
+        drop = st.stale_versions(merged, kept).select("uuid").unionByName(st.orphan_units(merged, kept).select("uuid"))
+        want = sorted((r["uuid"] for r in merged.join(drop, "uuid", "left_anti").collect()))
+        both = stored.withColumn("new", F.lit(0)).unionByName(fresh.withColumn("new", F.lit(1)))
+        got = both.join(st.outgoing(stored, fresh, gone, older), ["new", "uuid"], "left_anti")
+        assert sorted(r["uuid"] for r in got.collect()) == want
+        changed += len(want)
+    assert 100 < changed < 400
+
+
+def test_chunks_gathered_apart_are_the_same(spark):
+    lines = [("p", n, f"L{n % 4}", kind, None, f'{{"n": {n}}}' if kind == "document" and n % 3 else None, f"b{n}", "law" if n % 5 else None) for n, kind in enumerate(["document", "normalized_chunk", "preprocessed_chunk", "file", "delete", "pending_attachment", "rename"] * 4)]
+    records = spark.createDataFrame(lines, "package string, line_no long, law_id string, record_type string, op string, payload string, body string, domain string")
+    rows = lambda apart: {r["law_id"]: r for r in pk.fold_laws(records, apart=apart).collect()}
+    assert rows(True) == rows(False) and len(rows(True)) == 4
+    plain = records.where("record_type in ('document', 'delete')").drop("domain")
+    assert sorted(pk.fold_laws(plain, apart=True).collect()) == sorted(pk.fold_laws(plain).collect()) and pk.fold_laws(plain, apart=True).columns == pk.fold_laws(plain).columns

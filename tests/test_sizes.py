@@ -144,3 +144,46 @@ def test_tables_are_split_once_and_handed_over_in_pieces(spark, tmp_path):
     assert q._jdf.queryExecution().optimizedPlan().toString().count("_split_long(") == 1
     held = list(chunking.pieces((p for p in [["x" * 60] * 5] * 9), 1_000))
     assert list(map(len, held)) == [4, 4, 1] and [p for h in held for p in h] == [["x" * 60] * 5] * 9
+
+
+def test_numbered_lines_stay_in_their_splits(spark, tmp_path):
+    from lexspark.sources import packages as src
+
+    (tmp_path / "a.jsonl").write_text("x\ny\n")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(held, ("-1", "false")):
+            spark.conf.set(k, v)
+        df = src.read_lines(spark, str(tmp_path))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert got == [("a.jsonl", 1, "x"), ("a.jsonl", 2, "y")]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_a_batch_is_merged_by_reading_the_table_twice(spark, tmp_path):
+    from lexspark.streaming import consumer
+
+    schema = "domain string, law_id string, version_uid string, mst string, source_type string, chunk_id string, uuid string"
+    row = lambda law, version, chunk: ("law", law, f"v:{version}", "1", "JSON", chunk, f"{law}-{version}-{chunk}")
+    spark.createDataFrame([row("A", 20240101, "a"), row("B", 20240101, "b"), row("C", 20240301, "c"), row("D", 20240101, "d"), row("D", 20240101, "e"), row("E", 20240101, "f")], schema).write.parquet(f"{tmp_path}/stored")
+    spark.createDataFrame([row("B", 20240201, "b"), row("C", 20240201, "c"), row("D", 20240101, "d")], schema).write.parquet(f"{tmp_path}/fresh")
+    folded = spark.createDataFrame([("law", "E", "delete", False), ("law", "B", "upsert", False)], "domain string, law_id string, action string, superseded boolean")
+    out = consumer.flush(spark.read.parquet(f"{tmp_path}/stored"), folded, None, spark.read.parquet(f"{tmp_path}/fresh"))
+    assert sorted(r["uuid"] for r in out.collect()) == ["A-20240101-a", "B-20240201-b", "C-20240301-c", "D-20240101-d"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 4  # ids, then rows, of stored and of fresh
+
+
+def test_domains_of_payloads_whose_key_is_escaped(spark):
+    from lexspark.streaming import consumer
+
+    payloads = ['{"doc_target": "admrul"}', '{"doc\\u005ftarget": "admrul"}', '{"a": "doc_target"}', '{"doc_target": ""}', "{}", None]
+    rows = [("p", n, "package_header" if n == 0 else "document", "p", "law" if n == 0 else None, None if n == 0 else f"L{n}", "eflaw" if n == 3 else None, ([None] + payloads)[n]) for n in range(7)]
+    records = spark.createDataFrame(rows, "package string, line_no long, record_type string, package_id string, source string, law_id string, doc_target string, payload string")
+    got = {r["line_no"]: r["domain"] for r in consumer.with_domain(records).collect()}
+    assert [got[n] for n in range(1, 7)] == ["admrul", "admrul", "law", "law", "law", "law"]
+    known = {r["line_no"]: r["domain"] for r in consumer.with_domain(records.where("line_no > 0"), F.lit("admrul")).collect()}
+    assert [known[n] for n in range(1, 7)] == ["admrul", "admrul", "law", "admrul", "admrul", "admrul"]
